@@ -72,3 +72,122 @@ def c7_panel_summary(spark, sf):
 def c12_class_distribution(spark, sf):
     frame, _ = D.modelling_frame(spark, sf)
     return frame.groupBy("split", "purchase").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- C10 / D11 / J: evaluation on hashed scores ------------------------------
+
+from ..functions import ranking as R  # noqa: E402
+
+
+def _eval(spark, sf):
+    test, train, classes, candidates = D.evaluation(spark, sf)
+    return test, train, classes, candidates
+
+
+@register("c10_candidate_classes")
+def c10_candidate_classes(spark, sf):
+    frame, sl = D.modelling_frame(spark, sf)
+    seen = frame.filter(F.col("split") == "train").select(F.col("purchase").alias("code")).distinct()
+    return sl.join(seen, "code", "left_semi").select("code")
+
+
+@register("d11_popularity_order")
+def d11_popularity_order(spark, sf):
+    _, train, _, candidates = _eval(spark, sf)
+    return R.popularity_order(train, "purchase", candidates)
+
+
+@register("j6_candidate_availability")
+def j6_candidate_availability(spark, sf):
+    _, _, classes, candidates = _eval(spark, sf)
+    frame, sl = D.modelling_frame(spark, sf)
+    cls = spark.createDataFrame([(int(c),) for c in classes], "cls int")
+    return sl.join(F.broadcast(cls), sl.code == cls.cls, "left").select(
+        "code", F.col("cls").isNotNull().alias("available"))
+
+
+@register("j7_top3_products")
+def j7_top3_products(spark, sf):
+    test, _, classes, candidates = _eval(spark, sf)
+    top = R.top_k_products(F.col("scores"), classes, candidates, 3)
+    return test.select("ncodpers", "q", F.array_join(top, ",").alias("top3"))
+
+
+def _stats(spark, sf):
+    test, train, classes, candidates = _eval(spark, sf)
+    return R.ranking_stats(test, "purchase", "scores", classes, candidates), train, classes, candidates
+
+
+@register("j8_ranking_stats")
+def j8_ranking_stats(spark, sf):
+    stats, *_ = _stats(spark, sf)
+    return stats.select("ncodpers", "q", "purchase", "rank", "relevant", "purchased")
+
+
+@register("j9_scope_metrics")
+def j9_scope_metrics(spark, sf):
+    stats, *_ = _stats(spark, sf)
+    return R.metrics_table(stats)
+
+
+@register("j10_random_baseline")
+def j10_random_baseline(spark, sf):
+    stats, _, classes, candidates = _stats(spark, sf)
+    used, _ = R.available_candidates(classes, candidates)
+    return R.random_baseline(stats, len(used))
+
+
+@register("j11_popularity_baseline")
+def j11_popularity_baseline(spark, sf):
+    stats, train, classes, candidates = _stats(spark, sf)
+    used, _ = R.available_candidates(classes, candidates)
+    pop = R.popularity_stats(stats.drop("rank", "relevant", "purchased"), "purchase",
+                             R.popularity_order(train, "purchase", used))
+    return R.metrics_table(pop, prefix="popularity_")
+
+
+@register("j12_topk_report")
+def j12_topk_report(spark, sf):
+    stats, train, classes, candidates = _stats(spark, sf)
+    used, _ = R.available_candidates(classes, candidates)
+    pop = R.popularity_stats(stats.drop("rank", "relevant", "purchased"), "purchase",
+                             R.popularity_order(train, "purchase", used))
+    return R.top_k_report(stats, len(used), pop)
+
+
+@register("j1_macro_roc_auc")
+def j1_macro_roc_auc(spark, sf):
+    test, _, classes, _ = _eval(spark, sf)
+    return R.macro_roc_auc(test, "purchase", "scores", classes).select(
+        F.round("roc_auc_ovr_macro", 9).alias("roc_auc_ovr_macro"))
+
+
+def _predicted(spark, sf):
+    test, _, classes, _ = _eval(spark, sf)
+    return test.select("*", R.predicted_class(F.col("scores"), classes).alias("pred")), classes
+
+
+@register("j5_class_report")
+def j5_class_report(spark, sf):
+    pred, _ = _predicted(spark, sf)
+    return R.per_class_report(R.confusion(pred, "purchase", "pred"))
+
+
+@register("j2_classification_summary")
+def j2_classification_summary(spark, sf):
+    pred, _ = _predicted(spark, sf)
+    return R.classification_summary(R.per_class_report(R.confusion(pred, "purchase", "pred")))
+
+
+@register("j3_per_class_pr_auc")
+def j3_per_class_pr_auc(spark, sf):
+    test, _, classes, _ = _eval(spark, sf)
+    return R.per_class_curves(test, "purchase", "scores", classes)
+
+
+@register("j4_baseline_comparison")
+def j4_baseline_comparison(spark, sf):
+    pred, classes = _predicted(spark, sf)
+    per_class = R.per_class_curves(pred, "purchase", "scores", classes)
+    summary = R.classification_summary(R.per_class_report(R.confusion(pred, "purchase", "pred")))
+    return R.baseline_metrics(per_class, summary)

@@ -58,3 +58,37 @@ def present(df: DataFrame) -> DataFrame:
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
+
+
+# --- evaluation fixture: deterministic hashed scores -------------------------
+
+def hashed_score(client: str, snap: str, code: int):
+    """Stand-in model score in [0, 1): plain integer arithmetic both engines agree on."""
+    return (((F.col(client).cast("bigint") * 7919 + F.col(snap).cast("bigint") * 104729
+              + F.lit(int(code) * 1299709)) % 10007) / F.lit(10007.0))
+
+
+def small_list(df: DataFrame, col: str) -> list[int]:
+    """Collect a dimension list bounded by the class count (<= products + 2)."""
+    rows = df.select(col).distinct().orderBy(col).limit(1000).collect()
+    if len(rows) >= 1000:
+        raise ValueError(f"{col}: not a small dimension")
+    return [int(r[0]) for r in rows]
+
+
+def evaluation(spark: SparkSession, sf_dir: str):
+    """Test rows with a score array over the model classes.
+
+    Returns (test, train, classes, candidates): ``classes`` = labels seen in
+    train (the classes a fitted model knows), ``candidates`` = shortlist codes
+    among them (C10), in code order.
+    """
+    frame, sl = modelling_frame(spark, sf_dir)
+    frame = frame.select("ncodpers", "q", "purchase", "split")
+    train = frame.filter(F.col("split") == "train")
+    test = frame.filter(F.col("split") == "test")
+    classes = small_list(train, "purchase")
+    shortlist_codes = small_list(sl, "code")
+    candidates = [c for c in shortlist_codes if c in set(classes)]
+    scores = F.array(*[hashed_score("ncodpers", "q", c) for c in classes]).alias("scores")
+    return test.select("ncodpers", "q", "purchase", scores), train, classes, candidates

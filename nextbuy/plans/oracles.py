@@ -113,3 +113,196 @@ SELECT (SELECT count(*) FROM pairs WHERE next_q IS NOT NULL) AS snapshots,
 FROM target"""),
     "c12_class_distribution": _q("SELECT split, purchase, count(*) AS n FROM frame GROUP BY ALL"),
 }
+
+
+# --- C10 / D11 / J twins: long form with windows, instead of in-row arrays ----
+
+EVAL = """,
+classes AS (SELECT DISTINCT purchase AS code FROM frame WHERE split = 'train'),
+cands AS (SELECT code, CAST(row_number() OVER (ORDER BY code) - 1 AS INTEGER) AS pos
+          FROM shortlist WHERE code IN (SELECT code FROM classes)),
+test AS (SELECT ncodpers, q, purchase FROM frame WHERE split = 'test'),
+train AS (SELECT ncodpers, q, purchase FROM frame WHERE split = 'train'),
+tscore AS (
+  SELECT t.ncodpers, t.q, t.purchase, c.code,
+         CAST((t.ncodpers * 7919 + CAST(t.q AS BIGINT) * 104729 + CAST(c.code AS BIGINT) * 1299709) % 10007
+              AS DOUBLE) / CAST(10007 AS DOUBLE) AS score
+  FROM test t CROSS JOIN classes c
+),
+ranked_cands AS (
+  SELECT s.ncodpers, s.q, s.code,
+         row_number() OVER (PARTITION BY s.ncodpers, s.q ORDER BY s.score DESC, c.pos) AS rn
+  FROM tscore s JOIN cands c ON c.code = s.code
+),
+stats AS (
+  SELECT t.ncodpers, t.q, t.purchase, CAST(coalesce(r.rn, 0) AS INTEGER) AS rank,
+         r.rn IS NOT NULL AS relevant, t.purchase <> 0 AS purchased
+  FROM test t LEFT JOIN ranked_cands r
+    ON r.ncodpers = t.ncodpers AND r.q = t.q AND r.code = t.purchase
+),
+ks AS (SELECT * FROM (VALUES (1), (3), (5), (10)) v(k)),
+popord AS (
+  SELECT c.code, coalesce(f.freq, 0) AS freq,
+         row_number() OVER (ORDER BY coalesce(f.freq, 0) DESC, c.pos) AS pop_rank
+  FROM cands c LEFT JOIN (SELECT purchase AS code, count(*) AS freq FROM train GROUP BY 1) f
+    ON f.code = c.code
+),
+popstats AS (
+  SELECT t.ncodpers, t.q, t.purchase, CAST(coalesce(p.pop_rank, 0) AS INTEGER) AS rank,
+         p.pop_rank IS NOT NULL AS relevant, t.purchase <> 0 AS purchased
+  FROM test t LEFT JOIN popord p ON p.code = t.purchase
+),
+pred AS (
+  SELECT ncodpers, q, purchase, code AS pred FROM (
+    SELECT *, row_number() OVER (PARTITION BY ncodpers, q ORDER BY score DESC, code) AS rn
+    FROM tscore) WHERE rn = 1
+),
+report AS (
+  SELECT cls AS class, support, predicted, tp,
+         CASE WHEN predicted = 0 THEN 0.0 ELSE tp / predicted END AS precision,
+         CASE WHEN support = 0 THEN 0.0 ELSE tp / support END AS recall
+  FROM (
+    SELECT CAST(u.cls AS INTEGER) AS cls,
+           (SELECT count(*) FROM pred p WHERE p.purchase = u.cls) AS support,
+           (SELECT count(*) FROM pred p WHERE p.pred = u.cls) AS predicted,
+           (SELECT count(*) FROM pred p WHERE p.pred = u.cls AND p.purchase = u.cls) AS tp
+    FROM (SELECT purchase AS cls FROM pred UNION SELECT pred FROM pred) u)
+),
+report_f1 AS (
+  SELECT *, CASE WHEN precision + recall = 0 THEN 0.0
+                 ELSE 2 * precision * recall / (precision + recall) END AS f1 FROM report
+),
+midrank AS (  -- one-vs-rest scores grouped by (class, score), ranks ascending
+  SELECT code, score, cnt, tp,
+         coalesce(sum(cnt) OVER (PARTITION BY code ORDER BY score
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+           + (cnt + 1) / 2.0 AS mid
+  FROM (SELECT code, score, count(*) AS cnt, count(*) FILTER (WHERE purchase = code) AS tp
+        FROM tscore GROUP BY code, score)
+),
+curve AS (
+  SELECT code, sum(tp) AS P, sum(cnt) AS n, sum(tp * mid) AS rank_sum FROM midrank GROUP BY code
+),
+prgrid AS (
+  SELECT code, tp, sum(tp) OVER w AS ctp, sum(cnt) OVER w AS ccnt FROM (
+    SELECT code, score, count(*) AS cnt, count(*) FILTER (WHERE purchase = code) AS tp
+    FROM tscore GROUP BY code, score)
+  WINDOW w AS (PARTITION BY code ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+),
+per_class AS (
+  SELECT CAST(c.code AS INTEGER) AS class, c.P AS support, c.P / c.n AS share,
+         round(a.ap, 9) AS pr_auc,
+         round((c.rank_sum - c.P * (c.P + 1) / 2.0) / (c.P * (c.n - c.P)), 9) AS roc_auc_ovr
+  FROM curve c JOIN (SELECT code, sum(tp * (ctp / ccnt)) / sum(tp) AS ap FROM prgrid GROUP BY code) a
+    ON a.code = c.code
+  WHERE c.P > 0
+)"""
+
+
+def _e(body: str) -> str:
+    return "WITH " + BASE + EVAL + "\n" + body
+
+
+_METRICS = """
+SELECT scope, k{extra},
+       hits / users / k AS {p}precision_at_k, hits / purchasers AS {p}recall_at_k,
+       hits / users AS {p}hit_rate_at_k, round(gain / users, 9) AS {p}ndcg_at_k
+FROM (
+  SELECT scope, k, count(*) AS users, count(*) FILTER (WHERE relevant) AS purchasers,
+         count(*) FILTER (WHERE rank > 0 AND rank <= k) AS hits,
+         sum(CASE WHEN rank > 0 AND rank <= k THEN 1 / log2(rank + 1) ELSE 0 END) AS gain
+  FROM (SELECT 'shortlist_purchasers' AS scope, * FROM {src} WHERE relevant
+        UNION ALL SELECT 'purchasers_any', * FROM {src} WHERE purchased
+        UNION ALL SELECT 'all_rows', * FROM {src}) s CROSS JOIN ks
+  GROUP BY scope, k)"""
+
+
+def _metrics(src: str, p: str = "") -> str:
+    extra = "" if p else ", users, purchasers, purchasers / users AS purchase_share"
+    return _METRICS.format(src=src, p=p, extra=extra)
+
+
+_RANDOM = """
+SELECT scope, k, share / m AS random_precision_at_k, k / m AS random_recall_at_k,
+       share * k / m AS random_hit_rate_at_k,
+       round(share * ((SELECT sum(1 / log2(i + 1)) FROM range(1, k + 1) r(i)) / m), 9) AS random_ndcg_at_k
+FROM (
+  SELECT scope, k, count(*) FILTER (WHERE relevant) / count(*) AS share,
+         (SELECT count(*) FROM cands) AS m
+  FROM (SELECT 'shortlist_purchasers' AS scope, * FROM stats WHERE relevant
+        UNION ALL SELECT 'purchasers_any', * FROM stats WHERE purchased
+        UNION ALL SELECT 'all_rows', * FROM stats) s CROSS JOIN ks
+  GROUP BY scope, k)"""
+
+_LABELS = " ".join(
+    f"WHEN '{k}' THEN '{v}'" for k, v in {
+        "shortlist_purchasers": "clients who bought a shortlist product",
+        "purchasers_any": "all buyers (a purchase outside the shortlist is a miss)",
+        "all_rows": "all test rows, including clients without a purchase"}.items())
+
+ORACLES.update({
+    "c10_candidate_classes": _e("SELECT code FROM cands"),
+    "d11_popularity_order": _e("SELECT code, freq, pop_rank FROM popord"),
+    "j6_candidate_availability": _e(
+        "SELECT code, code IN (SELECT code FROM classes) AS available FROM shortlist"),
+    "j7_top3_products": _e(
+        "SELECT ncodpers, q, string_agg(CAST(code AS VARCHAR), ',' ORDER BY rn) AS top3 "
+        "FROM ranked_cands WHERE rn <= 3 GROUP BY ncodpers, q"),
+    "j8_ranking_stats": _e("SELECT ncodpers, q, purchase, rank, relevant, purchased FROM stats"),
+    "j9_scope_metrics": _e(_metrics("stats")),
+    "j10_random_baseline": _e(_RANDOM),
+    "j11_popularity_baseline": _e(_metrics("popstats", "popularity_")),
+    "j12_topk_report": _e(f"""
+SELECT m.*, r.* EXCLUDE (scope, k), p.* EXCLUDE (scope, k),
+       CASE m.scope {_LABELS} ELSE m.scope END AS scope_label
+FROM ({_metrics('stats')}) m
+LEFT JOIN ({_RANDOM}) r ON r.scope = m.scope AND r.k = m.k
+LEFT JOIN ({_metrics('popstats', 'popularity_')}) p ON p.scope = m.scope AND p.k = m.k"""),
+    "j1_macro_roc_auc": _e("""
+, kept AS (SELECT * FROM tscore WHERE purchase IN (SELECT code FROM classes)),
+norm AS (
+  SELECT k.ncodpers, k.q, k.purchase, k.code,
+         k.score / CASE WHEN t.total = 0 THEN 1.0 ELSE t.total END AS score
+  FROM kept k JOIN (SELECT ncodpers, q, list_sum(list(score ORDER BY code)) AS total
+                    FROM kept GROUP BY ncodpers, q) t ON t.ncodpers = k.ncodpers AND t.q = k.q
+),
+mr AS (
+  SELECT code, cnt, tp,
+         coalesce(sum(cnt) OVER (PARTITION BY code ORDER BY score
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+           + (cnt + 1) / 2.0 AS mid
+  FROM (SELECT code, score, count(*) AS cnt, count(*) FILTER (WHERE purchase = code) AS tp
+        FROM norm GROUP BY code, score)
+),
+auc AS (
+  SELECT code, (sum(tp * mid) - sum(tp) * (sum(tp) + 1) / 2.0) / (sum(tp) * (sum(cnt) - sum(tp))) AS a
+  FROM mr GROUP BY code HAVING sum(tp) > 0
+)
+SELECT round(CASE WHEN (SELECT count(*) FROM auc) = 2
+                  THEN (SELECT a FROM auc ORDER BY code LIMIT 1 OFFSET 1)
+                  ELSE (SELECT avg(a) FROM auc) END, 9) AS roc_auc_ovr_macro""".replace(
+        "\n, kept", ",\nkept", 1)),
+    "j5_class_report": _e("SELECT class, support, predicted, tp, precision, recall, f1 FROM report_f1"),
+    "j2_classification_summary": _e("""
+SELECT sum(tp) / sum(support) AS accuracy,
+       round(avg(precision), 9) AS precision_macro, round(avg(recall), 9) AS recall_macro,
+       round(avg(f1), 9) AS f1_macro,
+       round(sum(precision * support) / sum(support), 9) AS precision_weighted,
+       round(sum(recall * support) / sum(support), 9) AS recall_weighted,
+       round(sum(f1 * support) / sum(support), 9) AS f1_weighted
+FROM report_f1"""),
+    "j3_per_class_pr_auc": _e("SELECT * FROM per_class"),
+    "j4_baseline_comparison": _e("""
+SELECT b.no_purchase_accuracy,
+       round((s.accuracy - b.no_purchase_accuracy) * 100, 9) AS accuracy_lift_pp,
+       b.product_classes_mean_pr_auc, b.product_classes_mean_random_pr_auc,
+       round(b.product_classes_mean_pr_auc / b.product_classes_mean_random_pr_auc, 6)
+         AS product_classes_pr_auc_lift
+FROM (SELECT max(share) FILTER (WHERE class = 0) AS no_purchase_accuracy,
+             round(avg(pr_auc) FILTER (WHERE class NOT IN (0, 99) AND support > 0), 9)
+               AS product_classes_mean_pr_auc,
+             round(avg(share) FILTER (WHERE class NOT IN (0, 99) AND support > 0), 9)
+               AS product_classes_mean_random_pr_auc
+      FROM per_class) b,
+     (SELECT sum(tp) / sum(support) AS accuracy FROM report_f1) s"""),
+})
