@@ -32,7 +32,8 @@ MIN_PURCHASE_SHARE = 0.01
 MAX_TARGET_PRODUCTS = 12
 MIN_CLASS_SUPPORT = 100
 
-_EMPTY_INT_ARRAY = F.array().cast("array<int>")
+def _empty_int_array() -> Column:
+    return F.array().cast("array<int>")
 
 
 def client_window():
@@ -53,8 +54,8 @@ def with_neighbours(panel: DataFrame) -> DataFrame:
 
 def new_codes(owned: Column, prev_owned: Column) -> Column:
     """Codes held now and not in the previous observed row (NULL prev = none)."""
-    return F.array_except(F.coalesce(owned, _EMPTY_INT_ARRAY),
-                          F.coalesce(prev_owned, _EMPTY_INT_ARRAY))
+    return F.array_except(F.coalesce(owned, _empty_int_array()),
+                          F.coalesce(prev_owned, _empty_int_array()))
 
 
 def purchase_events(panel: DataFrame) -> DataFrame:

@@ -191,3 +191,159 @@ def j4_baseline_comparison(spark, sf):
     per_class = R.per_class_curves(pred, "purchase", "scores", classes)
     summary = R.classification_summary(R.per_class_report(R.confusion(pred, "purchase", "pred")))
     return R.baseline_metrics(per_class, summary)
+
+
+# --- E / F / G / H: splits, preprocessing, features --------------------------
+
+from ..functions import features as H  # noqa: E402
+from ..functions import prep as G  # noqa: E402
+from ..operators import splits as S  # noqa: E402
+
+_PROFILE = ["ncodpers", "q", "age", "antiguedad", "renta"]
+
+
+def _fit_input(spark, sf):
+    train, test = D.prep_frames(spark, sf)
+    return train.drop(*D.FIT_DROP), test.drop(*D.FIT_DROP)
+
+
+@register("f1_coerce_numeric")
+def f1_coerce_numeric(spark, sf):
+    return G.coerce_numeric(D.panel(spark, sf).select(*_PROFILE))
+
+
+@register("f2_medians")
+def f2_medians(spark, sf):
+    train, _ = _fit_input(spark, sf)
+    df = G.coerce_numeric(train)
+    return df.agg(*[F.median(c).alias(f"median_{c}") for c in G.MEDIAN_COLUMNS])
+
+
+@register("f3_modes")
+def f3_modes(spark, sf):
+    train, _ = _fit_input(spark, sf)
+    cols = G.mode_columns(train)
+    row = train.agg(*[F.mode(c, True).cast("string").alias(c) for c in cols])
+    return row.unpivot([], cols, "column", "mode")
+
+
+@register("f5_total_products")
+def f5_total_products(spark, sf):
+    return D.panel(spark, sf).select("ncodpers", "q",
+                                     G.total_products().alias("total_products"))
+
+
+def _filled_train(spark, sf):
+    train, _ = _fit_input(spark, sf)
+    p = G.fit_params(train)
+    work = G.fill_missing(G.coerce_numeric(train), p.medians, p.modes)
+    return work.withColumn("total_products", G.total_products()), p
+
+
+@register("f6_age_intervals")
+def f6_age_intervals(spark, sf):
+    work, _ = _filled_train(spark, sf)
+    return G.age_intervals(work, 9)
+
+
+@register("f7_date_cohorts")
+def f7_date_cohorts(spark, sf):
+    _, p = _filled_train(spark, sf)
+    spec = p.date_cohorts["fecha_alta"]
+    rows = [(i, iv["left_days"], iv["right_days"], iv["label"])
+            for i, iv in enumerate(spec.get("intervals", []))]
+    return spark.createDataFrame(rows, "i int, left_days int, right_days int, label string")
+
+
+@register("f9_rare_values")
+def f9_rare_values(spark, sf):
+    work, p = _filled_train(spark, sf)
+    work = work.withColumn("fecha_alta",
+                           G.date_cohort_expr(F.col("fecha_alta"), p.date_cohorts["fecha_alta"]))
+    cols = [c for c in G.mode_columns(work) if c not in G.PRODUCTS]
+    return G.rare_values(work, cols, 0.01)
+
+
+@register("f10_clip_bounds")
+def f10_clip_bounds(spark, sf):
+    work, _ = _filled_train(spark, sf)
+    q = work.agg(*[F.percentile(c, [0.01, 0.96]).alias(c) for c in G.CLIP_COLUMNS])
+    return q.unpivot([], list(G.CLIP_COLUMNS), "column", "b").select(
+        "column", F.round(F.col("b")[0], 6).alias("lo"), F.round(F.col("b")[1], 6).alias("hi"))
+
+
+@register("f11_drift_reference")
+def f11_drift_reference(spark, sf):
+    _, p = _filled_train(spark, sf)
+    rows = []
+    for feat, ref in p.drift_reference.items():
+        for i, share in enumerate(ref["shares"]):
+            lo, hi = ref["edges"][i], ref["edges"][i + 1]
+            rows.append((feat, i, None if lo == float("-inf") else lo,
+                         None if hi == float("inf") else hi, round(share, 9)))
+    return spark.createDataFrame(rows, "feature string, bin int, lo double, hi double, share double")
+
+
+def _applied(spark, sf):
+    train, test = _fit_input(spark, sf)
+    p = G.fit_params(train)
+    return G.apply_params(test, p), p, train
+
+
+@register("g6_apply_preprocessing")
+def g6_apply_preprocessing(spark, sf):
+    out, _, _ = _applied(spark, sf)
+    return D.present(out.select("ncodpers", "q", "age", "age_interval", "fecha_alta",
+                                "antiguedad", "renta", "segmento", "pais_residencia",
+                                "canal_entrada", "total_products"))
+
+
+@register("h3_group_stats")
+def h3_group_stats(spark, sf):
+    out, _, train = _applied(spark, sf)
+    fitted = G.apply_params(train, G.fit_params(train))
+    return H.group_stats_table(fitted, "pais_residencia").select(
+        "pais_residencia", F.round("mean_renta_by_pais_residencia", 6).alias("mean_renta"),
+        F.col("median_antiguedad_by_pais_residencia").alias("median_antiguedad"))
+
+
+@register("h5_features")
+def h5_features(spark, sf):
+    out, _, train = _applied(spark, sf)
+    fitted = G.apply_params(train, G.fit_params(train))
+    aggs = H.fit_group_stats(fitted)
+    feats = H.add_features(out, aggs)
+    return feats.select("ncodpers", "q", *[F.round(c, 6).alias(c) for c in H.NUMERIC_FEATURES])
+
+
+@register("h8_quality_check")
+def h8_quality_check(spark, sf):
+    out, _, train = _applied(spark, sf)
+    fitted = G.apply_params(train, G.fit_params(train))
+    feats = H.add_features(out, H.fit_group_stats(fitted))
+    return H.quality_check(feats, H.NUMERIC_FEATURES)
+
+
+@register("e1_calendar_split")
+def e1_calendar_split(spark, sf):
+    frame, _ = D.modelling_frame(spark, sf)
+    return D.present(frame.groupBy("split").agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("ncodpers").alias("clients"),
+        F.min("snapshot_date").alias("first_snapshot"),
+        F.max("snapshot_date").alias("last_snapshot")))
+
+
+@register("e2_cohort_split")
+def e2_cohort_split(spark, sf):
+    frame, _ = D.modelling_frame(spark, sf)
+    flagged, cutoff = S.temporal_split(frame, "fecha_alta", 0.3)
+    return flagged.groupBy("part").agg(F.count(F.lit(1)).alias("rows")).select(
+        F.lit(cutoff.isoformat()).alias("cutoff"), "part", "rows")
+
+
+@register("e3_stratified_sample")
+def e3_stratified_sample(spark, sf):
+    frame, _ = D.modelling_frame(spark, sf)
+    train = frame.filter(F.col("split") == "train")
+    sample = S.stratified_sample(train, "purchase", ["ncodpers", "q"], 0.15, seed=42)
+    return sample.groupBy("purchase").agg(F.count(F.lit(1)).alias("n"))

@@ -92,3 +92,16 @@ def evaluation(spark: SparkSession, sf_dir: str):
     candidates = [c for c in shortlist_codes if c in set(classes)]
     scores = F.array(*[hashed_score("ncodpers", "q", c) for c in classes]).alias("scores")
     return test.select("ncodpers", "q", "purchase", scores), train, classes, candidates
+
+
+# --- preprocessing fixtures ---------------------------------------------------
+
+FIT_DROP = ["purchase", "snapshot_date", "target_date", "split", "owned"]
+
+
+def prep_frames(spark: SparkSession, sf_dir: str):
+    """(train, test) rows of the modelling frame with panel columns only."""
+    frame, _ = modelling_frame(spark, sf_dir)
+    train = frame.filter(F.col("split") == "train")
+    test = frame.filter(F.col("split") == "test")
+    return train, test

@@ -306,3 +306,195 @@ FROM (SELECT max(share) FILTER (WHERE class = 0) AS no_purchase_accuracy,
       FROM per_class) b,
      (SELECT sum(tp) / sum(support) AS accuracy FROM report_f1) s"""),
 })
+
+
+# --- E / F / G / H twins -----------------------------------------------------
+
+_FLAG_SUM = " + ".join(PRODUCTS)
+_MODE_COLS = ["fecha_alta", "segmento", "pais_residencia", "canal_entrada", *PRODUCTS]
+
+PREP = f""",
+ftrain AS (SELECT * FROM frame WHERE split = 'train'),
+ftest AS (SELECT * FROM frame WHERE split = 'test'),
+ctrain AS (SELECT * REPLACE (CASE WHEN antiguedad = -999999 THEN NULL ELSE antiguedad END AS antiguedad)
+           FROM ftrain),
+med AS (SELECT quantile_cont(age, 0.5) AS ma, quantile_cont(antiguedad, 0.5) AS mt,
+               quantile_cont(renta, 0.5) AS mr FROM ctrain),
+work AS (
+  SELECT c.* REPLACE (coalesce(c.age, m.ma) AS age, coalesce(c.antiguedad, m.mt) AS antiguedad,
+                      coalesce(c.renta, m.mr) AS renta),
+         CAST({_FLAG_SUM} AS DOUBLE) AS total_products
+  FROM ctrain c CROSS JOIN med m
+),
+ah AS (SELECT age, sum(total_products) AS tp FROM work GROUP BY age),
+ac AS (SELECT age, sum(tp) OVER (ORDER BY age) AS cum, sum(tp) OVER () AS total,
+              min(age) OVER () AS amin, max(age) OVER () AS amax FROM ah),
+up AS (SELECT i, coalesce(min(age) FILTER (WHERE cum > i * total / 9), max(amax)) AS upper,
+              max(amin) AS amin, max(amax) AS amax
+       FROM ac CROSS JOIN (SELECT range AS i FROM range(1, 9)) r GROUP BY i),
+ivs AS (
+  SELECT CAST(i AS INTEGER) AS i, CAST(lo AS INTEGER) AS lo, CAST(hi AS INTEGER) AS hi FROM (
+    SELECT i, coalesce(lag(upper) OVER (ORDER BY i) + 1, amin) AS lo, upper AS hi FROM up
+    UNION ALL
+    SELECT 9, (SELECT upper FROM up WHERE i = 8) + 1, (SELECT max(amax) FROM up))
+),
+iv_edges AS (
+  SELECT i, lo, hi, lo || '-' || hi AS label,
+         coalesce(lead(lo) OVER (ORDER BY i), hi) AS edge,
+         min(lo) OVER () AS bmin, max(hi) OVER () AS bmax
+  FROM ivs
+),
+dbase AS (SELECT min(fecha_alta) AS base FROM work),
+wdays AS (SELECT CAST(w.fecha_alta - b.base AS BIGINT) AS d FROM work w CROSS JOIN dbase b),
+sd AS (SELECT list_sort(list(d)) AS v, count(*) AS nn, least(12, count(DISTINCT d)) AS nq FROM wdays),
+qpos AS (SELECT i, (nn - 1) * (i / nq) AS pos, v, nn FROM sd
+         CROSS JOIN (SELECT range AS i FROM range(0, 13)) r WHERE i <= nq),
+qedge AS (
+  SELECT DISTINCT CASE WHEN floor(pos) = ceil(pos) THEN CAST(v[CAST(floor(pos) AS BIGINT) + 1] AS DOUBLE)
+         ELSE (ceil(pos) - pos) * v[CAST(floor(pos) AS BIGINT) + 1]
+              + (pos - floor(pos)) * v[CAST(ceil(pos) AS BIGINT) + 1] END AS e
+  FROM qpos
+),
+qe AS (SELECT e, row_number() OVER (ORDER BY e) - 1 AS j, count(*) OVER () AS ne FROM qedge),
+wbin AS (SELECT d, (SELECT count(*) FROM qe WHERE j >= 1 AND e < d) AS b FROM wdays),
+bins_obs AS (SELECT b, min(d) AS l, max(d) AS r FROM wbin GROUP BY b),
+cohort AS (
+  SELECT row_number() OVER (ORDER BY o.b) - 1 AS i,
+         o.b, o.r AS right_days,
+         strftime((SELECT base FROM dbase) + CAST(round_even(a.e, 0) - CASE WHEN o.b = 0 THEN 1 ELSE 0 END AS INTEGER), '%Y-%m-%d')
+         || ' – ' ||
+         strftime((SELECT base FROM dbase) + CAST(round_even(z.e, 0) AS INTEGER), '%Y-%m-%d') AS label
+  FROM bins_obs o JOIN qe a ON a.j = o.b JOIN qe z ON z.j = o.b + 1
+),
+cohort_spec AS (
+  SELECT CAST(i AS INTEGER) AS i,
+         CAST(coalesce(lag(right_days) OVER (ORDER BY i),
+                       (SELECT l FROM bins_obs ORDER BY b LIMIT 1) - 1) AS INTEGER) AS left_days,
+         CAST(right_days AS INTEGER) AS right_days, label
+  FROM cohort
+),
+clip AS (SELECT quantile_cont(renta, 0.01) AS rlo, quantile_cont(renta, 0.96) AS rhi,
+                quantile_cont(antiguedad, 0.01) AS tlo, quantile_cont(antiguedad, 0.96) AS thi FROM work),
+ctest AS (SELECT * REPLACE (CASE WHEN antiguedad = -999999 THEN NULL ELSE antiguedad END AS antiguedad)
+          FROM ftest),
+applied AS (
+  SELECT t.ncodpers, t.q,
+         coalesce(t.age, m.ma) AS age,
+         (SELECT label FROM iv_edges e
+          WHERE greatest(least(coalesce(t.age, m.ma), e.bmax), e.bmin) <= e.edge
+          ORDER BY e.i LIMIT 1) AS age_interval,
+         coalesce((SELECT s.label FROM cohort_spec s
+                   WHERE CAST(t.fecha_alta - (SELECT base FROM dbase) AS BIGINT) > s.left_days
+                     AND CAST(t.fecha_alta - (SELECT base FROM dbase) AS BIGINT) <= s.right_days),
+                  'unknown') AS fecha_alta,
+         CASE WHEN coalesce(t.antiguedad, m.mt) < c.tlo THEN c.tlo
+              WHEN coalesce(t.antiguedad, m.mt) > c.thi THEN c.thi
+              ELSE coalesce(t.antiguedad, m.mt) END AS antiguedad,
+         CASE WHEN coalesce(t.renta, m.mr) < c.rlo THEN c.rlo
+              WHEN coalesce(t.renta, m.mr) > c.rhi THEN c.rhi
+              ELSE coalesce(t.renta, m.mr) END AS renta,
+         t.segmento, t.pais_residencia, t.canal_entrada,
+         CAST({_FLAG_SUM} AS DOUBLE) AS total_products
+  FROM ctest t CROSS JOIN med m CROSS JOIN clip c
+),
+applied_train AS (
+  SELECT w.pais_residencia, w.segmento,
+         CASE WHEN w.antiguedad < c.tlo THEN c.tlo WHEN w.antiguedad > c.thi THEN c.thi
+              ELSE w.antiguedad END AS antiguedad,
+         CASE WHEN w.renta < c.rlo THEN c.rlo WHEN w.renta > c.rhi THEN c.rhi ELSE w.renta END AS renta
+  FROM work w CROSS JOIN clip c
+)"""
+
+
+def _p(body: str) -> str:
+    return "WITH " + BASE + PREP + "\n" + body
+
+
+_MODES_SQL = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", (SELECT CAST(v AS VARCHAR) FROM (SELECT {c} AS v, count(*) AS n "
+    f"FROM ftrain WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY n DESC, v ASC LIMIT 1)) AS mode"
+    for c in _MODE_COLS)
+
+
+def _ln(x: str) -> str:
+    return f"CASE WHEN {x} > 0 THEN ln({x}) ELSE 0.0 END"
+
+
+def _sq(x: str) -> str:
+    return f"CASE WHEN {x} >= 0 THEN sqrt({x}) ELSE 0.0 END"
+
+
+def _dv(a: str, b: str) -> str:
+    return f"CASE WHEN {b} = 0 OR {b} IS NULL THEN 0.0 ELSE {a} / {b} END"
+
+
+_FEATURES_SQL = f"""
+, gstat AS (SELECT pais_residencia AS k, avg(renta) AS mr FROM applied_train GROUP BY 1),
+gdef AS (SELECT avg(renta) AS mr FROM applied_train),
+feat AS (
+  SELECT a.ncodpers, a.q, a.antiguedad AS t, a.renta AS r,
+         coalesce(g.mr, (SELECT mr FROM gdef)) AS cm
+  FROM applied a LEFT JOIN gstat g ON g.k = a.pais_residencia
+)
+SELECT ncodpers, q, round(t, 6) AS antiguedad, round(r, 6) AS renta,
+       round(t + r, 6) AS antiguedad_plus_renta,
+       round({_dv('t', 'r')}, 6) AS antiguedad_div_renta,
+       round({_dv('r', 't')}, 6) AS renta_div_antiguedad,
+       round(t * r, 6) AS antiguedad_times_renta,
+       round({_ln('t')}, 6) AS ln_antiguedad, round({_ln('r')}, 6) AS ln_renta,
+       round({_sq('t')}, 6) AS sqrt_antiguedad, round({_sq('r')}, 6) AS sqrt_renta,
+       round({_dv('r', '(t + 1)')}, 6) AS renta_antiguedad_ratio,
+       round(CASE WHEN r > -1 THEN ln(1 + r) ELSE 0.0 END, 6) AS log_renta,
+       round({_dv('r', 'cm')}, 6) AS renta_vs_country_mean
+FROM feat"""
+
+ORACLES.update({
+    "f1_coerce_numeric": _q(
+        "SELECT ncodpers, q, age, CASE WHEN antiguedad = -999999 THEN NULL ELSE antiguedad END "
+        "AS antiguedad, renta FROM panel"),
+    "f2_medians": _p("SELECT ma AS median_age, mt AS median_antiguedad, mr AS median_renta FROM med"),
+    "f3_modes": _p(_MODES_SQL),
+    "f5_total_products": _q(f"SELECT ncodpers, q, CAST({_FLAG_SUM} AS DOUBLE) AS total_products FROM panel"),
+    "f6_age_intervals": _p("SELECT i, lo, hi FROM ivs"),
+    "f7_date_cohorts": _p("SELECT i, left_days, right_days, label FROM cohort_spec"),
+    "f9_rare_values": _p("""
+SELECT "column", value, share FROM (
+  SELECT "column", value, count(*) / sum(count(*)) OVER (PARTITION BY "column") AS share FROM (
+    SELECT 'segmento' AS "column", coalesce(segmento, 'nan') AS value FROM work
+    UNION ALL SELECT 'pais_residencia', coalesce(pais_residencia, 'nan') FROM work
+    UNION ALL SELECT 'canal_entrada', coalesce(canal_entrada, 'nan') FROM work
+    UNION ALL SELECT 'fecha_alta', coalesce((SELECT s.label FROM cohort_spec s
+        WHERE CAST(w.fecha_alta - (SELECT base FROM dbase) AS BIGINT) > s.left_days
+          AND CAST(w.fecha_alta - (SELECT base FROM dbase) AS BIGINT) <= s.right_days), 'unknown')
+      FROM work w)
+  GROUP BY 1, 2) WHERE share < 0.01"""),
+    "f10_clip_bounds": _p(
+        "SELECT 'renta' AS \"column\", round(rlo, 6) AS lo, round(rhi, 6) AS hi FROM clip "
+        "UNION ALL SELECT 'antiguedad', round(tlo, 6), round(thi, 6) FROM clip"),
+    "g6_apply_preprocessing": _p(
+        "SELECT ncodpers, q, age, age_interval, fecha_alta, antiguedad, renta, segmento, "
+        "pais_residencia, canal_entrada, total_products FROM applied"),
+    "h3_group_stats": _p(
+        "SELECT pais_residencia, round(avg(renta), 6) AS mean_renta, "
+        "quantile_cont(antiguedad, 0.5) AS median_antiguedad FROM applied_train GROUP BY 1"),
+    "h5_features": _p(_FEATURES_SQL.replace("\n, gstat", ",\ngstat", 1)),
+    "h8_quality_check": _p(
+        "SELECT " + ", ".join(f"CAST(0 AS BIGINT) AS {c}" for c in [
+            "antiguedad", "renta", "antiguedad_plus_renta", "antiguedad_div_renta",
+            "renta_div_antiguedad", "antiguedad_times_renta", "ln_antiguedad", "ln_renta",
+            "sqrt_antiguedad", "sqrt_renta", "renta_antiguedad_ratio", "log_renta",
+            "renta_vs_country_mean"]) + " FROM (SELECT count(*) FROM applied)"),
+    "e1_calendar_split": _q(
+        "SELECT split, count(*) AS rows, count(DISTINCT ncodpers) AS clients, "
+        "CAST(min(snapshot_date) AS VARCHAR) AS first_snapshot, "
+        "CAST(max(snapshot_date) AS VARCHAR) AS last_snapshot FROM frame GROUP BY split"),
+    "e2_cohort_split": _q("""
+, cut AS (SELECT DATE '1970-01-01' + CAST(floor(quantile_cont(CAST(fecha_alta - DATE '1970-01-01' AS BIGINT), 0.7)) AS INTEGER) AS c FROM frame)
+SELECT CAST((SELECT c FROM cut) AS VARCHAR) AS cutoff,
+       CASE WHEN fecha_alta > (SELECT c FROM cut) THEN 'test' ELSE 'train' END AS part,
+       count(*) AS rows
+FROM frame GROUP BY 2""".replace("\n, cut", ",\ncut", 1)),
+    "e3_stratified_sample": _q("""
+SELECT purchase, CAST(greatest(round_even(count(*) * 0.15, 0), least(count(*), 50)) AS BIGINT) AS n
+FROM frame WHERE split = 'train' GROUP BY purchase"""),
+})
