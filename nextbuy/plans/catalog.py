@@ -347,3 +347,101 @@ def e3_stratified_sample(spark, sf):
     train = frame.filter(F.col("split") == "train")
     sample = S.stratified_sample(train, "purchase", ["ncodpers", "q"], 0.15, seed=42)
     return sample.groupBy("purchase").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- B: profiling ----------------------------------------------------------------
+
+from ..operators import profile as B  # noqa: E402
+
+_SLICE_DATE = "1999-10-01"  # last train snapshot, used by the one-snapshot reports
+
+
+@register("b1_null_share")
+def b1_null_share(spark, sf):
+    return B.null_shares(D.panel(spark, sf).select(*PANEL_COLUMNS)).select(
+        "column", F.round("null_share", 9).alias("null_share"))
+
+
+@register("b2_date_range")
+def b2_date_range(spark, sf):
+    return D.present(B.date_range(D.panel(spark, sf), "fecha_alta"))
+
+
+@register("b3_monthly_counts")
+def b3_monthly_counts(spark, sf):
+    return D.present(B.monthly_counts(D.panel(spark, sf), "fecha_alta"))
+
+
+@register("b4_numeric_summary")
+def b4_numeric_summary(spark, sf):
+    return B.numeric_summary(D.panel(spark, sf), ["age", "antiguedad", "renta"])
+
+
+@register("b5_histogram")
+def b5_histogram(spark, sf):
+    return B.histogram(D.panel(spark, sf), "renta", 10)
+
+
+@register("b6_penetration")
+def b6_penetration(spark, sf):
+    return B.penetration(D.panel(spark, sf))
+
+
+@register("b7_penetration_selection")
+def b7_penetration_selection(spark, sf):
+    p = B.penetration(D.panel(spark, sf))
+    return p.select("product", "penetration", (F.col("penetration") > 5.0).alias("selected"),
+                    (F.col("penetration") < 0.25).alias("outsider"))
+
+
+@register("b8_penetration_by_segment")
+def b8_penetration_by_segment(spark, sf):
+    pnl = D.panel(spark, sf).filter(F.col("fecha_dato") == F.lit(_SLICE_DATE).cast("date"))
+    return B.penetration_by(pnl, "segmento")
+
+
+@register("b8_penetration_by_snapshot")
+def b8_penetration_by_snapshot(spark, sf):
+    return D.present(B.penetration_by(D.panel(spark, sf), "fecha_dato"))
+
+
+@register("b9_value_shares")
+def b9_value_shares(spark, sf):
+    pnl = D.panel(spark, sf).filter(F.col("fecha_dato") == F.lit(_SLICE_DATE).cast("date"))
+    cols = [c for c in PANEL_COLUMNS if c not in ("ncodpers",)]
+    return B.value_shares(pnl, cols)
+
+
+@register("b10_exact_duplicates")
+def b10_exact_duplicates(spark, sf):
+    return B.exact_duplicates(D.panel(spark, sf).select(*[c for c in PANEL_COLUMNS
+                                                          if c not in ("ncodpers", "q")]))
+
+
+@register("b11_functional_dependency")
+def b11_functional_dependency(spark, sf):
+    return B.dependency_violations(D.panel(spark, sf), "ncodpers", "segmento")
+
+
+@register("b13_active_periods")
+def b13_active_periods(spark, sf):
+    return D.present(B.active_periods(D.panel(spark, sf)))
+
+
+@register("b15_snapshot_slice")
+def b15_snapshot_slice(spark, sf):
+    pnl = D.panel(spark, sf).filter(F.col("fecha_dato") == F.lit(_SLICE_DATE).cast("date"))
+    return D.present(pnl.select(*PANEL_COLUMNS))
+
+
+@register("b16_panel_volume")
+def b16_panel_volume(spark, sf):
+    pnl = D.panel(spark, sf)
+    return B.panel_volume(pnl.select(*PANEL_COLUMNS), P.purchase_events(pnl))
+
+
+@register("b17_column_dictionary")
+def b17_column_dictionary(spark, sf):
+    shares = B.null_shares(D.panel(spark, sf).select(*PANEL_COLUMNS))
+    return B.column_dictionary(spark).join(F.broadcast(shares), "column", "left").select(
+        "column", "label", F.round(F.coalesce("null_share", F.lit(0.0)), 9).alias("null_share"))

@@ -498,3 +498,101 @@ FROM frame GROUP BY 2""".replace("\n, cut", ",\ncut", 1)),
 SELECT purchase, CAST(greatest(round_even(count(*) * 0.15, 0), least(count(*), 50)) AS BIGINT) AS n
 FROM frame WHERE split = 'train' GROUP BY purchase"""),
 })
+
+
+# --- B twins -------------------------------------------------------------------
+
+_SLICE = "DATE '1999-10-01'"
+
+
+def _null_union() -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS \"column\", avg(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS s FROM panel"
+        for c in PANEL_COLUMNS)
+
+
+def _summary(c: str) -> str:
+    return f"""
+SELECT '{c}' AS "column", count(DISTINCT {c}) AS n_unique, count(*) FILTER (WHERE {c} IS NULL) AS nulls,
+  round(avg({c}), 6) AS mean,
+  round(avg(power({c} - (SELECT avg({c}) FROM panel), 3)) /
+        power(avg(power({c} - (SELECT avg({c}) FROM panel), 2)), 1.5), 6) AS skew,
+  round(kurtosis_pop({c}), 6) AS kurt, count({c}) AS count, round(stddev_samp({c}), 6) AS std,
+  min({c}) AS min, round(quantile_cont({c}, 0.25), 6) AS p25, round(quantile_cont({c}, 0.5), 6) AS p50,
+  round(quantile_cont({c}, 0.75), 6) AS p75, round(quantile_cont({c}, 0.95), 6) AS p95,
+  round(quantile_cont({c}, 0.99), 6) AS p99, max({c}) AS max
+FROM panel"""
+
+
+_PEN = "\nUNION ALL\n".join(
+    f"SELECT '{p}' AS product, avg(CAST({p} AS DOUBLE)) * 100 AS pen FROM panel" for p in PRODUCTS)
+
+
+def _pen_by(by: str, where: str = "") -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT {by}, '{p}' AS product, round(avg(CAST({p} AS DOUBLE)) * 100, 6) AS penetration "
+        f"FROM panel {where} GROUP BY {by}" for p in PRODUCTS)
+
+
+_VS_COLS = [c for c in PANEL_COLUMNS if c != "ncodpers"]
+_VS = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value FROM panel WHERE fecha_dato = {_SLICE}"
+    for c in _VS_COLS)
+_DUP_COLS = ", ".join(c for c in PANEL_COLUMNS if c not in ("ncodpers", "q"))
+_LABELS_SQL = " UNION ALL ".join(
+    f"SELECT '{k}' AS \"column\", '{v}' AS label" for k, v in {
+        "ncodpers": "client id", "fecha_dato": "snapshot date",
+        "q": "snapshot index (quarters since 1995)", "age": "age",
+        "fecha_alta": "date of the first contract", "antiguedad": "tenure in months",
+        "renta": "household income", "segmento": "client segment",
+        "pais_residencia": "country of residence", "canal_entrada": "acquisition channel",
+        **{p: f"owns product {p[-2:]}" for p in PRODUCTS}}.items())
+
+ORACLES.update({
+    "b1_null_share": _q(f"SELECT \"column\", round(s, 9) AS null_share FROM ({_null_union()}) WHERE s > 0"),
+    "b2_date_range": _q(
+        "SELECT 'fecha_alta' AS \"column\", CAST(min(fecha_alta) AS VARCHAR) AS min_date, "
+        "CAST(max(fecha_alta) AS VARCHAR) AS max_date, count(*) FILTER (WHERE fecha_alta IS NULL) AS nulls, "
+        "avg(CASE WHEN fecha_alta IS NULL THEN 1 ELSE 0 END) AS null_share FROM panel"),
+    "b3_monthly_counts": _q(
+        "SELECT CAST(date_trunc('month', fecha_alta) AS DATE)::VARCHAR AS month, count(*) AS n "
+        "FROM panel GROUP BY 1"),
+    "b4_numeric_summary": _q("\nUNION ALL\n".join(_summary(c) for c in ("age", "antiguedad", "renta"))),
+    "b5_histogram": _q("""
+, mm AS (SELECT min(renta) AS mn, max(renta) AS mx, (max(renta) - min(renta)) / 10 AS w FROM panel)
+SELECT 'renta' AS "column", CAST(bin AS INTEGER) AS bin, round(mn + bin * w, 6) AS lo,
+       round(mn + (bin + 1) * w, 6) AS hi, count(*) AS n
+FROM (SELECT least(floor((renta - mn) / w), 9) AS bin, mn, w FROM panel CROSS JOIN mm
+      WHERE renta IS NOT NULL)
+GROUP BY bin, mn, w""".replace("\n, mm", ",\nmm", 1)),
+    "b6_penetration": _q(f"SELECT product, round(pen, 6) AS penetration, pen < 1.0 AS below_1pct FROM ({_PEN})"),
+    "b7_penetration_selection": _q(
+        f"SELECT product, round(pen, 6) AS penetration, round(pen, 6) > 5.0 AS selected, "
+        f"round(pen, 6) < 0.25 AS outsider FROM ({_PEN})"),
+    "b8_penetration_by_segment": _q(_pen_by("segmento", f"WHERE fecha_dato = {_SLICE}")),
+    "b8_penetration_by_snapshot": _q(
+        f"SELECT CAST(fecha_dato AS VARCHAR) AS fecha_dato, product, penetration FROM ({_pen_by('fecha_dato')})"),
+    "b9_value_shares": _q(f"""
+SELECT "column", value, count(*) AS n, count(*) / sum(count(*)) OVER (PARTITION BY "column") AS share
+FROM ({_VS}) GROUP BY 1, 2"""),
+    "b10_exact_duplicates": _q(
+        f"SELECT count(*) AS rows, (SELECT count(*) FROM (SELECT DISTINCT {_DUP_COLS} FROM panel)) AS distinct_rows, "
+        f"count(*) - (SELECT count(*) FROM (SELECT DISTINCT {_DUP_COLS} FROM panel)) AS duplicates FROM panel"),
+    "b11_functional_dependency": _q("""
+SELECT 'ncodpers->segmento' AS direction, count(*) AS violations FROM (
+  SELECT ncodpers FROM panel GROUP BY 1 HAVING count(DISTINCT segmento) > 1)
+UNION ALL
+SELECT 'segmento->ncodpers', count(*) FROM (
+  SELECT segmento FROM panel GROUP BY 1 HAVING count(DISTINCT ncodpers) > 1)"""),
+    "b13_active_periods": _q(
+        "SELECT ncodpers, code, CAST(min(fecha_dato) AS VARCHAR) AS start, "
+        "CAST(max(fecha_dato) AS VARCHAR) AS \"end\" FROM (SELECT ncodpers, fecha_dato, unnest(owned) AS code FROM panel) "
+        "GROUP BY 1, 2"),
+    "b15_snapshot_slice": _q(f"SELECT {_PANEL_SELECT} FROM panel WHERE fecha_dato = {_SLICE}"),
+    "b16_panel_volume": _q(
+        f"SELECT count(*) AS rows, {len(PANEL_COLUMNS)} AS columns, count(DISTINCT fecha_dato) AS snapshots, "
+        "count(DISTINCT ncodpers) AS clients, (SELECT count(DISTINCT ncodpers) FROM events) AS event_clients FROM panel"),
+    "b17_column_dictionary": _q(f"""
+SELECT l."column", l.label, round(coalesce(n.s, 0.0), 9) AS null_share
+FROM ({_LABELS_SQL}) l LEFT JOIN (SELECT * FROM ({_null_union()}) WHERE s > 0) n ON n."column" = l."column\""""),
+})
