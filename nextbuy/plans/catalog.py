@@ -445,3 +445,82 @@ def b17_column_dictionary(spark, sf):
     shares = B.null_shares(D.panel(spark, sf).select(*PANEL_COLUMNS))
     return B.column_dictionary(spark).join(F.broadcast(shares), "column", "left").select(
         "column", "label", F.round(F.coalesce("null_share", F.lit(0.0)), 9).alias("null_share"))
+
+
+# --- K: drift and service metrics over the events log -------------------------
+
+from ..functions import drift as K  # noqa: E402
+from ..sources.tables import table  # noqa: E402
+
+
+def _events(spark, sf):
+    return table(spark, sf, "events", "event_id", "ts", "event_type", "value", "props")
+
+
+def _drift_inputs(spark, sf):
+    """(observations after the reference period, fitted drift reference)."""
+    obs = K.observations(_events(spark, sf))
+    ref_rows = obs.filter(F.col("ts") < F.lit(K.REFERENCE_END))
+    wide = ref_rows.groupBy("event_id").pivot("feature", list(K.DRIFT_FEATURES)).agg(
+        F.first("value"))
+    reference = G.drift_reference(wide, K.DRIFT_FEATURES, 10)
+    return obs.filter(F.col("ts") >= F.lit(K.REFERENCE_END)), reference
+
+
+@register("k1_psi")
+def k1_psi(spark, sf):
+    obs, ref = _drift_inputs(spark, sf)
+    psi = K.psi_from_counts(K.observed_counts(obs, ref), ref)
+    return psi.select("feature", F.round("psi", 9).alias("psi"), "samples")
+
+
+@register("k2_valid_observations")
+def k2_valid_observations(spark, sf):
+    obs = K.observations(_events(spark, sf))
+    per = obs.groupBy("feature").agg(F.count(F.lit(1)).alias("n"))
+    tot = obs.select("event_id").distinct().agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("observed_total").alias("feature"), "n")
+    return per.unionByName(tot)
+
+
+@register("k3_window_psi")
+def k3_window_psi(spark, sf):
+    obs, ref = _drift_inputs(spark, sf)
+    return K.window_psi(obs, ref)
+
+
+@register("k4_drift_report")
+def k4_drift_report(spark, sf):
+    obs, ref = _drift_inputs(spark, sf)
+    return K.drift_report(K.window_psi(obs, ref))
+
+
+@register("k5_drift_alert")
+def k5_drift_alert(spark, sf):
+    obs, ref = _drift_inputs(spark, sf)
+    return D.present(K.drift_alert(K.psi_by_time_window(obs, ref)))
+
+
+@register("k6_request_counters")
+def k6_request_counters(spark, sf):
+    return D.present(K.request_counters(K.request_log(_events(spark, sf))))
+
+
+@register("k7_latency_p95")
+def k7_latency_p95(spark, sf):
+    return D.present(K.latency_p95(K.request_log(_events(spark, sf))))
+
+
+@register("k8_error_rate")
+def k8_error_rate(spark, sf):
+    return D.present(K.error_rate(K.request_log(_events(spark, sf))))
+
+
+@register("k9_slo_report")
+def k9_slo_report(spark, sf):
+    return K.slo_report(K.request_log(_events(spark, sf)))
+
+
+@register("k9_error_distribution")
+def k9_error_distribution(spark, sf):
+    return K.error_distribution(K.request_log(_events(spark, sf)))

@@ -53,7 +53,7 @@ def present(df: DataFrame) -> DataFrame:
     """Dates as ISO text for reports, so every engine prints them alike."""
     cols = []
     for f in df.schema.fields:
-        if f.dataType.typeName() == "date":
+        if f.dataType.typeName() in ("date", "timestamp", "timestamp_ntz"):
             cols.append(F.col(f.name).cast("string").alias(f.name))
         else:
             cols.append(F.col(f.name))

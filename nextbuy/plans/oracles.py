@@ -596,3 +596,124 @@ SELECT 'segmento->ncodpers', count(*) FROM (
 SELECT l."column", l.label, round(coalesce(n.s, 0.0), 9) AS null_share
 FROM ({_LABELS_SQL}) l LEFT JOIN (SELECT * FROM ({_null_union()}) WHERE s > 0) n ON n."column" = l."column\""""),
 })
+
+
+# --- K twins ---------------------------------------------------------------------
+
+_REF_END = "TIMESTAMP '2024-01-16 00:00:00'"
+_DECILES = "[" + ", ".join(str(i / 10) for i in range(11)) + "]"
+
+DRIFT = f"""
+obs AS (
+  SELECT event_id, ts, feature, v FROM (
+    SELECT event_id, ts, 'value' AS feature, CAST(value AS DOUBLE) AS v FROM events
+    UNION ALL
+    SELECT event_id, ts, 'k', TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) FROM events)
+  WHERE v IS NOT NULL AND isfinite(v)
+),
+refv AS (
+  SELECT feature, list_sort(list_distinct(quantile_cont(v, {_DECILES}))) AS e
+  FROM obs WHERE ts < {_REF_END} GROUP BY feature
+  HAVING count(DISTINCT v) >= 2 AND len(list_distinct(quantile_cont(v, {_DECILES}))) >= 3
+),
+binned AS (
+  SELECT o.event_id, o.ts, o.feature, o.v, len(list_filter(r.e[2:len(r.e) - 1], lambda x: x <= o.v)) AS bin
+  FROM obs o JOIN refv r ON r.feature = o.feature
+),
+refs AS (
+  SELECT feature, bin, count(*) / sum(count(*)) OVER (PARTITION BY feature) AS share
+  FROM binned WHERE ts < {_REF_END} GROUP BY feature, bin
+),
+allbins AS (SELECT feature, CAST(unnest(range(0, len(e) - 1)) AS INTEGER) AS bin FROM refv),
+later AS (SELECT * FROM binned WHERE ts >= {_REF_END})"""
+
+
+def _psi_sql(src: str, keys: str = "") -> str:
+    """PSI per (keys, feature) of binned rows in ``src`` (columns keys..., feature, bin)."""
+    k = (keys + ", ") if keys else ""
+    kj = " AND ".join(f"g.{x.strip()} = c.{x.strip()}" for x in keys.split(",")) if keys else ""
+    return f"""
+SELECT {k}feature, sum((r - o) * ln(r / o)) AS psi, sum(n) AS samples FROM (
+  SELECT {k}feature, n, r / sum(r) OVER (PARTITION BY {k}feature) AS r,
+         o / sum(o) OVER (PARTITION BY {k}feature) AS o FROM (
+    SELECT {', '.join('g.' + x.strip() for x in keys.split(',')) + ', ' if keys else ''}g.feature, g.bin,
+           coalesce(c.n, 0) AS n, greatest(coalesce(rs.share, 0), 0.001) AS r,
+           greatest(coalesce(c.n, 0) / sum(coalesce(c.n, 0)) OVER (PARTITION BY {', '.join('g.' + x.strip() for x in keys.split(',')) + ', ' if keys else ''}g.feature), 0.001) AS o
+    FROM (SELECT DISTINCT {k}s.feature, a.bin FROM {src} s JOIN allbins a ON a.feature = s.feature) g
+    LEFT JOIN (SELECT {k}feature, bin, count(*) AS n FROM {src} GROUP BY ALL) c
+      ON c.feature = g.feature AND c.bin = g.bin {('AND ' + kj) if kj else ''}
+    LEFT JOIN refs rs ON rs.feature = g.feature AND rs.bin = g.bin))
+GROUP BY ALL"""
+
+
+def _k(body: str) -> str:
+    return "WITH " + DRIFT + "\n" + body
+
+
+_LASTN = """, lastn AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY ts DESC, event_id DESC) AS rn
+                 FROM later) WHERE rn <= 2000),
+win AS (
+  SELECT f.feature, coalesce(p.samples, 0) AS samples,
+         CASE WHEN coalesce(p.samples, 0) >= 200 THEN round(p.psi, 9) END AS psi,
+         CASE WHEN coalesce(p.samples, 0) < 200 THEN 'collecting'
+              WHEN p.psi >= 0.25 THEN 'significant' WHEN p.psi >= 0.1 THEN 'moderate'
+              ELSE 'ok' END AS status
+  FROM refv f LEFT JOIN (""" + _psi_sql("lastn") + """) p ON p.feature = f.feature)"""
+
+_LOG = """
+log AS (
+  SELECT event_id, ts, event_type AS endpoint, CASE WHEN event_type = 'error' THEN 500 ELSE 200 END AS status,
+         value AS latency_ms, event_type <> 'error' AS success,
+         CASE WHEN event_type = 'error' THEN 'HTTP 500' END AS error
+  FROM events
+),
+slide AS (
+  SELECT time_bucket(INTERVAL '1 minute', ts) - i * INTERVAL '1 minute' AS window_start, *
+  FROM log CROSS JOIN (SELECT range AS i FROM range(0, 5)) r
+)"""
+
+ORACLES.update({
+    "k1_psi": _k("SELECT feature, round(psi, 9) AS psi, samples FROM (" + _psi_sql("later") + ")"),
+    "k2_valid_observations": _k(
+        "SELECT feature, count(*) AS n FROM obs GROUP BY feature "
+        "UNION ALL SELECT 'observed_total', count(DISTINCT event_id) FROM obs"),
+    "k3_window_psi": _k(_LASTN.replace(", lastn AS", ",\nlastn AS", 1)
+                        + "\nSELECT feature, samples, psi, status FROM win"),
+    "k4_drift_report": _k(_LASTN.replace(", lastn AS", ",\nlastn AS", 1) + """
+SELECT CASE WHEN count(*) = 0 THEN 'no_reference'
+            WHEN count(*) FILTER (WHERE status = 'significant') > 0 THEN 'significant'
+            WHEN count(*) FILTER (WHERE status = 'moderate') > 0 THEN 'moderate'
+            WHEN count(*) FILTER (WHERE status = 'collecting') > 0 THEN 'collecting'
+            ELSE 'ok' END AS status, count(*) AS features FROM win"""),
+    "k5_drift_alert": _k(""",
+tw AS (SELECT time_bucket(INTERVAL '10 minutes', ts) AS window_start, feature, bin FROM later),
+pw AS (""" + _psi_sql("tw", "window_start") + """)
+SELECT CAST(window_start AS VARCHAR) AS window_start, feature, round(psi, 9) AS psi,
+       count(*) OVER w = 3 AND min(psi) OVER w > 0.25 AS alert
+FROM pw WINDOW w AS (PARTITION BY feature ORDER BY window_start ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)"""
+                          .replace(",\ntw AS", ",\ntw AS", 1)),
+    "k6_request_counters": "WITH " + _LOG + """
+SELECT CAST(time_bucket(INTERVAL '5 minutes', ts) AS VARCHAR) AS window_start, endpoint, status,
+       count(*) AS requests FROM log GROUP BY ALL""",
+    "k7_latency_p95": "WITH " + _LOG + """
+SELECT CAST(window_start AS VARCHAR) AS window_start, round(quantile_cont(latency_ms, 0.95), 6) AS p95_ms,
+       quantile_cont(latency_ms, 0.95) > 2000.0 AS over_slo FROM slide GROUP BY window_start""",
+    "k8_error_rate": "WITH " + _LOG + """
+SELECT CAST(window_start AS VARCHAR) AS window_start, count(*) FILTER (WHERE status >= 500) AS errors,
+       count(*) AS requests, count(*) FILTER (WHERE status >= 500) / count(*) AS error_rate,
+       count(*) FILTER (WHERE status >= 500) / count(*) > 0.01 AS over_slo FROM slide GROUP BY window_start""",
+    "k9_slo_report": "WITH " + _LOG + """
+SELECT total_requests, round(success_rate, 9) AS success_rate, round(coalesce(avg_latency, 0.0), 6) AS avg_latency,
+       round(coalesce(p95, 0.0), 6) AS p95_latency, round(coalesce(p99, 0.0), 6) AS p99_latency,
+       round(CASE WHEN span_us > 0 THEN total_requests / (span_us / 1e6) END, 6) AS rps,
+       success_rate + 1e-9 >= 99.0 AND coalesce(p95, 0.0) + 1e-9 < 5000.0 AS slo_ok,
+       concat_ws('; ', CASE WHEN NOT (success_rate + 1e-9 >= 99.0) THEN 'success rate below target' END,
+                 CASE WHEN NOT (coalesce(p95, 0.0) + 1e-9 < 5000.0) THEN 'p95 at or above target' END) AS failures
+FROM (SELECT count(*) AS total_requests, avg(CASE WHEN success THEN 1.0 ELSE 0.0 END) * 100 AS success_rate,
+             avg(latency_ms) FILTER (WHERE success) AS avg_latency,
+             quantile_cont(latency_ms, 0.95) FILTER (WHERE success) AS p95,
+             quantile_cont(latency_ms, 0.99) FILTER (WHERE success) AS p99,
+             epoch_us(max(ts)) - epoch_us(min(ts)) AS span_us FROM log)""",
+    "k9_error_distribution": "WITH " + _LOG + "\nSELECT error, count(*) AS n FROM log WHERE error IS NOT NULL GROUP BY error",
+})
