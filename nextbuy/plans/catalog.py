@@ -524,3 +524,152 @@ def k9_slo_report(spark, sf):
 @register("k9_error_distribution")
 def k9_error_distribution(spark, sf):
     return K.error_distribution(K.request_log(_events(spark, sf)))
+
+
+# --- D: ALS feature; J13/J14 list metrics ---------------------------------------
+
+from ..operators import cf  # noqa: E402
+
+# Catalogue settings for the walk-forward run: 25 products make rank 50 oversized,
+# and quarterly snapshots are refit yearly.  The library defaults stay 50/50/1.
+ALS_RANK, ALS_ITER, ALS_REFIT = 10, 10, 4
+
+
+def _als_base(spark, sf):
+    pnl = D.panel(spark, sf)
+    return pnl, P.purchase_events(pnl), cf.dense_codes(pnl.select("ncodpers"))
+
+
+@register("d1_dense_codes")
+def d1_dense_codes(spark, sf):
+    _, _, codes = _als_base(spark, sf)
+    return codes.agg(F.count(F.lit(1)).alias("n"), F.min("user_code").alias("min_code"),
+                     F.max("user_code").alias("max_code"),
+                     F.countDistinct("user_code").alias("distinct_codes"))
+
+
+@register("d2_interactions")
+def d2_interactions(spark, sf):
+    _, ev, _ = _als_base(spark, sf)
+    hist = ev.filter(F.col("fecha_dato") <= F.lit(P.TEST_CUTOFF))
+    return hist.groupBy("ncodpers", F.col("purchase").cast("int").alias("item")).agg(
+        F.count(F.lit(1)).alias("rating"))
+
+
+def _als_model(spark, sf):
+    pnl, ev, codes = _als_base(spark, sf)
+    hist = ev.filter(F.col("fecha_dato") < F.lit(P.TEST_CUTOFF))
+    model = cf.fit_als(cf.interactions(hist, codes), ALS_RANK, ALS_ITER)
+    return pnl, ev, codes, model
+
+
+@register("d3_als_item_factors")
+def d3_als_item_factors(spark, sf):
+    *_, model = _als_model(spark, sf)
+    return model.itemFactors.select(F.col("id").alias("item"),
+                                    F.size("features").alias("n_factors"))
+
+
+@register("d4_top1_owned_masked")
+def d4_top1_owned_masked(spark, sf):
+    pnl, _, codes, model = _als_model(spark, sf)
+    rows = pnl.filter(F.col("fecha_dato") == F.lit(P.TEST_CUTOFF)).join(codes, "ncodpers")
+    out = cf.top1(rows.select("ncodpers", "fecha_dato", "user_code", "owned"), model)
+    return D.present(out.select("ncodpers", "fecha_dato", cf.FEATURE, "recommended_score",
+                                F.array_join("owned", ",").alias("owned")))
+
+
+def _walk(spark, sf):
+    pnl, ev, codes = _als_base(spark, sf)
+    return cf.walk_forward(pnl, ev, codes, refit_every=ALS_REFIT, rank=ALS_RANK,
+                           max_iter=ALS_ITER), pnl
+
+
+@register("d5_walk_forward_als")
+def d5_walk_forward_als(spark, sf):
+    lookup, _ = _walk(spark, sf)
+    return D.present(lookup)
+
+
+@register("d6_latest_lookup")
+def d6_latest_lookup(spark, sf):
+    lookup, _ = _walk(spark, sf)
+    return cf.latest_lookup(lookup)
+
+
+@register("d8_attach_feature")
+def d8_attach_feature(spark, sf):
+    lookup, pnl = _walk(spark, sf)
+    target = P.build_target_panel(pnl, keep=["ncodpers"]).panel
+    return D.present(cf.attach_feature(target, lookup).select(
+        "ncodpers", "snapshot_date", "purchase", cf.FEATURE))
+
+
+@register("d10_serving_join")
+def d10_serving_join(spark, sf):
+    lookup, pnl = _walk(spark, sf)
+    requests = table(spark, sf, "customer", "c_custkey").select(
+        F.col("c_custkey").alias("ncodpers"))
+    return cf.serving_join(requests, cf.latest_lookup(lookup))
+
+
+def _als_lists(spark, sf, k=10):
+    pnl, ev, codes, model = _als_model(spark, sf)
+    hist = ev.filter(F.col("fecha_dato") <= F.lit(P.TEST_CUTOFF))
+    later = ev.filter(F.col("fecha_dato") > F.lit(P.TEST_CUTOFF))
+    relevant = P.relevant_products(later).withColumnRenamed("products", "relevant")
+    users = relevant.join(codes, "ncodpers")
+    inter = cf.interactions(hist, codes).select("user_code", "item")
+    lists = cf.topk_lists(users.select("ncodpers", "user_code"), model, inter, k)
+    return relevant, lists, hist
+
+
+@register("d7_topk_lists")
+def d7_topk_lists(spark, sf):
+    _, lists, _ = _als_lists(spark, sf)
+    return lists.select("ncodpers", F.array_join("recommended", ",").alias("recommended"))
+
+
+@register("d9_als_list_metrics")
+def d9_als_list_metrics(spark, sf):
+    relevant, lists, hist = _als_lists(spark, sf)
+    with_hist = hist.select("ncodpers").distinct()
+    scope_all = relevant.join(lists.select("ncodpers", "recommended"), "ncodpers", "left")
+    scope_hist = scope_all.join(with_hist, "ncodpers", "left_semi")
+    a = R.list_metrics(scope_hist, "recommended", "relevant").withColumn(
+        "scope", F.lit("buyers_with_history"))
+    b = R.list_metrics(scope_all, "recommended", "relevant").withColumn(
+        "scope", F.lit("all_buyers"))
+    return a.unionByName(b)
+
+
+def _popularity_lists(spark, sf, k=10):
+    """Deterministic list recommender: train popularity order minus the client's history."""
+    _, train, _, candidates = _eval(spark, sf)
+    order = R.popularity_order(train, "purchase", candidates)
+    ranked = [int(r["code"]) for r in order.orderBy("pop_rank").collect()]  # <= 25 codes
+    pnl = D.panel(spark, sf)
+    ev = P.purchase_events(pnl)
+    hist = ev.filter(F.col("fecha_dato") <= F.lit(P.TEST_CUTOFF)).groupBy("ncodpers").agg(
+        F.collect_set(F.col("purchase").cast("int")).alias("_hist"))
+    later = ev.filter(F.col("fecha_dato") > F.lit(P.TEST_CUTOFF))
+    relevant = P.relevant_products(later).withColumnRenamed("products", "relevant")
+    base = F.array(*[F.lit(c) for c in ranked])
+    rec = F.slice(F.filter(base, lambda c: ~F.array_contains(
+        F.coalesce(F.col("_hist"), F.array().cast("array<int>")), c)), 1, k)
+    from ..products import product_name_expr
+    names = F.transform(rec, lambda c: product_name_expr(c))
+    return relevant.join(hist, "ncodpers", "left").select("ncodpers", "relevant",
+                                                          names.alias("recommended"))
+
+
+@register("j13_list_metrics")
+def j13_list_metrics(spark, sf):
+    return R.list_metrics(_popularity_lists(spark, sf), "recommended", "relevant")
+
+
+@register("j14_hit_trace")
+def j14_hit_trace(spark, sf):
+    t = R.hit_trace(_popularity_lists(spark, sf), "recommended", "relevant", 5)
+    return t.select("ncodpers", F.array_join("top_k", ",").alias("top_k"),
+                    F.array_join("relevant_sorted", ",").alias("relevant"), "hit")

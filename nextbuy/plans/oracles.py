@@ -717,3 +717,58 @@ FROM (SELECT count(*) AS total_requests, avg(CASE WHEN success THEN 1.0 ELSE 0.0
              epoch_us(max(ts)) - epoch_us(min(ts)) AS span_us FROM log)""",
     "k9_error_distribution": "WITH " + _LOG + "\nSELECT error, count(*) AS n FROM log WHERE error IS NOT NULL GROUP BY error",
 })
+
+
+# --- D / J13 / J14 twins -----------------------------------------------------
+
+_POPLISTS = """,
+hist AS (SELECT ncodpers, list(DISTINCT purchase) AS h FROM events
+         WHERE fecha_dato <= DATE '""" + CUTOFF + """' GROUP BY ncodpers),
+rel AS (SELECT ncodpers, list_sort(list(DISTINCT 'prod_' || lpad(CAST(purchase AS VARCHAR), 2, '0'))) AS relevant
+        FROM events WHERE fecha_dato > DATE '""" + CUTOFF + """' GROUP BY ncodpers),
+poplist AS (
+  SELECT r.ncodpers, r.relevant,
+         coalesce(list('prod_' || lpad(CAST(p.code AS VARCHAR), 2, '0') ORDER BY p.pop_rank)
+                  FILTER (WHERE h.h IS NULL OR NOT list_contains(h.h, p.code)), []) AS rec_all
+  FROM rel r LEFT JOIN hist h ON h.ncodpers = r.ncodpers CROSS JOIN popord p
+  GROUP BY r.ncodpers, r.relevant
+),
+lists AS (SELECT ncodpers, relevant, rec_all[1:10] AS recommended FROM poplist)"""
+
+
+def _j13() -> str:
+    parts = []
+    for k in (1, 3, 5, 10):
+        parts.append(f"""
+SELECT {k} AS k, len(list_intersect(recommended[1:{k}], relevant)) AS hits, len(relevant) AS nrel,
+       len(recommended[1:{k}]) AS size,
+       list_filter(list_transform(range(1, len(recommended[1:{k}]) + 1),
+                                  lambda i: CASE WHEN list_contains(relevant, recommended[i]) THEN i END),
+                   lambda x: x IS NOT NULL)[1] AS first
+FROM lists""")
+    body = "\nUNION ALL\n".join(parts)
+    return f"""
+SELECT k, count(*) AS users, count(*) FILTER (WHERE nrel > 0) AS users_with_relevant,
+       avg(CASE WHEN hits > 0 THEN 1 ELSE 0 END) AS hit_rate_at_k,
+       round(avg(hits / k), 9) AS precision_at_k,
+       round(avg(CASE WHEN nrel > 0 THEN hits / nrel END), 9) AS recall_at_k,
+       round(avg(CASE WHEN first IS NOT NULL THEN 1 / log2(first + 1) ELSE 0.0 END), 9) AS ndcg_at_k,
+       avg(size) AS mean_list_size
+FROM ({body}) GROUP BY k"""
+
+
+ORACLES.update({
+    "d1_dense_codes": _q(
+        "SELECT count(DISTINCT ncodpers) AS n, CAST(0 AS INTEGER) AS min_code, "
+        "CAST(count(DISTINCT ncodpers) - 1 AS INTEGER) AS max_code, "
+        "count(DISTINCT ncodpers) AS distinct_codes FROM panel"),
+    "d2_interactions": _q(
+        f"SELECT ncodpers, CAST(purchase AS INTEGER) AS item, count(*) AS rating FROM events "
+        f"WHERE fecha_dato <= DATE '{CUTOFF}' GROUP BY 1, 2"),
+    "j13_list_metrics": _e(_POPLISTS + "\n" + _j13()),
+    "j14_hit_trace": _e(_POPLISTS + """
+SELECT ncodpers, array_to_string(recommended[1:5], ',') AS top_k,
+       array_to_string(relevant, ',') AS relevant,
+       len(list_intersect(recommended[1:5], relevant)) > 0 AS hit
+FROM lists"""),
+})

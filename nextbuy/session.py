@@ -70,3 +70,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint directory for materialised tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def materialize(df, name: str, partition_by: list[str] | None = None):
+    """Write ``df`` under the shared checkpoint directory and read it back.
+
+    Cuts the lineage (a lost executor re-reads files instead of recomputing
+    the plan) and lets later filters prune Parquet partitions.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+    return spark.read.parquet(path)
