@@ -673,3 +673,112 @@ def j14_hit_trace(spark, sf):
     t = R.hit_trace(_popularity_lists(spark, sf), "recommended", "relevant", 5)
     return t.select("ncodpers", F.array_join("top_k", ",").alias("top_k"),
                     F.array_join("relevant_sorted", ",").alias("relevant"), "hit")
+
+
+# --- I / J15-J17 / K10: models --------------------------------------------------
+
+from . import models as M  # noqa: E402
+from . import train_run as T  # noqa: E402
+
+FOREST_PARAMS = {"numTrees": 20, "maxDepth": 8}
+BOOST_PARAMS = {"maxIter": 10, "maxDepth": 4}
+
+
+@register("i3_class_weights")
+def i3_class_weights(spark, sf):
+    frame, _ = D.modelling_frame(spark, sf)
+    train = frame.filter(F.col("split") == "train")
+    w = M.class_weights(train, "purchase")
+    return w.select("purchase", "n_c", F.round("weight", 9).alias("weight"))
+
+
+@register("i1_encoded_features")
+def i1_encoded_features(spark, sf):
+    from pyspark.ml import Pipeline
+    mx = T.build_matrices(spark, sf)
+    enc = Pipeline(stages=M.encoder_stages(mx.spec)).fit(mx.train)
+    out = enc.transform(mx.test)
+    return out.select(F.size(M.vector_to_array("features")).alias("width")).groupBy(
+        "width").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("i5_search_forest")
+def i5_search_forest(spark, sf):
+    mx = T.build_matrices(spark, sf)
+    best, means, stds, _ = M.search(mx.train, mx.spec, mx.classes, "forest", folds=2)
+    rows = [(str(g), float(m), float(stds[i]) if i < len(stds) else None)
+            for i, (g, m) in enumerate(zip(
+                [{"numTrees": 20, "maxDepth": 5}, {"numTrees": 40, "maxDepth": 10}], means))]
+    return spark.createDataFrame(rows, "params string, cv_mean double, cv_std double")
+
+
+def _variant_row(mx, kind, params, name, drop=None):
+    model, scored = T.run_variant(mx, kind, params, drop)
+    summary, topk = M.evaluate(scored.withColumnRenamed("label", "_label"), mx.classes,
+                               mx.candidates, mx.train)
+    return model, scored, summary.withColumn("variant", F.lit(name)), topk
+
+
+@register("i9_feature_importances")
+def i9_feature_importances(spark, sf):
+    mx = T.build_matrices(spark, sf)
+    model, scored = T.run_variant(mx, "forest", FOREST_PARAMS)
+    return M.importances(model, scored)
+
+
+@register("i10_batch_scoring")
+def i10_batch_scoring(spark, sf):
+    mx = T.build_matrices(spark, sf)
+    _, scored = T.run_variant(mx, "forest", FOREST_PARAMS)
+    out = M.scoring(scored, mx.classes)
+    return out.select("ncodpers", "q", "prediction", "product", F.round("confidence", 6).alias(
+        "confidence"), F.to_json("top_k").alias("top_k"))
+
+
+@register("k10_response_checks")
+def k10_response_checks(spark, sf):
+    mx = T.build_matrices(spark, sf)
+    _, scored = T.run_variant(mx, "forest", FOREST_PARAMS)
+    checked = K.response_checks(M.scoring(scored, mx.classes), mx.classes)
+    return checked.groupBy(F.coalesce("reason", F.lit("ok")).alias("reason")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@register("j15_model_comparison")
+def j15_model_comparison(spark, sf):
+    mx = T.build_matrices(spark, sf)
+    rows = [_variant_row(mx, "forest", FOREST_PARAMS, "random_forest")[2],
+            _variant_row(mx, "boosting", BOOST_PARAMS, "boosting")[2]]
+    return M.variant_table(rows)
+
+
+@register("i8_als_ablation")
+def i8_als_ablation(spark, sf):
+    mx = T.build_matrices(spark, sf, with_als=True)
+    rows = [_variant_row(mx, "forest", FOREST_PARAMS, "with_als")[2],
+            _variant_row(mx, "forest", FOREST_PARAMS, "without_als", [cf.FEATURE])[2]]
+    return M.variant_table(rows)
+
+
+@register("j16_protocol_comparison")
+def j16_protocol_comparison(spark, sf):
+    """Calendar split vs cohort split (by join date) on the same model settings."""
+    mx = T.build_matrices(spark, sf)
+    cal = _variant_row(mx, "forest", FOREST_PARAMS, "calendar")[2].select(
+        "variant", "accuracy", "roc_auc_ovr_macro", "pr_auc_macro")
+    frame, _ = D.modelling_frame(spark, sf)
+    flagged, cutoff = S.temporal_split(frame, "fecha_alta", 0.3)
+    counts = flagged.groupBy("part").agg(F.count(F.lit(1)).alias("rows"),
+                                         F.countDistinct("ncodpers").alias("clients"))
+    info = counts.groupBy().pivot("part", ["train", "test"]).agg(
+        F.first("rows").alias("rows"), F.first("clients").alias("clients"))
+    return cal.unionByName(info.withColumn("variant", F.lit(f"cohort@{cutoff.isoformat()}")),
+                           allowMissingColumns=True)
+
+
+@register("j17_winner")
+def j17_winner(spark, sf):
+    mx = T.build_matrices(spark, sf)
+    _, means, _, _ = M.search(mx.train, mx.spec, mx.classes, "forest", folds=2)
+    rows = [("forest_small", float(means[0])), ("forest_large", float(means[1]))]
+    return M.winner(spark.createDataFrame(rows, "variant string, cv_score double"))

@@ -772,3 +772,9 @@ SELECT ncodpers, array_to_string(recommended[1:5], ',') AS top_k,
        len(list_intersect(recommended[1:5], relevant)) > 0 AS hit
 FROM lists"""),
 })
+
+ORACLES.update({
+    "i3_class_weights": _q(
+        "SELECT purchase, count(*) AS n_c, round(sum(count(*)) OVER () / "
+        "(count(*) OVER () * count(*)), 9) AS weight FROM frame WHERE split = 'train' GROUP BY purchase"),
+})
