@@ -782,3 +782,35 @@ def j17_winner(spark, sf):
     _, means, _, _ = M.search(mx.train, mx.spec, mx.classes, "forest", folds=2)
     rows = [("forest_small", float(means[0])), ("forest_large", float(means[1]))]
     return M.winner(spark.createDataFrame(rows, "variant string, cv_score double"))
+
+
+# --- A: sources, validation ---------------------------------------------------------
+
+from ..products import product_name_expr  # noqa: E402
+from ..sources import io as A  # noqa: E402
+
+EXPECTED_PANEL = [c for c in PANEL_COLUMNS if c != "q"] + ["ind_actividad_cliente"]
+
+
+@register("a2_schema_audit")
+def a2_schema_audit(spark, sf):
+    return A.schema_audit(D.panel(spark, sf).select(*PANEL_COLUMNS), EXPECTED_PANEL)
+
+
+@register("a5_lookup_dedupe")
+def a5_lookup_dedupe(spark, sf):
+    pnl = D.panel(spark, sf)
+    lookup = pnl.select("ncodpers", "q", F.when(F.col("q") % 3 == 0, F.lit(None).cast("string"))
+                        .otherwise(product_name_expr(F.array_min("owned"))).alias(cf.FEATURE))
+    return A.dedupe_lookup(lookup, "q")
+
+
+@register("a9_profile_ingest")
+def a9_profile_ingest(spark, sf):
+    pnl = D.panel(spark, sf).filter(F.col("fecha_dato") == F.lit(_SLICE_DATE).cast("date"))
+    profiles = pnl.select(F.to_json(F.struct(
+        "ncodpers", "age", F.col("fecha_alta").cast("string").alias("fecha_alta"), "antiguedad",
+        "renta", "segmento", "pais_residencia", "canal_entrada")).alias("value"))
+    requests = profiles.unionByName(_events(spark, sf).select(F.col("props").alias("value")))
+    parsed = A.ingest_profiles(requests)
+    return parsed.groupBy("status", "reason").agg(F.count(F.lit(1)).alias("n"))

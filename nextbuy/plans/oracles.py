@@ -778,3 +778,20 @@ ORACLES.update({
         "SELECT purchase, count(*) AS n_c, round(sum(count(*)) OVER () / "
         "(count(*) OVER () * count(*)), 9) AS weight FROM frame WHERE split = 'train' GROUP BY purchase"),
 })
+
+ORACLES.update({
+    "a2_schema_audit": _q(
+        "SELECT 'ind_actividad_cliente' AS missing, 'q' AS extra, count(*) AS n_rows FROM panel"),
+    "a5_lookup_dedupe": _q("""
+SELECT ncodpers, q, recommended_product_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY ncodpers ORDER BY recommended_product_id IS NULL, q) AS rn
+  FROM (SELECT ncodpers, q, CASE WHEN q % 3 = 0 THEN NULL
+                                 ELSE 'prod_' || lpad(CAST(list_min(owned) AS VARCHAR), 2, '0') END
+                            AS recommended_product_id FROM panel))
+WHERE rn = 1"""),
+    "a9_profile_ingest": "WITH " + PANEL_CTES + f"""
+SELECT 'ok' AS status, CAST(NULL AS VARCHAR) AS reason, count(*) AS n FROM panel WHERE fecha_dato = {_SLICE}
+UNION ALL
+SELECT 'rejected', 'missing ncodpers', count(*) FROM events  -- the raw request table
+""",
+})
