@@ -169,7 +169,7 @@ def date_cohort_spec(df: DataFrame, col: str, max_cohorts: int = 12) -> dict:
     edges rounded half-to-even, the first left edge minus one.  Failure ->
     mode ``raw``.
     """
-    d = F.to_date(F.col(col))
+    d = as_date(F.col(col))
     base_row = df.agg(F.min(d).alias("base")).collect()[0]
     if base_row["base"] is None:
         return {"mode": "raw"}
@@ -212,9 +212,14 @@ def date_cohort_spec(df: DataFrame, col: str, max_cohorts: int = 12) -> dict:
                           for l, r, lab in zip(lefts, rights, kept)]}
 
 
+def as_date(value: Column) -> Column:
+    """Date from a date, timestamp or text column; unparseable text -> NULL."""
+    return F.try_to_timestamp(value.cast("string")).cast("date")
+
+
 def date_cohort_expr(value: Column, spec: dict) -> Column:
     """Date -> cohort label by the spec (NULL -> missing label, outside -> unknown)."""
-    d = F.to_date(value) if not isinstance(value, str) else F.to_date(F.col(value))
+    d = as_date(F.col(value) if isinstance(value, str) else value)
     if spec.get("mode") == "raw":
         return F.coalesce(F.date_format(d, "yyyy-MM-dd"), F.lit("unknown"))
     days = F.datediff(d, F.lit(_dt.date.fromisoformat(spec["base_date"])))
@@ -227,7 +232,7 @@ def date_cohort_expr(value: Column, spec: dict) -> Column:
 
 def fixed_interval_expr(value: Column, intervals: list[str]) -> Column:
     """First closed 'start – end' interval containing the date, else NULL."""
-    d = F.to_date(value)
+    d = as_date(value)
     out = F.lit(None).cast("string")
     for text in reversed(intervals):
         start, end = text.split(COHORT_DASH)

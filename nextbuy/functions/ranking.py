@@ -113,7 +113,13 @@ def _scope_rows(hist: DataFrame, scopes: Sequence[str], ks: Sequence[int]) -> Da
 
 
 def _safe_div(a: Column, b: Column) -> Column:
-    return F.when(b == 0, F.lit(None).cast("double")).otherwise(a / b)
+    """a / b, NaN when b is 0 (an empty scope has undefined metrics)."""
+    return F.when(b == 0, F.lit(float("nan"))).otherwise(a / b)
+
+
+def _grid(spark, scopes: Sequence[str], ks: Sequence[int]) -> DataFrame:
+    """Every (scope, k) pair, so empty scopes still report a row."""
+    return spark.createDataFrame([(s, int(k)) for s in scopes for k in ks], "scope string, k int")
 
 
 def metrics_table(stats: DataFrame, ks: Sequence[int] = DEFAULT_KS,
@@ -130,6 +136,10 @@ def metrics_table(stats: DataFrame, ks: Sequence[int] = DEFAULT_KS,
         F.sum(F.when(F.col("relevant"), F.col("n")).otherwise(0)).alias("purchasers"),
         F.sum(F.when(hit, F.col("n")).otherwise(0)).alias("hits"),
         F.sum(gain).alias("gain"))
+    agg = _grid(stats.sparkSession, scopes, ks).join(
+        agg.withColumn("k", F.col("k").cast("int")), ["scope", "k"], "left").select(
+        "scope", "k", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("users", "purchasers", "hits")],
+        F.coalesce("gain", F.lit(0.0)).alias("gain"))
     p = prefix
     return agg.select(
         "scope", F.col("k").cast("int").alias("k"),
@@ -145,6 +155,8 @@ def metrics_table(stats: DataFrame, ks: Sequence[int] = DEFAULT_KS,
 def random_baseline(stats: DataFrame, n_candidates: int, ks: Sequence[int] = DEFAULT_KS,
                     scopes: Sequence[str] = SCOPES) -> DataFrame:
     """Analytic metrics of a uniformly random list of ``n_candidates``."""
+    if n_candidates <= 0:
+        raise ValueError("no candidate is a model class")
     rows = _scope_rows(_rank_histogram(stats), scopes, ks)
     agg = rows.groupBy("scope", "k").agg(
         F.sum("n").alias("users"),
@@ -346,38 +358,36 @@ def baseline_metrics(per_class: DataFrame, summary: DataFrame) -> DataFrame:
 
 def list_metrics(df: DataFrame, recommended: str, relevant: str,
                  ks: Sequence[int] = DEFAULT_KS) -> DataFrame:
-    """Per K - users, users with a relevant set, hit rate, precision, recall, NDCG
-    (rank = position of the first hit), mean list size.  Empty lists count as misses.
+    """Metrics of ready-made lists, one row per K.
+
+    rank = position of the **first** relevant item (0 if none); hit@k = rank in
+    1..k; precision = mean(hit)/k; recall = mean(hit / |relevant|) over users
+    with a relevant set; NDCG = mean(1/log2(rank+1) for hits); an empty list
+    is a miss but the user still counts; relevant_per_user = mean set size.
+    The first-hit rank is computed once per row; K only enters the aggregate.
     """
     rec = F.coalesce(F.col(recommended), F.array().cast("array<string>"))
-    rel = F.coalesce(F.col(relevant), F.array().cast("array<string>"))
-    parts = []
-    for k in ks:
-        top = F.slice(rec, 1, int(k))
-        hits = F.size(F.array_intersect(top, rel))
-        first = F.aggregate(
-            F.transform(top, lambda x, i: F.when(F.array_contains(rel, x), i + 1)),
-            F.lit(None).cast("int"),
-            lambda acc, x: F.when(acc.isNull(), x).otherwise(acc))
-        parts.append(df.select(
-            F.lit(int(k)).alias("k"),
-            (hits > 0).cast("int").alias("hit"),
-            (hits / F.lit(float(k))).alias("prec"),
-            F.when(F.size(rel) > 0, hits / F.size(rel)).alias("rec"),
-            F.when(first.isNotNull(), 1.0 / F.log2(first + 1.0)).otherwise(0.0).alias("gain"),
-            F.size(top).alias("size"),
-            (F.size(rel) > 0).alias("has_rel")))
-    allk = parts[0]
-    for p in parts[1:]:
-        allk = allk.unionByName(p)
-    return allk.groupBy("k").agg(
+    rel = F.array_distinct(F.coalesce(F.col(relevant), F.array().cast("array<string>")))
+    first = F.aggregate(
+        F.transform(rec, lambda x, i: F.when(F.array_contains(rel, x), i + 1)),
+        F.lit(None).cast("int"),
+        lambda acc, x: F.when(acc.isNull(), x).otherwise(acc))
+    rows = df.select(F.coalesce(first, F.lit(0)).alias("rank"), F.size(rel).alias("nrel"))
+    per_k = rows.select("*", F.explode(F.array(*[F.lit(int(k)) for k in ks])).alias("k"))
+    hit = ((F.col("rank") > 0) & (F.col("rank") <= F.col("k"))).cast("double")
+    agg = per_k.groupBy("k").agg(
         F.count(F.lit(1)).alias("users"),
-        F.count_if("has_rel").alias("users_with_relevant"),
-        F.avg("hit").alias("hit_rate_at_k"),
-        F.round(F.avg("prec"), 9).alias("precision_at_k"),
-        F.round(F.avg("rec"), 9).alias("recall_at_k"),
-        F.round(F.avg("gain"), 9).alias("ndcg_at_k"),
-        F.avg("size").alias("mean_list_size"))
+        F.count_if(F.col("nrel") > 0).alias("purchasers"),
+        F.avg(hit).alias("hit_rate_at_k"),
+        F.avg(F.when(F.col("nrel") > 0, hit / F.col("nrel"))).alias("_rec"),
+        F.avg(F.when(hit > 0, 1.0 / F.log2(F.col("rank") + 1.0)).otherwise(0.0)).alias("_g"),
+        F.avg("nrel").alias("relevant_per_user"))
+    return agg.select(
+        F.col("k").cast("int").alias("k"), "users", "purchasers",
+        (F.col("purchasers") / F.col("users")).alias("purchase_share"),
+        (F.col("hit_rate_at_k") / F.col("k")).alias("precision_at_k"),
+        F.round("_rec", 9).alias("recall_at_k"), "hit_rate_at_k",
+        F.round("_g", 9).alias("ndcg_at_k"), "relevant_per_user")
 
 
 def hit_trace(df: DataFrame, recommended: str, relevant: str, k: int) -> DataFrame:

@@ -205,20 +205,25 @@ def _e(body: str) -> str:
 
 _METRICS = """
 SELECT scope, k{extra},
-       hits / users / k AS {p}precision_at_k, hits / purchasers AS {p}recall_at_k,
-       hits / users AS {p}hit_rate_at_k, round(gain / users, 9) AS {p}ndcg_at_k
+       CAST(hits AS DOUBLE) / users / k AS {p}precision_at_k,
+       CAST(hits AS DOUBLE) / purchasers AS {p}recall_at_k,
+       CAST(hits AS DOUBLE) / users AS {p}hit_rate_at_k,
+       CASE WHEN users = 0 THEN 'NaN'::DOUBLE ELSE round(coalesce(gain, 0.0) / users, 9) END AS {p}ndcg_at_k
 FROM (
-  SELECT scope, k, count(*) AS users, count(*) FILTER (WHERE relevant) AS purchasers,
+  SELECT scope, k, count(rank) AS users, count(*) FILTER (WHERE relevant) AS purchasers,
          count(*) FILTER (WHERE rank > 0 AND rank <= k) AS hits,
          sum(CASE WHEN rank > 0 AND rank <= k THEN 1 / log2(rank + 1) ELSE 0 END) AS gain
-  FROM (SELECT 'shortlist_purchasers' AS scope, * FROM {src} WHERE relevant
-        UNION ALL SELECT 'purchasers_any', * FROM {src} WHERE purchased
-        UNION ALL SELECT 'all_rows', * FROM {src}) s CROSS JOIN ks
+  FROM (SELECT g.scope, ks.k, s.rank, s.relevant
+        FROM (VALUES ('shortlist_purchasers'), ('purchasers_any'), ('all_rows')) g(scope)
+        CROSS JOIN ks
+        LEFT JOIN (SELECT 'shortlist_purchasers' AS scope, * FROM {src} WHERE relevant
+                   UNION ALL SELECT 'purchasers_any', * FROM {src} WHERE purchased
+                   UNION ALL SELECT 'all_rows', * FROM {src}) s ON s.scope = g.scope)
   GROUP BY scope, k)"""
 
 
 def _metrics(src: str, p: str = "") -> str:
-    extra = "" if p else ", users, purchasers, purchasers / users AS purchase_share"
+    extra = "" if p else ", users, purchasers, CAST(purchasers AS DOUBLE) / users AS purchase_share"
     return _METRICS.format(src=src, p=p, extra=extra)
 
 
@@ -737,24 +742,23 @@ lists AS (SELECT ncodpers, relevant, rec_all[1:10] AS recommended FROM poplist)"
 
 
 def _j13() -> str:
-    parts = []
-    for k in (1, 3, 5, 10):
-        parts.append(f"""
-SELECT {k} AS k, len(list_intersect(recommended[1:{k}], relevant)) AS hits, len(relevant) AS nrel,
-       len(recommended[1:{k}]) AS size,
-       list_filter(list_transform(range(1, len(recommended[1:{k}]) + 1),
-                                  lambda i: CASE WHEN list_contains(relevant, recommended[i]) THEN i END),
-                   lambda x: x IS NOT NULL)[1] AS first
-FROM lists""")
-    body = "\nUNION ALL\n".join(parts)
-    return f"""
-SELECT k, count(*) AS users, count(*) FILTER (WHERE nrel > 0) AS users_with_relevant,
-       avg(CASE WHEN hits > 0 THEN 1 ELSE 0 END) AS hit_rate_at_k,
-       round(avg(hits / k), 9) AS precision_at_k,
-       round(avg(CASE WHEN nrel > 0 THEN hits / nrel END), 9) AS recall_at_k,
-       round(avg(CASE WHEN first IS NOT NULL THEN 1 / log2(first + 1) ELSE 0.0 END), 9) AS ndcg_at_k,
-       avg(size) AS mean_list_size
-FROM ({body}) GROUP BY k"""
+    return """
+, firsthit AS (
+  SELECT coalesce(list_filter(list_transform(range(1, len(recommended) + 1),
+                                             lambda i: CASE WHEN list_contains(relevant, recommended[i]) THEN i END),
+                              lambda x: x IS NOT NULL)[1], 0) AS rank,
+         len(relevant) AS nrel
+  FROM lists
+)
+SELECT k, count(*) AS users, count(*) FILTER (WHERE nrel > 0) AS purchasers,
+       (count(*) FILTER (WHERE nrel > 0)) / count(*) AS purchase_share,
+       avg(CASE WHEN rank > 0 AND rank <= k THEN 1.0 ELSE 0.0 END) / k AS precision_at_k,
+       round(avg(CASE WHEN nrel > 0 THEN (CASE WHEN rank > 0 AND rank <= k THEN 1.0 ELSE 0.0 END) / nrel END), 9)
+         AS recall_at_k,
+       avg(CASE WHEN rank > 0 AND rank <= k THEN 1.0 ELSE 0.0 END) AS hit_rate_at_k,
+       round(avg(CASE WHEN rank > 0 AND rank <= k THEN 1 / log2(rank + 1) ELSE 0.0 END), 9) AS ndcg_at_k,
+       avg(nrel) AS relevant_per_user
+FROM firsthit CROSS JOIN (VALUES (1), (3), (5), (10)) v(k) GROUP BY k"""
 
 
 ORACLES.update({
@@ -765,7 +769,7 @@ ORACLES.update({
     "d2_interactions": _q(
         f"SELECT ncodpers, CAST(purchase AS INTEGER) AS item, count(*) AS rating FROM events "
         f"WHERE fecha_dato <= DATE '{CUTOFF}' GROUP BY 1, 2"),
-    "j13_list_metrics": _e(_POPLISTS + "\n" + _j13()),
+    "j13_list_metrics": _e(_POPLISTS + _j13().replace("\n, firsthit AS", ",\nfirsthit AS", 1)),
     "j14_hit_trace": _e(_POPLISTS + """
 SELECT ncodpers, array_to_string(recommended[1:5], ',') AS top_k,
        array_to_string(relevant, ',') AS relevant,
