@@ -654,7 +654,7 @@ def _popularity_lists(spark, sf, k=10):
         F.collect_set(F.col("purchase").cast("int")).alias("_hist"))
     later = ev.filter(F.col("fecha_dato") > F.lit(P.TEST_CUTOFF))
     relevant = P.relevant_products(later).withColumnRenamed("products", "relevant")
-    base = F.array(*[F.lit(c) for c in ranked])
+    base = F.array(*[F.lit(c) for c in ranked]).cast("array<int>")
     rec = F.slice(F.filter(base, lambda c: ~F.array_contains(
         F.coalesce(F.col("_hist"), F.array().cast("array<int>")), c)), 1, k)
     from ..products import product_name_expr

@@ -734,8 +734,9 @@ rel AS (SELECT ncodpers, list_sort(list(DISTINCT 'prod_' || lpad(CAST(purchase A
 poplist AS (
   SELECT r.ncodpers, r.relevant,
          coalesce(list('prod_' || lpad(CAST(p.code AS VARCHAR), 2, '0') ORDER BY p.pop_rank)
-                  FILTER (WHERE h.h IS NULL OR NOT list_contains(h.h, p.code)), []) AS rec_all
-  FROM rel r LEFT JOIN hist h ON h.ncodpers = r.ncodpers CROSS JOIN popord p
+                  FILTER (WHERE p.code IS NOT NULL AND (h.h IS NULL OR NOT list_contains(h.h, p.code))),
+                  []) AS rec_all
+  FROM rel r LEFT JOIN hist h ON h.ncodpers = r.ncodpers LEFT JOIN popord p ON TRUE
   GROUP BY r.ncodpers, r.relevant
 ),
 lists AS (SELECT ncodpers, relevant, rec_all[1:10] AS recommended FROM poplist)"""
