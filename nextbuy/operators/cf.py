@@ -52,11 +52,16 @@ def interactions(events: DataFrame, codes: DataFrame) -> DataFrame:
 
 
 def fit_als(inter: DataFrame, rank: int = 50, max_iter: int = 50, reg: float = 0.05,
-            seed: int = 0) -> ALSModel:
-    """D3: implicit-feedback ALS (values differ from other solvers' scaling)."""
+            seed: int = 0, user_blocks: int = 10) -> ALSModel:
+    """D3: implicit-feedback ALS (values differ from other solvers' scaling).
+
+    Items are the product catalogue (tens of rows), so they form one block;
+    users are split into ``user_blocks`` blocks (raise it with the client count).
+    """
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, implicitPrefs=True, seed=seed,
               userCol="user_code", itemCol="item", ratingCol="rating",
-              coldStartStrategy="drop", nonnegative=False)
+              coldStartStrategy="drop", nonnegative=False,
+              numUserBlocks=user_blocks, numItemBlocks=1)
     return als.fit(inter)
 
 
@@ -129,15 +134,21 @@ def walk_forward(panel: DataFrame, events: DataFrame, codes: DataFrame,
         "als-panel", ["fecha_dato"])
     events = materialize(events.select("ncodpers", "fecha_dato", "purchase"), "als-events")
     codes = materialize(codes, "als-codes")
-    model = None
-    written = False
+    first_event = events.agg(F.min("fecha_dato")).collect()[0][0]
+    # Segments: a refit snapshot and the following snapshots that reuse its model.
+    segments: list[list[_dt.date]] = []
     for pos, snap in enumerate(dates):
-        hist = events.filter(F.col("fecha_dato") < F.lit(snap))
-        if hist.limit(1).count() == 0:
-            continue
-        if model is None or refit_every <= 1 or pos % refit_every == 0:
-            model = fit_als(interactions(hist, codes), rank, max_iter, reg, seed)
-        rows = coded_panel.filter(F.col("fecha_dato") == F.lit(snap))
+        if first_event is None or snap <= first_event:
+            continue  # no history strictly before this snapshot
+        if not segments or refit_every <= 1 or pos % refit_every == 0:
+            segments.append([snap])
+        else:
+            segments[-1].append(snap)
+    written = False
+    for seg in segments:
+        hist = events.filter(F.col("fecha_dato") < F.lit(seg[0]))
+        model = fit_als(interactions(hist, codes), rank, max_iter, reg, seed)
+        rows = coded_panel.filter(F.col("fecha_dato").isin(seg))  # partition pruning
         scored = top1(rows, model).select("ncodpers", F.col("fecha_dato").alias("snapshot_date"),
                                           FEATURE, "recommended_score")
         scored.write.mode("append").parquet(out_dir)

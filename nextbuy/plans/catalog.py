@@ -814,3 +814,34 @@ def a9_profile_ingest(spark, sf):
     requests = profiles.unionByName(_events(spark, sf).select(F.col("props").alias("value")))
     parsed = A.ingest_profiles(requests)
     return parsed.groupBy("status", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("f12_fit_params")
+def f12_fit_params(spark, sf):
+    """the whole fit; one row per fitted section with its size."""
+    train, _ = _fit_input(spark, sf)
+    p = G.fit_params(train)
+    rows = [("medians", len(p.medians)), ("modes", len(p.modes)),
+            ("clip_bounds", len(p.clip_bounds)), ("age_intervals", len(p.age_intervals)),
+            ("date_cohorts", len(p.date_cohorts.get("fecha_alta", {}).get("intervals", []))),
+            ("replacer", sum(len(v) for v in p.replacer.values())),
+            ("drift_reference", len(p.drift_reference))]
+    return spark.createDataFrame(rows, "section string, entries int")
+
+
+@register("a7_params_roundtrip")
+def a7_params_roundtrip(spark, sf):
+    """A6 + A7: write the fitted params as JSON, read back; sections that fell back."""
+    from ..session import scratch_path
+    import uuid
+    train, _ = _fit_input(spark, sf)
+    p = G.fit_params(train)
+    path = scratch_path(spark, f"params-{uuid.uuid4().hex}")
+    A.write_params(spark, p, path)
+    back, fell_back = A.read_params(spark, path)
+    same = [k for k in ("medians", "clip_bounds", "age_intervals")
+            if getattr(back, k) == getattr(p, k)]
+    rows = [(s, s in fell_back, s in same) for s in
+            ("medians", "modes", "clip_bounds", "age_intervals", "date_cohorts",
+             "date_intervals", "replacer", "drift_reference", "aggregates")]
+    return spark.createDataFrame(rows, "section string, fell_back boolean, round_trip_equal boolean")

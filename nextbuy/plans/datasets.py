@@ -84,7 +84,9 @@ def evaluation(spark: SparkSession, sf_dir: str):
     among them (C10), in code order.
     """
     frame, sl = modelling_frame(spark, sf_dir)
-    frame = frame.select("ncodpers", "q", "purchase", "split")
+    # read three times below (class list, candidate list, the query itself): keep
+    # the narrow frame; a lost block is recomputed from lineage
+    frame = frame.select("ncodpers", "q", "purchase", "split").persist()
     train = frame.filter(F.col("split") == "train")
     test = frame.filter(F.col("split") == "test")
     classes = small_list(train, "purchase")
