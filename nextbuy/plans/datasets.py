@@ -13,11 +13,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import panel as P
+from ..session import materialize
 from ..sources.adapter import build_panel
 
 
+_PANELS: dict[tuple, DataFrame] = {}
+
+
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_panel(spark, sf_dir)
+    """The adapter panel, derived from the tables once per session and source dir.
+
+    It is written as Parquet partitioned by snapshot date under the session's
+    checkpoint directory and read back: every report that starts from the
+    panel then scans files (with partition pruning for one-snapshot reports)
+    instead of re-running the lineitem x orders x part joins, and a lost
+    executor re-reads a file instead of recomputing the joins.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"),
+           spark.conf.get("spark.checkpoint.dir", ""))
+    if key not in _PANELS:
+        _PANELS[key] = materialize(build_panel(spark, sf_dir), "panel", ["fecha_dato"])
+    return _PANELS[key]
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
