@@ -206,8 +206,9 @@ def date_cohort_spec(df: DataFrame, col: str, max_cohorts: int = 12) -> dict:
     first_left = obs[min(obs)][0] - 1
     lefts = [first_left] + rights[:-1]
     missing_label = "nan" if stats["nnull"] else "unknown"
+    kept_bins = [i for i in range(len(labels)) if i in obs]
     return {"mode": "intervals", "base_date": base.isoformat(), "closed": "right",
-            "missing_label": missing_label,
+            "missing_label": missing_label, "edges": edges, "bins": kept_bins,
             "intervals": [{"left_days": l, "right_days": r, "label": lab}
                           for l, r, lab in zip(lefts, rights, kept)]}
 
@@ -230,6 +231,24 @@ def date_cohort_expr(value: Column, spec: dict) -> Column:
     return F.when(d.isNull(), F.lit(spec.get("missing_label", "unknown"))).otherwise(out)
 
 
+def fit_cohort_expr(value: Column, spec: dict) -> Column:
+    """The label the fit itself gives a date: its quantile bin on the exact edges."""
+    d = F.datediff(as_date(value), F.lit(_dt.date.fromisoformat(spec["base_date"])))
+    inner = spec["edges"][1:]
+    b = F.size(F.filter(F.array(*[F.lit(float(e)) for e in inner]), lambda e: e < d))
+    out = F.lit("unknown")
+    for i, iv in zip(spec["bins"], spec["intervals"]):
+        out = F.when(b == i, F.lit(iv["label"])).otherwise(out)
+    return F.when(d.isNull(), F.lit(spec.get("missing_label", "unknown"))).otherwise(out)
+
+
+def cohort_mismatches(df: DataFrame, col: str, spec: dict) -> DataFrame:
+    """F8: rows whose served cohort (spec intervals) differs from the fit's label."""
+    served = date_cohort_expr(F.col(col), spec)
+    return df.agg(F.count_if(served != fit_cohort_expr(F.col(col), spec)).alias("mismatches"),
+                  F.count(F.lit(1)).alias("rows"))
+
+
 def fixed_interval_expr(value: Column, intervals: list[str]) -> Column:
     """First closed 'start – end' interval containing the date, else NULL."""
     d = as_date(value)

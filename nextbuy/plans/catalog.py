@@ -845,3 +845,159 @@ def a7_params_roundtrip(spark, sf):
             ("medians", "modes", "clip_bounds", "age_intervals", "date_cohorts",
              "date_intervals", "replacer", "drift_reference", "aggregates")]
     return spark.createDataFrame(rows, "section string, fell_back boolean, round_trip_equal boolean")
+
+
+# --- remaining inventory items --------------------------------------------------------
+
+@register("c4_label_map")
+def c4_label_map(spark, sf):
+    _, sl = D.modelling_frame(spark, sf)
+    codes = D.small_list(sl, "code")  # <= number of products
+    return P.label_map(spark, codes)
+
+
+@register("c8_fold_to_other")
+def c8_fold_to_other(spark, sf):
+    pnl = D.panel(spark, sf)
+    target = P.build_target_panel(pnl, keep=["ncodpers"]).panel
+    folded = P.fold_to_other(target, D.shortlist(P.purchase_events(pnl)))
+    return folded.groupBy("purchase").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("c9_rare_classes")
+def c9_rare_classes(spark, sf):
+    pnl = D.panel(spark, sf)
+    target = P.build_target_panel(pnl, keep=["ncodpers"]).panel
+    folded = P.fold_to_other(target, D.shortlist(P.purchase_events(pnl)))
+    return P.rare_classes(folded, F.col("snapshot_date") < F.lit(P.TEST_CUTOFF))
+
+
+@register("c11_relevant_products")
+def c11_relevant_products(spark, sf):
+    rel = P.relevant_products(D.events(spark, sf))
+    return rel.select("ncodpers", F.array_join("products", ",").alias("products"))
+
+
+@register("c13_owned_products")
+def c13_owned_products(spark, sf):
+    return P.owned_long(D.panel(spark, sf))
+
+
+@register("e4_stratified_folds")
+def e4_stratified_folds(spark, sf):
+    frame, _ = D.modelling_frame(spark, sf)
+    train = frame.filter(F.col("split") == "train")
+    folds = S.stratified_folds(train, "purchase", ["ncodpers", "q"], 3, seed=0)
+    return folds.groupBy("purchase", "fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("e5_client_sample")
+def e5_client_sample(spark, sf):
+    """E5: 10 clients in a seeded hash order (a sampling operator: the limit is the feature)."""
+    clients = D.panel(spark, sf).select("ncodpers").distinct()
+    return clients.orderBy(F.xxhash64(F.lit(7), "ncodpers"), "ncodpers").limit(10)
+
+
+@register("f4_imputation")
+def f4_imputation(spark, sf):
+    train, test = _fit_input(spark, sf)
+    p = G.fit_params(train)
+    filled = G.fill_missing(G.coerce_numeric(test), p.medians, p.modes)
+    return filled.select("ncodpers", "q", "age", "antiguedad", "renta")
+
+
+@register("f8_cohort_mismatches")
+def f8_cohort_mismatches(spark, sf):
+    """F8: train rows whose cohort from the serving spec differs from the fit labels."""
+    work, p = _filled_train(spark, sf)
+    return G.cohort_mismatches(work, "fecha_alta", p.date_cohorts["fecha_alta"])
+
+
+@register("b14_eda_date_cohorts")
+def b14_eda_date_cohorts(spark, sf):
+    spec = G.date_cohort_spec(D.panel(spark, sf), "fecha_alta", 30)
+    rows = [(i, iv["left_days"], iv["right_days"], iv["label"])
+            for i, iv in enumerate(spec.get("intervals", []))]
+    return spark.createDataFrame(rows, "i int, left_days int, right_days int, label string")
+
+
+@register("g1_age_interval")
+def g1_age_interval(spark, sf):
+    out, _, _ = _applied(spark, sf)
+    return out.groupBy("age_interval").agg(F.count(F.lit(1)).alias("n"),
+                                           F.min("age").alias("min_age"),
+                                           F.max("age").alias("max_age"))
+
+
+@register("g2_date_cohort")
+def g2_date_cohort(spark, sf):
+    out, _, _ = _applied(spark, sf)
+    return out.groupBy("fecha_alta").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("g5_clipping")
+def g5_clipping(spark, sf):
+    out, _, _ = _applied(spark, sf)
+    return out.agg(F.min("renta").alias("min_renta"), F.max("renta").alias("max_renta"),
+                   F.min("antiguedad").alias("min_antiguedad"),
+                   F.max("antiguedad").alias("max_antiguedad"))
+
+
+@register("g7_feature_rows")
+def g7_feature_rows(spark, sf):
+    """Serving-time feature rows for a request batch: profile JSON -> checks ->
+    preprocessing -> recommendation lookup ('0' on a miss) -> derived features."""
+    train, _ = _fit_input(spark, sf)
+    p = G.fit_params(train)
+    aggs = H.fit_group_stats(G.apply_params(train, p))
+    pnl = D.panel(spark, sf).filter(F.col("fecha_dato") == F.lit(_SLICE_DATE).cast("date"))
+    requests = A.ingest_profiles(pnl.select(F.to_json(F.struct(
+        "ncodpers", "age", F.col("fecha_alta").cast("string").alias("fecha_alta"), "antiguedad",
+        "renta", "segmento", "pais_residencia", "canal_entrada")).alias("value")))
+    ok = requests.filter("status = 'ok'").drop("status", "reason")
+    A.check_profile_columns(ok)
+    flags = pnl.select("ncodpers", *PRODUCTS)
+    lookup = pnl.select("ncodpers", product_name_expr(F.array_max("owned")).alias(cf.FEATURE))
+    rows = cf.serving_join(ok.join(flags, "ncodpers", "left"), lookup)
+    feats = H.add_features(G.apply_params(rows, p), aggs)
+    return feats.select("ncodpers", "age_interval", "fecha_alta", cf.FEATURE,
+                        F.col("antiguedad").cast("int").alias("antiguedad"),
+                        F.round("renta_vs_country_mean", 6).alias("renta_vs_country_mean"))
+
+
+@register("h7_feature_types")
+def h7_feature_types(spark, sf):
+    out, _, train = _applied(spark, sf)
+    fitted = G.apply_params(train, G.fit_params(train))
+    feats = H.add_features(fitted, H.fit_group_stats(fitted))
+    return H.feature_types(feats, H.NUMERIC_FEATURES + ["total_products", "age"])
+
+
+@register("i2_feature_selection")
+def i2_feature_selection(spark, sf):
+    from pyspark.ml import Pipeline
+    mx = T.build_matrices(spark, sf)
+    enc = Pipeline(stages=M.encoder_stages(mx.spec)).fit(mx.train)
+    encoded = M.with_weights(enc.transform(mx.train))
+    slicer = M.select_features(encoded)
+    return spark.createDataFrame([(len(slicer.getIndices()),)], "kept_features int")
+
+
+@register("a8_report_sink")
+def a8_report_sink(spark, sf):
+    """A report table written as one CSV with a header and read back."""
+    from ..session import scratch_path
+    import uuid
+    path = scratch_path(spark, f"report-{uuid.uuid4().hex}")
+    rep = B.penetration(D.panel(spark, sf))
+    A.write_report(rep, path)
+    return spark.read.option("header", True).schema(rep.schema).csv(path)
+
+
+@register("a10_run_passport")
+def a10_run_passport(spark, sf):
+    mx = T.build_matrices(spark, sf)
+    _, _, summary, _ = _variant_row(mx, "forest", FOREST_PARAMS, "random_forest")
+    return A.passport(spark, summary.drop("variant"),
+                      {"model": "random_forest", "protocol": "calendar",
+                       "cutoff": P.TEST_CUTOFF.isoformat(), "classes": len(mx.classes)})

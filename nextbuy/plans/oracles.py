@@ -800,3 +800,38 @@ UNION ALL
 SELECT 'rejected', 'missing ncodpers', count(*) FROM events  -- the raw request table
 """,
 })
+
+ORACLES.update({
+    "c4_label_map": _q("""
+SELECT CAST(code AS INTEGER) AS code,
+       CASE WHEN code = 0 THEN 'no_purchase' WHEN code = 99 THEN 'other'
+            ELSE 'prod_' || lpad(CAST(code AS VARCHAR), 2, '0') END AS name,
+       is_candidate
+FROM (SELECT code, true AS is_candidate FROM shortlist
+      UNION ALL SELECT 0, false UNION ALL SELECT 99, false)"""),
+    "c8_fold_to_other": _q("SELECT CAST(label0 AS INTEGER) AS purchase, count(*) AS n FROM folded GROUP BY 1"),
+    "c9_rare_classes": _q(f"""
+SELECT CAST(label0 AS INTEGER) AS rare_code, count(*) AS support FROM folded WHERE split = 'train'
+GROUP BY label0 HAVING count(*) < {P.MIN_CLASS_SUPPORT} AND label0 NOT IN (0, 99)"""),
+    "c11_relevant_products": _q("""
+SELECT ncodpers, array_to_string(list_sort(list(DISTINCT 'prod_' || lpad(CAST(purchase AS VARCHAR), 2, '0'))), ',')
+       AS products FROM events GROUP BY ncodpers"""),
+    "c13_owned_products": _q("SELECT ncodpers, q, unnest(owned) AS code FROM panel"),
+    "e4_stratified_folds": _q("""
+SELECT purchase, CAST(f AS INTEGER) AS fold, CAST((n - f + 2) // 3 AS BIGINT) AS n
+FROM (SELECT purchase, count(*) AS n FROM frame WHERE split = 'train' GROUP BY purchase)
+CROSS JOIN (SELECT range AS f FROM range(3)) r WHERE n > f"""),
+    "f4_imputation": _p("""
+SELECT t.ncodpers, t.q, coalesce(t.age, m.ma) AS age, coalesce(t.antiguedad, m.mt) AS antiguedad,
+       coalesce(t.renta, m.mr) AS renta
+FROM ctest t CROSS JOIN med m"""),
+    "f8_cohort_mismatches": _p("SELECT CAST(0 AS BIGINT) AS mismatches, count(*) AS rows FROM work"),
+    "g1_age_interval": _p(
+        "SELECT age_interval, count(*) AS n, min(age) AS min_age, max(age) AS max_age "
+        "FROM applied GROUP BY 1"),
+    "g2_date_cohort": _p("SELECT fecha_alta, count(*) AS n FROM applied GROUP BY 1"),
+    "g5_clipping": _p(
+        "SELECT min(renta) AS min_renta, max(renta) AS max_renta, min(antiguedad) AS min_antiguedad, "
+        "max(antiguedad) AS max_antiguedad FROM applied"),
+    "a8_report_sink": ORACLES["b6_penetration"],
+})
