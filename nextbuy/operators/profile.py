@@ -170,3 +170,44 @@ def column_dictionary(spark) -> DataFrame:
     """(column, label) dimension; product flags are labelled by their code."""
     rows = list(COLUMN_LABELS.items()) + [(p, f"owns product {p[-2:]}") for p in PRODUCTS]
     return spark.createDataFrame(rows, "column string, label string")
+
+
+def near_duplicates(df: DataFrame, col: str, threshold: float = 0.8) -> DataFrame:
+    """For each distinct value, its most similar other value with
+    similarity = 1 - levenshtein / max(length) >= ``threshold``.
+
+    Exact blocking instead of a cross product: if two values qualify, their
+    edit distance is at most d = floor(len(a) / 4) (threshold 0.8), and
+    splitting ``a`` into d + 1 pieces leaves at least one piece intact inside
+    ``b`` (pigeonhole).  So candidates come from an equi-join of a's pieces
+    with b's substrings of the piece lengths; only those pairs get a
+    levenshtein check.  (Not difflib's ratio: the score is edit-distance based.)
+    """
+    if threshold < 0.8:
+        raise ValueError("blocking is derived for threshold >= 0.8")
+    vals = df.select(F.col(col).cast("string").alias("v")).where(F.col("v").isNotNull()) \
+        .distinct().select("v", F.length("v").alias("n"))
+    k = (F.floor(F.col("n") / 4) + 1).cast("int")          # pieces per value
+    pieces = vals.select("v", "n", F.explode(F.expr(
+        "transform(sequence(0, cast(floor(n / 4) as int)), i -> named_struct("
+        "'start', cast(i * floor(n / (floor(n / 4) + 1)) + least(i, n % (floor(n / 4) + 1)) + 1 as int),"
+        "'size', cast(floor(n / (floor(n / 4) + 1)) + if(i < n % (floor(n / 4) + 1), 1, 0) as int)))"
+    )).alias("p")).select(F.col("v").alias("a"), F.col("n").alias("na"),
+                          F.expr("substring(v, p.start, p.size)").alias("piece"),
+                          F.col("p.size").alias("size"))
+    del k
+    sizes = [r[0] for r in pieces.select("size").distinct().collect()]  # <= max value length
+    subs = vals.select(F.col("v").alias("b"), F.col("n").alias("nb"), F.explode(F.array(*[
+        F.expr(f"transform(sequence(1, greatest(n - {s} + 1, 1)), i -> substring(v, i, {s}))")
+        for s in sizes])).alias("subs")).select("b", "nb", F.explode("subs").alias("piece"))
+    cand = (pieces.join(subs, "piece")
+            .where((F.col("a") != F.col("b")) &
+                   (F.abs(F.col("na") - F.col("nb")) <= F.floor(F.col("na") / 4)))
+            .select("a", "b", "na", "nb").distinct())
+    scored = cand.select("a", "b", (1 - F.levenshtein("a", "b") /
+                                    F.greatest("na", "nb")).alias("similarity"))
+    good = scored.where(F.col("similarity") >= threshold)
+    w = Window.partitionBy("a").orderBy(F.col("similarity").desc(), F.col("b").desc())
+    return good.select(F.col("a").alias("value"), F.col("b").alias("match"),
+                       F.round("similarity", 9).alias("similarity"),
+                       F.row_number().over(w).alias("_r")).where("_r = 1").drop("_r")

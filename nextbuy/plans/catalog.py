@@ -1001,3 +1001,8 @@ def a10_run_passport(spark, sf):
     return A.passport(spark, summary.drop("variant"),
                       {"model": "random_forest", "protocol": "calendar",
                        "cutoff": P.TEST_CUTOFF.isoformat(), "classes": len(mx.classes)})
+
+
+@register("b12_near_duplicates")
+def b12_near_duplicates(spark, sf):
+    return B.near_duplicates(table(spark, sf, "part", "p_brand"), "p_brand", 0.8)

@@ -835,3 +835,12 @@ FROM ctest t CROSS JOIN med m"""),
         "max(antiguedad) AS max_antiguedad FROM applied"),
     "a8_report_sink": ORACLES["b6_penetration"],
 })
+
+ORACLES["b12_near_duplicates"] = """
+WITH v AS (SELECT DISTINCT p_brand AS v FROM part WHERE p_brand IS NOT NULL),
+s AS (SELECT a.v AS a, b.v AS b,
+             1 - levenshtein(a.v, b.v) / greatest(length(a.v), length(b.v)) AS sim
+      FROM v a CROSS JOIN v b WHERE a.v <> b.v)
+SELECT a AS value, b AS match, round(sim, 9) AS similarity FROM (
+  SELECT *, row_number() OVER (PARTITION BY a ORDER BY sim DESC, b DESC) AS r FROM s WHERE sim >= 0.8)
+WHERE r = 1"""
