@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..products import PRODUCTS, TENURE_MISSING
+from .quantiles import exact_quantiles
 
 MEDIAN_COLUMNS = ("age", "antiguedad", "renta")
 MODES_EXCLUDED = frozenset({"age", "antiguedad", "fecha_dato", "ncodpers", "renta", "q",
@@ -306,13 +307,13 @@ def drift_reference(df: DataFrame, columns=MEDIAN_COLUMNS, n_bins: int = 10) ->
         return {}
     probs = [i / n_bins for i in range(n_bins + 1)]
     valid = {c: F.when(~F.isnan(F.col(c)), F.col(c)) for c in present}
-    row = df.agg(*[F.percentile(valid[c], probs).alias(f"q_{c}") for c in present],
-                 *[F.count_distinct(valid[c]).alias(f"n_{c}") for c in present]).collect()[0]
+    row = df.agg(*[F.count_distinct(valid[c]).alias(f"n_{c}") for c in present]).collect()[0]
     specs = {}
     for c in present:
-        if row[f"n_{c}"] is None or row[f"n_{c}"] < 2 or row[f"q_{c}"] is None:
+        if row[f"n_{c}"] is None or row[f"n_{c}"] < 2:
             continue
-        edges = sorted(set(float(e) for e in row[f"q_{c}"]))
+        qs = exact_quantiles(df, valid[c], probs)
+        edges = sorted(set(float(e) for e in qs))
         if len(edges) < 3:
             continue
         specs[c] = edges
@@ -350,9 +351,12 @@ def fit_params(fit_df: DataFrame, *, rare_threshold: float = 0.01, n_age_interva
     try:
         mcols = mode_columns(df)
         med_cols = [c for c in MEDIAN_COLUMNS if c in df.columns]
-        row = df.agg(*[F.median(c).alias(f"med_{c}") for c in med_cols],
-                     *[F.mode(c, True).alias(f"mode_{c}") for c in mcols]).collect()[0]
-        medians = {c: float(row[f"med_{c}"]) for c in med_cols if row[f"med_{c}"] is not None}
+        row = df.agg(*[F.mode(c, True).alias(f"mode_{c}") for c in mcols]).collect()[0]
+        medians = {}
+        for c in med_cols:
+            m = exact_quantiles(df, c, [0.5])[0]
+            if m is not None:
+                medians[c] = float(m)
         modes = {}
         for c in mcols:
             v = row[f"mode_{c}"]
@@ -381,9 +385,11 @@ def fit_params(fit_df: DataFrame, *, rare_threshold: float = 0.01, n_age_interva
         for r in rare.collect():
             replacer[r["column"]][r["value"]] = "other"
         clip_cols = [c for c in CLIP_COLUMNS if c in work.columns]
-        qrow = work.agg(*[F.percentile(c, list(clip_quantiles)).alias(c)
-                          for c in clip_cols]).collect()[0]
-        clip = {c: [float(qrow[c][0]), float(qrow[c][1])] for c in clip_cols}
+        clip = {}
+        for c in clip_cols:
+            lo, hi = exact_quantiles(work, c, list(clip_quantiles))
+            if lo is not None:
+                clip[c] = [float(lo), float(hi)]
         drift = drift_reference(df, drift_columns, drift_bins)
     finally:
         df.unpersist()

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.quantiles import exact_quantiles
 from ..products import PRODUCTS
 
 # Human labels of the panel columns (column dictionary).
@@ -63,11 +64,12 @@ def numeric_summary(df: DataFrame, columns: list[str]) -> DataFrame:
                  F.avg(x).alias(f"{c}__mean"), F.skewness(x).alias(f"{c}__skew"),
                  F.kurtosis(x).alias(f"{c}__kurt"), F.count(x).alias(f"{c}__count"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 F.percentile(x, probs).alias(f"{c}__p"), F.max(x).alias(f"{c}__max")]
+                 F.max(x).alias(f"{c}__max")]
     row = df.agg(*aggs)
     parts = []
     for c in columns:
-        p = F.col(f"{c}__p")
+        qs = exact_quantiles(df, c, probs)  # exact, without a one-task value map
+        p = F.array(*[F.lit(q).cast("double") for q in qs])
         parts.append(row.select(
             F.lit(c).alias("column"), F.col(f"{c}__nunique").alias("n_unique"),
             F.col(f"{c}__nulls").alias("nulls"),

@@ -197,6 +197,7 @@ def j4_baseline_comparison(spark, sf):
 
 from ..functions import features as H  # noqa: E402
 from ..functions import prep as G  # noqa: E402
+from ..functions.quantiles import exact_quantiles  # noqa: E402
 from ..operators import splits as S  # noqa: E402
 
 _PROFILE = ["ncodpers", "q", "age", "antiguedad", "renta"]
@@ -216,7 +217,9 @@ def f1_coerce_numeric(spark, sf):
 def f2_medians(spark, sf):
     train, _ = _fit_input(spark, sf)
     df = G.coerce_numeric(train)
-    return df.agg(*[F.median(c).alias(f"median_{c}") for c in G.MEDIAN_COLUMNS])
+    meds = [exact_quantiles(df, c, [0.5])[0] for c in G.MEDIAN_COLUMNS]
+    return spark.createDataFrame([tuple(meds)], ", ".join(f"median_{c} double"
+                                                           for c in G.MEDIAN_COLUMNS))
 
 
 @register("f3_modes")
@@ -266,10 +269,9 @@ def f9_rare_values(spark, sf):
 
 @register("f10_clip_bounds")
 def f10_clip_bounds(spark, sf):
-    work, _ = _filled_train(spark, sf)
-    q = work.agg(*[F.percentile(c, [0.01, 0.96]).alias(c) for c in G.CLIP_COLUMNS])
-    return q.unpivot([], list(G.CLIP_COLUMNS), "column", "b").select(
-        "column", F.round(F.col("b")[0], 6).alias("lo"), F.round(F.col("b")[1], 6).alias("hi"))
+    _, p = _filled_train(spark, sf)
+    rows = [(c, round(lo, 6), round(hi, 6)) for c, (lo, hi) in p.clip_bounds.items()]
+    return spark.createDataFrame(rows, "column string, lo double, hi double")
 
 
 @register("f11_drift_reference")
