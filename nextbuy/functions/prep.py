@@ -276,9 +276,10 @@ def rare_values(df: DataFrame, columns: list[str], threshold: float = 0.01) -> D
                  F.coalesce(F.col(c).cast("string"), F.lit("nan")).alias("value"))
         for c in columns])).alias("kv")).select("kv.column", "kv.value")
     counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    share = F.col("n") / F.sum("n").over(Window.partitionBy("column"))
-    return counts.select("column", "value", share.alias("share")).filter(
-        F.col("share") < threshold)
+    totals = counts.groupBy("column").agg(F.sum("n").alias("_total"))  # one row per column
+    share = F.col("n") / F.col("_total")
+    return counts.join(F.broadcast(totals), "column").select(
+        "column", "value", share.alias("share")).filter(F.col("share") < threshold)
 
 
 def fold_rare_expr(col: str, mapping: dict[str, str]) -> Column:

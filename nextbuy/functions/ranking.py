@@ -239,22 +239,37 @@ def one_vs_rest_long(df: DataFrame, label: str, scores: str, classes: Sequence[i
         (F.col("_y") == F.col("p.cls")).alias("pos"))
 
 
+SCORE_BUCKETS = 1024
+
+
 def binary_curves(long: DataFrame) -> DataFrame:
     """Per class: support, n, ROC-AUC (ties count one half) and average precision.
 
-    Rows are first grouped by (class, score); the running sums then run over
-    distinct scores of each class.
+    Rows are first grouped by (class, score).  The running sums over scores
+    (descending) are then computed in two levels so no task holds a whole
+    class: scores are cut into ``SCORE_BUCKETS`` monotone buckets, a
+    (class, bucket) table - at most classes x buckets rows, broadcast - gives
+    each bucket's offset, and the window runs only inside a (class, bucket).
     """
     g = long.groupBy("class", "score").agg(
         F.count_if("pos").alias("tp"), F.count_if(~F.col("pos")).alias("fp"))
-    w_desc = Window.partitionBy("class").orderBy(F.col("score").desc()).rowsBetween(
+    bucket = F.least(F.greatest(F.floor(F.col("score") * SCORE_BUCKETS), F.lit(0)),
+                     F.lit(SCORE_BUCKETS - 1)).cast("int")
+    g = g.withColumn("_b", bucket)
+    per_b = g.groupBy("class", "_b").agg(F.sum("tp").alias("btp"), F.sum("fp").alias("bfp"))
+    above = Window.partitionBy("class").orderBy(F.col("_b").desc()).rowsBetween(
+        Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("class")
+    offsets = per_b.select(
+        "class", "_b",
+        F.coalesce(F.sum("btp").over(above), F.lit(0)).alias("otp"),
+        F.coalesce(F.sum("bfp").over(above), F.lit(0)).alias("ofp"),
+        F.sum("btp").over(whole).alias("P"), F.sum("bfp").over(whole).alias("N"))
+    inner = Window.partitionBy("class", "_b").orderBy(F.col("score").desc()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    w_cls = Window.partitionBy("class")
-    cum = g.select("*",
-                   F.sum("tp").over(w_desc).alias("ctp"),
-                   F.sum("fp").over(w_desc).alias("cfp"),
-                   F.sum("tp").over(w_cls).alias("P"),
-                   F.sum("fp").over(w_cls).alias("N"))
+    cum = g.join(F.broadcast(offsets), ["class", "_b"]).select(
+        "*", (F.col("otp") + F.sum("tp").over(inner)).alias("ctp"),
+        (F.col("ofp") + F.sum("fp").over(inner)).alias("cfp"))
     # negatives strictly below this score = N - (negatives at or above it)
     below = F.col("N") - F.col("cfp")
     return cum.groupBy("class").agg(

@@ -126,9 +126,11 @@ def value_shares(df: DataFrame, columns: list[str]) -> DataFrame:
         F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
         for c in columns])).alias("kv")).select("kv.column", "kv.value")
     counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    return counts.select("column", "value", "n",
-                         (F.col("n") / F.sum("n").over(Window.partitionBy("column"))).alias(
-                             "share"))
+    # per-column totals: one row per column, broadcast back (a window per column
+    # would put every distinct value of a column into one task)
+    totals = counts.groupBy("column").agg(F.sum("n").alias("_total"))
+    return counts.join(F.broadcast(totals), "column").select(
+        "column", "value", "n", (F.col("n") / F.col("_total")).alias("share"))
 
 
 def exact_duplicates(df: DataFrame) -> DataFrame:
