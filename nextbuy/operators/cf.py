@@ -4,23 +4,31 @@
   hash buckets + per-bucket offsets, the same two-level trick as the splits.
 * Interactions are (user, item, count) - repeated purchases add up.
 * Scoring never cross-joins users and items: the item factors (one row per
-  product, bounded by the catalogue) are read back as literal vectors, and
-  each user's scores are an in-row dot product; owned products are masked
-  in-row and the best remaining item is an ``array_sort`` pick.
+  product, bounded by the catalogue) are collected and shipped with the
+  scoring function, and users are scored in Arrow batches (``mapInPandas``: one numpy matmul of the
+  batch's user factors by the item matrix), owned products masked, best
+  remaining items picked by a stable sort.  Written as Spark expressions,
+  25 items x rank dot products overflow the 64 KB generated-method limit
+  (the stage fails to compile and falls back to interpreted evaluation).
 * The walk-forward feature fits one model per snapshot on strictly earlier
   events; each snapshot's rows are written to the checkpoint directory
   (``spark.checkpoint.dir``) so the final union reads files, not a lineage
   of 30 model fits, and a lost executor only recomputes one snapshot.
+  Refit segments are independent and run as concurrent jobs.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
+
+import numpy as np
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..products import N_PRODUCTS, product_name_expr
 from ..session import materialize, scratch_path
@@ -51,13 +59,24 @@ def interactions(events: DataFrame, codes: DataFrame) -> DataFrame:
     return g.join(codes, "ncodpers").select("user_code", "item", "rating")
 
 
+def als_blocks(inter: DataFrame, ratings_per_block: int = 200_000) -> int:
+    """User blocks for ALS: one per ``ratings_per_block`` ratings, at most the
+    cluster's default parallelism (one counting job over the ratings)."""
+    n = inter.count()
+    cap = max(1, inter.sparkSession.sparkContext.defaultParallelism)
+    return int(max(1, min(cap, -(-n // ratings_per_block))))
+
+
 def fit_als(inter: DataFrame, rank: int = 50, max_iter: int = 50, reg: float = 0.05,
-            seed: int = 0, user_blocks: int = 10) -> ALSModel:
+            seed: int = 0, user_blocks: int | None = None) -> ALSModel:
     """D3: implicit-feedback ALS (values differ from other solvers' scaling).
 
     Items are the product catalogue (tens of rows), so they form one block;
-    users are split into ``user_blocks`` blocks (raise it with the client count).
+    users are split into ``user_blocks`` blocks (default: sized from the
+    number of ratings, see ``als_blocks``).
     """
+    if user_blocks is None:
+        user_blocks = als_blocks(inter)
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, implicitPrefs=True, seed=seed,
               userCol="user_code", itemCol="item", ratingCol="rating",
               coldStartStrategy="drop", nonnegative=False,
@@ -73,56 +92,106 @@ def item_vectors(model: ALSModel) -> dict[int, list[float]]:
     return {int(r["id"]): [float(x) for x in r["features"]] for r in rows}
 
 
-def _dot(user_vec: Column, item_vec: list[float]) -> Column:
-    lit_vec = F.array(*[F.lit(x) for x in item_vec])
-    return F.aggregate(F.zip_with(user_vec, lit_vec, lambda a, b: a * b),
-                       F.lit(0.0).cast("double"), lambda acc, x: acc + x)
+def _score_batches(items: dict[int, list[float]], exclude_col: str, k: int):
+    """Arrow-batch scorer: user factors (n x r) @ item factors (r x m) with numpy.
 
-
-def ranked_items(user_vec: Column, items: dict[int, list[float]], exclude: Column) -> Column:
-    """Items not in ``exclude`` by score descending, ties -> lowest code (array<struct>)."""
-    entries = F.array(*[F.struct((-_dot(user_vec, vec)).alias("neg"), F.lit(code).alias("code"))
-                        for code, vec in sorted(items.items())])
-    kept = F.filter(entries, lambda e: ~F.array_contains(exclude, e["code"]))
-    return F.array_sort(kept)
+    Excluded items are masked to -inf; items are ordered by code, so a stable
+    descending sort breaks score ties toward the lowest code.  Emits the
+    input columns plus ``_codes`` (best first, at most ``k``) and ``_scores``.
+    """
+    codes = np.array(sorted(items), dtype=np.int64)
+    mat = np.array([items[c] for c in codes], dtype=np.float64)          # m x r
+    pos = np.full(int(codes.max()) + 2, -1, dtype=np.int64)
+    pos[codes] = np.arange(len(codes))
+
+    def run(batches):
+        for pdf in batches:
+            n = len(pdf)
+            uf = pdf["_uf"]
+            has = uf.notna().to_numpy()
+            users = np.zeros((n, mat.shape[1]), dtype=np.float64)
+            if has.any():
+                users[has] = np.stack(uf[has].to_numpy()).astype(np.float64)
+            scores = users @ mat.T                                      # n x m
+            ex = pdf[exclude_col]
+            lens = ex.map(lambda a: 0 if a is None else len(a)).to_numpy()
+            if lens.sum():
+                flat = np.concatenate([a for a in ex.to_numpy() if a is not None and len(a)])
+                rows = np.repeat(np.arange(n), lens)
+                ok = (flat >= 0) & (flat < len(pos))
+                cols = np.where(ok, pos[np.clip(flat, 0, len(pos) - 1)], -1)
+                keep = cols >= 0
+                scores[rows[keep], cols[keep]] = -np.inf
+            order = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+            top = np.take_along_axis(scores, order, axis=1)
+            out_codes, out_scores = [], []
+            for i in range(n):
+                if not has[i]:
+                    out_codes.append(None)
+                    out_scores.append(None)
+                    continue
+                live = np.isfinite(top[i])
+                out_codes.append(codes[order[i][live]])
+                out_scores.append(top[i][live])
+            yield pdf.drop(columns=["_uf"]).assign(_codes=out_codes, _scores=out_scores)
+    return run
+
+
+def score_items(rows: DataFrame, model: ALSModel, exclude_col: str, k: int) -> DataFrame:
+    """Rows (with ``user_code`` and an ``exclude_col`` int array) -> ``_codes`` /
+    ``_scores``: the best ``k`` items not excluded, NULL for users without factors.
+
+    The only driver-side data is the item factor matrix (bounded by the product
+    catalogue); the rows stay in their Spark partitions (no shuffle beyond the
+    join with the user factors) and are scored in Arrow batches.
+    """
+    items = item_vectors(model)
+    uf = model.userFactors.select(F.col("id").alias("user_code"), F.col("features").alias("_uf"))
+    joined = rows.join(uf, "user_code", "left")
+    schema = T.StructType(
+        [f for f in joined.schema.fields if f.name != "_uf"]
+        + [T.StructField("_codes", T.ArrayType(T.LongType())),
+           T.StructField("_scores", T.ArrayType(T.DoubleType()))])
+    return joined.mapInPandas(_score_batches(items, exclude_col, k), schema)
 
 
 def top1(rows: DataFrame, model: ALSModel, owned_col: str = "owned") -> DataFrame:
     """Best item per row, products currently owned masked.
 
-    Rows need ``user_code`` and the owned array; users without factors get
-    NULL (caller maps to '0').
+    Rows need ``user_code`` and the owned array; users without factors (and
+    rows with every item owned) get NULL (caller maps to '0').  Score ties
+    go to the lowest product code.
     """
-    items = item_vectors(model)
-    uf = model.userFactors.select(F.col("id").alias("user_code"), F.col("features").alias("_uf"))
-    joined = rows.join(uf, "user_code", "left")
-    best = ranked_items(F.col("_uf"), items,
-                        F.coalesce(F.col(owned_col), F.array().cast("array<int>"))).getItem(0)
-    return joined.select(
-        *[c for c in rows.columns],
-        F.when(F.col("_uf").isNotNull(), product_name_expr(best["code"])).alias(FEATURE),
-        F.when(F.col("_uf").isNotNull(), -best["neg"]).alias("recommended_score")).drop("_uf")
+    scored = score_items(rows, model, owned_col, 1)
+    return scored.select(
+        *rows.columns,
+        product_name_expr(F.get(F.col("_codes"), 0)).alias(FEATURE),
+        F.get(F.col("_scores"), 0).alias("recommended_score"))
 
 
 def topk_lists(users: DataFrame, model: ALSModel, history: DataFrame, k: int) -> DataFrame:
     """Top-k product names per user, excluding products in the user's history."""
-    items = item_vectors(model)
     hist = history.groupBy("user_code").agg(F.collect_set("item").alias("_hist"))
-    uf = model.userFactors.select(F.col("id").alias("user_code"), F.col("features").alias("_uf"))
-    j = users.join(uf, "user_code").join(hist, "user_code", "left")
-    ranked = ranked_items(F.col("_uf"), items,
-                          F.coalesce(F.col("_hist"), F.array().cast("array<int>")))
-    names = F.transform(F.slice(ranked, 1, k), lambda e: product_name_expr(e["code"]))
-    return j.select(*users.columns, names.alias("recommended"))
+    uf_users = model.userFactors.select(F.col("id").alias("user_code"))
+    j = users.join(uf_users, "user_code", "left_semi").join(hist, "user_code", "left")
+    scored = score_items(j, model, "_hist", k)
+    names = F.transform(F.col("_codes"), lambda c: product_name_expr(c))
+    return scored.select(*users.columns, names.alias("recommended"))
 
 
 def walk_forward(panel: DataFrame, events: DataFrame, codes: DataFrame,
                  snapshots: list[_dt.date] | None = None, refit_every: int = 1,
-                 rank: int = 50, max_iter: int = 50, reg: float = 0.05, seed: int = 0
-                 ) -> DataFrame:
+                 rank: int = 50, max_iter: int = 50, reg: float = 0.05, seed: int = 0,
+                 parallel_fits: int = 4) -> DataFrame:
     """Per snapshot t, a model fitted on events strictly before t scores the
     state at t.  Snapshots without history are skipped; between refits the last
-    model (fitted on no later history) is reused."""
+    model (fitted on no later history) is reused.
+
+    Segments are independent (each fit reads only earlier events), so up to
+    ``parallel_fits`` of them run as concurrent Spark jobs: an ALS fit is a
+    chain of small stages, and concurrent jobs fill the executors between them.
+    Each segment writes its own directory under the checkpoint folder.
+    """
     spark = panel.sparkSession
     dates = [r[0] for r in panel.select("fecha_dato").distinct().orderBy("fecha_dato").collect()]
     if snapshots is not None:
@@ -144,19 +213,24 @@ def walk_forward(panel: DataFrame, events: DataFrame, codes: DataFrame,
             segments.append([snap])
         else:
             segments[-1].append(snap)
-    written = False
-    for seg in segments:
+    if not segments:
+        return spark.createDataFrame(
+            [], f"ncodpers long, snapshot_date date, {FEATURE} string, recommended_score double")
+
+    def run(i_seg: tuple[int, list[_dt.date]]) -> str:
+        i, seg = i_seg
         hist = events.filter(F.col("fecha_dato") < F.lit(seg[0]))
         model = fit_als(interactions(hist, codes), rank, max_iter, reg, seed)
         rows = coded_panel.filter(F.col("fecha_dato").isin(seg))  # partition pruning
         scored = top1(rows, model).select("ncodpers", F.col("fecha_dato").alias("snapshot_date"),
                                           FEATURE, "recommended_score")
-        scored.write.mode("append").parquet(out_dir)
-        written = True
-    if not written:
-        return spark.createDataFrame(
-            [], f"ncodpers long, snapshot_date date, {FEATURE} string, recommended_score double")
-    return spark.read.parquet(out_dir)
+        path = f"{out_dir}/segment-{i:04d}"
+        scored.write.mode("overwrite").parquet(path)
+        return path
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel_fits)) as pool:
+        paths = list(pool.map(run, enumerate(segments)))
+    return spark.read.parquet(*paths)
 
 
 def latest_lookup(lookup: DataFrame) -> DataFrame:
