@@ -18,10 +18,10 @@ tables have no such panel, so it is derived deterministically:
 
 Plan shape: lineitem joins orders on the order key and part on the part key
 (sort-merge or, when AQE measures the part side under the broadcast
-threshold, broadcast); the (client, quarter, brand) cells are aggregated with
-a map-side partial aggregate before the shuffle, so a client holding a third
-of all order lines still ships at most one row per brand and quarter from
-each map task.  Profiles are per-client aggregates joined on the client key.
+threshold, broadcast); the brands bought per (client, quarter) are OR-ed into a
+64-bit mask with a map-side partial aggregate before the shuffle, so a client
+holding a third of all order lines still ships at most one row per quarter
+from each map task.  Profiles are per-client aggregates joined on the client key.
 """
 
 from __future__ import annotations
@@ -29,11 +29,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..products import PRODUCT_CODES, PRODUCTS, TENURE_MISSING
+from ..products import N_PRODUCTS, PRODUCT_CODES, PRODUCTS, TENURE_MISSING
 from .tables import table
 
 BASE_YEAR = 1995
 OWNERSHIP_QUARTERS = 4
+assert N_PRODUCTS <= 62, "brand masks are 64-bit"
 
 PROFILE_COLUMNS = ["age", "fecha_alta", "antiguedad", "renta", "segmento",
                    "pais_residencia", "canal_entrada"]
@@ -52,24 +53,44 @@ def quarter_start(q: Column) -> Column:
 
 
 def owned_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(ncodpers, q, owned array<int>) - sorted brand codes held in quarter q."""
+    """(ncodpers, q, mask) - bit ``c`` of ``mask`` set when brand ``c`` is held in q.
+
+    Ownership is a 64-bit brand mask combined with ``bit_or``: a primitive
+    aggregate with a map-side partial step, one row per (client, quarter)
+    instead of one per (client, quarter, brand).  Brands outside the product
+    catalogue are not products and are ignored.
+    """
     orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     lineitem = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey")
-    brand = table(spark, sf_dir, "part", "p_partkey", "p_brand").select(
-        F.col("p_partkey").alias("l_partkey"),
-        F.substring("p_brand", 7, 3).cast("int").alias("code"))
+    code = F.substring("p_brand", 7, 3).cast("int")
+    brand = (table(spark, sf_dir, "part", "p_partkey", "p_brand")
+             .filter(code.between(1, N_PRODUCTS))
+             .select(F.col("p_partkey").alias("l_partkey"),
+                     F.call_function("shiftleft", F.lit(1).cast("bigint"), code).alias("bit")))
     lines = (lineitem
              .join(orders, lineitem.l_orderkey == orders.o_orderkey)
              .join(brand, "l_partkey")
              .select(F.col("o_custkey").alias("ncodpers"),
-                     quarter_index(F.col("o_orderdate")).alias("q0"), "code"))
-    bought = lines.distinct()  # partial (map-side) dedupe before the shuffle
+                     quarter_index(F.col("o_orderdate")).alias("q0"), "bit"))
+    # brands bought per (client, quarter): partial aggregate before the shuffle
+    bought = lines.groupBy("ncodpers", "q0").agg(F.bit_or("bit").alias("m0"))
     return (bought
-            .select("ncodpers", "code",
+            .select("ncodpers", "m0",
                     F.explode(F.sequence(F.col("q0"),
                                          F.col("q0") + OWNERSHIP_QUARTERS - 1)).alias("q"))
             .groupBy("ncodpers", "q")
-            .agg(F.array_sort(F.collect_set("code")).alias("owned")))
+            .agg(F.bit_or("m0").alias("mask")))
+
+
+def holds(mask: Column, code: int) -> Column:
+    """1 when brand ``code`` is set in ``mask``, else 0."""
+    return F.shiftright(mask, code).bitwiseAND(F.lit(1)).cast("int")
+
+
+def owned_array(mask: Column) -> Column:
+    """Sorted brand codes set in ``mask`` (array<int>, built without lambdas)."""
+    slots = F.array(*[F.when(holds(mask, c) == 1, F.lit(c)) for c in PRODUCT_CODES])
+    return F.array_except(slots, F.array(F.lit(None).cast("int")))
 
 
 def client_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +115,7 @@ def build_panel(spark: SparkSession, sf_dir: str, with_owned: bool = True) -> Da
     prof = client_profiles(spark, sf_dir)
     key = F.col("ncodpers")
     first_q = quarter_index(F.col("first_ts"))
-    flags = [F.array_contains("owned", code).cast("int").alias(name)
+    flags = [holds(F.col("mask"), code).alias(name)
              for code, name in zip(PRODUCT_CODES, PRODUCTS)]
     cols = [
         "ncodpers",
@@ -113,7 +134,7 @@ def build_panel(spark: SparkSession, sf_dir: str, with_owned: bool = True) -> Da
         *flags,
     ]
     if with_owned:
-        cols.append("owned")
+        cols.append(owned_array(F.col("mask")).alias("owned"))
     return cells.join(prof, "ncodpers").select(*cols)
 
 
@@ -134,6 +155,7 @@ adapter_lines AS (
   FROM lineitem l
   JOIN orders o ON l.l_orderkey = o.o_orderkey
   JOIN part p ON p.p_partkey = l.l_partkey
+  WHERE CAST(substr(p.p_brand, 7) AS INTEGER) BETWEEN 1 AND {N_PRODUCTS}
 ),
 adapter_cells AS (
   SELECT DISTINCT ncodpers, CAST(q0 + k AS INTEGER) AS q, code
