@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..products import PRODUCTS, TENURE_MISSING
-from .quantiles import exact_quantiles
+from .quantiles import exact_quantiles, exact_quantiles_many
 
 MEDIAN_COLUMNS = ("age", "antiguedad", "renta")
 MODES_EXCLUDED = frozenset({"age", "antiguedad", "fecha_dato", "ncodpers", "renta", "q",
@@ -171,13 +171,12 @@ def date_cohort_spec(df: DataFrame, col: str, max_cohorts: int = 12) -> dict:
     mode ``raw``.
     """
     d = as_date(F.col(col))
-    base_row = df.agg(F.min(d).alias("base")).collect()[0]
-    if base_row["base"] is None:
+    stats = df.agg(F.min(d).alias("base"), F.count_distinct(d).alias("nd"),
+                   F.count_if(d.isNull()).alias("nnull")).collect()[0]
+    if stats["base"] is None:
         return {"mode": "raw"}
-    base = base_row["base"]
+    base = stats["base"]
     days = F.datediff(d, F.lit(base))
-    stats = df.agg(F.count_distinct(days).alias("nd"), F.count_if(d.isNull()).alias("nnull")
-                   ).collect()[0]
     n = min(max_cohorts, int(stats["nd"]))
     if n < 1:
         return {"mode": "raw"}
@@ -297,23 +296,26 @@ def clip_expr(col: str, lo: float, hi: float) -> Column:
     return F.when(c < lo, F.lit(float(lo))).when(c > hi, F.lit(float(hi))).otherwise(c)
 
 
-def drift_reference(df: DataFrame, columns=MEDIAN_COLUMNS, n_bins: int = 10) -> dict:
+def drift_reference(df: DataFrame, columns=MEDIAN_COLUMNS, n_bins: int = 10,
+                    deciles: dict[str, list[float | None]] | None = None) -> dict:
     """per column, unique decile edges (ends -> -inf/+inf) and bin shares.
 
-    Skips columns with < 2 distinct values or < 3 edges.  Bins [a, b), last
-    closed.  Two passes: quantiles + distinct counts, then the bin counts.
+    Skips columns with < 2 distinct values (min = max) or < 3 edges.  Bins
+    [a, b), last closed.  Two passes: the exact quantiles of all columns
+    together (or ``deciles`` computed by the caller with ``drift_probs``),
+    then the bin counts.
     """
     present = [c for c in columns if c in df.columns]
     if not present:
         return {}
-    probs = [i / n_bins for i in range(n_bins + 1)]
     valid = {c: F.when(~F.isnan(F.col(c)), F.col(c)) for c in present}
-    row = df.agg(*[F.count_distinct(valid[c]).alias(f"n_{c}") for c in present]).collect()[0]
+    if deciles is None:
+        deciles = exact_quantiles_many(df, {c: (valid[c], drift_probs(n_bins)) for c in present})
     specs = {}
     for c in present:
-        if row[f"n_{c}"] is None or row[f"n_{c}"] < 2:
+        qs = deciles[c]
+        if qs[0] is None or not qs[0] < qs[-1]:
             continue
-        qs = exact_quantiles(df, valid[c], probs)
         edges = sorted(set(float(e) for e in qs))
         if len(edges) < 3:
             continue
@@ -337,6 +339,10 @@ def drift_reference(df: DataFrame, columns=MEDIAN_COLUMNS, n_bins: int = 10) ->
     return out
 
 
+def drift_probs(n_bins: int = 10) -> list[float]:
+    return [i / n_bins for i in range(n_bins + 1)]
+
+
 # --- F12 / G6 --------------------------------------------------------------------
 
 def mode_columns(df: DataFrame) -> list[str]:
@@ -353,9 +359,15 @@ def fit_params(fit_df: DataFrame, *, rare_threshold: float = 0.01, n_age_interva
         mcols = mode_columns(df)
         med_cols = [c for c in MEDIAN_COLUMNS if c in df.columns]
         row = df.agg(*[F.mode(c, True).alias(f"mode_{c}") for c in mcols]).collect()[0]
+        # medians and drift deciles of the raw columns share three passes
+        drift_cols = [c for c in drift_columns if c in df.columns]
+        qs = exact_quantiles_many(df, {
+            **{f"median:{c}": (c, [0.5]) for c in med_cols},
+            **{f"drift:{c}": (F.when(~F.isnan(F.col(c)), F.col(c)), drift_probs(drift_bins))
+               for c in drift_cols}})
         medians = {}
         for c in med_cols:
-            m = exact_quantiles(df, c, [0.5])[0]
+            m = qs[f"median:{c}"][0]
             if m is not None:
                 medians[c] = float(m)
         modes = {}
@@ -378,20 +390,22 @@ def fit_params(fit_df: DataFrame, *, rare_threshold: float = 0.01, n_age_interva
                 cohorts[c] = spec
                 work = work.withColumn(c, date_cohort_expr(F.col(c), spec))
         rep_cols = [c for c in mcols if c not in PRODUCTS]
-        rare = rare_values(work, rep_cols, rare_threshold)
-        n_rare = rare.count()
-        if n_rare > RARE_LITERAL_LIMIT:
-            raise ValueError(f"{n_rare} rare values: apply by join (fold_rare_join)")
+        rare = rare_values(work, rep_cols, rare_threshold).limit(RARE_LITERAL_LIMIT + 1).collect()
+        if len(rare) > RARE_LITERAL_LIMIT:
+            raise ValueError(f"over {RARE_LITERAL_LIMIT} rare values: apply by join "
+                             "(fold_rare_join)")
         replacer = {c: {} for c in rep_cols}
-        for r in rare.collect():
+        for r in rare:
             replacer[r["column"]][r["value"]] = "other"
         clip_cols = [c for c in CLIP_COLUMNS if c in work.columns]
+        cq = exact_quantiles_many(work, {c: (c, list(clip_quantiles)) for c in clip_cols})
         clip = {}
         for c in clip_cols:
-            lo, hi = exact_quantiles(work, c, list(clip_quantiles))
+            lo, hi = cq[c]
             if lo is not None:
                 clip[c] = [float(lo), float(hi)]
-        drift = drift_reference(df, drift_columns, drift_bins)
+        drift = drift_reference(df, drift_columns, drift_bins,
+                                deciles={c: qs[f"drift:{c}"] for c in drift_cols})
     finally:
         df.unpersist()
     return PrepParams(medians=medians, modes=modes, clip_bounds=clip, age_intervals=ivs,

@@ -77,22 +77,100 @@ def _kth_values(inside: DataFrame, ranks: list[int], lo: float, hi: float,
 
 def exact_quantiles(df: DataFrame, col: str | Column, probs: list[float]) -> list[float | None]:
     """Exact linear-interpolated quantiles of ``col`` (NULL and NaN ignored)."""
-    x = F.col(col) if isinstance(col, str) else col
-    x = x.cast("double")
-    st = df.select(x.alias("_x")).where(_valid(F.col("_x"))).agg(
-        F.count(F.lit(1)).alias("n"), F.min("_x").alias("mn"), F.max("_x").alias("mx")).collect()[0]
-    n = int(st["n"])
-    if n == 0:
-        return [None for _ in probs]
-    positions = [p * (n - 1) for p in probs]
-    ranks = sorted({int(math.floor(p)) for p in positions} | {int(math.ceil(p)) for p in positions})
-    inside = df.select(x.alias("_x")).where(_valid(F.col("_x")))
-    vals = _kth_values(inside, ranks, float(st["mn"]), float(st["mx"]))
-    out = []
-    for pos in positions:
-        f, c = int(math.floor(pos)), int(math.ceil(pos))
-        if f == c:
-            out.append(vals[f])
-        else:
-            out.append((c - pos) * vals[f] + (pos - f) * vals[c])
+    return exact_quantiles_many(df, {"_q": (col, probs)})["_q"]
+
+
+def exact_quantiles_many(df: DataFrame, specs: dict[str, tuple[str | Column, list[float]]]
+                         ) -> dict[str, list[float | None]]:
+    """Exact quantiles of several columns with shared passes over ``df``.
+
+    ``specs`` maps a name to (column, probabilities).  One aggregate gives
+    n / min / max of every column, one grouped count the bucket histograms
+    of all of them (keyed by (column, bucket): at most columns x ``BUCKETS``
+    rows), one more the (value, count) pairs of the buckets holding the
+    needed ranks.  Dense buckets are refined per column as in the
+    single-column path.
+    """
+    names = list(specs)
+    xs = {}
+    for name in names:
+        col = specs[name][0]
+        x = (F.col(col) if isinstance(col, str) else col).cast("double")
+        xs[name] = F.when(_valid(x), x)
+    st = df.agg(*[a for i, nm in enumerate(names) for a in (
+        F.count(xs[nm]).alias(f"n{i}"), F.min(xs[nm]).alias(f"mn{i}"),
+        F.max(xs[nm]).alias(f"mx{i}"))]).collect()[0]
+    out: dict[str, list[float | None]] = {}
+    need: dict[int, tuple[list[int], float, float]] = {}     # column id -> ranks, lo, hi
+    positions: dict[int, list[float]] = {}
+    for i, nm in enumerate(names):
+        n = int(st[f"n{i}"])
+        if n == 0:
+            out[nm] = [None for _ in specs[nm][1]]
+            continue
+        positions[i] = [p * (n - 1) for p in specs[nm][1]]
+        ranks = sorted({int(math.floor(p)) for p in positions[i]}
+                       | {int(math.ceil(p)) for p in positions[i]})
+        need[i] = (ranks, float(st[f"mn{i}"]), float(st[f"mx{i}"]))
+    vals: dict[int, dict[int, float]] = {}
+    spread = {i: v for i, v in need.items() if v[1] != v[2]}
+    for i, (ranks, lo, hi) in need.items():
+        if lo == hi:
+            vals[i] = {r: lo for r in ranks}
+    if spread:
+        bucket = {i: F.least(F.floor((xs[names[i]] - F.lit(lo)) / F.lit((hi - lo) / BUCKETS)),
+                             F.lit(BUCKETS - 1)).cast("int")
+                  for i, (_, lo, hi) in spread.items()}
+        long = df.select(F.explode(F.array(*[
+            F.struct(F.lit(i).alias("c"), bucket[i].alias("b"), xs[names[i]].alias("x"))
+            for i in spread])).alias("t")).select("t.c", "t.b", "t.x").where(
+            F.col("x").isNotNull())
+        hist: dict[int, dict[int, tuple[int, int, float, float]]] = {}
+        for r in long.groupBy("c", "b").agg(
+                F.count(F.lit(1)).alias("n"), F.approx_count_distinct("x").alias("d"),
+                F.min("x").alias("mn"), F.max("x").alias("mx")).collect():
+            hist.setdefault(int(r["c"]), {})[int(r["b"])] = (
+                int(r["n"]), int(r["d"]), float(r["mn"]), float(r["mx"]))
+        where: dict[int, dict[int, tuple[int, int]]] = {}
+        for i, (ranks, _, _) in spread.items():
+            cum, pending, where[i] = 0, sorted(ranks), {}
+            for bk in sorted(hist[i]):
+                n = hist[i][bk][0]
+                while pending and pending[0] < cum + n:
+                    r = pending.pop(0)
+                    where[i][r] = (bk, r - cum)
+                cum += n
+        small = {i: sorted({bk for bk, _ in where[i].values() if hist[i][bk][1] <= MAX_VALUES})
+                 for i in spread}
+        cond = None
+        for i, bks in small.items():
+            if bks:
+                c = (F.col("c") == i) & F.col("b").isin(bks)
+                cond = c if cond is None else (cond | c)
+        per: dict[tuple[int, int], list[tuple[float, int]]] = {}
+        if cond is not None:
+            for r in (long.where(cond).groupBy("c", "b", "x")
+                      .agg(F.count(F.lit(1)).alias("n")).collect()):
+                per.setdefault((int(r["c"]), int(r["b"])), []).append((float(r["x"]), int(r["n"])))
+        for i in spread:
+            vals[i] = {}
+            for rank, (bk, k) in where[i].items():
+                if (i, bk) in per:
+                    acc = 0
+                    for v, n in sorted(per[(i, bk)]):
+                        acc += n
+                        if k < acc:
+                            vals[i][rank] = v
+                            break
+                if rank not in vals[i]:   # a dense bucket: refine it on its own range
+                    _, _, mn, mx = hist[i][bk]
+                    inside = long.where((F.col("c") == i) & (F.col("b") == bk)).select(
+                        F.col("x").alias("_x"))
+                    vals[i][rank] = _kth_values(inside, [k], mn, mx, 1)[k]
+    for i, pos_list in positions.items():
+        res = []
+        for pos in pos_list:
+            f, c = int(math.floor(pos)), int(math.ceil(pos))
+            res.append(vals[i][f] if f == c else (c - pos) * vals[i][f] + (pos - f) * vals[i][c])
+        out[names[i]] = res
     return out

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.quantiles import exact_quantiles
+from ..functions.quantiles import exact_quantiles_many
 from ..products import PRODUCTS
 
 # Human labels of the panel columns (column dictionary).
@@ -66,9 +66,11 @@ def numeric_summary(df: DataFrame, columns: list[str]) -> DataFrame:
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
                  F.max(x).alias(f"{c}__max")]
     row = df.agg(*aggs)
+    # exact, without a one-task value map; all columns share the passes
+    allq = exact_quantiles_many(df, {c: (c, probs) for c in columns})
     parts = []
     for c in columns:
-        qs = exact_quantiles(df, c, probs)  # exact, without a one-task value map
+        qs = allq[c]
         p = F.array(*[F.lit(q).cast("double") for q in qs])
         parts.append(row.select(
             F.lit(c).alias("column"), F.col(f"{c}__nunique").alias("n_unique"),

@@ -197,7 +197,7 @@ def j4_baseline_comparison(spark, sf):
 
 from ..functions import features as H  # noqa: E402
 from ..functions import prep as G  # noqa: E402
-from ..functions.quantiles import exact_quantiles  # noqa: E402
+from ..functions.quantiles import exact_quantiles_many  # noqa: E402
 from ..operators import splits as S  # noqa: E402
 
 _PROFILE = ["ncodpers", "q", "age", "antiguedad", "renta"]
@@ -217,7 +217,8 @@ def f1_coerce_numeric(spark, sf):
 def f2_medians(spark, sf):
     train, _ = _fit_input(spark, sf)
     df = G.coerce_numeric(train)
-    meds = [exact_quantiles(df, c, [0.5])[0] for c in G.MEDIAN_COLUMNS]
+    allq = exact_quantiles_many(df, {c: (c, [0.5]) for c in G.MEDIAN_COLUMNS})
+    meds = [allq[c][0] for c in G.MEDIAN_COLUMNS]
     return spark.createDataFrame([tuple(meds)], ", ".join(f"median_{c} double"
                                                            for c in G.MEDIAN_COLUMNS))
 

@@ -20,6 +20,25 @@ def test_exact_quantiles_match_percentile(spark, monkeypatch):
     assert Q.exact_quantiles(df, "x", probs) == want
 
 
+def test_exact_quantiles_many_match_percentile(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    n = 4000
+    a = rng.normal(0, 1, n)
+    b = np.round(rng.exponential(3, n), 1)
+    rows = [(float(a[i]), float(b[i]), 7.0, None) for i in range(n)] + [(None, float("nan"), 7.0, None)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    specs = {"a": ("a", [0.0, 0.5, 0.99]), "b": ("b", [0.1, 0.5, 0.9, 1.0]),
+             "c": ("c", [0.5]), "d": ("d", [0.5]), "a2": (F.col("a") * 2, [0.25])}
+    want = {k: df.agg(F.percentile(F.when(~F.isnan(col if not isinstance(col, str) else F.col(col)),
+                                          col if not isinstance(col, str) else F.col(col)),
+                                   probs)).collect()[0][0]
+            for k, (col, probs) in specs.items()}
+    want["d"] = [None]
+    assert Q.exact_quantiles_many(df, specs) == want
+    monkeypatch.setattr(Q, "MAX_VALUES", 5)  # force the refinement path
+    assert Q.exact_quantiles_many(df, specs) == want
+
+
 def test_curves_with_scores_outside_unit_range(spark):
     rng = np.random.default_rng(5)
     y = rng.integers(0, 2, 3000)
