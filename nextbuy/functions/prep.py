@@ -290,6 +290,27 @@ def fold_rare_expr(col: str, mapping: dict[str, str]) -> Column:
     return F.coalesce(F.element_at(m, as_text), as_text)
 
 
+def fold_rare_join(df: DataFrame, rare: DataFrame, columns: list[str],
+                   replacement: str = "other") -> DataFrame:
+    """G4, join form: ``rare`` = (column, value) rows of any size (e.g. from
+    ``rare_values``); matched values (as text) -> ``replacement``, others as text.
+
+    One left join per column on the value; the dictionary side is left to
+    AQE (broadcast only when its measured size is under the threshold).
+    """
+    out = df
+    for c in columns:
+        if c not in out.columns:
+            continue
+        d = rare.filter(F.col("column") == c).select(F.col("value").alias("_rare")).distinct()
+        as_text = F.col(c).cast("string")
+        j = out.join(d, as_text == F.col("_rare"), "left")
+        out = j.select(*[F.when(F.col("_rare").isNotNull(), F.lit(replacement))
+                          .otherwise(as_text).alias(c) if x == c else F.col(x)
+                         for x in out.columns])
+    return out
+
+
 def clip_expr(col: str, lo: float, hi: float) -> Column:
     """Clip to [lo, hi]; NULL stays NULL."""
     c = F.col(col)

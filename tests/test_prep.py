@@ -150,3 +150,17 @@ def test_fit_apply_parity(spark):
                       ("age", "antiguedad", "renta", "age_interval", "fecha_alta")]).collect()[0]
     assert all(v == 0 for v in nulls)
     assert len(p.age_intervals) == 9 and p.date_cohorts["fecha_alta"]["mode"] == "intervals"
+
+
+def test_rare_fold_join_equals_literal_map(spark):
+    rows = [(i, f"v{i % 7}" if i % 50 else "rare_a", float(i % 3) if i % 40 else 28.0)
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, cat string, num double")
+    rare = G.rare_values(df, ["cat", "num"], 0.04)
+    mapping = {}
+    for r in rare.collect():
+        mapping.setdefault(r["column"], {})[r["value"]] = "other"
+    assert mapping["cat"] == {"rare_a": "other"} and mapping["num"] == {"28.0": "other"}
+    by_map = df.select("id", *[G.fold_rare_expr(c, mapping[c]).alias(c) for c in ("cat", "num")])
+    by_join = G.fold_rare_join(df, rare, ["cat", "num"]).select("id", "cat", "num")
+    assert sorted(by_map.collect()) == sorted(by_join.collect())
