@@ -97,6 +97,7 @@ def sanitize(c: Column) -> Column:
 
 def add_features(df: DataFrame, aggregates: dict[str, dict[str, float]]) -> DataFrame:
     """H1-H6 in one projection: derived columns appended, numerics sanitized."""
+    df = first_copies(df)
     t, r = F.col("antiguedad").cast("double"), F.col("renta").cast("double")
     derived = pair_arithmetic(t, r) + ratio_and_log(t, r)
     groups = []
@@ -109,15 +110,27 @@ def add_features(df: DataFrame, aggregates: dict[str, dict[str, float]]) -> Data
         "renta_vs_country_mean") if "mean_renta_by_pais_residencia" in with_derived.columns \
         else F.lit(None).cast("double").alias("renta_vs_country_mean")
     out = with_derived.select("*", rel)
-    numeric = {f.name for f in out.schema.fields
-               if f.dataType.typeName() in ("double", "float")}
+    return first_copies(out, sanitize_numeric=True)
+
+
+def first_copies(df: DataFrame, sanitize_numeric: bool = False) -> DataFrame:
+    """H6: first copy of a duplicated name wins; ``unique_id`` / ``index`` dropped.
+
+    Columns are renamed by position first, so a name that occurs twice (e.g.
+    after a join) is never an ambiguous reference.
+    """
+    fields = df.schema.fields
+    pos = df.toDF(*[f"_c{i}" for i in range(len(fields))])
     seen, cols = set(), []
-    for c in out.columns:  # H6: first copy of a duplicated name wins
-        if c in seen or c in ("unique_id", "index"):
+    for i, f in enumerate(fields):
+        if f.name in seen or f.name in ("unique_id", "index"):
             continue
-        seen.add(c)
-        cols.append(sanitize(F.col(c)).alias(c) if c in numeric else F.col(c))
-    return out.select(*cols)
+        seen.add(f.name)
+        e = F.col(f"_c{i}")
+        if sanitize_numeric and f.dataType.typeName() in ("double", "float"):
+            e = sanitize(e)
+        cols.append(e.alias(f.name))
+    return pos.select(*cols)
 
 
 def feature_types(train: DataFrame, columns: list[str], max_levels: int = 25) -> DataFrame:

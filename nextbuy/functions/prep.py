@@ -43,6 +43,22 @@ LEGACY_MEDIANS = {"age": 39.0, "antiguedad": 50.0, "renta": 101850.0}
 LEGACY_CLIP_BOUNDS = {"renta": [26449.65, 337117.17], "antiguedad": [1.0, 207.0]}
 LEGACY_AGE_INTERVALS = [[2, 23], [24, 28], [29, 36], [37, 41], [42, 45], [46, 49],
                         [50, 54], [55, 63], [64, 164]]
+# Fallback date intervals ('start – end', closed, first match wins), in the
+# order of the saved training run.
+LEGACY_DATE_INTERVALS = {
+    "fecha_alta": [
+        "2014-08-13 – 2015-02-27", "2012-07-23 – 2012-12-10", "2013-10-18 – 2014-08-13",
+        "2012-12-10 – 2013-10-18", "2004-04-23 – 2006-07-11", "2002-02-16 – 2004-04-23",
+        "2011-09-01 – 2012-07-23", "2006-07-11 – 2008-09-30", "2008-09-30 – 2011-09-01",
+        "2000-05-16 – 2002-02-16", "1995-01-15 – 2000-05-16", "2015-02-27 – 2016-05-31",
+    ],
+    "ult_fec_cli_1t": [
+        "2015-06-30 – 2015-07-09", "2015-07-21 – 2015-08-03", "2015-07-09 – 2015-07-21",
+        "2015-08-03 – 2015-09-14", "2015-09-14 – 2015-10-19", "2015-10-19 – 2015-11-18",
+        "2015-11-18 – 2015-12-21", "2015-12-21 – 2016-01-11", "2016-01-11 – 2016-02-10",
+        "2016-02-10 – 2016-03-16", "2016-03-16 – 2016-04-26", "2016-04-26 – 2016-05-30",
+    ],
+}
 COHORT_DASH = " – "
 
 

@@ -1009,3 +1009,137 @@ def a10_run_passport(spark, sf):
 @register("b12_near_duplicates")
 def b12_near_duplicates(spark, sf):
     return B.near_duplicates(table(spark, sf, "part", "p_brand"), "p_brand", 0.8)
+
+
+# --- inventory items with a report of their own ----------------------------------
+
+MODEL_DROP = ["purchase", "fecha_dato", "ncodpers", "snapshot_date"]  # label, id, dates
+
+
+@register("a3_column_pruning")
+def a3_column_pruning(spark, sf):
+    """A3: training-side pruning, then the feature part (label, id, dates dropped)."""
+    _, test = D.prep_frames(spark, sf)
+    pruned = A.prune_columns(test, training=True)
+    return D.present(pruned.drop(*MODEL_DROP, "q", "target_date", "split", "owned"))
+
+
+@register("a4_lookup_write")
+def a4_lookup_write(spark, sf):
+    """A4: the latest walk-forward picks written as the serving lookup and read back."""
+    from ..session import scratch_path
+    import uuid
+    lookup, _ = _walk(spark, sf)
+    path = scratch_path(spark, f"lookup-{uuid.uuid4().hex}")
+    A.write_lookup(cf.latest_lookup(lookup), path)
+    return spark.read.parquet(path)
+
+
+@register("a6_params_write")
+def a6_params_write(spark, sf):
+    """Fitted parameters written as one JSON record; its top-level sections."""
+    from ..session import scratch_path
+    import uuid
+    train, _ = _fit_input(spark, sf)
+    path = scratch_path(spark, f"params-{uuid.uuid4().hex}")
+    A.write_params(spark, G.fit_params(train), path)
+    doc = spark.read.json(path)
+    return spark.createDataFrame([(c,) for c in sorted(doc.columns)], "section string")
+
+
+@register("g3_fixed_intervals")
+def g3_fixed_intervals(spark, sf):
+    """Fallback date intervals (closed, first match wins, none -> NULL) on test rows."""
+    _, test = D.prep_frames(spark, sf)
+    iv = G.fixed_interval_expr(F.col("fecha_alta"), G.LEGACY_DATE_INTERVALS["fecha_alta"])
+    return test.groupBy(iv.alias("interval")).agg(F.count(F.lit(1)).alias("n"))
+
+
+_FOLDED = ["pais_residencia", "canal_entrada", "segmento"]
+
+
+@register("g4_rare_folding")
+def g4_rare_folding(spark, sf):
+    """Train-fitted rare dictionary applied to the test rows; value counts after folding."""
+    train, test = _fit_input(spark, sf)
+    p = G.fit_params(train)
+    long = test.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), G.fold_rare_expr(c, p.replacer.get(c, {})).alias("value"))
+        for c in _FOLDED])).alias("kv")).select("kv.column", "kv.value")
+    return long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _features(spark, sf):
+    out, _, train = _applied(spark, sf)
+    fitted = G.apply_params(train, G.fit_params(train))
+    return H.add_features(out, H.fit_group_stats(fitted))
+
+
+def _rounded(df, cols):
+    return df.select("ncodpers", "q", *[F.round(c, 6).alias(c) for c in cols])
+
+
+@register("h1_pair_arithmetic")
+def h1_pair_arithmetic(spark, sf):
+    return _rounded(_features(spark, sf), H.PAIR_FEATURES)
+
+
+@register("h2_ratio_log")
+def h2_ratio_log(spark, sf):
+    return _rounded(_features(spark, sf), ["renta_antiguedad_ratio", "log_renta"])
+
+
+@register("h4_relative_income")
+def h4_relative_income(spark, sf):
+    return _rounded(_features(spark, sf), ["renta_vs_country_mean"])
+
+
+@register("h6_dedupe_columns")
+def h6_dedupe_columns(spark, sf):
+    """H6: a joined frame with a repeated column name and key columns; the first copy
+    is kept and ``index`` / ``unique_id`` are dropped."""
+    out, _, train = _applied(spark, sf)
+    fitted = G.apply_params(train, G.fit_params(train))
+    rows = out.select("ncodpers", "q", "segmento", "pais_residencia", "antiguedad", "renta",
+                      F.col("ncodpers").alias("index"), F.col("q").alias("unique_id"))
+    cust = table(spark, sf, "customer", "c_custkey", "c_name").select(
+        F.col("c_custkey").alias("_ck"), F.col("c_name").alias("segmento"))
+    joined = rows.join(cust, rows.ncodpers == cust._ck).drop("_ck")
+    feats = H.add_features(joined, H.fit_group_stats(fitted))
+    keep = [c for c in feats.columns if c not in H.NUMERIC_FEATURES
+            and not c.startswith(("mean_", "median_"))]
+    return feats.select(*keep)
+
+
+@register("i4_boosted_multiclass")
+def i4_boosted_multiclass(spark, sf):
+    """I4: one-vs-rest boosted trees; test predictions and normalised top score."""
+    mx = T.build_matrices(spark, sf)
+    _, scored = T.run_variant(mx, "boosting", BOOST_PARAMS)
+    return scored.select("ncodpers", "q", F.col("prediction").cast("int").alias("prediction"),
+                         F.round(F.array_max("scores"), 6).alias("top_score"))
+
+
+@register("i6_out_of_fold")
+def i6_out_of_fold(spark, sf):
+    """Per-fold macro ROC-AUC, plus mean and population std over the folds."""
+    mx = T.build_matrices(spark, sf)
+    per = M.out_of_fold(mx.train, mx.spec, mx.classes, "forest", FOREST_PARAMS, folds=2)
+    vals = [v for _, v in per]
+    mean = sum(vals) / len(vals)
+    std = (sum((v - mean) ** 2 for v in vals) / len(vals)) ** 0.5
+    rows = [(str(f), v) for f, v in per] + [("mean", mean), ("std", std)]
+    return spark.createDataFrame(rows, "fold string, macro_roc_auc double")
+
+
+@register("i7_refit_winner")
+def i7_refit_winner(spark, sf):
+    """The best CV grid point refitted on all train rows, scored on test."""
+    mx = T.build_matrices(spark, sf)
+    best, means, _, _ = M.search(mx.train, mx.spec, mx.classes, "forest", folds=2)
+    model = M.fit_final(mx.train, mx.spec, "forest", best)
+    scored = M.probability_array(model.transform(mx.test), "forest").select(
+        "purchase", "scores")
+    auc = R.macro_roc_auc(scored, "purchase", "scores", mx.classes).collect()[0][0]
+    return spark.createDataFrame([(str(best), float(max(means)), float(auc))],
+                                 "params string, cv_score double, test_macro_roc_auc double")

@@ -183,6 +183,24 @@ def fit_final(train: DataFrame, spec: FeatureSpec, kind: str, params: dict,
     return Pipeline(stages=stages + [clf]).fit(train)
 
 
+def out_of_fold(train: DataFrame, spec: FeatureSpec, classes: list[int], kind: str,
+                params: dict, folds: int = 2, seed: int = 42) -> list[tuple[int, float]]:
+    """Per fold, fit on the other folds and score the exact macro ROC-AUC on it.
+
+    Folds are the exact stratified folds of E4 (skew-safe positions).
+    """
+    foldable = S.stratified_folds(train, "label", ["ncodpers", "q"], folds, seed).withColumn(
+        "fold", F.col("fold").cast("int"))
+    ev = MacroAucEvaluator(classes, kind)
+    out = []
+    for f in range(folds):
+        model = fit_final(foldable.filter(F.col("fold") != f).drop("fold"), spec, kind, params,
+                          seed)
+        held = foldable.filter(F.col("fold") == f).drop("fold")
+        out.append((f, float(ev.evaluate(model.transform(held)))))
+    return out
+
+
 def importances(model: PipelineModel, scored: DataFrame) -> DataFrame:
     """(feature, importance) from the forest and the assembled vector metadata."""
     clf = model.stages[-1]

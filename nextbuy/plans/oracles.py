@@ -844,3 +844,60 @@ s AS (SELECT a.v AS a, b.v AS b,
 SELECT a AS value, b AS match, round(sim, 9) AS similarity FROM (
   SELECT *, row_number() OVER (PARTITION BY a ORDER BY sim DESC, b DESC) AS r FROM s WHERE sim >= 0.8)
 WHERE r = 1"""
+
+
+# --- twins of the single-item reports -----------------------------------------------
+
+from ..functions.prep import LEGACY_DATE_INTERVALS  # noqa: E402
+
+_A3_COLS = ["age", "fecha_alta", "antiguedad", "renta", "segmento", "pais_residencia",
+            "canal_entrada", *PRODUCTS]
+
+
+def _fixed_case(col: str, intervals: list[str]) -> str:
+    whens = []
+    for text in intervals:
+        start, end = text.split(" – ")
+        whens.append(f"WHEN {col} BETWEEN DATE '{start}' AND DATE '{end}' THEN '{text}'")
+    return "CASE " + " ".join(whens) + " END"
+
+
+def _sub(key: str, cols: list[str]) -> str:
+    return f"SELECT ncodpers, q, {', '.join(cols)} FROM ({ORACLES[key]})"
+
+
+ORACLES.update({
+    "a3_column_pruning": _q(
+        "SELECT " + ", ".join(_d(c) if c == "fecha_alta" else c for c in _A3_COLS)
+        + " FROM frame WHERE split = 'test'"),
+    "g3_fixed_intervals": _q(
+        f"SELECT {_fixed_case('fecha_alta', LEGACY_DATE_INTERVALS['fecha_alta'])} AS interval, "
+        "count(*) AS n FROM frame WHERE split = 'test' GROUP BY 1"),
+    "g4_rare_folding": _p(""",
+rare3 AS (
+  SELECT "column", value FROM (
+    SELECT "column", value, count(*) / sum(count(*)) OVER (PARTITION BY "column") AS share FROM (
+      SELECT 'segmento' AS "column", coalesce(segmento, 'nan') AS value FROM work
+      UNION ALL SELECT 'pais_residencia', coalesce(pais_residencia, 'nan') FROM work
+      UNION ALL SELECT 'canal_entrada', coalesce(canal_entrada, 'nan') FROM work)
+    GROUP BY 1, 2)
+  WHERE share < 0.01
+),
+tv AS (
+  SELECT 'pais_residencia' AS "column", CAST(pais_residencia AS VARCHAR) AS v FROM ftest
+  UNION ALL SELECT 'canal_entrada', CAST(canal_entrada AS VARCHAR) FROM ftest
+  UNION ALL SELECT 'segmento', CAST(segmento AS VARCHAR) FROM ftest
+)
+SELECT t."column", CASE WHEN r.value IS NOT NULL THEN 'other' ELSE t.v END AS value,
+       count(*) AS n
+FROM tv t LEFT JOIN rare3 r ON r."column" = t."column" AND r.value = t.v
+GROUP BY 1, 2"""),
+    "h1_pair_arithmetic": _sub("h5_features", [
+        "antiguedad_plus_renta", "antiguedad_div_renta", "renta_div_antiguedad",
+        "antiguedad_times_renta", "ln_antiguedad", "ln_renta", "sqrt_antiguedad", "sqrt_renta"]),
+    "h2_ratio_log": _sub("h5_features", ["renta_antiguedad_ratio", "log_renta"]),
+    "h4_relative_income": _sub("h5_features", ["renta_vs_country_mean"]),
+    "h6_dedupe_columns": _p(
+        "SELECT a.ncodpers, a.q, a.segmento, a.pais_residencia FROM applied a "
+        "JOIN customer c ON c.c_custkey = a.ncodpers"),
+})
