@@ -97,7 +97,9 @@ def sanitize(c: Column) -> Column:
 
 def add_features(df: DataFrame, aggregates: dict[str, dict[str, float]]) -> DataFrame:
     """H1-H6 in one projection: derived columns appended, numerics sanitized."""
-    df = first_copies(df)
+    names = df.columns
+    if len(set(names)) != len(names) or {"unique_id", "index"} & set(names):
+        df = first_copies(df)
     t, r = F.col("antiguedad").cast("double"), F.col("renta").cast("double")
     derived = pair_arithmetic(t, r) + ratio_and_log(t, r)
     groups = []
@@ -120,6 +122,12 @@ def first_copies(df: DataFrame, sanitize_numeric: bool = False) -> DataFrame:
     after a join) is never an ambiguous reference.
     """
     fields = df.schema.fields
+    names = [f.name for f in fields]
+    if len(set(names)) == len(names):      # no repeated name: plain by-name projection
+        return df.select(*[
+            sanitize(F.col(f.name)).alias(f.name)
+            if sanitize_numeric and f.dataType.typeName() in ("double", "float")
+            else F.col(f.name) for f in fields if f.name not in ("unique_id", "index")])
     pos = df.toDF(*[f"_c{i}" for i in range(len(fields))])
     seen, cols = set(), []
     for i, f in enumerate(fields):
