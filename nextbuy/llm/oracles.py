@@ -20,3 +20,65 @@ comp AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN comp c ON c.a = d.doc_id
 """
+
+ORACLES["op1_chat_format"] = r"""
+WITH r AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+e AS (SELECT *, length(regexp_replace(role || chr(0) || text, '([<\[])(\\*)(\|turn\|>|\|text\|>|\|end\|>|s>|/s>|INST\]|/INST\]|<SYS>>|</SYS>>|\|im_start\|>|\|im_end\|>|\|endoftext\|>|\|system\|>|\|user\|>|\|assistant\|>|\|eot_id\|>|\|start_header_id\|>|\|end_header_id\|>)', '\1\2\\\3', 'g')) - 1 + 23 AS chars FROM r)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+ORACLES["op2_warc"] = """
+WITH p AS (SELECT page_id, sha256(coalesce(html, '')) AS payload_digest, strlen(coalesce(html, ''))::BIGINT AS payload_bytes FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, p.payload_digest,
+       CASE WHEN first IS NULL OR page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p LEFT JOIN f ON f.payload_digest = p.payload_digest
+"""
+
+ORACLES["op6_quality_rules"] = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+t AS (SELECT doc_id, i, words[i:i + 2] AS tri FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM w WHERE len(words) >= 3)),
+twice AS (SELECT doc_id, tri FROM t GROUP BY ALL HAVING count(*) > 1),
+covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM t JOIN twice USING (doc_id, tri), range(0, 3) AS r(k) GROUP BY doc_id),
+q AS (
+  SELECT w.doc_id, stratum, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, x -> length(x))), 0)::BIGINT AS word_chars,
+         (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words, len(lines)::BIGINT AS n_lines
+  FROM w LEFT JOIN covered c ON c.doc_id = w.doc_id),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM q),
+grid(rule, level, cutoff) AS (
+  SELECT 'symbols', unnest(range(6)), unnest([200, 100, 50, 30, 20, 10]) UNION ALL
+  SELECT 'dup_lines', unnest(range(7)), unnest([90, 80, 70, 60, 50, 40, 30]) UNION ALL
+  SELECT 'repeat_words', unnest(range(6)), unnest([45, 40, 35, 30, 25, 20]) UNION ALL
+  SELECT 'word_length', unnest(range(5)), unnest([3000, 2000, 1500, 1200, 1000])),
+v AS (
+  SELECT doc_id, stratum, base_failed, unnest(['symbols', 'dup_lines', 'repeat_words', 'word_length']) AS rule,
+         unnest([n_symbols, n_dup_lines, n_repeat_words, word_chars]) AS value, unnest([n_words, n_lines, n_words, n_words]) AS base FROM b),
+l AS (SELECT doc_id, min(quality) AS label FROM labels WHERE quality IN (0, 1) GROUP BY doc_id),
+c AS (
+  SELECT stratum, rule, level, cutoff, count(*) FILTER (label = 1) AS n, count(*) FILTER (label = 1 AND 100 * value > cutoff * base) AS good,
+         count(*) FILTER (label = 0 AND 100 * value > cutoff * base) AS bad
+  FROM v JOIN l USING (doc_id) JOIN grid USING (rule) WHERE NOT base_failed GROUP BY ALL),
+tests AS (SELECT count(DISTINCT stratum || '/' || rule) AS m FROM c),
+p AS (
+  SELECT c.*, good >= 0.0125 * n OR (SELECT sum(exp(lgamma(n + 1) - (CASE WHEN i = 0 THEN 0 ELSE lgamma(i + 1) END) - lgamma(n - i + 1) + i * ln(0.0125) + (n - i) * ln(0.9875)))
+                                     FROM range(0, good + 1) AS r(i)) > 0.05 / (SELECT m FROM tests) AS fails FROM c),
+ok AS (SELECT * FROM p WHERE NOT EXISTS (SELECT 1 FROM p x WHERE x.stratum = p.stratum AND x.rule = p.rule AND x.level <= p.level AND x.fails)),
+best AS (SELECT stratum, rule, arg_max(cutoff, (bad - good) * 100 - level) AS cutoff FROM ok WHERE bad > good GROUP BY ALL),
+broken AS (SELECT DISTINCT doc_id FROM v JOIN best USING (stratum, rule) WHERE 100 * value > cutoff * base)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, base_failed,
+       NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM broken) AS kept
+FROM b
+"""

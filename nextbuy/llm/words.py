@@ -149,3 +149,16 @@ def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     for k in range(width):
         total += mix64(hashes[k:k + n] + _MULT[k]) * _MULT[k]
     return mix64(total)
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
+    """Hashes of non-empty byte spans, in any order; a word's span hashes as ``split_words`` hashes it."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    length = ends - starts
+    at = np.concatenate([[0], np.cumsum(length)[:-1]])
+    pos = np.arange(int(length.sum())) - np.repeat(at, length)
+    text = data[np.repeat(starts, length) + pos]
+    terms = _BYTE[_FOLD[text] if lower else text]
+    terms *= _base_powers(int(length.max()))[pos]
+    return mix64(np.add.reduceat(terms, at) + length.astype(np.uint64))
