@@ -40,6 +40,13 @@ RARE_LITERAL_LIMIT = 10000  # larger rare dictionaries are applied by join
 
 # Fallback parameters used when a fitted section is absent.
 LEGACY_MEDIANS = {"age": 39.0, "antiguedad": 50.0, "renta": 101850.0}
+LEGACY_MODES = {
+    "ind_empleado": "N", "pais_residencia": "ES", "sexo": "V", "fecha_alta": "2014-07-28",
+    "ind_nuevo": 0, "ult_fec_cli_1t": "2015-12-24", "indrel_1mes": 1.0, "tiprel_1mes": "I",
+    "indresi": "S", "conyuemp": "N", "canal_entrada": "KHE", "indfall": "N", "tipodom": 1,
+    "cod_prov": 28, "nomprov": "MADRID", "ind_actividad_cliente": 0,
+    "segmento": "02 - PARTICULARES", **{p: 0 for p in PRODUCTS},
+}
 LEGACY_CLIP_BOUNDS = {"renta": [26449.65, 337117.17], "antiguedad": [1.0, 207.0]}
 LEGACY_AGE_INTERVALS = [[2, 23], [24, 28], [29, 36], [37, 41], [42, 45], [46, 49],
                         [50, 54], [55, 63], [64, 164]]
@@ -73,6 +80,9 @@ class PrepParams:
     replacer: dict[str, dict[str, str]] = field(default_factory=dict)
     drift_reference: dict[str, dict] = field(default_factory=dict)
     aggregates: dict[str, dict[str, float]] = field(default_factory=dict)
+    label_map: dict[int, str] = field(default_factory=dict)
+    feature_columns: dict[str, list[str]] = field(default_factory=dict)
+    created_at: str | None = None
     source: str = "defaults"
 
 
@@ -193,7 +203,7 @@ def date_cohort_spec(df: DataFrame, col: str, max_cohorts: int = 12) -> dict:
         return {"mode": "raw"}
     base = stats["base"]
     days = F.datediff(d, F.lit(base))
-    n = min(max_cohorts, int(stats["nd"]))
+    n = min(max_cohorts, int(stats["nd"]) + (stats["nnull"] > 0))  # missing dates count as one more value
     if n < 1:
         return {"mode": "raw"}
     probs = [i / n for i in range(n + 1)]

@@ -298,6 +298,7 @@ def macro_roc_auc(df: DataFrame, label: str, scores: str, classes: Sequence[int]
                             F.count(F.lit(1)).over(Window.partitionBy()).alias("m"))
     return ranked.agg(
         F.when(F.first("m") == 2, F.max(F.when(F.col("i") == 2, F.col("roc_auc"))))
+         .when(F.first("m").isNull(), F.lit(float("nan")))  # no model class in the truth
          .otherwise(F.avg("roc_auc")).alias("roc_auc_ovr_macro"))
 
 

@@ -561,7 +561,7 @@ def d2_interactions(spark, sf):
 
 def _als_model(spark, sf):
     pnl, ev, codes = _als_base(spark, sf)
-    hist = ev.filter(F.col("fecha_dato") < F.lit(P.TEST_CUTOFF))
+    hist = ev.filter(F.col("fecha_dato") <= F.lit(P.TEST_CUTOFF))
     model = cf.fit_als(cf.interactions(hist, codes), ALS_RANK, ALS_ITER)
     return pnl, ev, codes, model
 
@@ -569,8 +569,7 @@ def _als_model(spark, sf):
 @register("d3_als_item_factors")
 def d3_als_item_factors(spark, sf):
     *_, model = _als_model(spark, sf)
-    return model.itemFactors.select(F.col("id").alias("item"),
-                                    F.size("features").alias("n_factors"))
+    return model.itemFactors.select(F.col("id").alias("item"), "features")
 
 
 @register("d4_top1_owned_masked")
@@ -621,7 +620,7 @@ def _als_lists(spark, sf, k=10):
     hist = ev.filter(F.col("fecha_dato") <= F.lit(P.TEST_CUTOFF))
     later = ev.filter(F.col("fecha_dato") > F.lit(P.TEST_CUTOFF))
     relevant = P.relevant_products(later).withColumnRenamed("products", "relevant")
-    users = relevant.join(codes, "ncodpers")
+    users = hist.select("ncodpers").distinct().join(codes, "ncodpers")  # every client with history
     inter = cf.interactions(hist, codes).select("user_code", "item")
     lists = cf.topk_lists(users.select("ncodpers", "user_code"), model, inter, k)
     return relevant, lists, hist

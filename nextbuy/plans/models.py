@@ -262,8 +262,9 @@ def variant_table(rows: list[DataFrame]) -> DataFrame:
 
 
 def winner(table: DataFrame, metric: str = "cv_score") -> DataFrame:
-    """The variant with the best CV value."""
-    return table.agg(F.max_by("variant", metric).alias("winner"), F.max(metric).alias(metric))
+    """The variant with the best CV value; of equal ones the first by name."""
+    best = F.min(F.struct((-F.col(metric)).alias("_m"), "variant"))
+    return table.filter(F.col(metric).isNotNull()).agg(best["variant"].alias("winner"), F.max(metric).alias(metric))
 
 
 __all__ = ["FeatureSpec", "class_weights", "encoder_stages", "evaluate", "fit_final",

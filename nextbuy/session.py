@@ -13,8 +13,6 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-DEFAULT_TABLE_DIR = "/root/testdata/sf0.01"
-
 
 def get_session(master: str | None = None, shuffle_partitions: int = 8,
                 app_name: str = "nextbuy") -> SparkSession:
@@ -48,8 +46,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint directory, setting a local one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS/S3/...);
-    the library never replaces it.  Tests and the bench run without one, so a
-    fresh scratch folder is created for them.
+    the library never replaces it.  Tests and the bench run without one in local
+    mode, so a fresh scratch folder is created for them; elsewhere a folder of the
+    driver's machine would lose data, so an unset setting is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     sc_dir = spark.sparkContext.getCheckpointDir()
@@ -60,6 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc_dir:
         spark.conf.set("spark.checkpoint.dir", sc_dir)
         return sc_dir
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="nextbuy-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

@@ -62,7 +62,7 @@ def owned_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     lineitem = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey")
-    code = F.substring("p_brand", 7, 3).cast("int")
+    code = F.regexp_extract("p_brand", r"([0-9]{1,9})$", 1).try_cast("int")  # the whole number, of any length
     brand = (table(spark, sf_dir, "part", "p_partkey", "p_brand")
              .filter(code.between(1, N_PRODUCTS))
              .select(F.col("p_partkey").alias("l_partkey"),
