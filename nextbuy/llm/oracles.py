@@ -8,7 +8,7 @@ ORACLES: dict[str, str] = {}
 ORACLES["op10_hyperminhash"] = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                             '[\x20\x09-\x0D]+'), x -> x <> '') AS words FROM documents),
+                             '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
 s AS (
   SELECT DISTINCT doc_id, CASE WHEN len(words) < 5 THEN words ELSE words[i:i + 4] END AS shingle
   FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM w WHERE len(words) > 0)),
@@ -46,14 +46,14 @@ FROM p LEFT JOIN f ON f.payload_digest = p.payload_digest
 ORACLES["op6_quality_rules"] = r"""
 WITH w AS (
   SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text,
-         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS words,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM documents),
 t AS (SELECT doc_id, i, words[i:i + 2] AS tri FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM w WHERE len(words) >= 3)),
 twice AS (SELECT doc_id, tri FROM t GROUP BY ALL HAVING count(*) > 1),
 covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM t JOIN twice USING (doc_id, tri), range(0, 3) AS r(k) GROUP BY doc_id),
 q AS (
-  SELECT w.doc_id, stratum, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, x -> length(x))), 0)::BIGINT AS word_chars,
+  SELECT w.doc_id, stratum, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
          (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
          (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words, len(lines)::BIGINT AS n_lines
   FROM w LEFT JOIN covered c ON c.doc_id = w.doc_id),
