@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from nextbuy.llm.ship import ship
-from nextbuy.llm.words import mix64, split_words, window_hashes
+from nextbuy.llm.words import distinct, mix64, split_words, window_hashes
 from nextbuy.session import materialize
 
 WIDTH = 5
@@ -57,9 +57,9 @@ _order = np.random.default_rng(77).permuted(
 def shingle_sets(column: pa.Array, width: int = WIDTH) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text, in row order; empty for null or no words."""
     for words in split_words(column, lower=True):
-        for d in range(words.n_docs):
-            own = words.hashes[words.bounds[d]:words.bounds[d + 1]]
-            yield np.unique(window_hashes(own, min(width, len(own)))) if len(own) else own
+        every = window_hashes(words.hashes, width)
+        for a, b in zip(words.bounds[:-1], words.bounds[1:], strict=True):
+            yield distinct(every[a:b - width + 1] if b - a >= width else window_hashes(words.hashes[a:b], max(b - a, 1)))
 
 
 def registers(hashes: np.ndarray) -> np.ndarray:
@@ -162,23 +162,17 @@ def components(edges: DataFrame) -> DataFrame:
     Minima are partial aggregates and neighbours come back by an equi-join, so
     a hub with a third of all edges is no single task.
     """
-    edges = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct()
-    state = None
+    edges = materialize(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct(), "op10-edges")
     while True:
-        both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        below = edges.groupBy("b").agg(F.count("*").alias("above"))
+        if below.filter("above > 1").isEmpty() and edges.select("a").join(below.select(F.col("b").alias("a")), "a", "left_semi").isEmpty():
+            return edges.select(F.col("b").alias("node"), F.col("a").alias("component")).union(edges.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())
+        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
-        large = both.join(low, "a").filter("b > a").select(F.col("low").alias("a"), "b").filter("a < b").distinct()
-        below = large.groupBy("b").agg(F.min("a").alias("low"))
-        small = large.join(below, "b").select(F.col("low").alias("x"), F.col("a").alias("y"), "b")
-        edges = materialize(
-            small.select(F.explode(F.array(F.struct(F.col("x").alias("a"), F.col("y").alias("b")),
-                                           F.struct(F.col("x").alias("a"), "b"))).alias("e")).select("e.*").filter("a < b").distinct(),
-            "op10-star")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == state:
-            return edges.select(F.col("b").alias("node"), F.col("a").alias("component")).union(
-                edges.select(F.col("a").alias("node"), F.col("a").alias("component"))).distinct()
-        state = now
+        large = materialize(both.join(low, "a").filter("b > a").select(F.col("low").alias("a"), "b").filter("a < b").distinct(), "op10-large")
+        least = large.groupBy("b").agg(F.min("a").alias("low"))
+        stars = large.join(least, "b").select(F.explode(F.array(F.struct(F.col("low").alias("a"), F.col("a").alias("b")), F.struct(F.col("low").alias("a"), "b"))).alias("e"))
+        edges = materialize(stars.select("e.*").filter("a < b").distinct(), "op10-star")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -204,19 +198,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     candidates = materialize(
         estimate(hits.filter("pivot <> rep").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(), classes)
         .filter(F.col("jaccard") >= THRESHOLD / 100 - SLACK), "op10-candidates")
-    best = candidates.groupBy("b").agg(F.max_by("a", F.struct("jaccard", -F.col("a"))).alias("a"))
-    links = _links(best, docs)
-    found = materialize(components(links), "op10-found")
-
-    def across(pairs: DataFrame) -> DataFrame:
-        """Pairs whose ends are in different components so far."""
-        at = lambda s: found.select(F.col("node").alias(s), F.col("component").alias(f"c_{s}"))
-        return pairs.join(at("a"), "a", "left").join(at("b"), "b", "left").filter(
-            F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b")
-
-    rest = across(candidates.join(best, ["a", "b"], "left_anti"))
-    links = materialize(links.union(_links(rest, docs)), "op10-links")
+    links = _links(candidates, docs)
     found = materialize(components(links), "op10-found")
+    # band keys whose classes lie in several components
     own = hits.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
     mixed = own.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.count("*").alias("members")).filter("c1 < c2 and members > 2")
     loose = own.join(mixed, "key", "left_semi").select("rep", "component").distinct()

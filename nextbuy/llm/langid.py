@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 from nextbuy.llm.ship import ship
 from nextbuy.llm.words import span_hashes, split_words
 
-LONGEST = 8
+LONGEST = 6
 SMOOTH = 0.5
 #: Labelled texts per language that training uses, about.
 SAMPLE = 2000

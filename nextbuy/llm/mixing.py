@@ -10,29 +10,41 @@ shared out among the others.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+from nextbuy.llm.ship import ship
+from nextbuy.llm.words import count_words
 
 MARGINS = ("source", "lang", "topic")
 ROUNDS, TOLERANCE = 200, 1e-9
 #: Share of the corpus' tokens that the sample aims at, and the exponent that flattens source and topic shares.
 BUDGET, FLATTEN = 0.6, 0.7
-_WORD = r"[^\x20\x09-\x0D]+"
 
 
-def n_tokens(text: Column) -> Column:
-    """Words of a text, as its token weight; null and wordless texts weigh 0."""
-    return F.coalesce(F.regexp_count(text, F.lit(_WORD)), F.lit(0)).cast("long")
+def with_tokens(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a column ``name``: the words of the whole text, its token weight; null and wordless texts weigh 0."""
+    ship(docs.sparkSession)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(count_words(batch.column(at)), pa.int64())], names=[*batch.schema.names, name])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
 
 
 def topic_of(text: Column) -> Column:
-    """A coarse topic by marks of form in the whole text: legal, contact, table, figures, prose."""
+    """A coarse topic by marks of form in the whole text: legal, contact, table, figures, prose; none without text."""
     return (
         F.when(F.coalesce(text, F.lit("")) == "", "none")
-        .when(text.rlike(r"(?i)licen[sc]ed? under|all rights reserved|copyright"), "legal")
-        .when(text.rlike(r"[\w.+-]+@[\w-]+\.\w|\+\d[\d ()-]{6,}"), "contact")
-        .when(text.rlike(r" \| .* \| "), "table")
-        .when(text.rlike(r"\d{4,}"), "figures")
+        .when(text.contains("icensed under") | text.contains("ll rights reserved") | text.contains("opyright"), "legal")
+        .when(text.contains("@") | (text.contains("+") & text.rlike(r"\+\d[\d ()-]{6}")), "contact")
+        .when(text.contains(" | "), "table")
+        .when(text.rlike(r"\d{4}"), "figures")
         .otherwise("prose"))
 
 
@@ -114,9 +126,9 @@ def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, bud
     drawn.  An existing column ``name`` is replaced; an empty table stays empty.
     """
     docs = docs.drop(name)
-    own = docs.withColumn(name, F.struct(
+    own = with_tokens(docs, name).withColumn(name, F.struct(
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"),
-        topic_of(F.col("text")).alias("topic"), n_tokens(F.col("text")).alias("n_tokens")))
+        topic_of(F.col("text")).alias("topic"), F.col(name).alias("n_tokens")))
     cells = cell_table(own.select(f"{name}.*"), targets, budget)
     cells = F.broadcast(cells.select(F.struct(*MARGINS).alias("cell"), F.struct("weight", "probability").alias("drawn")))  # the cells, bounded as above
     drawn = own.join(cells, F.struct(*(F.col(f"{name}.{m}") for m in MARGINS)) == F.col("cell"), "left")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from nextbuy.llm.ship import ship
-from nextbuy.llm.words import mix64, split_words, window_hashes
+from nextbuy.llm.words import distinct, mix64, split_words, window_hashes
 
 BITS = 18
 SAMPLE = 6000
@@ -72,7 +72,7 @@ def features(column: pa.Array) -> Iterator[np.ndarray]:
                 out += [_slots(g, 3 + k) for k, g in enumerate(grams)]
                 shares = [seen, (code & 16 > 0).mean(), symbols[a:b].mean() / 4, (code & 1).mean()]
                 out.append(_slots(np.array([k * 16 + min(int(10 * s), 10) for k, s in enumerate(shares)], np.uint64), 7))
-            yield np.unique(np.concatenate(out))
+            yield distinct(np.concatenate(out))
 
 
 @dataclass

@@ -31,7 +31,8 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.count_tokens(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path("byte_bpe_50k.json"))
+    return token_counts.count_tokens(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path("byte_bpe_50k.json"),
+                                     tokenizer_path("byte_bpe_50k.tiktoken"))
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,35 +1,36 @@
 """Token counts of whole texts, with overlap resynchronisation for huge ones (operator 3).
 
-Short texts are cut only where the tokenizer is known to start anew (a single
-space between two visible characters); equal pieces of an Arrow batch are
-encoded once.  A text beyond ``CHUNK`` characters is encoded in overlapping
-chunks with offsets.  Two neighbouring chunks are spliced at a position where
-both have a pre-token boundary and that lies further from the left chunk's end
-than the tokenizer ever looks ahead: from there on both see the same input in
-the same state, so every later token is the same.  Without such a position the
-left chunk is encoded again with an overlap twice as wide, up to the text's end.
+A text beyond ``CHUNK`` bytes is encoded in overlapping chunks with offsets.
+Two neighbouring chunks are spliced at a position where both have a pre-token
+boundary and that lies further from the left chunk's end than the tokenizer
+ever looks ahead: from there on both see the same input in the same state, so
+every later token is the same.  Without such a position the left chunk is
+encoded again with an overlap twice as wide, up to the text's end.
+
+Other texts are encoded whole.  Where the vocabulary is also given as ranks,
+texts of plain Latin characters take the faster rank encoder, which yields the
+same tokens there: its pattern and merges are the same, and both libraries
+class these characters alike.  All other texts take the tokenizer itself.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import base64
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from nextbuy.llm.ship import ship
-from nextbuy.llm.words import span_hashes, text_bytes
+from nextbuy.llm.words import text_bytes
 
+#: Bytes beyond which a text is encoded in chunks of as many characters; characters of an overlap.
 CHUNK, OVERLAP = 32_768, 512
 LIMIT = 512
-#: Pieces whose counts a task remembers between batches.
-REMEMBERED = 400_000
 
-_VISIBLE = np.zeros(256, bool)
-_VISIBLE[0x21:0x7F] = True
-_PAIR = np.zeros(256, bool)  # first bytes of two-byte characters, none of which is white space from 0xC3 on
-_PAIR[0xC3:0xE0] = True
+_PLAIN = np.zeros(256, bool)  # bytes of line feed, U+0020 to U+007E and U+00C0 to U+017F
+_PLAIN[[0x0A, *range(0x20, 0x7F), *range(0x80, 0xC0), 0xC3, 0xC4, 0xC5]] = True
 
 
 def load_tokenizer(path: str):
@@ -49,126 +50,99 @@ def look_ahead(tokenizer) -> int:
     return max((len(t.content) for t in tokenizer.get_added_tokens_decoder().values()), default=0) + 8
 
 
-def boundaries(encoding) -> np.ndarray:
-    """(start, tokens before) of every pre-token of an encoding; special strings are their own pre-token.
+def boundaries(encoding, tokens: range, until: Callable[[int], bool]) -> list[tuple[int, int]]:
+    """(start, tokens before) of the pre-tokens at ``tokens``, up to the first start that ``until`` holds for.
 
-    Offsets may leave out a leading space, so a start is taken from the end of
-    the token before.
+    Special strings are pre-tokens of their own.  Offsets may leave out a
+    leading space, so a start is taken from the end of the token before.
     """
-    words = np.array([-1 if w is None else w for w in encoding.word_ids], np.int64)
-    ends = np.array([e for _, e in encoding.offsets], np.int64)
-    if not len(words):
-        return np.zeros((0, 2), np.int64)
-    new = np.flatnonzero((words[1:] != words[:-1]) | (words[1:] < 0)) + 1
-    return np.stack([ends[new - 1], new], axis=1)
+    out = []
+    for k in tokens:
+        start = encoding.token_to_chars(k - 1)[1]
+        if until(start):
+            break
+        word = encoding.token_to_word(k)
+        if word is None or word != encoding.token_to_word(k - 1):
+            out.append((start, k))
+    return out
 
 
 def count_huge(text: str, tokenizer, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
     """Tokens of a text, by overlapping chunks that are spliced at stable common boundaries."""
     margin = look_ahead(tokenizer)
-    encode = lambda a, b: boundaries_and_size(tokenizer.encode(text[a:b], add_special_tokens=False))
+    encode = lambda a, b: tokenizer.encode(text[a:b], add_special_tokens=False)
     total, start, skip = 0, 0, 0  # ``skip`` tokens of the chunk at ``start`` are counted already
     end = min(chunk, len(text))
-    marks, size = encode(start, end)
+    left = encode(start, end)
     while end < len(text):
         wide, joined = overlap, None
         while joined is None:
             after = max(end - wide, start)
             last = min(after + chunk + wide, len(text))
-            next_marks, next_size = encode(after, last)
-            left = {int(p) + start: int(k) for p, k in marks if p + start <= end - margin and k >= skip}
-            joined = next(((p + after, left[p + after], k) for p, k in next_marks.tolist() if p + after in left and p), None)
+            right = encode(after, last)
+            behind = boundaries(left, range(len(left) - 1, max(skip, 1) - 1, -1), lambda p: p + start < after)
+            stable = {p + start: k for p, k in behind if p + start <= end - margin}
+            ahead = boundaries(right, range(1, len(right)), lambda p: p + after > end - margin)
+            joined = next(((stable[p + after], k) for p, k in ahead if p + after in stable), None)
             if joined is None:  # widen: the left chunk reaches further, and so does the overlap
                 wide *= 2
                 end = min(end + wide, len(text))
-                marks, size = encode(start, end)
+                left = encode(start, end)
                 if end == len(text):
-                    return total + size - skip
-        _, before, skip_next = joined
-        total += before - skip
-        start, skip, end, marks, size = after, skip_next, last, next_marks, next_size
-    return total + size - skip
+                    return total + len(left) - skip
+        total += joined[0] - skip
+        start, skip, end, left = after, joined[1], last, right
+    return total + len(left) - skip
 
 
-def boundaries_and_size(encoding) -> tuple[np.ndarray, int]:
-    return boundaries(encoding), len(encoding.ids)
+class Counter:
+    """Counts whole texts of Arrow columns."""
 
+    def __init__(self, path: str, ranks_path: str | None = None):
+        self.tokenizer, self.ranks = load_tokenizer(path), None
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        if ranks_path:
+            import public_tokenizers
+            import tiktoken
 
-class Counter:
-    """Counts whole texts of Arrow columns; remembers the counts of pieces it has met."""
-
-    def __init__(self, path: str):
-        self.tokenizer = load_tokenizer(path)
-        self.keys, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int32)
-
-    def pieces(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Tokens of each byte span."""
-        distinct, first, inverse = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        at = np.searchsorted(self.keys, distinct)
-        known = at < len(self.keys)
-        known[known] = self.keys[at[known]] == distinct[known]
-        out = np.zeros(len(distinct), np.int32)
-        out[known] = self.counts[at[known]]
-        new = np.flatnonzero(~known)
-        for part in np.array_split(new, len(new) // 20_000 + 1):
-            texts = [data[a:b].tobytes().decode() for a, b in zip(starts[first[part]], ends[first[part]], strict=True)]
-            out[part] = [len(x) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        if len(new) and len(self.keys) < REMEMBERED:
-            keys = np.concatenate([self.keys, distinct[new]])
-            order = np.argsort(keys)
-            self.keys, self.counts = keys[order], np.concatenate([self.counts, out[new]])[order]
-        return out[inverse.ravel()]
+            with open(ranks_path, "rb") as lines:
+                ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+            self.ranks = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(bytes, tokens) of each text; null counts as empty."""
         data, offsets = text_bytes(column)
         size = np.diff(offsets)
         tokens = np.zeros(len(size), np.int64)
-        huge = size > CHUNK
-        for d in np.flatnonzero(huge):
-            tokens[d] = count_huge(data[offsets[d]:offsets[d + 1]].tobytes().decode(), self.tokenizer)
-        d = 0
-        while d < len(size):
-            stop = max(int(np.searchsorted(offsets, offsets[d] + (4 << 20), "right")) - 1, d + 1)
-            rows = np.flatnonzero(~huge[d:stop]) + d
-            rows = rows[size[rows] > 0]
-            if len(rows):
-                lo, hi = int(offsets[d]), int(offsets[stop])
-                part = data[lo:hi]
-                cuts = _cuts(part)
-                own = offsets[rows] - lo
-                inside = np.zeros(len(part) + 1, np.int8)  # cuts inside the short texts only
-                np.add.at(inside, own, 1)
-                np.add.at(inside, offsets[rows + 1] - lo, -1)
-                cuts = cuts[np.cumsum(inside)[cuts] > 0]
-                starts = np.unique(np.concatenate([own, cuts]))
-                row = np.searchsorted(own, starts, "right") - 1
-                ends = np.minimum(np.append(starts[1:], len(part)), (offsets[rows + 1] - lo)[row])
-                tokens[rows] = np.bincount(row, self.pieces(part, starts, ends), len(rows)).astype(np.int64)
-            d = stop
+        others = []
+        for d in np.flatnonzero(size):
+            part = data[offsets[d]:offsets[d + 1]]
+            text = part.tobytes().decode()
+            if size[d] > CHUNK:
+                tokens[d] = count_huge(text, self.tokenizer)
+            elif self.ranks and _PLAIN[part].all() and not any(x in text for x in self.special):
+                tokens[d] = len(self.ranks.encode_ordinary(text))
+            else:
+                others.append((d, text))
+        for k in range(0, len(others), 200):
+            some = others[k:k + 200]
+            tokens[[d for d, _ in some]] = [len(x) for x in self.tokenizer.encode_batch_fast([t for _, t in some], add_special_tokens=False)]
         return size, tokens
 
 
-def _cuts(part: np.ndarray) -> np.ndarray:
-    """Positions of single spaces between two characters that are certainly not white space."""
-    at = np.flatnonzero(part[2:-1] == 0x20) + 2
-    before = _VISIBLE[part[at - 1]] | (_PAIR[part[at - 2]] & (part[at - 1] >= 0x80) & (part[at - 1] < 0xC0))
-    return at[before & (_VISIBLE[part[at + 1]] | _PAIR[part[at + 1]])]
-
-
-def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = LIMIT) -> DataFrame:
+def count_tokens(docs: DataFrame, tokenizer_path: str, ranks_path: str | None = None, limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit of every row of ``docs`` (doc_id, text; other columns are ignored).
 
     Null and empty texts have 0 bytes and tokens.  Every row is counted, rows
     that repeat an id or have none too; an empty table gives an empty result.
-    ``tokenizer_path`` must exist on every executor.
+    The files must exist on every executor.
     """
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = None
         for batch in batches:
-            counter = counter or Counter(tokenizer_path)
+            counter = counter or Counter(tokenizer_path, ranks_path)
             size, tokens = counter.column(batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(tokens, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
 

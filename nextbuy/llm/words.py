@@ -162,3 +162,26 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
     terms = _BYTE[_FOLD[text] if lower else text]
     terms *= _base_powers(int(length.max()))[pos]
     return mix64(np.add.reduceat(terms, at) + length.astype(np.uint64))
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The sorted distinct values."""
+    ranked = np.sort(values)
+    return ranked[np.append(True, ranked[1:] != ranked[:-1])] if len(ranked) else ranked
+
+
+def count_words(column: pa.Array) -> np.ndarray:
+    """Words of each text of a column."""
+    data, offsets = text_bytes(column)
+    out = np.zeros(len(offsets) - 1, np.int64)
+    for d, end, ranges in _blocks(data, offsets):
+        for lo, hi in ranges:
+            word = ~_WHITE[data[lo:hi]]
+            first = word.copy()
+            first[1:] &= ~word[:-1]
+            starts = offsets[d:end]
+            inside = starts[(starts >= lo) & (starts < hi)] - lo
+            first[inside] = word[inside]
+            at = np.flatnonzero(first) + lo
+            out[d:end] += np.diff(np.searchsorted(at, offsets[d:end + 1]))
+    return out

@@ -139,7 +139,7 @@ def plain_count(t):
 
 
 def test_token_counts(spark):
-    rows = {r.doc_id: r for r in token_counts.count_tokens(odd_docs(spark).dropDuplicates(["doc_id"]), BPE).collect()}
+    rows = {r.doc_id: r for r in token_counts.count_tokens(odd_docs(spark).dropDuplicates(["doc_id"]), BPE, tokenizer_path("byte_bpe_50k.tiktoken")).collect()}
     for r in odd_docs(spark).dropDuplicates(["doc_id"]).collect():
         assert rows[r.doc_id].n_tokens == plain_count(r.text or ""), r.doc_id
         assert rows[r.doc_id].n_bytes == len((r.text or "").encode()) and rows[r.doc_id].over_limit == (rows[r.doc_id].n_tokens > 512)
@@ -149,7 +149,7 @@ def test_token_counts(spark):
 def test_splicing_is_exact():
     tokenizer, r = token_counts.load_tokenizer(BPE), random.Random(5)
     parts = ["the", " river", "\n\n", "  ", "'re", "'", " 12", "x" * 300, "é", "\u00a0", "\u3000", "<|endoftext|>", "<|endof", "text|>", ".", "???", "\t", " \u2003", "日本語"]
-    counter = token_counts.Counter(BPE)
+    counter = token_counts.Counter(BPE, tokenizer_path("byte_bpe_50k.tiktoken"))
     for _ in range(150):
         t = "".join(r.choice(parts) for _ in range(r.randint(1, 300)))
         want = len(tokenizer.encode(t, add_special_tokens=False).ids)
@@ -157,6 +157,13 @@ def test_splicing_is_exact():
         assert counter.column(pa.array([t, None, t]))[1].tolist() == [want, 0, want], t
 
 
+def test_plain_characters_count_alike():
+    counter, r = token_counts.Counter(BPE, tokenizer_path("byte_bpe_50k.tiktoken")), random.Random(6)
+    plain = ["\n", *map(chr, range(0x20, 0x7F)), *map(chr, range(0xC0, 0x180))]
+    column = ["".join(r.choice(plain) for _ in range(r.randint(1, 80))) for _ in range(3000)] + plain + ["the 's 're  a\n\n b" + c + "x1" + c + " " + c for c in plain]
+    assert counter.column(pa.array(column))[1].tolist() == [len(x.ids) for x in counter.tokenizer.encode_batch(column, add_special_tokens=False)]
+
+
 # -- 4
 
 def test_raking_meets_marginals():
@@ -330,7 +337,7 @@ def test_forward_sums_all_segmentations():
         table = dict(zip(pieces, p[lang]))
         total = [1.0] + [0.0] * len(text)
         for j in range(1, len(text) + 1):
-            total[j] = sum(total[j - k] * table.get(text[j - k:j], 0) for k in range(1, min(j, 8) + 1))
+            total[j] = sum(total[j - k] * table.get(text[j - k:j], 0) for k in range(1, min(j, langid.LONGEST) + 1))
         return np.log(total[-1])
     words = ["abab", "é", "ba", "xyz", "a", "abaabab"]
     (w,) = split_words(pa.array([" ".join(words)]))
