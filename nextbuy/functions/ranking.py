@@ -239,7 +239,15 @@ def one_vs_rest_long(df: DataFrame, label: str, scores: str, classes: Sequence[i
         (F.col("_y") == F.col("p.cls")).alias("pos"))
 
 
-SCORE_BUCKETS = 1024
+def score_bucket(score: Column) -> Column:
+    """Monotone bucket of a score: 16 steps within each power of two down to 2^-62.
+
+    Steps are relative, so the small scores of rare classes spread over many
+    buckets too; scores of 0 and below, and null, are the lowest bucket.
+    """
+    power = F.greatest(F.floor(F.log2(score)), F.lit(-62))
+    step = F.least(F.floor(score / F.pow(F.lit(2.0), power) * 16), F.lit(32))
+    return F.when(score > 0, power * 16 + step).otherwise(F.lit(-2000)).cast("int")
 
 
 def binary_curves(long: DataFrame) -> DataFrame:
@@ -247,15 +255,13 @@ def binary_curves(long: DataFrame) -> DataFrame:
 
     Rows are first grouped by (class, score).  The running sums over scores
     (descending) are then computed in two levels so no task holds a whole
-    class: scores are cut into ``SCORE_BUCKETS`` monotone buckets, a
-    (class, bucket) table - at most classes x buckets rows, broadcast - gives
+    class: scores are cut into monotone buckets (``score_bucket``), a
+    (class, bucket) table - at most classes x about 1,000 rows, broadcast - gives
     each bucket's offset, and the window runs only inside a (class, bucket).
     """
     g = long.groupBy("class", "score").agg(
         F.count_if("pos").alias("tp"), F.count_if(~F.col("pos")).alias("fp"))
-    bucket = F.least(F.greatest(F.floor(F.col("score") * SCORE_BUCKETS), F.lit(0)),
-                     F.lit(SCORE_BUCKETS - 1)).cast("int")
-    g = g.withColumn("_b", bucket)
+    g = g.withColumn("_b", score_bucket(F.col("score")))
     per_b = g.groupBy("class", "_b").agg(F.sum("tp").alias("btp"), F.sum("fp").alias("bfp"))
     above = Window.partitionBy("class").orderBy(F.col("_b").desc()).rowsBetween(
         Window.unboundedPreceding, -1)

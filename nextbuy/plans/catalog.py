@@ -203,6 +203,17 @@ from ..operators import splits as S  # noqa: E402
 _PROFILE = ["ncodpers", "q", "age", "antiguedad", "renta"]
 
 
+_PARAMS: dict[tuple, G.PrepParams] = {}
+
+
+def _params(spark, sf):
+    """Parameters of the train frame, fitted once per session and source dir."""
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"))
+    if key not in _PARAMS:
+        _PARAMS[key] = G.fit_params(_fit_input(spark, sf)[0])
+    return _PARAMS[key]
+
+
 def _fit_input(spark, sf):
     train, test = D.prep_frames(spark, sf)
     return train.drop(*D.FIT_DROP), test.drop(*D.FIT_DROP)
@@ -239,7 +250,7 @@ def f5_total_products(spark, sf):
 
 def _filled_train(spark, sf):
     train, _ = _fit_input(spark, sf)
-    p = G.fit_params(train)
+    p = _params(spark, sf)
     work = G.fill_missing(G.coerce_numeric(train), p.medians, p.modes)
     return work.withColumn("total_products", G.total_products()), p
 
@@ -289,7 +300,7 @@ def f11_drift_reference(spark, sf):
 
 def _applied(spark, sf):
     train, test = _fit_input(spark, sf)
-    p = G.fit_params(train)
+    p = _params(spark, sf)
     return G.apply_params(test, p), p, train
 
 
@@ -304,7 +315,7 @@ def g6_apply_preprocessing(spark, sf):
 @register("h3_group_stats")
 def h3_group_stats(spark, sf):
     out, _, train = _applied(spark, sf)
-    fitted = G.apply_params(train, G.fit_params(train))
+    fitted = G.apply_params(train, _params(spark, sf))
     return H.group_stats_table(fitted, "pais_residencia").select(
         "pais_residencia", F.round("mean_renta_by_pais_residencia", 6).alias("mean_renta"),
         F.col("median_antiguedad_by_pais_residencia").alias("median_antiguedad"))
@@ -313,7 +324,7 @@ def h3_group_stats(spark, sf):
 @register("h5_features")
 def h5_features(spark, sf):
     out, _, train = _applied(spark, sf)
-    fitted = G.apply_params(train, G.fit_params(train))
+    fitted = G.apply_params(train, _params(spark, sf))
     aggs = H.fit_group_stats(fitted)
     feats = H.add_features(out, aggs)
     return feats.select("ncodpers", "q", *[F.round(c, 6).alias(c) for c in H.NUMERIC_FEATURES])
@@ -322,7 +333,7 @@ def h5_features(spark, sf):
 @register("h8_quality_check")
 def h8_quality_check(spark, sf):
     out, _, train = _applied(spark, sf)
-    fitted = G.apply_params(train, G.fit_params(train))
+    fitted = G.apply_params(train, _params(spark, sf))
     feats = H.add_features(out, H.fit_group_stats(fitted))
     return H.quality_check(feats, H.NUMERIC_FEATURES)
 
@@ -837,7 +848,7 @@ def a7_params_roundtrip(spark, sf):
     from ..session import scratch_path
     import uuid
     train, _ = _fit_input(spark, sf)
-    p = G.fit_params(train)
+    p = _params(spark, sf)
     path = scratch_path(spark, f"params-{uuid.uuid4().hex}")
     A.write_params(spark, p, path)
     back, fell_back = A.read_params(spark, path)
@@ -903,7 +914,7 @@ def e5_client_sample(spark, sf):
 @register("f4_imputation")
 def f4_imputation(spark, sf):
     train, test = _fit_input(spark, sf)
-    p = G.fit_params(train)
+    p = _params(spark, sf)
     filled = G.fill_missing(G.coerce_numeric(test), p.medians, p.modes)
     return filled.select("ncodpers", "q", "age", "antiguedad", "renta")
 
@@ -950,7 +961,7 @@ def g7_feature_rows(spark, sf):
     """Serving-time feature rows for a request batch: profile JSON -> checks ->
     preprocessing -> recommendation lookup ('0' on a miss) -> derived features."""
     train, _ = _fit_input(spark, sf)
-    p = G.fit_params(train)
+    p = _params(spark, sf)
     aggs = H.fit_group_stats(G.apply_params(train, p))
     pnl = D.panel(spark, sf).filter(F.col("fecha_dato") == F.lit(_SLICE_DATE).cast("date"))
     requests = A.ingest_profiles(pnl.select(F.to_json(F.struct(
@@ -970,7 +981,7 @@ def g7_feature_rows(spark, sf):
 @register("h7_feature_types")
 def h7_feature_types(spark, sf):
     out, _, train = _applied(spark, sf)
-    fitted = G.apply_params(train, G.fit_params(train))
+    fitted = G.apply_params(train, _params(spark, sf))
     feats = H.add_features(fitted, H.fit_group_stats(fitted))
     return H.feature_types(feats, H.NUMERIC_FEATURES + ["total_products", "age"])
 
@@ -1041,7 +1052,7 @@ def a6_params_write(spark, sf):
     import uuid
     train, _ = _fit_input(spark, sf)
     path = scratch_path(spark, f"params-{uuid.uuid4().hex}")
-    A.write_params(spark, G.fit_params(train), path)
+    A.write_params(spark, _params(spark, sf), path)
     doc = spark.read.json(path)
     return spark.createDataFrame([(c,) for c in sorted(doc.columns)], "section string")
 
@@ -1061,7 +1072,7 @@ _FOLDED = ["pais_residencia", "canal_entrada", "segmento"]
 def g4_rare_folding(spark, sf):
     """Train-fitted rare dictionary applied to the test rows; value counts after folding."""
     train, test = _fit_input(spark, sf)
-    p = G.fit_params(train)
+    p = _params(spark, sf)
     long = test.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), G.fold_rare_expr(c, p.replacer.get(c, {})).alias("value"))
         for c in _FOLDED])).alias("kv")).select("kv.column", "kv.value")
@@ -1070,7 +1081,7 @@ def g4_rare_folding(spark, sf):
 
 def _features(spark, sf):
     out, _, train = _applied(spark, sf)
-    fitted = G.apply_params(train, G.fit_params(train))
+    fitted = G.apply_params(train, _params(spark, sf))
     return H.add_features(out, H.fit_group_stats(fitted))
 
 
@@ -1098,7 +1109,7 @@ def h6_dedupe_columns(spark, sf):
     """H6: a joined frame with a repeated column name and key columns; the first copy
     is kept and ``index`` / ``unique_id`` are dropped."""
     out, _, train = _applied(spark, sf)
-    fitted = G.apply_params(train, G.fit_params(train))
+    fitted = G.apply_params(train, _params(spark, sf))
     rows = out.select("ncodpers", "q", "segmento", "pais_residencia", "antiguedad", "renta",
                       F.col("ncodpers").alias("index"), F.col("q").alias("unique_id"))
     cust = table(spark, sf, "customer", "c_custkey", "c_name").select(

@@ -901,3 +901,27 @@ GROUP BY 1, 2"""),
         "SELECT a.ncodpers, a.q, a.segmento, a.pais_residencia FROM applied a "
         "JOIN customer c ON c.c_custkey = a.ncodpers"),
 })
+
+# the cohort chain of PREP once more: over the whole panel, with 30 cohorts
+_PANEL_COHORTS = PREP[PREP.index("dbase AS"):PREP.index("clip AS")].rstrip().rstrip(",").replace(
+    "FROM work", "FROM panel").replace("least(12,", "least(30,").replace("range(0, 13)", "range(0, 31)")
+
+ORACLES.update({
+    "b14_eda_date_cohorts": "WITH " + BASE + ",\n" + _PANEL_COHORTS
+    + "\nSELECT i, left_days, right_days, label FROM cohort_spec",
+    "f11_drift_reference": "WITH " + BASE + PREP + """,
+dvals AS (SELECT 'age' AS feature, CAST(age AS DOUBLE) AS v FROM ctrain WHERE age IS NOT NULL
+          UNION ALL SELECT 'antiguedad', antiguedad FROM ctrain WHERE antiguedad IS NOT NULL
+          UNION ALL SELECT 'renta', renta FROM ctrain WHERE renta IS NOT NULL),
+dedges AS (
+  SELECT feature, list_sort(list_distinct(quantile_cont(v, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]))) AS e
+  FROM dvals GROUP BY feature HAVING min(v) < max(v)),
+dbins AS (SELECT r.feature, len(list_filter(r.e[2:len(r.e) - 1], lambda x: x <= o.v)) AS bin
+          FROM dvals o JOIN dedges r ON r.feature = o.feature),
+dcount AS (SELECT feature, bin, count(*) AS n FROM dbins GROUP BY ALL),
+dgrid AS (SELECT feature, e, unnest(range(0, len(e) - 1)) AS bin FROM dedges WHERE len(e) >= 3)
+SELECT g.feature, CAST(g.bin AS INTEGER) AS bin, CASE WHEN g.bin > 0 THEN e[g.bin + 1] END AS lo,
+       CASE WHEN g.bin < len(e) - 2 THEN e[g.bin + 2] END AS hi,
+       round(coalesce(c.n, 0) / sum(coalesce(c.n, 0)) OVER (PARTITION BY g.feature), 9) AS share
+FROM dgrid g LEFT JOIN dcount c ON c.feature = g.feature AND c.bin = g.bin""",
+})
