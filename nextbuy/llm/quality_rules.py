@@ -76,17 +76,18 @@ def count_batch(column: pa.Array) -> np.ndarray:
     return out
 
 
-def measure(docs: DataFrame, name: str = "quality") -> DataFrame:
-    """``docs`` with a struct column ``name`` of the ``COUNTS`` of its text; other columns pass through."""
+def measure(docs: DataFrame, name: str = "quality", text: bool = True) -> DataFrame:
+    """``docs`` with a struct column ``name`` of the ``COUNTS`` of its text; other columns pass through, the text if asked for."""
     ship(docs.sparkSession)
     at = docs.columns.index("text")
-    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.StructType([T.StructField(c, T.LongType()) for c in COUNTS]))])
+    keep = [k for k in range(len(docs.columns)) if text or k != at]
+    schema = T.StructType([*(docs.schema.fields[k] for k in keep), T.StructField(name, T.StructType([T.StructField(c, T.LongType()) for c in COUNTS]))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts = count_batch(batch.column(at))
             struct = pa.StructArray.from_arrays([pa.array(counts[:, k]) for k in range(len(COUNTS))], names=list(COUNTS))
-            yield pa.RecordBatch.from_arrays([*batch.columns, struct], names=[*batch.schema.names, name])
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), struct], names=[*(batch.schema.names[k] for k in keep), name])
 
     return docs.mapInArrow(run, schema)
 
@@ -165,9 +166,7 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFram
     no labels, gives base rules only.
     """
     docs = docs.drop("quality")
-    marked = labels.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), stratum, "text").join(marked, "doc_id", "left_semi")
-    cutoffs = calibrate(measure(some), labels, stratum)
+    cutoffs = calibrate(measure(docs.select("doc_id", stratum, "text"), text=False), labels, stratum)  # counts are joined with labels, not texts
     measured = measure(docs)
     failed = base_failed()
     return measured.withColumn("quality", F.struct("quality.*", failed.alias("base_failed"), (~failed & ~rejected(cutoffs, stratum)).alias("kept")))
