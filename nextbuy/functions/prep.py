@@ -26,6 +26,7 @@ from ..products import PRODUCTS, TENURE_MISSING
 from .quantiles import exact_quantiles, exact_quantiles_many
 
 MEDIAN_COLUMNS = ("age", "antiguedad", "renta")
+# Columns without a mode (numeric, key and derived ones).
 MODES_EXCLUDED = frozenset({"age", "antiguedad", "fecha_dato", "ncodpers", "renta", "q",
                             "purchase", "snapshot_date", "target_date", "split", "owned"})
 DERIVED_COLUMNS = frozenset({"age_interval", "total_products", "recommended_product_id"})
@@ -425,7 +426,7 @@ def fit_params(fit_df: DataFrame, *, rare_threshold: float = 0.01, n_age_interva
         work = fill_missing(df, medians, modes)
         flags = [p for p in PRODUCTS if p in work.columns]
         if not flags or "age" not in work.columns:
-            raise ValueError("age intervals need the age column and product flags")
+            raise ValueError("fit_params(age_intervals=...): no column age, or none of the products, in the frame")
         work = work.withColumn("total_products", total_products(flags))
         ivs = [[r["lo"], r["hi"]] for r in
                age_intervals(work, n_age_intervals).orderBy("i").collect()]

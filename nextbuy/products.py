@@ -28,10 +28,3 @@ def product_name_expr(code: Column) -> Column:
     """Code -> flag name; codes outside 1..N give NULL."""
     return F.when((code >= 1) & (code <= N_PRODUCTS),
                   F.concat(F.lit("prod_"), F.lpad(code.cast("string"), 2, "0")))
-
-
-def product_name(code: int) -> str | None:
-    code = int(code)
-    if 1 <= code <= N_PRODUCTS:
-        return PRODUCTS[code - 1]
-    return None

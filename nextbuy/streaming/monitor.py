@@ -95,42 +95,36 @@ def profiles(raw_json: DataFrame) -> DataFrame:
 
 # --- parity form: exact last-N window per feature -------------------------------------
 
-_OUT = T.StructType([T.StructField("feature", T.StringType()),
-                     T.StructField("samples", T.LongType()),
-                     T.StructField("psi", T.DoubleType()),
-                     T.StructField("status", T.StringType())])
-_STATE = T.StructType([T.StructField("values", T.ArrayType(T.DoubleType()))])
-
-
-def _psi(ref_shares: np.ndarray, obs_shares: np.ndarray, eps: float = K.PSI_EPS) -> float:
-    r = np.clip(ref_shares, eps, None)
-    o = np.clip(obs_shares, eps, None)
-    r, o = r / r.sum(), o / o.sum()
-    return float(np.sum((r - o) * np.log(r / o)))
+_COUNTS = "feature string, counts array<long>"
+_STATE = "bins array<int>"
 
 
 def last_n_psi(observations: DataFrame, reference: dict, n: int = K.WINDOW_SIZE,
                min_samples: int = K.MIN_SAMPLES) -> DataFrame:
-    """Exact last-N PSI per feature over a stream of (event_id, ts, feature, value)."""
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-             ) -> Iterator[pd.DataFrame]:
-        feature = key[0]
-        values = list(state.get[0]) if state.exists else []
-        for pdf in batches:
-            pdf = pdf.sort_values(["ts", "event_id"])
-            values.extend(pdf["value"].astype(float).tolist())
-            values = values[-n:]
-        state.update((values,))
-        ref = reference.get(feature)
-        psi, status = None, "collecting"
-        if ref is not None and len(values) >= min_samples:
-            counts, _ = np.histogram(np.asarray(values), bins=np.asarray(ref["edges"]))
-            psi = _psi(np.asarray(ref["shares"]), counts / counts.sum())
-            status = ("significant" if psi >= K.PSI_SIGNIFICANT else
-                      "moderate" if psi >= K.PSI_MODERATE else "ok")
-        yield pd.DataFrame({"feature": [feature], "samples": [len(values)],
-                            "psi": [psi], "status": [status]})
-
-    return observations.groupBy("feature").applyInPandasWithState(
-        step, _OUT, _STATE, "update", GroupStateTimeout.NoTimeout)
+    """Exact last-N PSI per feature over a stream of (event_id, ts, feature, value).
+
+    Values become bin numbers before they reach the state, which remembers the
+    last ``n`` of them; the index itself is an expression over the bin counts.
+    Features without a reference are left out.
+    """
+    width = max((len(r["shares"]) for r in reference.values()), default=1)
+
+    def remember(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
+                 ) -> Iterator[pd.DataFrame]:
+        arrived = pd.concat(list(batches)).sort_values(["ts", "event_id"])["bin"]
+        kept = np.concatenate([state.get[0] if state.exists else [], arrived])[-n:].astype(int)
+        state.update((kept.tolist(),))
+        yield pd.DataFrame({"feature": [key[0]],
+                            "counts": [np.bincount(kept, minlength=width).tolist()]})
+
+    feature = F.col("feature")
+    binned = observations.filter(feature.isin(list(reference))).select(
+        "event_id", "ts", "feature", K.bin_expr(feature, F.col("value"), reference).alias("bin"))
+    counts = binned.groupBy("feature").applyInPandasWithState(
+        remember, _COUNTS, _STATE, "update", GroupStateTimeout.NoTimeout)
+    samples = F.aggregate("counts", F.lit(0).cast("long"), lambda total, x: total + x)
+    found = counts.select("feature", samples.alias("samples"),
+                          K.psi_expr(K.shares_expr(feature, reference), F.col("counts")).alias("p"))
+    status = K.status_expr(F.col("p"), F.col("samples"), min_samples)
+    return found.select("feature", "samples", F.when(F.col("samples") >= min_samples, F.col("p")).alias("psi"),
+                        status.alias("status"))
