@@ -5,8 +5,11 @@ Words become typed slots or lower-cased literals: numbers ``<num>``, names
 ``WINDOW`` canonical words of the benchmark are hashed and joined with the
 windows of every text, so a question with other numbers, names or units meets
 its template.  A text is contaminated by an item if at least ``SHARE`` of the
-item's windows are found and the slots are consistent: within the match, equal
-slot values of the item stand for equal values of the text.
+item's windows are found and the slots are consistent: equal slot values of the
+item stand for equal values of the text.  A text may hold a question several
+times with other values, so both are asked of each occurrence: of the whole
+text, of the windows that lie alike in text and item, and of those whose places
+differ by less than an item's length (words may have come in between).
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from nextbuy.llm.ship import ship
 from nextbuy.llm.words import span_hashes, split_words, window_hashes
@@ -26,7 +29,7 @@ WINDOW = 8
 #: Items of fewer words than this, or without a literal word in a window, cannot be told from chance and match nothing.
 LEAST_WORDS = 4
 SHARE = 0.5
-#: Share of an item's slot values that must each stand for one value of the text (a text may hold a question twice).
+#: Share of an item's slot values that must each stand for one value of the occurrence.
 CONSISTENT = 0.8
 NUM, NAME, UNIT = (np.uint64(x) for x in (0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xD6E8FEB86659FD93))
 #: Units that follow a number.
@@ -87,7 +90,7 @@ def canonical(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, n
 
 
 def _item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """item_id, width, n_windows, window, slots: a row per window of an item that has literals enough."""
+    """item_id, width, n_windows, window, slots, place, words: a row per window of an item that has literals enough."""
     for batch in batches:
         for first, bounds, every, values in canonical(batch.column(1)):
             for d in np.flatnonzero(np.diff(bounds) >= LEAST_WORDS):
@@ -102,13 +105,14 @@ def _item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays(
                     [pa.repeat(batch.column(0)[first + d], len(keep)), pa.repeat(pa.scalar(width, pa.int32()), len(keep)),
                      pa.repeat(pa.scalar(n, pa.int64()), len(keep)), pa.array(windows[keep].view(np.int64)),
-                     pa.array(slots, pa.list_(pa.int64()))], names=["item_id", "width", "n_windows", "window", "slots"])
+                     pa.array(slots, pa.list_(pa.int64())),
+                     pa.array(keep), pa.repeat(pa.scalar(len(words), pa.int64()), len(keep))], names=["item_id", "width", "n_windows", "window", "slots", "place", "words"])
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """item_id, width, n_windows (distinct, of the item), window, slots (0 for a literal; empty: no slot)."""
+    """item_id, width, n_windows (distinct, of the item), window, slots (0 for a literal; empty: no slot), place (its first word), words (of the item)."""
     return benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").mapInArrow(
-        _item_rows, "item_id long, width int, n_windows long, window long, slots array<long>")
+        _item_rows, "item_id long, width int, n_windows long, window long, slots array<long>, place long, words long")
 
 
 #: Windows of a benchmark up to this many are looked up in memory on every executor (8 bytes each); beyond, the windows of the corpus are shuffled.
@@ -134,9 +138,9 @@ def _finder(widths: list[int], known: Broadcast | None):
                         spans = values[at[:, None] + np.arange(width)]
                         slots = [x.tolist() if x.any() else [] for x in spans.view(np.int64)]
                         yield pa.RecordBatch.from_arrays(
-                            [batch.column(0).take(pa.array(first + row)), pa.repeat(pa.scalar(width, pa.int32()), len(at)),
-                             pa.array(windows[at].view(np.int64)), pa.array(slots, pa.list_(pa.int64()))],
-                            names=["doc_id", "width", "window", "doc_slots"])
+                            [batch.column(0).take(pa.array(first + row)), batch.column(2).take(pa.array(first + row)), pa.repeat(pa.scalar(width, pa.int32()), len(at)),
+                             pa.array(windows[at].view(np.int64)), pa.array(slots, pa.list_(pa.int64())), pa.array(at - bounds[row])],
+                            names=["doc_id", "version", "width", "window", "doc_slots", "doc_place"])
 
     return run
 
@@ -144,7 +148,7 @@ def _finder(widths: list[int], known: Broadcast | None):
 def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
     """doc_id, item_id, n_found, n_windows, exact of each contaminated text and item; clean texts have no row.
 
-    ``exact``: no slot differs.  Null and empty texts and items match nothing,
+    ``exact``: no slot of an occurrence differs.  Null and empty texts and items match nothing,
     nor do rows without an id; rows that repeat an id count as one text, items
     alike.  Copies of an item under several ids each give a row.
     """
@@ -157,17 +161,34 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFr
         table = docs.sparkSession.sparkContext.broadcast(np.sort(np.array([r[0] for r in known.toLocalIterator()], np.int64).view(np.uint64)))
     if not widths:
         widths, table = [WINDOW], None
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null").mapInArrow(
-        _finder(widths, table), "doc_id long, width int, window long, doc_slots array<long>").distinct()
-    met = rows.join(items.distinct(), ["width", "window"])
-    whole = met.groupBy("doc_id", "item_id").agg(
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("version")).filter("doc_id is not null").mapInArrow(
+        _finder(widths, table), "doc_id long, version long, width int, window long, doc_slots array<long>, doc_place long")
+    met = rows.join(items.distinct(), ["width", "window"]).select("*", F.explode(_occurrences()).alias("run"))
+    key = ["doc_id", "item_id", "run"]
+    whole = met.groupBy(*key).agg(
         F.count_distinct("window").alias("n_found"), F.max("n_windows").alias("n_windows")).filter(F.col("n_found") >= share * F.col("n_windows"))
-    # a slot value of the item must stand for one value of the text, in all windows
-    values = met.filter("size(slots) > 0").select("doc_id", "item_id", F.explode(F.arrays_zip(F.col("slots").alias("own"), F.col("doc_slots").alias("other"))).alias("s")).filter("s.own <> 0")
-    votes = values.groupBy("doc_id", "item_id", "s.own").agg(F.count_distinct("s.other").alias("n"), F.max(F.col("s.own") != F.col("s.other")).alias("changed"))
-    slots = votes.groupBy("doc_id", "item_id").agg(F.avg((F.col("n") == 1).cast("double")).alias("agree"), F.max("changed").alias("changed"))
-    return whole.join(slots, ["doc_id", "item_id"], "left").filter(f"coalesce(agree, 1.0) >= {CONSISTENT}").select(
-        "doc_id", "item_id", "n_found", "n_windows", (~F.coalesce("changed", F.lit(False))).alias("exact"))
+    # a slot value of the item must stand for one value of the occurrence, in all windows
+    values = met.filter("size(slots) > 0").select(*key, F.explode(F.arrays_zip(F.col("slots").alias("own"), F.col("doc_slots").alias("other"))).alias("s")).filter("s.own <> 0")
+    votes = values.groupBy(*key, "s.own").agg(F.count_distinct("s.other").alias("n"), F.max(F.col("s.own") != F.col("s.other")).alias("changed"))
+    slots = votes.groupBy(*key).agg(F.avg((F.col("n") == 1).cast("double")).alias("agree"), F.max("changed").alias("changed"))
+    judged = whole.join(slots, key, "left").withColumn("agrees", F.coalesce("agree", F.lit(1.0)) >= CONSISTENT)
+    return judged.groupBy("doc_id", "item_id").agg(
+        F.max("n_found").alias("n_found"), F.max("n_windows").alias("n_windows"), F.max("agrees").alias("agrees"),
+        F.max(F.col("agrees") & ~F.coalesce("changed", F.lit(False))).alias("exact")).filter("agrees").select("doc_id", "item_id", "n_found", "n_windows", "exact")
+
+
+def _occurrences() -> Column:
+    """Runs of a met window: the whole text (all versions of its id), its shift against the item, and two bins of shifts.
+
+    Bins are at most an item long and begin every half of that, so copies one
+    after the other are never in one bin, and shifts that differ by less than
+    half an item share one.
+    """
+    shift = F.col("doc_place") - F.col("place")
+    half = F.greatest(F.floor(F.col("words") / 2), F.lit(1))
+    cell = F.floor(shift / half)
+    run = lambda kind, at, version: F.struct(F.lit(kind).alias("kind"), at.cast("long").alias("at"), version.cast("long").alias("version"))
+    return F.array(run(0, F.lit(0), F.lit(0)), run(1, shift, F.col("version")), run(2, cell, F.col("version")), run(2, cell - 1, F.col("version")))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -215,6 +215,18 @@ def test_decontamination(spark):
     assert decontaminate.leaks(docs, bench.limit(0)).count() == 0 and decontaminate.leaks(docs.limit(0), bench).count() == 0
 
 
+def test_decontamination_by_occurrence(spark):
+    item = "A farmer in Leeds sells 12 kg of apples and 7 kg of pears. How many kg does the farmer in Leeds sell when 12 kg are left over at noon?"
+    other = lambda name, a, b: item.replace("Leeds", name).replace("12", a).replace("7", b)
+    loose = "A farmer in Oslo sells 1 kg of apples and 2 lb of pears. How many oz does the farmer in Rome sell when 3 mg are left over at noon?"
+    drift = other("New York", "45", "9")
+    rows = [(1, item + " " + other("Turin", "45", "9")), (2, "\n".join(other(x, a, b) for x, a, b in (("Turin", "45", "9"), ("Bonn", "3", "8"), ("Lyon", "66", "1")))),
+            (3, loose), (4, loose + " " + loose.replace("Oslo", "Bonn")), (5, " ".join(other("Bonn", "3", "8").split()[:12]) + " " + item), (6, drift + " x " + other("Bonn", "3", "8")),
+            (7, other("Turin", "45", "9")), (7, other("Bonn", "3", "8"))]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert {x.doc_id: x.exact for x in decontaminate.leaks(docs, bench).collect()} == {1: True, 2: False, 5: True, 6: False, 7: False}
+
+
 def test_decontamination_shuffled_windows(spark, monkeypatch):
     want = {tuple(x) for x in QUERIES["op5_decontamination"](spark, SMALL).collect()}
     monkeypatch.setattr(decontaminate, "IN_MEMORY", 0)
