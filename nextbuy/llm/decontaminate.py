@@ -10,6 +10,11 @@ item stand for equal values of the text.  A text may hold a question several
 times with other values, so both are asked of each occurrence: of the whole
 text, of the windows that lie alike in text and item, and of those whose places
 differ by less than an item's length (words may have come in between).
+
+Case is not trusted alone: a window with names is hashed a second time with the
+names as lower-cased literals, so titles and texts in capitals meet theirs.
+A window with few literals even so (lists of numbers) is hashed by its literal
+words, and only the same values meet it.
 """
 
 from __future__ import annotations
@@ -26,7 +31,7 @@ from nextbuy.llm.words import span_hashes, split_words, window_hashes
 from nextbuy.session import materialize
 
 WINDOW = 8
-#: Items of fewer words than this, or without a literal word in a window, cannot be told from chance and match nothing.
+#: Items of fewer words than this cannot be told from chance and match nothing.
 LEAST_WORDS = 4
 SHARE = 0.5
 #: Share of an item's slot values that must each stand for one value of the occurrence.
@@ -50,15 +55,30 @@ def _unit_hashes() -> np.ndarray:
     return next(split_words(pa.array([" ".join(UNITS)]), lower=True)).hashes
 
 
-def canonical(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(first row, word bounds of the rows from there on, canonical word hashes, slot values) by group of texts.
+def _folded(data: np.ndarray) -> np.ndarray:
+    """UTF-8 bytes with Latin-1, Greek and Cyrillic capitals in lower case, which have the same length; A-Z are left."""
+    lead = np.flatnonzero((data == 0xC3) | (data == 0xCE) | (data == 0xD0))
+    lead = lead[lead + 1 < len(data)]
+    if not len(lead):
+        return data
+    data, a, b = data.copy(), data[lead], data[lead + 1]
+    near = ((a == 0xC3) & (b >= 0x80) & (b <= 0x9E) & (b != 0x97)) | ((a == 0xCE) & (b >= 0x91) & (b <= 0x9F)) | ((a == 0xD0) & (b >= 0x90) & (b <= 0x9F))
+    data[lead[near] + 1] += 0x20
+    far = ((a == 0xCE) & (b >= 0xA0) & (b <= 0xA9)) | ((a == 0xD0) & (b >= 0xA0) & (b <= 0xAF))
+    data[lead[far]] += 1
+    data[lead[far] + 1] -= 0x20
+    early = (a == 0xD0) & (b >= 0x80) & (b <= 0x8F)
+    data[lead[early]] += 1
+    data[lead[early] + 1] += 0x10
+    return data
+
 
-    The slot value of a word is its literal hash, 0 if the word is no slot.
+def canonical(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, word bounds of the rows from there on, canonical word hashes, the same with names as literals, literal hashes) by group of texts.
 
     A word that begins in upper case A-Z is a name unless it begins the text, a
-    line or a sentence, or the text is mostly such words; a word after a number
-    that is a known unit is a unit; a word that begins with a digit, after a
-    currency sign too, is a number.
+    line or a sentence; a word after a number that is a known unit is a unit; a
+    word that begins with a digit, after a currency sign too, is a number.
     """
     units = np.sort(_unit_hashes())
     for w in split_words(column, lower=False):
@@ -72,7 +92,8 @@ def canonical(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, n
             ends[last] -= 1
             head = _TRIM[data[starts]] & (ends - starts > 1)
             starts[head] += 1
-        literal = span_hashes(data, starts, ends, lower=True)
+        low = int(starts[0])
+        literal = span_hashes(_folded(data[low:int(ends[-1])]), starts - low, ends - low, lower=True)
         signed = np.isin(data[starts], np.frombuffer(b"$-+#", np.uint8)) & (ends - starts > 1)
         number = _DIGIT[data[starts]] | (signed & _DIGIT[data[np.minimum(starts + 1, len(data) - 1)]])
         first = np.zeros(n, bool)
@@ -85,34 +106,52 @@ def canonical(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, n
         after = np.zeros(n, bool)
         after[1:] = number[:-1] & ~first[1:]
         unit = after & (units[np.minimum(np.searchsorted(units, literal), len(units) - 1)] == literal)
-        words = np.where(number, NUM, np.where(unit, UNIT, np.where(name, NAME, literal)))
-        yield w.first, w.bounds, words, np.where(number | unit | name, literal, np.uint64(0))
+        plain = np.where(number, NUM, np.where(unit, UNIT, literal))
+        yield w.first, w.bounds, np.where(name & ~unit, NAME, plain), plain, literal
+
+
+def _literals(words: np.ndarray, literal: np.ndarray, width: int) -> np.ndarray:
+    """Literal words in each window."""
+    sums = np.concatenate([[0], np.cumsum(words == literal)])
+    return sums[width:] - sums[:-width]
+
+
+def _forms(words: np.ndarray, plain: np.ndarray, literal: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """First words of windows and their hashes: windows by template, by template with literal names, and by literal words if literals are few."""
+    if len(words) < width:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    least, most, some = width // 2 - 1, _literals(words, literal, width), _literals(plain, literal, width)
+    typed, named, listed = np.flatnonzero(most >= least), np.flatnonzero((some > most) & (some >= least)), np.flatnonzero(some < least)
+    return np.concatenate([typed, named, listed]), np.concatenate(
+        [window_hashes(words, width)[typed], window_hashes(plain, width, named), window_hashes(literal, width, listed)])
 
 
 def _item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """item_id, width, n_windows, window, slots, place, words: a row per window of an item that has literals enough."""
+    """A row per form of each window of an item, as ``item_windows`` gives them."""
     for batch in batches:
-        for first, bounds, every, values in canonical(batch.column(1)):
+        for first, bounds, *forms in canonical(batch.column(1)):
             for d in np.flatnonzero(np.diff(bounds) >= LEAST_WORDS):
-                words, value = every[bounds[d]:bounds[d + 1]], values[bounds[d]:bounds[d + 1]]
+                words, plain, literal = (x[bounds[d]:bounds[d + 1]] for x in forms)
                 width = min(WINDOW, len(words))
-                windows, slot = window_hashes(words, width), value != 0
-                keep = np.flatnonzero(np.convolve(~slot, np.ones(width), "valid") >= width // 2 - 1)
-                if not len(keep):
-                    continue
-                n = len(np.unique(windows[keep]))
-                slots = [value[i:i + width].view(np.int64).tolist() if slot[i:i + width].any() else [] for i in keep]
+                at, windows = _forms(words, plain, literal, width)
+                own = window_hashes(literal, width)
+                firm = _literals(words, literal, width) >= width // 2 - 1
+                value = np.where(words == literal, np.uint64(0), literal)
+                slots = [value[i:i + width].view(np.int64).tolist() if value[i:i + width].any() else [] for i in at]
+                same = lambda x, kind: pa.repeat(pa.scalar(x, kind), len(at))  # noqa: B023, E731
                 yield pa.RecordBatch.from_arrays(
-                    [pa.repeat(batch.column(0)[first + d], len(keep)), pa.repeat(pa.scalar(width, pa.int32()), len(keep)),
-                     pa.repeat(pa.scalar(n, pa.int64()), len(keep)), pa.array(windows[keep].view(np.int64)),
-                     pa.array(slots, pa.list_(pa.int64())),
-                     pa.array(keep), pa.repeat(pa.scalar(len(words), pa.int64()), len(keep))], names=["item_id", "width", "n_windows", "window", "slots", "place", "words"])
+                    [pa.repeat(batch.column(0)[first + d], len(at)), same(width, pa.int32()), same(len(np.unique(own)), pa.int64()),
+                     same(len(np.unique(own[firm])), pa.int64()), pa.array(windows.view(np.int64)), pa.array(slots, pa.list_(pa.int64())),
+                     pa.array(at), same(len(words), pa.int64()), pa.array(own[at].view(np.int64)), pa.array(firm[at])],
+                    names=["item_id", "width", "n_windows", "n_firm", "window", "slots", "place", "words", "own_window", "firm"])
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """item_id, width, n_windows (distinct, of the item), window, slots (0 for a literal; empty: no slot), place (its first word), words (of the item)."""
+    """A row per form of each window: item_id, width, n_windows (distinct ones of the item), n_firm (those of them with
+    literals enough by template), window (hash of the form), slots (0 for a literal; empty: no slot), place (its first
+    word), words (of the item), own_window (hash of its literal words), firm."""
     return benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").mapInArrow(
-        _item_rows, "item_id long, width int, n_windows long, window long, slots array<long>, place long, words long")
+        _item_rows, "item_id long, width int, n_windows long, n_firm long, window long, slots array<long>, place long, words long, own_window long, firm boolean")
 
 
 #: Windows of a benchmark up to this many are looked up in memory on every executor (8 bytes each); beyond, the windows of the corpus are shuffled.
@@ -123,23 +162,20 @@ def _finder(widths: list[int], known: Broadcast | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = known.value if known is not None else None
         for batch in batches:
-            for first, bounds, words, values in canonical(batch.column(1)):
+            for first, bounds, words, plain, literal in canonical(batch.column(1)):
                 for width in widths:
-                    windows = window_hashes(words, width)
-                    if not len(windows):
-                        continue
-                    at = np.arange(len(windows))
+                    at, windows = _forms(words, plain, literal, width)
                     if table is not None:
-                        at = at[table[np.minimum(np.searchsorted(table, windows), len(table) - 1)] == windows]
+                        known_ = table[np.minimum(np.searchsorted(table, windows), len(table) - 1)] == windows
+                        at, windows = at[known_], windows[known_]
                     row = np.searchsorted(bounds, at, "right") - 1
                     inside = at + width <= bounds[row + 1]
-                    at, row = at[inside], row[inside]
+                    at, windows, row = at[inside], windows[inside], row[inside]
                     if len(at):
-                        spans = values[at[:, None] + np.arange(width)]
-                        slots = [x.tolist() if x.any() else [] for x in spans.view(np.int64)]
+                        spans = pa.array(literal[at[:, None] + np.arange(width)].view(np.int64).ravel())
                         yield pa.RecordBatch.from_arrays(
                             [batch.column(0).take(pa.array(first + row)), batch.column(2).take(pa.array(first + row)), pa.repeat(pa.scalar(width, pa.int32()), len(at)),
-                             pa.array(windows[at].view(np.int64)), pa.array(slots, pa.list_(pa.int64())), pa.array(at - bounds[row])],
+                             pa.array(windows.view(np.int64)), pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * width, pa.int32()), spans), pa.array(at - bounds[row])],
                             names=["doc_id", "version", "width", "window", "doc_slots", "doc_place"])
 
     return run
@@ -165,8 +201,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFr
         _finder(widths, table), "doc_id long, version long, width int, window long, doc_slots array<long>, doc_place long")
     met = rows.join(items.distinct(), ["width", "window"]).select("*", F.explode(_occurrences()).alias("run"))
     key = ["doc_id", "item_id", "run"]
-    whole = met.groupBy(*key).agg(
-        F.count_distinct("window").alias("n_found"), F.max("n_windows").alias("n_windows")).filter(F.col("n_found") >= share * F.col("n_windows"))
+    # of all windows, or of those that other values leave as they are
+    whole = met.groupBy(*key, "own_window").agg(F.max("firm").alias("firm"), F.max("n_windows").alias("n_windows"), F.max("n_firm").alias("n_firm")).groupBy(*key).agg(
+        F.count("*").alias("n_found"), F.count_if("firm").alias("firm_found"), F.max("n_windows").alias("n_windows"), F.max("n_firm").alias("n_firm"))
+    whole = whole.filter((F.col("n_found") >= share * F.col("n_windows")) | ((F.col("n_firm") > 0) & (F.col("firm_found") >= share * F.col("n_firm"))))
     # a slot value of the item must stand for one value of the occurrence, in all windows
     values = met.filter("size(slots) > 0").select(*key, F.explode(F.arrays_zip(F.col("slots").alias("own"), F.col("doc_slots").alias("other"))).alias("s")).filter("s.own <> 0")
     votes = values.groupBy(*key, "s.own").agg(F.count_distinct("s.other").alias("n"), F.max(F.col("s.own") != F.col("s.other")).alias("changed"))

@@ -140,14 +140,14 @@ def split_words(column: pa.Array, lower: bool = False) -> Iterator[Words]:
 _MULT = _rng.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
-    """Hash of every run of ``width`` consecutive word hashes (at most 64), by first word."""
+def window_hashes(hashes: np.ndarray, width: int, at: np.ndarray | None = None) -> np.ndarray:
+    """Hash of every run of ``width`` consecutive word hashes (at most 64), by first word; of those at ``at`` if given."""
     n = len(hashes) - width + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    total = np.full(n, width, np.uint64)
+    total = np.full(n if at is None else len(at), width, np.uint64)
     for k in range(width):
-        total += mix64(hashes[k:k + n] + _MULT[k]) * _MULT[k]
+        total += mix64((hashes[k:k + n] if at is None else hashes[at + k]) + _MULT[k]) * _MULT[k]
     return mix64(total)
 
 

@@ -227,6 +227,16 @@ def test_decontamination_by_occurrence(spark):
     assert {x.doc_id: x.exact for x in decontaminate.leaks(docs, bench).collect()} == {1: True, 2: False, 5: True, 6: False, 7: False}
 
 
+def test_decontamination_without_literals(spark):
+    plain = "the farmer sells apples and pears at the market in the old town of Leeds on every second day of spring and é or ж"
+    items = [plain.title(), plain.upper(), "What comes next: 1, 1, 2, 3, 5, 8, 13, 21, 34, 55, 89, 144, 233, 377, 610, 987, 1597?", plain,
+             "7 31 64 90", "Alice Bob Carol Dave Erin Frank Grace Heidi Ivan Judy"]
+    docs = [f"some words before\n{x}\nand some after" for x in items] + ["numbers 2 4 6 8 10 12 14 16 18 20 22 24 26 28 30 32 34 36", "Bob Alice Dave Carol Frank Erin Heidi Grace Judy Ivan"]
+    got = decontaminate.leaks(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()
+    cased = {(a, b) for a in (0, 1, 3) for b in (0, 1, 3)}
+    assert {(x.doc_id, x.item_id) for x in got} == cased | {(2, 2), (4, 4), (5, 5)} and all(x.exact for x in got)
+
+
 def test_decontamination_shuffled_windows(spark, monkeypatch):
     want = {tuple(x) for x in QUERIES["op5_decontamination"](spark, SMALL).collect()}
     monkeypatch.setattr(decontaminate, "IN_MEMORY", 0)
