@@ -1,7 +1,6 @@
 """Language identification by segmentation-marginalised unigrams (operator 9).
 
-The vocabulary is fixed: the pieces of a public tokenizer up to ``LONGEST``
-bytes, and the 256 bytes.  Training gives each language a smoothed unigram
+The vocabulary is fixed: all pieces of a public tokenizer, and the 256 bytes.  Training gives each language a smoothed unigram
 distribution over it, from the pieces that the tokenizer finds in a bounded
 sample of labelled texts.  A word's probability in a language is the sum over
 *all* its segmentations into pieces, by the forward algorithm; a text's is the
@@ -20,7 +19,8 @@ from pyspark.sql import DataFrame, functions as F
 from nextbuy.llm.ship import ship
 from nextbuy.llm.words import span_hashes, split_words
 
-LONGEST = 6
+#: Bytes of the public vocabulary's longest piece.
+LONGEST = 25
 SMOOTH = 0.5
 #: Labelled texts per language that training uses, about.
 SAMPLE = 2000
@@ -40,7 +40,7 @@ def vocabulary(model_file: str) -> tuple[list[bytes], dict[int, int]]:
         if sp.is_control(k) or sp.is_unknown(k) or sp.is_unused(k):
             continue
         p = bytes([int(sp.id_to_piece(k)[3:5], 16)]) if sp.is_byte(k) else sp.id_to_piece(k).replace("▁", " ").encode()
-        if len(p) <= LONGEST and p.rstrip(b" "):
+        if p == b" " or p.rstrip(b" "):
             ids[k] = known.setdefault(p, len(pieces))
             if ids[k] == len(pieces):
                 pieces.append(p)
@@ -63,6 +63,12 @@ class Scorer:
             self.tables.append((np.uint64(shift), table))
             left = left[table[slot] != left]
         assert not len(left), "pieces without a slot"
+        # a bit for each part that begins a longer piece: other spans need not be followed further
+        parts = sorted({x[:k] for x in pieces for k in range(1, len(x))})
+        self.more, self.longest = np.zeros(1 << 22, bool), max(len(x) for x in pieces)
+        if parts:
+            ends = np.cumsum([len(x) for x in parts])
+            self.more[span_hashes(np.frombuffer(b"".join(parts), np.uint8), ends - [len(x) for x in parts], ends) >> np.uint64(42)] = True
         self.seen, self.scores = np.zeros(0, np.uint64), np.zeros((0, self.p.shape[1]))
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
@@ -91,23 +97,32 @@ class Scorer:
             text[inside] = data[(np.repeat(starts[rows], n) + pos - 1)[inside]]
             rest = np.repeat(n, n) - pos
             word = np.repeat(np.arange(len(rows)), n)
-            # piece that ends at position pos + k, by its length k
-            ending = np.full((LONGEST, width + 1, len(rows)), -1, np.int32)
-            for k in range(1, LONGEST + 1):
-                ok = np.flatnonzero(rest >= k)
-                if len(ok):
-                    ending[k - 1, pos[ok] + k, word[ok]] = self.find(span_hashes(text, ok, ok + k))
-            alpha = np.zeros((LONGEST + 1, len(rows), self.p.shape[1]))  # a ring over positions
+            # pieces by the position where they end, and by their length k
+            met, going = [], np.arange(len(text))
+            for k in range(1, self.longest + 1):
+                going = going[rest[going] >= k]
+                if not len(going):
+                    break
+                hashes = span_hashes(text, going, going + k)
+                piece = self.find(hashes)
+                ok = piece >= 0
+                met.append(((pos[going[ok]] + k) * (self.longest + 1) + k, word[going[ok]], piece[ok]))
+                going = going[self.more[hashes >> np.uint64(42)]]
+            key, owner, piece = (np.concatenate(x) for x in zip(*met, strict=True))
+            ranked = np.argsort(key, kind="stable")
+            owner, piece = owner[ranked], piece[ranked]
+            key, cut = np.unique(key[ranked], return_index=True)
+            cut, by_end = np.append(cut, len(ranked)), np.searchsorted(key, np.arange(width + 2) * (self.longest + 1))
+            ring = min(self.longest, width) + 1
+            alpha = np.zeros((ring, len(rows), self.p.shape[1]))  # a ring over positions
             alpha[0] = 1.0
             scale = np.zeros(len(rows))
             for j in range(1, width + 1):
                 total = np.zeros_like(alpha[0])
-                for k in range(1, min(j, LONGEST) + 1):
-                    piece = ending[k - 1, j]
-                    hit = np.flatnonzero(piece >= 0)
-                    if len(hit):
-                        total[hit] += alpha[(j - k) % (LONGEST + 1)][hit] * self.p[piece[hit]]
-                alpha[j % (LONGEST + 1)] = total
+                for g in range(by_end[j], by_end[j + 1]):
+                    hit = owner[cut[g]:cut[g + 1]]  # a word has one span of a length that ends here
+                    total[hit] += alpha[(j - int(key[g]) % (self.longest + 1)) % ring][hit] * self.p[piece[cut[g]:cut[g + 1]]]
+                alpha[j % ring] = total
                 done = n == j
                 out[rows[done]] = np.log(np.maximum(total[done], 1e-300)) + scale[done, None]
                 if j % 16 == 0:

@@ -371,6 +371,32 @@ def test_forward_sums_all_segmentations():
     assert np.isfinite(long).all() and (long < -700).all()
 
 
+def test_language_whole_vocabulary(spark):
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    pieces, ids = langid.vocabulary(PIECES)
+    assert max(map(len, pieces)) == langid.LONGEST
+    left = [sp.id_to_piece(k) for k in range(sp.get_piece_size()) if k not in ids and not (sp.is_control(k) or sp.is_unknown(k) or sp.is_unused(k))]
+    assert all(set(x) == {"▁"} for x in left)
+    text = "government information understanding"
+    docs = spark.createDataFrame([(i, text, "en") for i in range(50)] + [(99, "gouvernement", "fr")], "doc_id long, text string, lang string")
+    languages, p = langid.train(docs, PIECES)
+    at = {x: i for i, x in enumerate(pieces)}
+    for k in sp.encode(text):
+        assert p[0, ids[k]] > 10 * p[1, ids[k]]
+    assert max(len(pieces[ids[k]]) for k in sp.encode(text)) > 8
+    scorer = langid.Scorer(pieces, p)
+    (w,) = split_words(pa.array([text + " правительство"]))
+    got = scorer.words(w)
+    for k, word in enumerate((text + " правительство").split()):
+        b = b" " + word.encode()
+        total = [1.0] + [0.0] * len(b)
+        for j in range(1, len(b) + 1):
+            total[j] = sum(total[i] * p[0, at[b[i:j]]] for i in range(j) if b[i:j] in at)
+        assert np.isclose(got[k, 0], np.log(total[-1]))
+
+
 def test_language_held_out(spark):
     got = QUERIES["op9_language_id"](spark, "/root/testdata/sf0.01")
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
