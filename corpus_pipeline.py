@@ -21,8 +21,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: documents scored below the cutoff go; it learns from the labelled rows of its input."""
-    scored = nbsvm.classify(docs, nbsvm.train(docs, table(spark, sf_dir, "labels")))
+    """Operator 8: documents scored below the cutoff go; it learns from all labelled rows of the table, also those that the rules rejected."""
+    scored = nbsvm.classify(docs, nbsvm.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
     return scored.filter(F.col("quality_score") >= nbsvm.CUTOFF).select(*docs.columns)
 
 

@@ -14,6 +14,7 @@ by a hash of the id; only their feature numbers come to the driver.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -106,9 +107,10 @@ def _descend(rows: list[np.ndarray], y: np.ndarray, ratios: np.ndarray, seed: in
 
 
 def fit(rows: list[np.ndarray], labels: np.ndarray) -> Model:
-    """Model of feature rows with labels 0 or 1; with one class only, every score is near that class."""
+    """Model of feature rows with labels 0 or 1; with one class only, every score is near that class, and a warning is logged."""
     y = np.where(labels == 1, 1.0, -1.0)
     if len(set(y.tolist())) < 2:
+        logging.getLogger(__name__).warning("quality classifier: %d labelled rows of one class, nothing learned", len(y))
         return Model(np.zeros(2**BITS), np.zeros(2**BITS), 0.0, 3.0 if not len(y) or y[0] > 0 else -3.0)
     train = np.arange(len(y)) % 5 != 4
     if len(set(y[train].tolist())) < 2 or len(set(y[~train].tolist())) < 2:

@@ -506,6 +506,24 @@ def test_pipeline(spark):
     assert P.run(spark, SMALL).count() == after.count() > 0
 
 
+def test_pipeline_classifier_learns_from_the_table(spark):
+    import corpus_pipeline as P
+
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labelled = docs.join(spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality"), "doc_id")
+    good = labelled.filter("quality = 1").select(*docs.columns)  # as if the rules had rejected all labelled junk
+    junk = labelled.filter("quality = 0").withColumn("doc_id", F.col("doc_id") + 10**9).select(*docs.columns)
+    kept = P.classifier_stage(spark, good.unionByName(junk), sf)
+    old, new = kept.filter("doc_id < 1000000000").count(), kept.filter("doc_id >= 1000000000").count()
+    assert junk.count() > 20 and new < 0.1 * junk.count() and old > 0.9 * good.count()
+
+
+def test_one_class_is_logged(caplog):
+    nbsvm.fit([np.zeros(1, np.int32)] * 3, np.array([1, 1, 1]))
+    assert "one class" in caplog.text
+
+
 def test_pipeline_edges(spark):
     import corpus_pipeline as P
 
