@@ -11,6 +11,8 @@ shared out among the others.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +25,8 @@ MARGINS = ("source", "lang", "topic")
 ROUNDS, TOLERANCE = 200, 1e-9
 #: Share of the corpus' tokens that the sample aims at, and the exponent that flattens source and topic shares.
 BUDGET, FLATTEN = 0.6, 0.7
+#: Marks of a legal text, in lower case.
+LEGAL = ("license under", "licence under", "licensed under", "licenced under", "all rights reserved", "copyright")
 
 
 def with_tokens(docs: DataFrame, name: str) -> DataFrame:
@@ -38,12 +42,16 @@ def with_tokens(docs: DataFrame, name: str) -> DataFrame:
 
 
 def topic_of(text: Column) -> Column:
-    """A coarse topic by marks of form in the whole text: legal, contact, table, figures, prose; none without text."""
+    """A coarse topic by marks of form in the whole text: legal, contact, table, figures, prose; none without text.
+
+    Legal marks count in any case.  Patterns run only on texts that contain their mark.
+    """
+    legal = F.exists(F.array(F.lower(text)), lambda low: reduce(or_, [low.contains(x) for x in LEGAL]))  # lower once
     return (
         F.when(F.coalesce(text, F.lit("")) == "", "none")
-        .when(text.contains("icensed under") | text.contains("ll rights reserved") | text.contains("opyright"), "legal")
-        .when(text.contains("@") | (text.contains("+") & text.rlike(r"\+\d[\d ()-]{6}")), "contact")
-        .when(text.contains(" | "), "table")
+        .when(legal, "legal")
+        .when((text.contains("@") & text.rlike(r"[\w.+-]@[\w-]+\.\w")) | (text.contains("+") & text.rlike(r"\+\d[\d ()-]{6}")), "contact")
+        .when(text.contains(" | ") & text.rlike(r" \| .* \| "), "table")
         .when(text.rlike(r"\d{4}"), "figures")
         .otherwise("prose"))
 

@@ -189,6 +189,18 @@ def test_mix(spark):
     assert mixing.mix(no_docs(spark)).count() == 0
 
 
+def test_topics(spark):
+    cases = {"All Rights Reserved": "legal", "ALL RIGHTS RESERVED": "legal", "x COPYRIGHT 2020": "legal", "LICENSED UNDER the": "legal", "license under a": "legal", "Licence Under": "legal",
+             "licensing under": "prose", "at @ noon": "prose", "a@b": "prose", "see a.b@c-d.org now": "contact", "call +49 (30) 1234": "contact", "1 + 2": "prose",
+             "a | b": "prose", "a | b | c": "table", "a | b\nc | d": "prose", "in 1999": "figures", "in 199": "prose", "": "none", None: "none"}
+    got = spark.createDataFrame([(k, v) for k, v in cases.items()], "text string, want string").withColumn("topic", mixing.topic_of(F.col("text"))).collect()
+    assert not [r for r in got if r.topic != r.want]
+    legal, contact, table = re.compile(r"licen[sc]ed? under|all rights reserved|copyright", re.I | re.A), re.compile(r"[\w.+-]+@[\w-]+\.\w|\+\d[\d ()-]{6,}", re.A), re.compile(r" \| .* \| ")
+    want = lambda t: "none" if not t else next((n for n, p in (("legal", legal), ("contact", contact), ("table", table), ("figures", re.compile(r"\d{4,}", re.A))) if p.search(t)), "prose")
+    rows = spark.read.parquet(f"{SMALL}/documents.parquet").select("text", mixing.topic_of(F.col("text")).alias("topic")).collect()
+    assert all(r.topic == want(r.text) for r in rows)
+
+
 def test_mix_draws_the_budget(spark):
     got = QUERIES["op4_mixing"](spark, "/root/testdata/sf0.01")
     all_, drawn, aim = got.agg(F.sum("n_tokens"), F.sum(F.expr("n_tokens * int(selected)")), F.sum(F.expr("n_tokens * probability"))).first()
