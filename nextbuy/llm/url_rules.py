@@ -20,8 +20,8 @@ from nextbuy.session import materialize
 BAD = "\u0001bad"
 #: Fixed rules: (host, path prefix, verdict).
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
-#: Share of the labelled urls a token set must occur in, share of them that must be bad, and tokens of a rule at most.
-SUPPORT, CONFIDENCE, WIDEST = 0.001, 0.6, 3
+#: Share of the labelled urls a token set must occur in, and share of them that must be bad.
+SUPPORT, CONFIDENCE = 0.001, 0.6
 
 
 def host_of(url: Column) -> Column:
@@ -46,7 +46,7 @@ def tokens_of(url: Column) -> Column:
         words("p:", path_of(url), r"[/.\-_]+"), words("q:", F.regexp_replace(query, r"=[^&]*", ""), r"&"))), F.array().cast("array<string>"))
 
 
-def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, widest: int = WIDEST) -> DataFrame:
+def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
     """tokens, support, confidence of the rules from ``labelled`` (url, bad); rows with a null in either are left out.
 
     Tokens below the support leave the transactions before FP-growth, which
@@ -66,23 +66,30 @@ def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONF
     baskets = keep.select("row", "bad", F.explode("tokens").alias("token")).join(frequent, "token").groupBy("row", "bad").agg(F.collect_set("token").alias("tokens"))
     items = baskets.select(F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BAD)))).otherwise(F.col("tokens")).alias("items"))
     sets = FPGrowth(itemsCol="items", minSupport=max(support * n / max(items.count(), 1), 1e-12), minConfidence=confidence).fit(items).freqItemsets
-    sets = materialize(sets.filter(F.size("items") <= widest + 1).select(F.sort_array("items").alias("items"), "freq"), "op7-sets")
+    sets = materialize(sets.select(F.sort_array("items").alias("items"), "freq"), "op7-sets")
     bad = sets.filter(F.array_contains("items", BAD) & (F.size("items") > 1)).select(F.array_remove("items", BAD).alias("tokens"), F.col("freq").alias("bad"))
-    rules = bad.join(sets.select(F.col("items").alias("tokens"), "freq"), "tokens").select(
-        "tokens", (F.col("bad") / n).alias("support"), (F.col("bad") / F.col("freq")).alias("confidence")).filter(F.col("confidence") >= confidence)
-    rules = materialize(rules, "op7-rules")
-    # a rule goes if a part of it is at least as sure: parts are made from the rule itself, at most 2 ** widest
-    part = rules.select("tokens", "confidence", F.explode(_parts("tokens")).alias("part"))
-    sure = rules.select(F.col("tokens").alias("part"), F.col("confidence").alias("surer"))
-    worse = part.join(sure, "part").filter("surer >= confidence").select("tokens").distinct()
-    return rules.join(worse, "tokens", "left_anti")
-
-
-def _parts(tokens: str) -> Column:
-    """All proper, non-empty parts of a sorted token array."""
-    one = F.transform(F.col(tokens), lambda x: F.array(x))
-    two = F.flatten(F.transform(F.col(tokens), lambda x, i: F.transform(F.slice(F.col(tokens), i + 2, F.size(tokens)), lambda y: F.array(x, y))))
-    return F.filter(F.concat(one, two), lambda p: F.size(p) < F.size(F.col(tokens)))
+    every = bad.join(sets.select(F.col("items").alias("tokens"), "freq"), "tokens").select(
+        "tokens", (F.col("bad") / n).alias("support"), (F.col("bad") / F.col("freq")).alias("confidence"))
+    every = materialize(every, "op7-every")
+    # a rule goes if a part of it is at least as sure; parts of a frequent set are frequent, so the surest part is
+    # handed up from size to size, over sets that are no rules too
+    widest = every.filter(F.col("confidence") >= confidence).agg(F.max(F.size("tokens"))).first()[0]
+    if widest is None:
+        return labelled.sparkSession.createDataFrame([], schema)
+    below, kept = None, None
+    for size in range(1, widest + 1):
+        level = every.filter(F.size("tokens") == size)
+        if below is None:
+            level = level.withColumn("surer", F.lit(0.0))
+        else:
+            parts = level.select("tokens", F.explode("tokens").alias("without")).select("tokens", F.array_remove("tokens", F.col("without")).alias("part"))
+            surest = parts.join(below, "part").groupBy("tokens").agg(F.max("surest").alias("surer"))
+            level = level.join(surest, "tokens")
+        level = materialize(level, f"op7-size{size}")
+        below = level.select(F.col("tokens").alias("part"), F.greatest("surer", "confidence").alias("surest"))
+        rules = level.filter((F.col("confidence") >= confidence) & (F.col("surer") < F.col("confidence"))).drop("surer")
+        kept = rules if kept is None else kept.unionByName(rules)
+    return kept
 
 
 def match(urls: DataFrame, rules: DataFrame) -> DataFrame:

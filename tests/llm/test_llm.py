@@ -343,6 +343,20 @@ def test_mined_rules(spark):
 
 # -- 8
 
+def test_wide_rules(spark):
+    four = ("p:aa", "p:bb", "p:cc", "p:dd")
+    rows = []
+    for i in range(160):  # bad only with all four words; "p:zz" alone is bad, with any others too
+        some = [w for k, w in enumerate(four) if i >> k & 1]
+        rows += [("/" + "/".join(w[2:] for w in some), len(some) == 4), ("/" + "/".join([w[2:] for w in some] + ["zz"]), True)]
+    labelled = spark.createDataFrame([("https://h.net" + path, bad) for path, bad in rows], "url string, bad boolean")
+    mined = {tuple(r.tokens): r.confidence for r in url_rules.mine(labelled, support=0.01, confidence=0.9).collect()}
+    assert mined == {four: 1.0, ("p:zz",): 1.0}
+    pages = spark.createDataFrame([("http://x.io/dd/cc/bb/aa",), ("http://x.io/dd/cc/bb",)], "url string")
+    rules = url_rules.mine(labelled, support=0.01, confidence=0.9)
+    assert [r.url for r in url_rules.match(pages, rules).collect()] == ["http://x.io/dd/cc/bb/aa"]
+
+
 def test_classifier_held_out(spark):
     got = QUERIES["op8_quality_classifier"](spark, "/root/testdata/sf0.01").collect()
     labels = {r.doc_id: r.quality for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
