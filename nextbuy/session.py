@@ -73,18 +73,65 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
+#: Spark drops the shuffle files of a finished write when this is on, instead of when the driver next collects garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df, name: str, partition_by: list[str] | None = None):
     """Write ``df`` under the shared checkpoint directory and read it back.
 
     Cuts the lineage (a lost executor re-reads files instead of recomputing
-    the plan) and lets later filters prune Parquet partitions.
+    the plan) and lets later filters prune Parquet partitions.  The shuffle
+    files of the write go as soon as the table is complete.
     """
     import uuid
 
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        writer = df.write.mode("overwrite")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.parquet(path)
+
+
+def remove_tree(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Hadoop, whatever file system holds it."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+class Scratch:
+    """Intermediate tables of one job that can be dropped as soon as their last reader is done.
+
+    ``write`` materialises a frame; ``drop`` deletes the files behind frames
+    that ``write`` returned.  A table that a lazy result still reads must not
+    be dropped.
+    """
+
+    def __init__(self, spark: SparkSession, prefix: str):
+        self.spark, self.prefix = spark, prefix
+        self._tables: list[tuple[object, str]] = []
+
+    def write(self, df, name: str, partition_by: list[str] | None = None):
+        import uuid
+
+        folder = f"{self.prefix}-{name}-{uuid.uuid4().hex[:8]}"
+        out = materialize(df, f"{folder}/t", partition_by)
+        self._tables.append((out, scratch_path(self.spark, folder)))
+        return out
+
+    def drop(self, *frames) -> None:
+        gone = [x for x in self._tables if any(x[0] is f for f in frames)]
+        self._tables = [x for x in self._tables if not any(x[0] is f for f in frames)]
+        for _, path in gone:
+            remove_tree(self.spark, path)
