@@ -82,3 +82,22 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_li
        NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM broken) AS kept
 FROM b
 """
+
+# Every byte of every text with its 50-byte window, in hexadecimal.
+ORACLES["op11_suffix_dedup"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (
+  SELECT doc_id, p, substring(h, 2 * p + 1, 2) AS byte, CASE WHEN 2 * p + 100 <= strlen(h) THEN substring(h, 2 * p + 1, 100) END AS s
+  FROM (SELECT doc_id, h, unnest(range(strlen(h) // 2)) AS p FROM d)),
+f AS (SELECT s, min(doc_id) AS low FROM w WHERE s IS NOT NULL GROUP BY s),
+g AS (
+  SELECT doc_id, p, byte, max(CASE WHEN low < doc_id THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+  FROM w LEFT JOIN f ON f.s = w.s),
+r AS (SELECT *, gone = 1 AND lag(gone, 1, 0) OVER (PARTITION BY doc_id ORDER BY p) = 0 AS opens FROM g),
+x AS (
+  SELECT doc_id, sum(gone)::BIGINT AS n_removed, count(*) FILTER (opens) AS n_spans, string_agg(byte, '' ORDER BY p) FILTER (gone = 0) AS kept
+  FROM r GROUP BY doc_id)
+SELECT d.doc_id, (strlen(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN x ON x.doc_id = d.doc_id
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from nextbuy.llm import chat, decontaminate, hyperminhash, langid, mixing, nbsvm, quality_rules, token_counts, url_rules, warc
+from nextbuy.llm import chat, decontaminate, hyperminhash, langid, mixing, nbsvm, quality_rules, suffix_dedup, token_counts, url_rules, warc
 from nextbuy.sources.tables import table
 
 
@@ -79,6 +79,12 @@ def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", F.expr("aggregate(spans, 0L, (n, s) -> n + s.stop - s.start)").alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_chat_format, op2_warc, op3_token_counts, op4_mixing, op5_decontamination, op6_quality_rules,
-                            op7_url_rules, op8_quality_classifier, op9_language_id, op10_hyperminhash)}
+                            op7_url_rules, op8_quality_classifier, op9_language_id, op10_hyperminhash, op11_suffix_dedup)}
