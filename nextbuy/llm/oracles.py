@@ -86,9 +86,10 @@ FROM b
 # Every byte of every text with its 50-byte window, in hexadecimal.
 ORACLES["op11_suffix_dedup"] = """
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+c AS (SELECT doc_id, c0, substring(h, 2 * c0 + 1, 698) AS part FROM (SELECT doc_id, h, unnest(range(0, strlen(h) // 2, 300)) AS c0 FROM d)),
 w AS (
-  SELECT doc_id, p, substring(h, 2 * p + 1, 2) AS byte, CASE WHEN 2 * p + 100 <= strlen(h) THEN substring(h, 2 * p + 1, 100) END AS s
-  FROM (SELECT doc_id, h, unnest(range(strlen(h) // 2)) AS p FROM d)),
+  SELECT doc_id, c0 + i AS p, substring(part, 2 * i + 1, 2) AS byte, CASE WHEN 2 * i + 100 <= strlen(part) THEN substring(part, 2 * i + 1, 100) END AS s
+  FROM (SELECT doc_id, c0, part, unnest(range(least(300, strlen(part) // 2))) AS i FROM c)),
 f AS (SELECT s, min(doc_id) AS low FROM w WHERE s IS NOT NULL GROUP BY s),
 g AS (
   SELECT doc_id, p, byte, max(CASE WHEN low < doc_id THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
