@@ -100,7 +100,7 @@ def materialize(df, name: str, partition_by: list[str] | None = None):
             spark.conf.unset(SHUFFLE_CLEANUP)
         else:
             spark.conf.set(SHUFFLE_CLEANUP, before)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def remove_tree(spark: SparkSession, path: str) -> None:
