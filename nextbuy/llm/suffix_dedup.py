@@ -9,7 +9,8 @@ starts in a document with a smaller id.  Windows are judged on the input.
    they lie, so a seed names the suffix bucket.
 2. *Shared seeds*: pieces whose seed occurs in one document only cannot hold a
    repeat; they go.  Copies of a piece fall together: what a later document
-   holds of a piece goes whole, and the first holder's piece is sorted.
+   holds of a piece goes whole, and the first holder's piece is sorted, unless
+   its seed has no other piece that it could be compared with.
 3. *Buckets*: the texts of the remaining pieces are shuffled by seed, and a task
    sorts one bucket at a time.  It ranks the suffixes at the positions of a
    difference cover (period 31, 6 residues) first, then takes the suffixes
@@ -264,13 +265,15 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "op11")
     pieces = docs.filter("doc is not null").select("doc", "row", "text").mapInArrow(_pieces, _PIECES)
     shared = scratch.write(
-        pieces.groupBy("seed").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low < high").select("seed"), "seeds")
-    held = scratch.write(pieces.join(shared.hint("shuffle_hash"), "seed"), "held")
+        pieces.groupBy("seed").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.min("content").alias("c1"), F.max("content").alias("c2"))
+        .filter("low < high").select("seed", "low", (F.col("c1") < F.col("c2")).alias("mixed")), "seeds")
+    held = scratch.write(pieces.join(shared.hint("shuffle_hash"), "seed").filter("mixed or doc > low").drop("low"), "held")
     scratch.drop(shared)
-    firsts = held.groupBy("seed", "content").agg(F.min("doc").alias("low"))
-    known = scratch.write(held.join(firsts, ["seed", "content"]).select(
+    mixed = held.filter("mixed").drop("mixed")
+    firsts = scratch.write(mixed.groupBy("seed", "content").agg(F.min("doc").alias("low")), "firsts")
+    known = scratch.write(mixed.join(firsts, ["seed", "content"]).select(
         "doc", "row", "pos", "run", "seed", (F.col("doc") > F.col("low")).alias("copy")), "known")
-    scratch.drop(held)
+    scratch.drop(firsts)
     own = known.filter("not copy")
     hot = own.groupBy("seed").count().filter(F.col("count") > HOT_PIECES).select("seed", F.lit(True).alias("hot"))
     lists = own.join(hot, "seed", "left").groupBy("doc", "row").agg(
@@ -285,9 +288,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     windows = texts.filter("hot").select("doc", "row", "pos", "piece")
     hot_spans = windows.join(windows.groupBy("piece").agg(F.min("doc").alias("low")), "piece").filter("doc > low").select(
         "doc", "row", F.col("pos").alias("start"), (F.col("pos") + WINDOW).alias("stop"))
-    copies = known.filter("copy").select("doc", "row", F.col("pos").alias("start"), (F.col("pos") + F.col("run") + (WINDOW - 1)).alias("stop"))
+    copies = known.filter("copy").drop("copy", "seed").union(held.filter("not mixed").select("doc", "row", "pos", "run")).select("doc", "row", F.col("pos").alias("start"), (F.col("pos") + F.col("run") + (WINDOW - 1)).alias("stop"))
     spans = scratch.write(copies.union(sorted_spans).union(hot_spans), "spans")
-    scratch.drop(known, texts)
+    scratch.drop(held, known, texts)
     return spans
 
 
