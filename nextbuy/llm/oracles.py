@@ -102,3 +102,23 @@ SELECT d.doc_id, (strlen(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BI
        sha256(unhex(coalesce(kept, ''))) AS kept_sha256
 FROM d LEFT JOIN x ON x.doc_id = d.doc_id
 """
+
+# Every phrase of one to three words of a piece, counted outright.
+ORACLES["op12_collocations"] = r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM t),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+g AS (SELECT lang, m, unnest(list_transform(range(1, len(ws) - m + 2), lambda i: array_to_string(ws[i:i + m - 1], ' '))) AS phrase FROM w, range(1, 4) AS r(m)),
+f AS (SELECT lang, m, phrase, count(*) AS c FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(c)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+cand AS (SELECT lang, m, phrase, c AS a, string_split(phrase, ' ') AS ws FROM f WHERE m > 1 AND c >= 10),
+cuts AS (SELECT lang, m, phrase, a, k, array_to_string(ws[1:k], ' ') AS x, array_to_string(ws[k + 1:], ' ') AS y FROM cand, range(1, 3) AS r(k) WHERE k < m),
+s AS (SELECT cuts.*, x.c AS l, y.c AS r, ((1000000 * a::HUGEINT * a) // (x.c::HUGEINT * y.c))::BIGINT AS score
+      FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = cuts.x JOIN f y ON y.lang = cuts.lang AND y.phrase = cuts.y),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS i FROM s),
+inner2 AS (SELECT lang, unnest([ws[1] || ' ' || ws[2], ws[2] || ' ' || ws[3]]) AS phrase, a FROM cand WHERE m = 3),
+longer AS (SELECT lang, phrase, max(a) AS b FROM inner2 GROUP BY ALL),
+kept AS (SELECT best.* FROM best LEFT JOIN longer o ON o.lang = best.lang AND o.phrase = best.phrase WHERE i = 1 AND (b IS NULL OR 100 * b < 50 * a)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n ON n.lang = ranked.lang WHERE rank <= 2000
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from nextbuy.llm import chat, decontaminate, hyperminhash, langid, mixing, nbsvm, quality_rules, suffix_dedup, token_counts, url_rules, warc
+from nextbuy.llm import chat, collocations, decontaminate, hyperminhash, langid, mixing, nbsvm, quality_rules, suffix_dedup, token_counts, url_rules, warc, whitening
 from nextbuy.sources.tables import table
 
 
@@ -85,6 +85,15 @@ def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_chat_format, op2_warc, op3_token_counts, op4_mixing, op5_decontamination, op6_quality_rules,
-                            op7_url_rules, op8_quality_classifier, op9_language_id, op10_hyperminhash, op11_suffix_dedup)}
+                            op7_url_rules, op8_quality_classifier, op9_language_id, op10_hyperminhash, op11_suffix_dedup,
+                            op12_collocations, op13_whitening)}
