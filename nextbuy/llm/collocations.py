@@ -32,7 +32,7 @@ from nextbuy.llm.words import _BYTE, _FOLD, _base_powers, mix64, text_bytes
 from nextbuy.session import Scratch
 
 LEAST = 10
-SHARDS = 3
+SHARDS = 2
 SLOTS = 1 << 22
 NEVER = 255
 TOP = 2000
@@ -64,12 +64,8 @@ def words_of(column: pa.Array, lang: np.ndarray) -> Iterator[tuple[np.ndarray, .
     while lo < end:
         hi = _block_end(data, lo + BLOCK_BYTES, end) if lo + BLOCK_BYTES < end else end
         part = data[lo:hi]
-        # one more piece begins after each break and at each text
-        opens = _BREAK[part].astype(np.int64)
+        breaks = np.flatnonzero(_BREAK[part])
         texts = offsets[np.searchsorted(offsets, lo):np.searchsorted(offsets, hi)] - lo
-        np.add.at(opens, texts, 1)
-        piece = pieces + np.cumsum(opens)
-        pieces = int(piece[-1])
         word = ~_GAP[part]
         start = word.copy()
         start[1:] &= ~word[:-1]
@@ -83,7 +79,10 @@ def words_of(column: pa.Array, lang: np.ndarray) -> Iterator[tuple[np.ndarray, .
             terms *= _base_powers(int(length.max()))[np.arange(len(inside)) - np.repeat(at, length)]
             text = np.searchsorted(offsets, first + lo, "right") - 1
             h = mix64(mix64(np.add.reduceat(terms, at) + length.astype(np.uint64)) + lang[text] * _LANG)
-            yield np.maximum(h, np.uint64(1)), piece[first], first + lo, first + lo + length, text
+            # one more piece begins after each break and at each text
+            piece = pieces + np.searchsorted(breaks, first) + np.searchsorted(texts, first, "right")
+            yield np.maximum(h, np.uint64(1)), piece, first + lo, first + lo + length, text
+        pieces += len(breaks) + len(texts)
         lo = hi
 
 
@@ -131,13 +130,13 @@ def scanner(step: int, reach: tuple[np.ndarray, np.ndarray]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lang = _langs(batch.column(0))
+            found: dict[int, list[tuple[np.ndarray, ...]]] = {1: [], 2: [], 3: []}
+            total = np.zeros(len(batch.column(1)), np.int64)
             tail = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
             for h, piece, *_, text in words_of(batch.column(1), lang):
                 if step < SHARDS:
-                    yield _counted(h)
-                    langs, n = np.unique(lang[text], return_counts=True)
-                    zero = np.zeros(len(langs), np.int64)
-                    yield _rows(zero, langs.view(np.int64), zero, n)
+                    found[1].append((h,))
+                    total += np.bincount(text, minlength=len(total))
                 if step == 0:
                     continue
                 h, piece = np.concatenate([tail[0], h]), np.concatenate([tail[1], piece])
@@ -147,16 +146,22 @@ def scanner(step: int, reach: tuple[np.ndarray, np.ndarray]):
                 joined = np.flatnonzero((piece[1:] == piece[:-1]) & (since[1:] != NEVER) & (since[:-1] != NEVER))
                 two = np.maximum(since[joined], since[joined + 1]) + 1
                 mine = joined[active(two) & (joined + 1 >= old)]
-                if len(mine):
-                    yield _counted(h[mine], h[mine + 1])
+                found[2].append((h[mine], h[mine + 1]))
                 # three words: both pairs, at i and i + 1, have reached the threshold
                 pairs = reach[1][_slot(_pair(h[joined], h[joined + 1]))].astype(np.int64)
                 i = np.flatnonzero((joined[1:] == joined[:-1] + 1) & (pairs[1:] != NEVER) & (pairs[:-1] != NEVER))
                 three = np.maximum(pairs[i], pairs[i + 1]) + 1
                 mine = joined[i[active(three)]]
                 mine = mine[mine + 2 >= old]
-                if len(mine):
-                    yield _counted(h[mine], h[mine + 1], h[mine + 2])
+                found[3].append((h[mine], h[mine + 1], h[mine + 2]))
+            for parts in found.values():
+                words = [np.concatenate(x) for x in zip(*parts, strict=True)]
+                if words and len(words[0]):
+                    yield _counted(*words)
+            if step < SHARDS:
+                names = np.unique(lang)
+                zero = np.zeros(len(names), np.int64)
+                yield _rows(zero, names.view(np.int64), zero, np.array([total[lang == x].sum() for x in names], np.int64))
 
     return run
 
@@ -172,11 +177,13 @@ def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array((np.uint64(1) << (slot & 63).astype(np.uint64)).view(np.int64))], names=["length", "chunk", "bit"])
 
 
-def _mark(counts: DataFrame, step: int, reach: tuple[np.ndarray, np.ndarray]) -> None:
+def _mark(counts: DataFrame, step: int, reach: tuple[np.ndarray, np.ndarray], scratch: Scratch) -> None:
     """Enter ``step`` for the slots of the words and pairs that have reached the threshold by now; at most SLOTS / 32 rows come back."""
-    enough = counts.filter("h1 <> 0 and h3 = 0").groupBy("h1", "h2").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST)
-    found = enough.select("h1", "h2").mapInArrow(_slots, "length int, chunk int, bit long").groupBy("length", "chunk").agg(
-        F.bit_or("bit").alias("bits")).toArrow()
+    enough = counts.groupBy("h1", "h2").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST)
+    slots = scratch.write(enough.select("h1", "h2").mapInArrow(_slots, "length int, chunk int, bit long").groupBy("length", "chunk").agg(
+        F.bit_or("bit").alias("bits")), "slots")
+    found = slots.toArrow()
+    scratch.drop(slots)
     length, chunk, bits = (found.column(k).to_numpy() for k in ("length", "chunk", "bits"))
     for k, table in enumerate(reach):
         mine = length == k + 1
@@ -198,9 +205,12 @@ def phrase_counts(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, np.ndar
 
     while step < SHARDS or step < last(reach[0]) or step < last(reach[1]):
         texts = shards.filter(F.col("shard") == step % SHARDS).select("lang", "text")
-        scans.append(scratch.write(texts.mapInArrow(scanner(step, reach), _COUNTS).groupBy("h1", "h2", "h3").agg(F.sum("n").alias("n")), f"scan{step}"))
+        # in order of the words, which files keep in half the space
+        scans.append(scratch.write(texts.mapInArrow(scanner(step, reach), _COUNTS).groupBy("h1", "h2", "h3").agg(F.sum("n").alias("n"))
+                                   .sortWithinPartitions("h1", "h2", "h3"), f"scan{step}"))
+        # words are whole after SHARDS scans; a pair's count can grow until twice that
         if step < 2 * SHARDS:
-            _mark(_union(scans), step, reach)
+            _mark(_union(scans).filter("h1 <> 0 and h3 = 0" if step < SHARDS else "h2 <> 0 and h1 <> 0 and h3 = 0"), step, reach, scratch)
         step += 1
     counts = scratch.write(_union(scans).groupBy("h1", "h2", "h3").agg(F.sum("n").alias("n")).filter((F.col("n") >= LEAST) | (F.col("h1") == 0)), "counts")
     scratch.drop(shards, *scans)
