@@ -45,6 +45,8 @@ BLOCK_STARTS = 1 << 19
 #: Bytes of piece text of a bucket, suffixes of a block.
 BUCKET_BYTES = 4 << 20
 BLOCK_SUFFIXES = 1 << 18
+#: Shares of the seeds that are worked off one after the other, which halves what lies on disk at a time.
+PASSES = 2
 #: Different pieces of a seed beyond which its windows are grouped instead of sorted.
 HOT_PIECES = 1 << 14
 
@@ -127,14 +129,20 @@ def pieces_of(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarra
 _PIECES = "doc long, row long, pos long, run int, seed long, content long"
 
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        doc, row = batch.column(0), batch.column(1)
-        for text, pos, run, seed, content in pieces_of(*text_bytes(batch.column(2))):
-            at = pa.array(text)
-            yield pa.RecordBatch.from_arrays(
-                [doc.take(at), row.take(at), pa.array(pos), pa.array(run.astype(np.int32)), pa.array(seed), pa.array(content)],
-                names=["doc", "row", "pos", "run", "seed", "content"])
+def _pieces(share: int):
+    """The pieces whose seeds fall to one of ``PASSES`` shares."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc, row = batch.column(0), batch.column(1)
+            for found in pieces_of(*text_bytes(batch.column(2))):
+                # the seed's last bits: its first ones are small, being a minimum's
+                text, pos, runs, seed, content = (x[(found[3].view(np.uint64) % np.uint64(PASSES)) == share] for x in found)
+                at = pa.array(text)
+                yield pa.RecordBatch.from_arrays(
+                    [doc.take(at), row.take(at), pa.array(pos), pa.array(runs.astype(np.int32)), pa.array(seed), pa.array(content)],
+                    names=["doc", "row", "pos", "run", "seed", "content"])
+
+    return run
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,7 +271,15 @@ def _bucket_spans(table: pa.Table) -> pa.Table:
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """doc, row, start, stop: byte ranges (they may overlap) of ``docs`` (doc, row, text) that an earlier document holds."""
     scratch = Scratch(docs.sparkSession, "op11")
-    pieces = docs.filter("doc is not null").select("doc", "row", "text").mapInArrow(_pieces, _PIECES)
+    parts = [_share_of_spans(docs, share, scratch) for share in range(PASSES)]
+    spans = parts[0]
+    for p in parts[1:]:
+        spans = spans.union(p)
+    return spans
+
+
+def _share_of_spans(docs: DataFrame, share: int, scratch: Scratch) -> DataFrame:
+    pieces = docs.filter("doc is not null").select("doc", "row", "text").mapInArrow(_pieces(share), _PIECES)
     shared = scratch.write(
         pieces.groupBy("seed").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.min("content").alias("c1"), F.max("content").alias("c2"))
         .filter("low < high").select("seed", "low", (F.col("c1") < F.col("c2")).alias("mixed")), "seeds")
@@ -275,7 +291,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         "doc", "row", "pos", "run", "seed", (F.col("doc") > F.col("low")).alias("copy")), "known")
     scratch.drop(firsts)
     own = known.filter("not copy")
-    hot = own.groupBy("seed").count().filter(F.col("count") > HOT_PIECES).select("seed", F.lit(True).alias("hot"))
+    # written apart, so that the join splits a seed that very many pieces have
+    hot = scratch.write(own.groupBy("seed").count().filter(F.col("count") > HOT_PIECES).select("seed", F.lit(True).alias("hot")), "hot")
     lists = own.join(hot, "seed", "left").groupBy("doc", "row").agg(
         F.collect_set(F.struct("pos", "run", "seed", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("pieces"))
     texts = scratch.write(
@@ -290,7 +307,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         "doc", "row", F.col("pos").alias("start"), (F.col("pos") + WINDOW).alias("stop"))
     copies = known.filter("copy").drop("copy", "seed").union(held.filter("not mixed").select("doc", "row", "pos", "run")).select("doc", "row", F.col("pos").alias("start"), (F.col("pos") + F.col("run") + (WINDOW - 1)).alias("stop"))
     spans = scratch.write(copies.union(sorted_spans).union(hot_spans), "spans")
-    scratch.drop(held, known, texts)
+    scratch.drop(held, known, hot, texts)
     return spans
 
 
