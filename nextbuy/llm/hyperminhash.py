@@ -11,7 +11,8 @@ least 100 * ``threshold`` * union.
    buckets borrow from the first filled one in a fixed random order of their
    own, so small sets keep the Jaccard collision rate.
 2. *Classes*: texts of equal sets (a 128-bit sum of their hashes) fall
-   together, so copies never meet in a join.
+   together, so copies never meet in a join.  A class has a number of its own;
+   classes that share a doc_id are linked through it.
 3. *Banding*: ``BANDS`` keys of ``ROWS`` registers.  At similarity 0.75 a pair
    misses every band with probability (1 - 0.75^5)^51 < 1.1e-6.
 4. *Stars instead of pairs*: within a band key each class is paired with one
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from nextbuy.llm.ship import ship
 from nextbuy.llm.words import distinct, mix64, split_words, window_hashes
-from nextbuy.session import materialize
+from nextbuy.session import Scratch
 
 WIDTH = 5
 THRESHOLD = 75
@@ -88,15 +89,15 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             two.append(int(mix64(s + np.uint64(0xD1B54A32D192ED03)).sum(dtype=np.uint64)) - 2**63)
             regs.append(registers(s).tobytes() if len(s) else None)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(size, pa.int64()), pa.array(one, pa.int64()),
+            [batch.column(0), batch.column(2), pa.array(size, pa.int64()), pa.array(one, pa.int64()),
              pa.array(two, pa.int64()), pa.array(regs, pa.binary())],
-            names=["doc_id", "n_shingles", "fp1", "fp2", "registers"])
+            names=["doc_id", "row", "n_shingles", "fp1", "fp2", "registers"])
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, 128-bit set fingerprint (fp1, fp2), registers (null for an empty set)."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        _sketches, "doc_id long, n_shingles long, fp1 long, fp2 long, registers binary")
+    """doc_id, row (the text's hash), n_shingles, 128-bit set fingerprint (fp1, fp2), registers (null for an empty set)."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("row")).mapInArrow(
+        _sketches, "doc_id long, row long, n_shingles long, fp1 long, fp2 long, registers binary")
 
 
 def _expected_collisions(n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -156,23 +157,25 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long")
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """node, component (its smallest reachable node) of the edges (a, b); alternates large and small stars.
 
     Minima are partial aggregates and neighbours come back by an equi-join, so
     a hub with a third of all edges is no single task.
     """
-    edges = materialize(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct(), "op10-edges")
+    edges = scratch.write(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct(), "edges")
     while True:
         below = edges.groupBy("b").agg(F.count("*").alias("above"))
         if below.filter("above > 1").isEmpty() and edges.select("a").join(below.select(F.col("b").alias("a")), "a", "left_semi").isEmpty():
             return edges.select(F.col("b").alias("node"), F.col("a").alias("component")).union(edges.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
-        large = materialize(both.join(low, "a").filter("b > a").select(F.col("low").alias("a"), "b").filter("a < b").distinct(), "op10-large")
+        large = scratch.write(both.join(low, "a").filter("b > a").select(F.col("low").alias("a"), "b").filter("a < b").distinct(), "large")
+        scratch.drop(edges)
         least = large.groupBy("b").agg(F.min("a").alias("low"))
         stars = large.join(least, "b").select(F.explode(F.array(F.struct(F.col("low").alias("a"), F.col("a").alias("b")), F.struct(F.col("low").alias("a"), "b"))).alias("e"))
-        edges = materialize(stars.select("e.*").filter("a < b").distinct(), "op10-star")
+        edges = scratch.write(stars.select("e.*").filter("a < b").distinct(), "star")
+        scratch.drop(large)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -182,32 +185,49 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     component_id null, kept (rows of such texts link nothing).  Rows that
     repeat a doc_id each get a result row; rows of one doc_id whose texts
     differ are told apart by their sets, except that an id that stands for two
-    sets joins them.  An empty table gives an empty result.
+    sets joins them, whatever each of them is linked with.  An empty table
+    gives an empty result.
     """
     ship(docs.sparkSession)
-    sketches = materialize(sketch(docs), "op10-sketch")
+    scratch = Scratch(docs.sparkSession, "op10")
+    sketches = scratch.write(sketch(docs), "sketch")
     full = sketches.filter("n_shingles > 0 and doc_id is not null")
-    classes = materialize(
-        full.groupBy("fp1", "fp2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("registers").alias("registers"))
-        .withColumnRenamed("n_shingles", "n"), "op10-classes")
+    # numbers are written with the classes, so every reader sees the same ones
+    classes = scratch.write(
+        full.groupBy("fp1", "fp2", "n_shingles").agg(F.min(F.struct("doc_id", "row")).alias("first"), F.first("registers").alias("registers"))
+        .select(F.monotonically_increasing_id().alias("rep"), F.col("n_shingles").alias("n"), "fp1", "fp2", "registers",
+                F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("row")), "classes")
+    numbers = classes.select("fp1", "fp2", F.col("n").alias("n_shingles"), "rep")
+    rows = scratch.write(sketches.drop("registers", "row").join(numbers, ["fp1", "fp2", "n_shingles"], "left").select(
+        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("rep")).alias("rep")), "rows")
+    scratch.drop(sketches)
+    several = rows.filter("rep is not null").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("high")).filter("a < high").select("doc_id", "a")
+    same_id = scratch.write(rows.filter("rep is not null").join(several, "doc_id").select("a", F.col("rep").alias("b")).filter("a < b").distinct(), "same-id")
     bands = classes.select("rep", "n", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda i: F.xxhash64(i, F.substring("registers", i * (2 * ROWS) + 1, F.lit(2 * ROWS))))).alias("band", "key")).select("rep", "n", "key")
-    shared = bands.groupBy("key").agg(F.min(F.struct("n", "rep")).alias("low"), F.max(F.struct("n", "rep")).alias("high")).filter("low < high")
-    hits = materialize(bands.join(shared.select("key", F.col("low.rep").alias("pivot")), "key").select("key", "pivot", "rep"), "op10-hits")
-    candidates = materialize(
+    shared = scratch.write(
+        bands.groupBy("key").agg(F.min(F.struct("n", "rep")).alias("low"), F.max(F.struct("n", "rep")).alias("high")).filter("low < high")
+        .select("key", F.col("low.rep").alias("pivot")), "shared")
+    hits = scratch.write(bands.join(shared, "key").select("key", "pivot", "rep"), "hits")
+    scratch.drop(shared)
+    candidates = scratch.write(
         estimate(hits.filter("pivot <> rep").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(), classes)
-        .filter(F.col("jaccard") >= THRESHOLD / 100 - SLACK), "op10-candidates")
-    links = _links(candidates, docs)
-    found = materialize(components(links), "op10-found")
+        .filter(F.col("jaccard") >= THRESHOLD / 100 - SLACK).select("a", "b"), "candidates")
+    links = scratch.write(verify(candidates, _texts(candidates.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), classes, docs)), "links")
+    scratch.drop(candidates)
+    found = scratch.write(components(links.union(same_id), scratch), "found")
     # band keys whose classes lie in several components
     own = hits.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
-    mixed = own.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.count("*").alias("members")).filter("c1 < c2 and members > 2")
-    loose = own.join(mixed, "key", "left_semi").select("rep", "component").distinct()
-    members = materialize(_texts(loose.select("rep"), docs).join(loose, "rep").select("rep", "component", "text"), "op10-loose")
-    rest = materialize(block_links(rare_meetings(members)), "op10-rest")
-    found = components(links.union(rest))
-    return _result(sketches, classes, found)
+    mixed = scratch.write(own.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.count("*").alias("members"))
+                          .filter("c1 < c2 and members > 2").select("key"), "mixed")
+    loose = scratch.write(own.join(mixed, "key", "left_semi").select("rep", "component").distinct(), "loose")
+    scratch.drop(hits, mixed, found)
+    members = scratch.write(_texts(loose.select("rep"), classes, docs).join(loose, "rep").select("rep", "component", "text"), "members")
+    scratch.drop(loose)
+    rest = scratch.write(block_links(rare_meetings(members, scratch)), "rest")
+    scratch.drop(members)
+    return _result(rows, classes, components(links.union(same_id).union(rest), scratch))
 
 
 def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,7 +283,7 @@ def block_links(members: DataFrame) -> DataFrame:
         "cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")).applyInPandas(_block_links, "a long, b long")
 
 
-def rare_meetings(members: DataFrame) -> DataFrame:
+def rare_meetings(members: DataFrame, scratch: Scratch) -> DataFrame:
     """rep, component, cluster, n, text of the ``members`` (rep, component, text) that may still be linked across components.
 
     With the shingles of a set ranked from rare to frequent, two sets can be
@@ -273,39 +293,37 @@ def rare_meetings(members: DataFrame) -> DataFrame:
     (n - m of them) cannot be common either, which bounds the similarity.
     Members that share such a shingle with another component form a cluster.
     """
-    rows = materialize(members.mapInArrow(_shingle_rows, "rep long, component long, n long, shingle long"), "op10-shingles")
-    spread = rows.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1")
+    rows = scratch.write(members.mapInArrow(_shingle_rows, "rep long, component long, n long, shingle long"), "shingles")
+    # counts are written apart, so that the join splits a shingle that very many sets hold
+    spread = scratch.write(rows.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1"), "spread")
     common = rows.join(spread, "shingle")
     most = common.groupBy("rep").agg(F.count("*").alias("m"))
     by_rarity = Window.partitionBy("rep").orderBy("df", "shingle")
-    prefix = materialize(
+    prefix = scratch.write(
         common.join(most, "rep").filter(f"100 * m >= {THRESHOLD} * n").withColumn("k", F.row_number().over(by_rarity))
-        .filter(f"k <= m - ceil({THRESHOLD} * n / 100.0) + 1").select("rep", "component", "n", "m", "shingle"), "op10-prefix")
-    smallest = prefix.groupBy("shingle").agg(F.min("n").alias("n_min"))
+        .filter(f"k <= m - ceil({THRESHOLD} * n / 100.0) + 1").select("rep", "component", "n", "m", "shingle"), "prefix")
+    scratch.drop(rows, spread)
+    smallest = scratch.write(prefix.groupBy("shingle").agg(F.min("n").alias("n_min")), "smallest")
     prefix = prefix.join(smallest, "shingle").filter(f"(100 + {THRESHOLD}) * m >= {THRESHOLD} * (n + greatest(n_min, m))")
-    mixed = prefix.groupBy("shingle").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.min("rep").alias("hub")).filter("c1 < c2")
-    met = materialize(prefix.join(mixed.select("shingle", "hub"), "shingle").select("rep", "hub", "n").distinct(), "op10-met")
-    clusters = components(met.select(F.col("hub").alias("a"), F.col("rep").alias("b")))
+    mixed = scratch.write(prefix.groupBy("shingle").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.min("rep").alias("hub"))
+                          .filter("c1 < c2").select("shingle", "hub"), "meeting")
+    met = scratch.write(prefix.join(mixed, "shingle").select("rep", "hub", "n").distinct(), "met")
+    clusters = components(met.select(F.col("hub").alias("a"), F.col("rep").alias("b")), scratch)
     return members.join(met.select("rep", "n").distinct(), "rep").join(clusters.select(F.col("node").alias("rep"), F.col("component").alias("cluster")), "rep")
 
 
-def _texts(reps: DataFrame, docs: DataFrame) -> DataFrame:
-    """rep, text of the named classes."""
-    return docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(reps, "rep", "left_semi").groupBy("rep").agg(F.min("text").alias("text"))
+def _texts(reps: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """rep, text of the named classes: the text of each one's first row."""
+    place = classes.select("rep", "doc_id", "row").join(reps, "rep", "left_semi")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), "text").join(place, ["doc_id", "row"]).groupBy(
+        "rep").agg(F.first("text").alias("text"))
 
 
-def _links(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Verified pairs, written; only the texts that they name are read into the joins."""
-    pairs = materialize(pairs.select("a", "b"), "op10-pairs")
-    texts = _texts(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), docs)
-    return materialize(verify(pairs, texts), "op10-verified")
-
-
-def _result(sketches: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
-    of = classes.join(found, F.col("rep") == F.col("node"), "left").select(
-        "fp1", "fp2", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
-    return sketches.drop("registers").join(of, ["fp1", "fp2", "n_shingles"], "left").select(
-        "doc_id", "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.least("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
-    ).withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id"))).withColumn(
+def _result(rows: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
+    """The smallest doc_id of each component comes back to its rows."""
+    of = classes.select("rep", "doc_id").join(found, F.col("rep") == F.col("node"), "left").select("rep", "doc_id", F.coalesce("component", "rep").alias("component"))
+    lowest = of.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    named = of.select("rep", "component").join(lowest, "component").select("rep", "component_id")
+    return rows.join(named, "rep", "left").select(
+        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
