@@ -49,6 +49,8 @@ _DIGIT = np.zeros(256, bool)
 _DIGIT[48:58] = True
 _UPPER = np.zeros(256, bool)
 _UPPER[65:91] = True
+#: First bytes of the two-byte characters that ``_folded`` knows.
+_LEADS = np.array([0xC3, 0xCE, 0xD0], np.uint8)
 
 
 def _unit_hashes() -> np.ndarray:
@@ -76,7 +78,7 @@ def _folded(data: np.ndarray) -> np.ndarray:
 def canonical(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(first row, word bounds of the rows from there on, canonical word hashes, the same with names as literals, literal hashes) by group of texts.
 
-    A word that begins in upper case A-Z is a name unless it begins the text, a
+    A word that begins in upper case (Latin, Greek or Cyrillic) is a name unless it begins the text, a
     line or a sentence; a word after a number that is a known unit is a unit; a
     word that begins with a digit, after a currency sign too, is a number.
     """
@@ -93,7 +95,8 @@ def canonical(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, n
             head = _TRIM[data[starts]] & (ends - starts > 1)
             starts[head] += 1
         low = int(starts[0])
-        literal = span_hashes(_folded(data[low:int(ends[-1])]), starts - low, ends - low, lower=True)
+        folded = _folded(data[low:int(ends[-1])])
+        literal = span_hashes(folded, starts - low, ends - low, lower=True)
         signed = np.isin(data[starts], np.frombuffer(b"$-+#", np.uint8)) & (ends - starts > 1)
         number = _DIGIT[data[starts]] | (signed & _DIGIT[data[np.minimum(starts + 1, len(data) - 1)]])
         first = np.zeros(n, bool)
@@ -102,7 +105,11 @@ def canonical(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, n
         begins[1:] |= ended[:-1]
         broken = np.concatenate([[False], np.add.reduceat((data[w.ends[0]:w.starts[-1] + 1] == 10).astype(np.int8), w.ends[:-1] - w.ends[0]) > 0]) if n > 1 else np.zeros(1, bool)
         begins[:len(broken)] |= broken
-        name = _UPPER[data[starts]] & ~begins & ~number
+        # a capital beyond A-Z is two bytes that folding changes
+        two, at = np.isin(data[starts], _LEADS), starts - low
+        further = np.minimum(at + 1, len(folded) - 1)
+        capital = _UPPER[data[starts]] | (two & ((folded[at] != data[starts]) | (folded[further] != data[low + further])))
+        name = capital & ~begins & ~number
         after = np.zeros(n, bool)
         after[1:] = number[:-1] & ~first[1:]
         unit = after & (units[np.minimum(np.searchsorted(units, literal), len(units) - 1)] == literal)

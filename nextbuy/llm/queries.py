@@ -27,7 +27,9 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = warc.write_archives(table(spark, sf_dir, "pages", "page_id", "url", "html"))
-    return warc.page_digests(warc.read_archives(files))
+    records = warc.inspected(warc.read_archives(files))
+    warc.log_gaps(records)
+    return warc.page_digests(records)
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +58,7 @@ def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels", "doc_id", "quality", "toxic").select("doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
     marked = pages.select("url", number.alias("n")).filter("n <> ''").select(
         "url", F.col("n").cast("long").alias("doc_id"))
-    return url_rules.judge(pages, url_rules.mine(marked.join(labels, "doc_id").select("url", "bad")))
+    return url_rules.judge(pages, url_rules.mine(marked.join(labels, "doc_id").select("url", "bad"), risk=url_rules.RISK))
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

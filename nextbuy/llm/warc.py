@@ -5,14 +5,17 @@ the shared folder.  A task reports a file only when it is complete and the list
 of files is a written table, so what a lost or repeated task left is not read.
 
 The reader checks each record: gzip checksum, version line, headers, length,
-record end and block digest.  Where a check fails it searches the bytes behind
+record end and digests (hexadecimal or base32).  Where a check fails it searches the bytes behind
 for the next gzip member or version line that starts a valid record, goes on
 from there, and reports the bytes between as a quarantined gap with its reason.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
+import io
+import logging
 import re
 import uuid
 import zlib
@@ -22,7 +25,7 @@ from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from nextbuy.llm.ship import ship
 from nextbuy.session import materialize, scratch_path
@@ -31,6 +34,8 @@ from nextbuy.session import materialize, scratch_path
 LEAST_SHARED = 100
 #: A task begins a new archive beyond this size.
 ARCHIVE_BYTES = 64 << 20
+#: Unpacked bytes of a gzip member beyond which it is quarantined; one record, or a whole file, is held in memory.
+LARGEST_MEMBER = 256 << 20
 _START = re.compile(rb"\x1f\x8b\x08|WARC/[01]\.\d+\r\n")
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -91,19 +96,43 @@ def _headers(head: bytes) -> dict[str, str]:
     return out
 
 
+class Several(Exception):
+    """A gzip member holds more than one record; args: its bytes, its packed length."""
+
+
+class _Memory(io.BytesIO):
+    def size(self) -> int:
+        return len(self.getbuffer())
+
+
+def digest_fits(value: str, data: bytes) -> bool | None:
+    """Whether a digest field (``algorithm:digest``, hexadecimal or base32, any case) fits the data; None if its algorithm or form is unknown."""
+    kind, _, told = value.partition(":")
+    kind = kind.lower().replace("-", "")
+    if kind not in ("sha1", "sha256", "sha512", "md5"):
+        return None
+    real = hashlib.new(kind, data).digest()
+    if re.fullmatch("[0-9a-fA-F]+", told) and len(told) == 2 * len(real):
+        return told.lower() == real.hex()
+    if re.fullmatch("[A-Za-z2-7]+=*", told):
+        return told.upper().rstrip("=") == base64.b32encode(real).decode().rstrip("=")
+    return None
+
+
 def _checked(headers: dict[str, str], block: bytes) -> bytes:
-    """The payload of a block whose digest is right."""
-    kind, _, digest = headers.get("warc-block-digest", "").partition(":")
-    if kind in ("sha256", "sha1") and re.fullmatch("[0-9a-f]+", digest) and hashlib.new(kind, block).hexdigest() != digest:
+    """The payload of a block, checked by the block's digest or, without one, by the payload's, which a revisit does not hold."""
+    whole = digest_fits(headers.get("warc-block-digest", ""), block)
+    if whole is False:
         raise Damaged("block digest")
-    if headers.get("content-type", "").startswith("application/http"):
-        return block.partition(b"\r\n\r\n")[2]
-    return block
+    payload = block.partition(b"\r\n\r\n")[2] if headers.get("content-type", "").startswith("application/http") else block
+    if whole is None and headers.get("warc-type") != "revisit" and digest_fits(headers.get("warc-payload-digest", ""), payload) is False:
+        raise Damaged("payload digest")
+    return payload
 
 
 def _member_at(source, offset: int) -> Found:
     source.seek(offset)
-    unpacker, parts, used = zlib.decompressobj(31), [], 0
+    unpacker, parts, used, held = zlib.decompressobj(31), [], 0, 0
     while not unpacker.eof:
         chunk = source.read(1 << 16)
         if not chunk:
@@ -113,12 +142,17 @@ def _member_at(source, offset: int) -> Found:
         except zlib.error as e:
             raise Damaged("gzip member") from e
         used += len(chunk)
+        held += len(parts[-1])
+        if held > LARGEST_MEMBER:
+            raise Damaged("member too large")
     record = b"".join(parts)
     head, end, rest = record.partition(b"\r\n\r\n")
     if not end:
         raise Damaged("header end")
     headers = _headers(head)
     n = int(headers["content-length"])
+    if rest[n:n + 4] == b"\r\n\r\n" and rest[n + 4:n + 9] == b"WARC/":
+        raise Several(record, used - len(unpacker.unused_data))
     if len(rest) != n + 4 or rest[n:] != b"\r\n\r\n":
         raise Damaged("record length")
     return Found(offset, used - len(unpacker.unused_data), None, headers, _checked(headers, rest[:n]))
@@ -158,7 +192,11 @@ def _next_start(source, offset: int) -> int:
 
 
 def salvage(source) -> Iterator[Found]:
-    """Records and gaps of an archive (a seekable file with ``size()``), in order; they cover every byte."""
+    """Records and gaps of an archive (a seekable file with ``size()``), in order; they cover every byte.
+
+    A file, or part of one, that was gzipped as a whole is salvaged within: its
+    records and gaps have the member's place, the first of them its length.
+    """
     offset, gap, reason, size = 0, None, "", source.size()
     while offset < size:
         source.seek(offset)
@@ -167,6 +205,10 @@ def salvage(source) -> Iterator[Found]:
             found = _member_at(source, offset) if magic == b"\x1f\x8b\x08" else _plain_at(source, offset) if magic == b"WAR" else None
             if found is None:
                 raise Damaged("no record start")
+            several, length = [found], found.length
+        except Several as e:
+            several, length = [Found(offset, 0, x.reason, x.headers, x.payload) for x in salvage(_Memory(e.args[0]))], e.args[1]
+            several[0].length = length
         except Damaged as e:
             if gap is None:
                 gap, reason = offset, str(e)
@@ -175,8 +217,8 @@ def salvage(source) -> Iterator[Found]:
         if gap is not None:
             yield Found(gap, offset - gap, reason)
             gap = None
-        yield found
-        offset += found.length
+        yield from several
+        offset += length
     if gap is not None:
         yield Found(gap, size - gap, reason)
 
@@ -196,11 +238,23 @@ def plan_records(pages: DataFrame) -> DataFrame:
         "page_id", "url", "html", "digest", "size", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"))
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder as a URI of the file system that Hadoop would take it from (a path without a scheme lies on the cluster's default one),
+    in the spelling that Arrow reads."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    uri = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    scheme, _, rest = uri.partition(":")
+    if scheme == "file":
+        return "file:///" + rest.lstrip("/")
+    if scheme not in ("hdfs", "viewfs", "s3a", "s3n", "s3", "gs", "abfs", "abfss"):
+        raise ValueError(f"archives cannot be written through the file system of {uri}")
+    return {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme) + ":" + rest
+
+
 def write_archives(pages: DataFrame, folder: str | None = None) -> DataFrame:
     """Writes archives of ``pages`` (page_id, url, html) and returns the written list: file, records, bytes."""
     ship(pages.sparkSession)
-    folder = folder or scratch_path(pages.sparkSession, f"op2-archives-{uuid.uuid4().hex}")
-    uri = folder if re.match("[a-z0-9]+:", folder) else f"file://{folder}"
+    uri = qualified(pages.sparkSession, folder or scratch_path(pages.sparkSession, f"op2-archives-{uuid.uuid4().hex}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = fs.FileSystem.from_uri(uri)
@@ -260,16 +314,44 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
                                       names=["file", "offset", "length", "reason", "headers", "payload"])
 
 
+def inspected(records: DataFrame) -> DataFrame:
+    """What ``read_archives`` found, payloads as length and digest, written once: file, offset, length, reason, headers, payload_bytes, payload_digest."""
+    return materialize(records.select("file", "offset", "length", "reason", "headers", F.octet_length("payload").cast("long").alias("payload_bytes"),
+                                      F.sha2("payload", 256).alias("payload_digest")), "op2-records")
+
+
+def gaps(records: DataFrame) -> DataFrame:
+    """file, offset, length, reason of the quarantined byte ranges among what ``read_archives`` or ``inspected`` gives."""
+    return records.filter("reason is not null").select("file", "offset", "length", "reason")
+
+
+def log_gaps(records: DataFrame, folder: str | None = None) -> DataFrame:
+    """Writes the gap table (to the shared folder if none is named), logs its size and returns it."""
+    spark = records.sparkSession
+    path = folder or scratch_path(spark, f"op2-gaps-{uuid.uuid4().hex}")
+    gaps(records).write.mode("overwrite").parquet(path)
+    table = spark.read.schema("file string, offset long, length long, reason string").parquet(path)
+    found = table.agg(F.count("*").alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("b")).first()
+    logging.getLogger(__name__).log(logging.WARNING if found["n"] else logging.INFO, "%d gaps of %d bytes quarantined in %s", found["n"], found["b"], path)
+    return table
+
+
 def page_digests(records: DataFrame) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to of each record that ``read_archives`` found.
+    """page_id, payload_bytes, payload_digest, record_type, refers_to of each record that ``read_archives`` or ``inspected`` gives.
 
     A response's length and digest are taken from the payload read, a revisit's
-    from its headers.
+    from the response that it names; where that one was lost, from its own headers.
     """
+    if "payload" in records.columns:
+        records = records.withColumn("payload_bytes", F.octet_length("payload").cast("long")).withColumn("payload_digest", F.sha2("payload", 256))
     h = lambda name: F.col("headers")[name]
-    stored = h("warc-type") == "response"
-    return records.filter("reason is null").select(
-        h("x-page-id").cast("long").alias("page_id"),
-        F.when(stored, F.octet_length("payload")).otherwise(h("x-payload-length").cast("long")).cast("long").alias("payload_bytes"),
-        F.when(stored, F.sha2("payload", 256)).otherwise(F.substring_index(h("warc-payload-digest"), ":", -1)).alias("payload_digest"),
-        h("warc-type").alias("record_type"), h("x-refers-to-page").cast("long").alias("refers_to"))
+    pages = records.filter("reason is null").select(
+        h("x-page-id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", h("x-payload-length").cast("long").alias("told_bytes"),
+        F.substring_index(h("warc-payload-digest"), ":", -1).alias("told_digest"), h("warc-type").alias("record_type"), h("x-refers-to-page").cast("long").alias("refers_to"))
+    named = pages.filter("record_type = 'response' and page_id is not null").groupBy("page_id").agg(
+        F.min(F.struct("payload_digest", "payload_bytes")).alias("held")).withColumnRenamed("page_id", "named_id")
+    found = pages.join(named, F.col("refers_to") == F.col("named_id"), "left")
+    stored = F.col("record_type") == "response"
+    return found.select(
+        "page_id", F.when(stored, F.col("payload_bytes")).otherwise(F.coalesce("held.payload_bytes", "told_bytes")).alias("payload_bytes"),
+        F.when(stored, F.col("payload_digest")).otherwise(F.coalesce("held.payload_digest", "told_digest")).alias("payload_digest"), "record_type", "refers_to")
