@@ -1,21 +1,25 @@
 """Derived features (survey family H): pair arithmetic, ratios, group
 statistics, sanitising, feature typing and the matrix quality check.
 
-Group statistics are fitted with one ``groupBy`` per grouping column
-(partial aggregation, one row per category) and applied as literal maps
-while the category count is small; above ``MAP_LIMIT`` they are applied by a
-left join on the category, which Spark broadcasts only when its measured
-size is under the broadcast threshold.
+Group statistics are tables, one row per category, whatever the number of
+categories: means by one partial aggregate, medians by grouped histogram
+refinement.  They are applied by a left join on the category, which Spark
+broadcasts only when its measured size is under the broadcast threshold.
+Parameters read from a file (plain dictionaries) are applied as literal maps.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+from .quantiles import exact_quantiles, grouped_quantile
+
 GROUP_COLUMNS = ("pais_residencia", "segmento")
 DEFAULT_KEY = "__default__"
-MAP_LIMIT = 10000
 
 # Derived numeric feature names (pair arithmetic on tenure and income).
 PAIR_FEATURES = ["antiguedad_plus_renta", "antiguedad_div_renta", "renta_div_antiguedad",
@@ -52,28 +56,52 @@ def ratio_and_log(t: Column, r: Column) -> list[Column]:
             F.log1p(r).alias("log_renta")]
 
 
-def fit_group_stats(train: DataFrame, columns=GROUP_COLUMNS) -> dict[str, dict[str, float]]:
+@dataclass
+class GroupStats:
+    """H3: per grouping column a table (category, mean income, median tenure), and the values for unseen categories."""
+
+    tables: dict[str, DataFrame] = field(default_factory=dict)
+    defaults: dict[str, float | None] = field(default_factory=dict)
+
+    def names(self, column: str) -> tuple[str, str]:
+        return f"mean_renta_by_{column}", f"median_antiguedad_by_{column}"
+
+    def as_dict(self) -> dict[str, dict[str, float]]:
+        """The dictionaries of the saved form; for columns of few categories, as every category comes to the driver."""
+        out: dict[str, dict[str, float]] = {}
+        for c, t in self.tables.items():
+            rows = t.collect()
+            for name in self.names(c):
+                out[name] = {r[c]: r[name] for r in rows} | {DEFAULT_KEY: self.defaults[name]}
+        return out
+
+    def attach(self, df: DataFrame) -> DataFrame:
+        """``df`` with the statistics of its categories."""
+        for c, t in self.tables.items():
+            if c not in df.columns:
+                continue
+            mine = t.select(F.col(c).alias("_key"), *[F.col(n).alias(f"_{n}") for n in self.names(c)])
+            joined = df.join(mine, F.col(c).cast("string") == F.col("_key"), "left")
+            df = joined.select(*df.columns, *[F.coalesce(F.col(f"_{n}"), F.lit(self.defaults[n]).cast("double")).alias(n) for n in self.names(c)])
+        return df
+
+
+def fit_group_stats(train: DataFrame, columns=GROUP_COLUMNS) -> GroupStats:
     """H3 fit: mean income and median tenure per category + global default."""
-    out: dict[str, dict[str, float]] = {}
-    glob = train.agg(F.avg("renta").alias("m"), F.median("antiguedad").alias("md")).collect()[0]
+    mean = train.agg(F.avg("renta").alias("m")).first()["m"]
+    median = exact_quantiles(train, "antiguedad", [0.5])[0]
+    out = GroupStats()
     for c in columns:
-        n = train.agg(F.count_distinct(c)).collect()[0][0]
-        if n > MAP_LIMIT:
-            raise ValueError(f"{c}: {n} categories; use group_stats_table + join")
-        rows = train.groupBy(F.col(c).cast("string").alias("k")).agg(
-            F.avg("renta").alias("m"), F.median("antiguedad").alias("md")).collect()
-        out[f"mean_renta_by_{c}"] = {r["k"]: r["m"] for r in rows if r["k"] is not None}
-        out[f"median_antiguedad_by_{c}"] = {r["k"]: r["md"] for r in rows if r["k"] is not None}
-        out[f"mean_renta_by_{c}"][DEFAULT_KEY] = glob["m"]
-        out[f"median_antiguedad_by_{c}"][DEFAULT_KEY] = glob["md"]
+        out.tables[c] = materialize(group_stats_table(train, c), f"group-{c}")
+        out.defaults |= dict(zip(out.names(c), (mean, median), strict=True))
     return out
 
 
 def group_stats_table(train: DataFrame, column: str) -> DataFrame:
-    """H3 fit in table form: (category, mean income, median tenure)."""
-    return train.groupBy(F.col(column).cast("string").alias(column)).agg(
-        F.avg("renta").alias(f"mean_renta_by_{column}"),
-        F.median("antiguedad").alias(f"median_antiguedad_by_{column}"))
+    """H3 fit in table form: (category, mean income, median tenure); the NULL category is left out."""
+    means = train.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias(column)).agg(F.avg("renta").alias(f"mean_renta_by_{column}"))
+    medians = grouped_quantile(train, column, "antiguedad", 0.5).withColumnRenamed("value", f"median_antiguedad_by_{column}")
+    return means.join(medians, column, "left")
 
 
 def _lookup(col: str, stats: dict[str, float]) -> Column:
@@ -95,19 +123,24 @@ def sanitize(c: Column) -> Column:
     return F.when(d.isNull() | F.isnan(d) | (F.abs(d) == float("inf")), F.lit(0.0)).otherwise(d)
 
 
-def add_features(df: DataFrame, aggregates: dict[str, dict[str, float]]) -> DataFrame:
-    """H1-H6 in one projection: derived columns appended, numerics sanitized."""
+def add_features(df: DataFrame, aggregates: GroupStats | dict[str, dict[str, float]]) -> DataFrame:
+    """H1-H6: derived columns appended, numerics sanitized; fitted statistics come by join, saved dictionaries as literals."""
     names = df.columns
     if len(set(names)) != len(names) or {"unique_id", "index"} & set(names):
         df = first_copies(df)
     t, r = F.col("antiguedad").cast("double"), F.col("renta").cast("double")
     derived = pair_arithmetic(t, r) + ratio_and_log(t, r)
     groups = []
+    if isinstance(aggregates, GroupStats):
+        df = aggregates.attach(df)
+        groups = [n for c in aggregates.tables if c in df.columns for n in aggregates.names(c)]
+        aggregates = {}
+    tail, groups = groups, []
     for c in GROUP_COLUMNS:
         mk, dk = f"mean_renta_by_{c}", f"median_antiguedad_by_{c}"
         if mk in aggregates and dk in aggregates and c in df.columns:
             groups += [_lookup(c, aggregates[mk]).alias(mk), _lookup(c, aggregates[dk]).alias(dk)]
-    with_derived = df.select("*", *derived, *groups)
+    with_derived = df.select(*[c for c in df.columns if c not in tail], *derived, *groups, *tail)
     rel = _div(F.col("renta"), F.col("mean_renta_by_pais_residencia")).alias(
         "renta_vs_country_mean") if "mean_renta_by_pais_residencia" in with_derived.columns \
         else F.lit(None).cast("double").alias("renta_vs_country_mean")

@@ -5,11 +5,11 @@
 (medians + modes + age histogram + date quantiles in the first, bin
 statistics in the second, clip quantiles / rare values / drift deciles in the
 third); every fitted number is an aggregate whose size is bounded by a
-parameter (bins, intervals, quantiles) or by a column's category count, and
-only those small results reach the driver.  ``apply_params`` is a single
-``select`` of ``CASE WHEN`` / ``coalesce`` expressions with the fitted values
-as literals: no shuffle, no join, one codegen stage, identical for batch and
-streaming input.
+parameter (bins, intervals, quantiles), and only those small results reach the
+driver; the rare-value dictionary, which grows with a column's categories,
+stays a table.  ``apply_params`` is a single ``select`` of ``CASE WHEN`` /
+``coalesce`` expressions with the fitted values as literals, after a left join
+per column that has rare values; identical for batch and streaming input.
 """
 
 from __future__ import annotations
@@ -21,8 +21,10 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..products import PRODUCTS, TENURE_MISSING
+from ..session import materialize
 from .quantiles import exact_quantiles, exact_quantiles_many
 
 MEDIAN_COLUMNS = ("age", "antiguedad", "renta")
@@ -37,7 +39,6 @@ CATEGORICAL_COLUMNS = ["pais_residencia", "canal_entrada", "segmento", "total_pr
                        "age_interval", "recommended_product_id",
                        "mean_renta_by_pais_residencia", "median_antiguedad_by_pais_residencia",
                        "mean_renta_by_segmento", "median_antiguedad_by_segmento"]
-RARE_LITERAL_LIMIT = 10000  # larger rare dictionaries are applied by join
 
 # Fallback parameters used when a fitted section is absent.
 LEGACY_MEDIANS = {"age": 39.0, "antiguedad": 50.0, "renta": 101850.0}
@@ -85,6 +86,9 @@ class PrepParams:
     feature_columns: dict[str, list[str]] = field(default_factory=dict)
     created_at: str | None = None
     source: str = "defaults"
+    #: Fitted rare values (column, value), and the columns that have any; ``replacer`` is the form of a given file.
+    rare: DataFrame | None = None
+    rare_columns: list[str] = field(default_factory=list)
 
 
 # --- F1 / F4 / F5 ----------------------------------------------------------------
@@ -397,6 +401,30 @@ def mode_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in MODES_EXCLUDED and c not in DERIVED_COLUMNS]
 
 
+def mode_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, value, number): the most frequent non-null value of each column, as text; of equally frequent ones the smallest.
+
+    One unpivot and grouped counts; no task holds a column's values.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    numeric = lambda c: F.col(c).cast("double") if isinstance(types[c], T.NumericType) else F.lit(None).cast("double")
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"), numeric(c).alias("number")) for c in columns])).alias("p")).select("p.*")
+    counts = pairs.filter("value is not null").groupBy("column", "value", "number").agg(F.count(F.lit(1)).alias("n"))
+    best = F.min(F.struct((-F.col("n")).alias("n"), "number", "value"))
+    return counts.groupBy("column").agg(best.alias("m")).select("column", "m.value", "m.number")
+
+
+def column_modes(df: DataFrame, columns: list[str]) -> dict[str, Any]:
+    """the modes as Python values of the columns' types (dates as ISO text)."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    out: dict[str, Any] = {}
+    for r in mode_counts(df, columns).collect() if columns else []:  # one row a column
+        kind = types[r["column"]]
+        out[r["column"]] = (int(r["value"]) if isinstance(kind, T.IntegralType) else r["number"] if isinstance(kind, T.NumericType) else r["value"])
+    return {c: out[c] for c in columns if c in out}
+
+
 def fit_params(fit_df: DataFrame, *, rare_threshold: float = 0.01, n_age_intervals: int = 9,
                max_cohorts: int = 12, clip_quantiles=(0.01, 0.96),
                drift_columns=MEDIAN_COLUMNS, drift_bins: int = 10) -> PrepParams:
@@ -406,7 +434,7 @@ def fit_params(fit_df: DataFrame, *, rare_threshold: float = 0.01, n_age_interva
     try:
         mcols = mode_columns(df)
         med_cols = [c for c in MEDIAN_COLUMNS if c in df.columns]
-        row = df.agg(*[F.mode(c, True).alias(f"mode_{c}") for c in mcols]).collect()[0]
+        modes = column_modes(df, mcols)
         # medians and drift deciles of the raw columns share three passes
         drift_cols = [c for c in drift_columns if c in df.columns]
         qs = exact_quantiles_many(df, {
@@ -418,11 +446,6 @@ def fit_params(fit_df: DataFrame, *, rare_threshold: float = 0.01, n_age_interva
             m = qs[f"median:{c}"][0]
             if m is not None:
                 medians[c] = float(m)
-        modes = {}
-        for c in mcols:
-            v = row[f"mode_{c}"]
-            if v is not None:
-                modes[c] = v.isoformat() if isinstance(v, _dt.date) else v
         work = fill_missing(df, medians, modes)
         flags = [p for p in PRODUCTS if p in work.columns]
         if not flags or "age" not in work.columns:
@@ -438,13 +461,8 @@ def fit_params(fit_df: DataFrame, *, rare_threshold: float = 0.01, n_age_interva
                 cohorts[c] = spec
                 work = work.withColumn(c, date_cohort_expr(F.col(c), spec))
         rep_cols = [c for c in mcols if c not in PRODUCTS]
-        rare = rare_values(work, rep_cols, rare_threshold).limit(RARE_LITERAL_LIMIT + 1).collect()
-        if len(rare) > RARE_LITERAL_LIMIT:
-            raise ValueError(f"over {RARE_LITERAL_LIMIT} rare values: apply by join "
-                             "(fold_rare_join)")
-        replacer = {c: {} for c in rep_cols}
-        for r in rare:
-            replacer[r["column"]][r["value"]] = "other"
+        rare = materialize(rare_values(work, rep_cols, rare_threshold).select("column", "value"), "rare-values")
+        found = sorted(r[0] for r in rare.select("column").distinct().collect())  # column names
         clip_cols = [c for c in CLIP_COLUMNS if c in work.columns]
         cq = exact_quantiles_many(work, {c: (c, list(clip_quantiles)) for c in clip_cols})
         clip = {}
@@ -457,14 +475,16 @@ def fit_params(fit_df: DataFrame, *, rare_threshold: float = 0.01, n_age_interva
     finally:
         df.unpersist()
     return PrepParams(medians=medians, modes=modes, clip_bounds=clip, age_intervals=ivs,
-                      date_cohorts=cohorts, replacer=replacer, drift_reference=drift,
-                      source="fit(train)")
+                      date_cohorts=cohorts, drift_reference=drift, rare=rare, rare_columns=found,
+                      created_at=_dt.datetime.now(_dt.timezone.utc).isoformat(timespec="seconds"), source="fit(train)")
 
 
 def apply_params(df: DataFrame, params: PrepParams) -> DataFrame:
-    """F1, F4, G1, G2/G3, G4, G5, F5 (if all flags) as one projection."""
+    """F1, F4, G1, G2/G3, G4, G5, F5 (if all flags) as one projection, after the joins of G4."""
     df = coerce_numeric(df)
     df = fill_missing(df, params.medians, params.modes)
+    if params.rare is not None:
+        df = fold_rare_join(df, params.rare, [c for c in CATEGORICAL_COLUMNS if c in params.rare_columns and c in df.columns])
     ivs = params.age_intervals or LEGACY_AGE_INTERVALS
     cols = {c: F.col(c) for c in df.columns}
     if "age" in cols:

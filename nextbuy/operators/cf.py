@@ -11,17 +11,13 @@
   25 items x rank dot products overflow the 64 KB generated-method limit
   (the stage fails to compile and falls back to interpreted evaluation).
 * The walk-forward feature fits one model per snapshot on strictly earlier
-  events; each snapshot's rows are written to the checkpoint directory
-  (``spark.checkpoint.dir``) so the final union reads files, not a lineage
-  of 30 model fits, and a lost executor only recomputes one snapshot.
-  Refit segments are independent and run as concurrent jobs.
+  events, all of them side by side with the small-catalogue solver of
+  ``operators.als``; Spark ML's ALS stays for catalogues beyond it.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import uuid
-from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 
@@ -31,7 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..products import N_PRODUCTS, product_name_expr
-from ..session import materialize, scratch_path
+from ..session import materialize
+from . import als
 
 FEATURE = "recommended_product_id"
 BUCKET_BITS = 16
@@ -177,30 +174,27 @@ def topk_lists(users: DataFrame, model: ALSModel, history: DataFrame, k: int) ->
     return scored.select(*users.columns, names.alias("recommended"))
 
 
-def walk_forward(panel: DataFrame, events: DataFrame, codes: DataFrame,
-                 snapshots: list[_dt.date] | None = None, refit_every: int = 1,
-                 rank: int = 50, max_iter: int = 50, reg: float = 0.05, seed: int = 0,
-                 parallel_fits: int = 4) -> DataFrame:
-    """Per snapshot t, a model fitted on events strictly before t scores the
-    state at t.  Snapshots without history are skipped; between refits the last
-    model (fitted on no later history) is reused.
+def catalogue(events: DataFrame) -> list[int]:
+    """The item codes that were ever bought, in order; more than the small-catalogue solver takes is an error there."""
+    rows = events.select(F.col("purchase").cast("int").alias("c")).distinct().orderBy("c").limit(als.MOST_ITEMS + 1).collect()
+    return [r["c"] for r in rows]
 
-    Segments are independent (each fit reads only earlier events), so up to
-    ``parallel_fits`` of them run as concurrent Spark jobs: an ALS fit is a
-    chain of small stages, and concurrent jobs fill the executors between them.
-    Each segment writes its own directory under the checkpoint folder.
+
+def walk_forward(panel: DataFrame, events: DataFrame, snapshots: list[_dt.date] | None = None, refit_every: int = 1,
+                 rank: int = als.RANK, max_iter: int = als.ITERATIONS, reg: float = als.REG, seed: int = 0) -> DataFrame:
+    """Per snapshot t, a model fitted on events strictly before t scores the state at t.
+
+    Snapshots without history are skipped; between refits the last model (fitted
+    on no later history) is reused.  All models are fitted side by side, one pass
+    over the history rows an iteration, and one pass scores all panel rows.
+    Clients without history at t get NULL.  The result is written once.
     """
     spark = panel.sparkSession
     dates = [r[0] for r in panel.select("fecha_dato").distinct().orderBy("fecha_dato").collect()]
     if snapshots is not None:
         wanted = set(snapshots)
         dates = [d for d in dates if d in wanted]
-    out_dir = scratch_path(spark, f"als-walk-forward-{uuid.uuid4().hex}")
-    coded_panel = materialize(
-        panel.join(codes, "ncodpers").select("ncodpers", "fecha_dato", "user_code", "owned"),
-        "als-panel", ["fecha_dato"])
     events = materialize(events.select("ncodpers", "fecha_dato", "purchase"), "als-events")
-    codes = materialize(codes, "als-codes")
     first_event = events.agg(F.min("fecha_dato")).collect()[0][0]
     # Segments: a refit snapshot and the following snapshots that reuse its model.
     segments: list[list[_dt.date]] = []
@@ -214,21 +208,20 @@ def walk_forward(panel: DataFrame, events: DataFrame, codes: DataFrame,
     if not segments:
         return spark.createDataFrame(
             [], f"ncodpers long, snapshot_date date, {FEATURE} string, recommended_score double")
-
-    def run(i_seg: tuple[int, list[_dt.date]]) -> str:
-        i, seg = i_seg
-        hist = events.filter(F.col("fecha_dato") < F.lit(seg[0]))
-        model = fit_als(interactions(hist, codes), rank, max_iter, reg, seed)
-        rows = coded_panel.filter(F.col("fecha_dato").isin(seg))  # partition pruning
-        scored = top1(rows, model).select("ncodpers", F.col("fecha_dato").alias("snapshot_date"),
-                                          FEATURE, "recommended_score")
-        path = f"{out_dir}/segment-{i:04d}"
-        scored.write.mode("overwrite").parquet(path)
-        return path
-
-    with ThreadPoolExecutor(max_workers=max(1, parallel_fits)) as pool:
-        paths = list(pool.map(run, enumerate(segments)))
-    return spark.read.parquet(*paths)
+    history = als.written(als.histories(events, [seg[0] for seg in segments], catalogue(events)))
+    factors = als.fit(history, len(segments), catalogue(events), rank, max_iter, reg, seed)
+    seg_of = F.create_map(*[x for i, seg in enumerate(segments) for d in seg for x in (F.lit(d), F.lit(i))])
+    rows = panel.filter(F.col("fecha_dato").isin([d for seg in segments for d in seg])).select(
+        "ncodpers", "fecha_dato", "owned", F.element_at(seg_of, F.col("fecha_dato")).alias("seg"))
+    return materialize(top1_lookup(als.rank_items(rows.join(history, ["seg", "ncodpers"], "left"), factors, "owned", 1)),
+                       "als-lookup", ["snapshot_date"])
+
+
+def top1_lookup(ranked: DataFrame) -> DataFrame:
+    """(ncodpers, snapshot_date, product, score) of rows ranked with their owned products left out."""
+    first = F.get(F.col("ranked"), 0)
+    return ranked.select("ncodpers", F.col("fecha_dato").alias("snapshot_date"),
+                         product_name_expr(first["code"]).alias(FEATURE), first["score"].alias("recommended_score"))
 
 
 def latest_lookup(lookup: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ table.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -107,6 +108,75 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
                           "n")
 
 
+def box_summary(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Per column the box plot's numbers: quartiles, whisker ends (the outermost values within 1.5 interquartile ranges of the box) and
+    outlier counts on both sides.  Quartiles come from shared histogram passes, the rest from one aggregate."""
+    quartiles = exact_quantiles_many(df, {c: (c, [0.25, 0.5, 0.75]) for c in columns})
+    aggs, rows = [], []
+    for c in columns:
+        q1, _, q3 = (None if v is None else float(v) for v in quartiles[c])
+        if q1 is None:
+            continue
+        x, low, high = F.nanvl(F.col(c).cast("double"), F.lit(None)), q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+        inside = F.when((x >= low) & (x <= high), x)
+        aggs += [F.min(inside).alias(f"{c}__lo"), F.max(inside).alias(f"{c}__hi"),
+                 F.count_if(x < low).alias(f"{c}__below"), F.count_if(x > high).alias(f"{c}__above")]
+        rows.append(c)
+    if not rows:
+        return df.sparkSession.createDataFrame([], "column string, q1 double, median double, q3 double, whisker_lo double, whisker_hi double, "
+                                                   "outliers_lo bigint, outliers_hi bigint")
+    found = df.agg(*aggs)
+    return found.select(F.explode(F.array(*[F.struct(
+        F.lit(c).alias("column"), *[F.round(F.lit(float(v)), 6).alias(n) for v, n in zip(quartiles[c], ("q1", "median", "q3"), strict=True)],
+        F.round(F.col(f"{c}__lo"), 6).alias("whisker_lo"), F.round(F.col(f"{c}__hi"), 6).alias("whisker_hi"),
+        F.col(f"{c}__below").alias("outliers_lo"), F.col(f"{c}__above").alias("outliers_hi")) for c in rows])).alias("r")).select("r.*")
+
+
+# The coefficients of the rational approximation of the inverse normal distribution (relative error below 1.2e-9).
+_NORMAL_A = (-3.969683028665376e+01, 2.209460984245205e+02, -2.759285104469687e+02, 1.383577518672690e+02, -3.066479806614716e+01, 2.506628277459239e+00)
+_NORMAL_B = (-5.447609879822406e+01, 1.615858368580409e+02, -1.556989798598866e+02, 6.680131188771972e+01, -1.328068155288572e+01, 1.0)
+_NORMAL_C = (-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e+00, -2.549732539343734e+00, 4.374664141464968e+00, 2.938163982698783e+00)
+_NORMAL_D = (7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e+00, 3.754408661907416e+00, 1.0)
+_NORMAL_TAIL = 0.02425
+
+
+def _poly(x, coefficients):
+    out = F.lit(0.0)
+    for c in coefficients:
+        out = out * x + F.lit(c)
+    return out
+
+
+def inverse_normal(p):
+    """The standard normal quantile of a column of probabilities in (0, 1); NULL outside."""
+    tail = lambda t: _poly(t, _NORMAL_C) / _poly(t, _NORMAL_D)
+    r = p - 0.5
+    middle = r * _poly(r * r, _NORMAL_A) / _poly(r * r, _NORMAL_B)
+    return F.when((p > 0) & (p < _NORMAL_TAIL), tail(F.sqrt(-2 * F.ln(p)))).when(
+        (p > 1 - _NORMAL_TAIL) & (p < 1), -tail(F.sqrt(-2 * F.ln(1 - p)))).when((p > 0) & (p < 1), middle)
+
+
+def qq_points(df: DataFrame, column: str, points: int = 99) -> DataFrame:
+    """(column, p, theoretical, sample): the sample quantile against the normal one at evenly spaced plotting positions p = i / (points + 1).
+
+    The sample side is exact (shared histogram passes, no sort of the column),
+    the normal side a column expression.
+    """
+    places = [(i + 1) / (points + 1) for i in range(points)]
+    sample = exact_quantiles_many(df, {column: (column, places)})[column]
+    rows = df.sparkSession.createDataFrame([(column, p, None if v is None else float(v)) for p, v in zip(places, sample, strict=True)],
+                                           "column string, p double, sample double").filter("sample is not null")
+    return rows.select("column", F.round("p", 6).alias("p"), F.round(inverse_normal(F.col("p")), 6).alias("theoretical"), F.round("sample", 6).alias("sample"))
+
+
+def qq_fit(points: DataFrame) -> DataFrame:
+    """Per column the least-squares line through the Q-Q points and their correlation."""
+    slope = F.try_divide(F.covar_pop("theoretical", "sample"), F.var_pop("theoretical"))
+    return points.groupBy("column").agg(slope.alias("slope"), (F.avg("sample") - slope * F.avg("theoretical")).alias("intercept"),
+                                        F.corr("theoretical", "sample").alias("r")).select(
+        "column", *[F.round(c, 6).alias(c) for c in ("slope", "intercept", "r")])
+
+
 def penetration(df: DataFrame, products: list[str] = PRODUCTS) -> DataFrame:
     """(product, penetration %) for every flag, one aggregate + unpivot."""
     row = df.agg(*[(F.avg(F.col(p).cast("double")) * 100).alias(p) for p in products])
@@ -193,7 +263,6 @@ def near_duplicates(df: DataFrame, col: str, threshold: float = 0.8) -> DataFram
         raise ValueError("blocking is derived for threshold >= 0.8")
     vals = df.select(F.col(col).cast("string").alias("v")).where(F.col("v").isNotNull()) \
         .distinct().select("v", F.length("v").alias("n"))
-    k = (F.floor(F.col("n") / 4) + 1).cast("int")          # pieces per value
     pieces = vals.select("v", "n", F.explode(F.expr(
         "transform(sequence(0, cast(floor(n / 4) as int)), i -> named_struct("
         "'start', cast(i * floor(n / (floor(n / 4) + 1)) + least(i, n % (floor(n / 4) + 1)) + 1 as int),"
@@ -201,7 +270,6 @@ def near_duplicates(df: DataFrame, col: str, threshold: float = 0.8) -> DataFram
     )).alias("p")).select(F.col("v").alias("a"), F.col("n").alias("na"),
                           F.expr("substring(v, p.start, p.size)").alias("piece"),
                           F.col("p.size").alias("size"))
-    del k
     sizes = [r[0] for r in pieces.select("size").distinct().collect()]  # <= max value length
     subs = vals.select(F.col("v").alias("b"), F.col("n").alias("nb"), F.explode(F.array(*[
         F.expr(f"transform(sequence(1, greatest(n - {s} + 1, 1)), i -> substring(v, i, {s}))")
@@ -217,3 +285,51 @@ def near_duplicates(df: DataFrame, col: str, threshold: float = 0.8) -> DataFram
     return good.select(F.col("a").alias("value"), F.col("b").alias("match"),
                        F.round("similarity", 9).alias("similarity"),
                        F.row_number().over(w).alias("_r")).where("_r = 1").drop("_r")
+
+
+def _ratios(batches):
+    """The share of matching blocks of each pair (value, match): 2 * matched / (both lengths); pairs below the threshold are left out."""
+    from difflib import SequenceMatcher
+
+    for pdf in batches:
+        found = []
+        for word, rows in pdf.groupby("value", sort=False):
+            matcher = SequenceMatcher()
+            matcher.set_seq2(word)  # analysed once, compared with many
+            for other, least in zip(rows["match"], rows["least"], strict=True):
+                matcher.set_seq1(other)
+                if matcher.real_quick_ratio() >= least and matcher.quick_ratio() >= least and (r := matcher.ratio()) >= least:
+                    found.append((word, other, r))
+        yield pd.DataFrame(found, columns=["value", "match", "ratio"])
+
+
+def close_matches(df: DataFrame, col: str, threshold: float = 0.8, n: int = 2) -> DataFrame:
+    """(value, rank, match, ratio): of each distinct value with another one as close, its ``n`` closest values, itself included.
+
+    The ratio is that of longest matching blocks (taken from the value's side,
+    as it is not symmetric); equally close values come in falling order.  If a
+    pair reaches the threshold, the value loses at most d characters and gaps,
+    d = 2 (1 - threshold) / threshold of its length, so of d + 1 pieces one is
+    whole in the match, shifted by at most d: candidates come from an equi-join
+    on pieces, and only they are compared.
+    """
+    if not 2 / 3 < threshold <= 1:
+        raise ValueError("pieces are whole only for thresholds above 2/3")
+    vals = df.select(F.col(col).cast("string").alias("v")).where(F.col("v").isNotNull()).distinct().select("v", F.length("v").alias("n"))
+    lost = lambda c: F.floor(F.lit(2 * (1 - threshold) / threshold + 1e-12) * c).cast("int")
+    sized = vals.select("v", "n", lost(F.col("n")).alias("d"), (lost(F.col("n")) + 1).alias("k")).filter("n > 0")
+    cut = "transform(sequence(0, k - 1), i -> struct(cast(floor(i * n / k) as int) as at, cast(floor((i + 1) * n / k) - floor(i * n / k) as int) as size))"
+    pieces = sized.select(F.col("v").alias("value"), F.col("n").alias("n_a"), "d", F.explode(F.expr(cut)).alias("p")).select(
+        "value", "n_a", "d", "p.at", F.expr("substring(value, p.at + 1, p.size)").alias("piece"))
+    longest = pieces.agg(F.max(F.length("piece"))).first()[0] or 1
+    subs = sized.select(F.col("v").alias("match"), F.col("n").alias("n_b"), F.explode(F.sequence(F.lit(1), F.lit(longest))).alias("size")).filter("size <= n_b").select(
+        "match", "n_b", F.explode(F.expr("transform(sequence(0, n_b - size), i -> struct(i as at, substring(match, i + 1, size) as piece))")).alias("s")).select(
+        "match", "n_b", F.col("s.at").alias("place"), F.col("s.piece").alias("piece"))
+    least = F.lit(float(threshold))
+    near = (F.abs(F.col("at") - F.col("place")) <= F.col("d")) & (F.col("value") != F.col("match")) & (
+        2 * F.least("n_a", "n_b") >= least * (F.col("n_a") + F.col("n_b")))
+    pairs = pieces.join(subs, "piece").where(near).select("value", "match").distinct().select("value", "match", least.alias("least"))
+    close = pairs.mapInPandas(_ratios, "value string, match string, ratio double")
+    own = close.select("value").distinct().select("value", F.col("value").alias("match"), F.lit(1.0).alias("ratio"))
+    ranked = Window.partitionBy("value").orderBy(F.col("ratio").desc(), F.col("match").desc())
+    return close.unionByName(own).select("value", F.row_number().over(ranked).alias("rank"), "match", F.round("ratio", 9).alias("ratio")).where(F.col("rank") <= n)

@@ -7,6 +7,7 @@ under the same key.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators import panel as P
 from ..products import PRODUCTS
+from ..session import materialize
 from ..sources.adapter import PANEL_COLUMNS
 from . import datasets as D
 
@@ -214,6 +216,17 @@ def _params(spark, sf):
     return _PARAMS[key]
 
 
+_GROUP_STATS: dict[tuple, H.GroupStats] = {}
+
+
+def _group_stats(spark, sf):
+    """Group statistics of the fitted train frame, once per session and source dir."""
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"))
+    if key not in _GROUP_STATS:
+        _GROUP_STATS[key] = H.fit_group_stats(G.apply_params(_fit_input(spark, sf)[0], _params(spark, sf)))
+    return _GROUP_STATS[key]
+
+
 def _fit_input(spark, sf):
     train, test = D.prep_frames(spark, sf)
     return train.drop(*D.FIT_DROP), test.drop(*D.FIT_DROP)
@@ -238,8 +251,8 @@ def f2_medians(spark, sf):
 def f3_modes(spark, sf):
     train, _ = _fit_input(spark, sf)
     cols = G.mode_columns(train)
-    row = train.agg(*[F.mode(c, True).cast("string").alias(c) for c in cols])
-    return row.unpivot([], cols, "column", "mode")
+    names = spark.createDataFrame([(c,) for c in cols], "column string")
+    return names.join(G.mode_counts(train, cols), "column", "left").select("column", F.col("value").alias("mode"))
 
 
 @register("f5_total_products")
@@ -270,13 +283,17 @@ def f7_date_cohorts(spark, sf):
     return spark.createDataFrame(rows, "i int, left_days int, right_days int, label string")
 
 
+#: No value of the stand-in columns is below 1%; at 4% about half the countries are rare, and no other value.
+RARE_SHARE = 0.04
+
+
 @register("f9_rare_values")
 def f9_rare_values(spark, sf):
     work, p = _filled_train(spark, sf)
     work = work.withColumn("fecha_alta",
                            G.date_cohort_expr(F.col("fecha_alta"), p.date_cohorts["fecha_alta"]))
     cols = [c for c in G.mode_columns(work) if c not in G.PRODUCTS]
-    return G.rare_values(work, cols, 0.01)
+    return G.rare_values(work, cols, RARE_SHARE)
 
 
 @register("f10_clip_bounds")
@@ -325,7 +342,7 @@ def h3_group_stats(spark, sf):
 def h5_features(spark, sf):
     out, _, train = _applied(spark, sf)
     fitted = G.apply_params(train, _params(spark, sf))
-    aggs = H.fit_group_stats(fitted)
+    aggs = _group_stats(spark, sf)
     feats = H.add_features(out, aggs)
     return feats.select("ncodpers", "q", *[F.round(c, 6).alias(c) for c in H.NUMERIC_FEATURES])
 
@@ -334,7 +351,7 @@ def h5_features(spark, sf):
 def h8_quality_check(spark, sf):
     out, _, train = _applied(spark, sf)
     fitted = G.apply_params(train, _params(spark, sf))
-    feats = H.add_features(out, H.fit_group_stats(fitted))
+    feats = H.add_features(out, _group_stats(spark, sf))
     return H.quality_check(feats, H.NUMERIC_FEATURES)
 
 
@@ -396,6 +413,21 @@ def b5_histogram(spark, sf):
     return B.histogram(D.panel(spark, sf), "renta", 10)
 
 
+@register("b5_box")
+def b5_box(spark, sf):
+    return B.box_summary(D.panel(spark, sf), ["age", "antiguedad", "renta"])
+
+
+@register("b5_qq_points")
+def b5_qq_points(spark, sf):
+    return B.qq_points(D.panel(spark, sf), "renta")
+
+
+@register("b5_qq_fit")
+def b5_qq_fit(spark, sf):
+    return B.qq_fit(B.qq_points(D.panel(spark, sf), "renta"))
+
+
 @register("b6_penetration")
 def b6_penetration(spark, sf):
     return B.penetration(D.panel(spark, sf))
@@ -515,6 +547,34 @@ def k5_drift_alert(spark, sf):
     return D.present(K.drift_alert(K.psi_by_time_window(obs, ref)))
 
 
+from ..functions import alerts as L  # noqa: E402
+
+# The stand-in log's latencies are around 35 ms, a few hundred at most; the service's limit of 2 s would never be met.
+STAND_IN_LATENCY_LIMIT = 100.0
+
+
+@register("k5_drift_hold")
+def k5_drift_hold(spark, sf):
+    """K5: the largest PSI over the features, held for 30 minutes, from 200 samples on."""
+    obs, ref = _drift_inputs(spark, sf)
+    told = L.states(L.drift_points(obs, ref), L.DRIFT_HOLD, L.DRIFT_STEP)
+    return D.present(told.withColumn("value", F.round("value", 9)).withColumnRenamed("at", "evaluated_at"))
+
+
+@register("k7_latency_hold")
+def k7_latency_hold(spark, sf):
+    """K7: the bucketed p95 of the last 5 minutes, held for 10."""
+    points = L.latency_points(K.request_log(_events(spark, sf)), limit=STAND_IN_LATENCY_LIMIT)
+    return D.present(L.states(points, L.REQUEST_HOLD, L.REQUEST_STEP).withColumn("value", F.round("value", 6)).withColumnRenamed("at", "evaluated_at"))
+
+
+@register("k8_error_hold")
+def k8_error_hold(spark, sf):
+    """K8: the error rate of the last 5 minutes, held for 10."""
+    points = L.error_points(K.request_log(_events(spark, sf)))
+    return D.present(L.states(points, L.REQUEST_HOLD, L.REQUEST_STEP).withColumn("value", F.round("value", 9)).withColumnRenamed("at", "evaluated_at"))
+
+
 @register("k6_request_counters")
 def k6_request_counters(spark, sf):
     return D.present(K.request_counters(K.request_log(_events(spark, sf))))
@@ -544,9 +604,7 @@ def k9_error_distribution(spark, sf):
 
 from ..operators import cf  # noqa: E402
 
-# Catalogue settings for the walk-forward run: 25 products make rank 50 oversized,
-# and quarterly snapshots are refit yearly.  The library defaults stay 50/50/1.
-ALS_RANK, ALS_ITER, ALS_REFIT = 10, 10, 4
+from ..operators import als  # noqa: E402
 
 
 def _als_base(spark, sf):
@@ -566,74 +624,75 @@ def d1_dense_codes(spark, sf):
 def d2_interactions(spark, sf):
     _, ev, _ = _als_base(spark, sf)
     hist = ev.filter(F.col("fecha_dato") <= F.lit(P.TEST_CUTOFF))
-    return hist.groupBy("ncodpers", F.col("purchase").cast("int").alias("item")).agg(
-        F.count(F.lit(1)).alias("rating"))
+    codes = cf.dense_codes(D.panel(spark, sf).select("ncodpers"))
+    return cf.interactions(hist, codes).join(codes, "user_code").select("ncodpers", "item", F.col("rating").cast("long").alias("rating"))
 
 
-def _als_model(spark, sf):
-    pnl, ev, codes = _als_base(spark, sf)
-    hist = ev.filter(F.col("fecha_dato") <= F.lit(P.TEST_CUTOFF))
-    model = cf.fit_als(cf.interactions(hist, codes), ALS_RANK, ALS_ITER)
-    return pnl, ev, codes, model
+_ALS_FITS: dict[tuple, tuple] = {}
+
+
+def _als_fit(spark, sf):
+    """The model on all events up to the test cutoff (rank 50, 50 iterations), fitted once per session: (history, factors)."""
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"))
+    if key not in _ALS_FITS:
+        ev = P.purchase_events(D.panel(spark, sf))
+        items = cf.catalogue(ev)
+        history = als.written(als.histories(ev, [P.TEST_CUTOFF], items, inclusive=True))
+        _ALS_FITS[key] = history, als.fit(history, 1, items)
+    return _ALS_FITS[key]
 
 
 @register("d3_als_item_factors")
 def d3_als_item_factors(spark, sf):
-    *_, model = _als_model(spark, sf)
-    return model.itemFactors.select(F.col("id").alias("item"), "features")
+    return als.item_table(spark, _als_fit(spark, sf)[1]).drop("seg")
 
 
 @register("d4_top1_owned_masked")
 def d4_top1_owned_masked(spark, sf):
-    pnl, _, codes, model = _als_model(spark, sf)
-    rows = pnl.filter(F.col("fecha_dato") == F.lit(P.TEST_CUTOFF)).join(codes, "ncodpers")
-    out = cf.top1(rows.select("ncodpers", "fecha_dato", "user_code", "owned"), model)
-    return D.present(out.select("ncodpers", "fecha_dato", cf.FEATURE, "recommended_score",
-                                F.array_join("owned", ",").alias("owned")))
-
-
-def _walk(spark, sf):
-    pnl, ev, codes = _als_base(spark, sf)
-    return cf.walk_forward(pnl, ev, codes, refit_every=ALS_REFIT, rank=ALS_RANK,
-                           max_iter=ALS_ITER), pnl
+    """Every panel row, owned products masked."""
+    history, factors = _als_fit(spark, sf)
+    rows = D.panel(spark, sf).select("ncodpers", "fecha_dato", "owned").join(history, "ncodpers", "left").withColumn("seg", F.lit(0))
+    ranked = als.rank_items(rows, factors, "owned", 1)
+    first = F.get(F.col("ranked"), 0)
+    return D.present(ranked.select("ncodpers", "fecha_dato", product_name_expr(first["code"]).alias(cf.FEATURE),
+                                   first["score"].alias("recommended_score"), F.array_join("owned", ",").alias("owned")))
 
 
 @register("d5_walk_forward_als")
 def d5_walk_forward_als(spark, sf):
-    lookup, _ = _walk(spark, sf)
-    return D.present(lookup)
+    return D.present(D.als_lookup(spark, sf))
 
 
 @register("d6_latest_lookup")
 def d6_latest_lookup(spark, sf):
-    lookup, _ = _walk(spark, sf)
-    return cf.latest_lookup(lookup)
+    return cf.latest_lookup(D.als_lookup(spark, sf))
 
 
 @register("d8_attach_feature")
 def d8_attach_feature(spark, sf):
-    lookup, pnl = _walk(spark, sf)
-    target = P.build_target_panel(pnl, keep=["ncodpers"]).panel
-    return D.present(cf.attach_feature(target, lookup).select(
+    target = P.build_target_panel(D.panel(spark, sf), keep=["ncodpers"]).panel
+    return D.present(cf.attach_feature(target, D.als_lookup(spark, sf)).select(
         "ncodpers", "snapshot_date", "purchase", cf.FEATURE))
 
 
 @register("d10_serving_join")
 def d10_serving_join(spark, sf):
-    lookup, pnl = _walk(spark, sf)
     requests = table(spark, sf, "customer", "c_custkey").select(
         F.col("c_custkey").alias("ncodpers"))
-    return cf.serving_join(requests, cf.latest_lookup(lookup))
+    return cf.serving_join(requests, cf.latest_lookup(D.als_lookup(spark, sf)))
 
 
 def _als_lists(spark, sf, k=10):
-    pnl, ev, codes, model = _als_model(spark, sf)
+    """D7 for every client with history: what was bought up to the cutoff is left out of the lists."""
+    history, factors = _als_fit(spark, sf)
+    ev = P.purchase_events(D.panel(spark, sf))
     hist = ev.filter(F.col("fecha_dato") <= F.lit(P.TEST_CUTOFF))
     later = ev.filter(F.col("fecha_dato") > F.lit(P.TEST_CUTOFF))
     relevant = P.relevant_products(later).withColumnRenamed("products", "relevant")
-    users = hist.select("ncodpers").distinct().join(codes, "ncodpers")  # every client with history
-    inter = cf.interactions(hist, codes).select("user_code", "item")
-    lists = cf.topk_lists(users.select("ncodpers", "user_code"), model, inter, k)
+    bought = F.filter(F.transform("counts", lambda n, i: F.when(n > 0, F.element_at(F.array(*[F.lit(c) for c in factors.items]), i + 1))),
+                      lambda c: c.isNotNull())
+    ranked = als.rank_items(history.withColumn("bought", bought), factors, "bought", k)
+    lists = ranked.select("ncodpers", F.transform("ranked", lambda r: product_name_expr(r["code"])).alias("recommended"))
     return relevant, lists, hist
 
 
@@ -759,9 +818,15 @@ def k10_response_checks(spark, sf):
 
 @register("j15_model_comparison")
 def j15_model_comparison(spark, sf):
+    """The best trial of each kind refitted and scored on test: all metrics, @5 by scope, with its CV mean and std."""
     mx = T.build_matrices(spark, sf)
-    rows = [_variant_row(mx, "forest", FOREST_PARAMS, "random_forest")[2],
-            _variant_row(mx, "boosting", BOOST_PARAMS, "boosting")[2]]
+    rows = []
+    for kind, name in (("forest", "random_forest"), ("boosting", "boosting")):
+        top = M.HS.best(_study(spark, sf), kind)
+        if top:
+            rows.append(_variant_row(mx, kind, top.params, name)[2].select(
+                "*", F.lit(top.value).alias("cv_roc_auc_macro"), F.lit(top.std).alias("cv_std"),
+                F.lit(sum(t.kind == kind for t in _study(spark, sf))).alias("trials")))
     return M.variant_table(rows)
 
 
@@ -775,26 +840,60 @@ def i8_als_ablation(spark, sf):
 
 @register("j16_protocol_comparison")
 def j16_protocol_comparison(spark, sf):
-    """Calendar split vs cohort split (by join date) on the same model settings."""
-    mx = T.build_matrices(spark, sf)
-    cal = _variant_row(mx, "forest", FOREST_PARAMS, "calendar")[2].select(
-        "variant", "accuracy", "roc_auc_ovr_macro", "pr_auc_macro")
+    """The same model settings fitted and scored under both protocols, with the parts' rows and clients."""
     frame, _ = D.modelling_frame(spark, sf)
-    flagged, cutoff = S.temporal_split(frame, "fecha_alta", 0.3)
-    counts = flagged.groupBy("part").agg(F.count(F.lit(1)).alias("rows"),
-                                         F.countDistinct("ncodpers").alias("clients"))
-    info = counts.groupBy().pivot("part", ["train", "test"]).agg(
-        F.first("rows").alias("rows"), F.first("clients").alias("clients"))
-    return cal.unionByName(info.withColumn("variant", F.lit(f"cohort@{cutoff.isoformat()}")),
-                           allowMissingColumns=True)
+    by_cohort, cutoff = T.cohort_frame(frame)
+    rows = []
+    for name, parts, cohort in (("calendar", frame, False), (f"cohort@{cutoff}", by_cohort, True)):
+        scores = _variant_row(T.build_matrices(spark, sf, cohort=cohort), "forest", FOREST_PARAMS, name)[2]
+        counts = parts.agg(*[f(F.when(F.col("split") == p, F.col("ncodpers"))).alias(f"{p}_{n}")
+                             for p in ("train", "test") for f, n in ((F.count, "rows"), (F.countDistinct, "clients"))])
+        rows.append(scores.join(counts.withColumn("variant", F.lit(name)), "variant"))
+    return M.variant_table(rows)
+
+
+#: The search of the report queries: the reference's space for forests; boosting with a tenth of its iterations, as one-vs-rest
+#: trees take a Spark job per class, iteration and level (README has the times).
+SEARCH_SPACES = {"forest": M.HS.FOREST_SPACE | {"maxDepth": M.HS.Choice((1, 5, 10))},
+                 "boosting": M.HS.BOOST_SPACE | {"maxIter": M.HS.IntRange(2, 6), "maxDepth": M.HS.IntRange(3, 4)}}
+SEARCH_TRIALS, SEARCH_SECONDS, SEARCH_FRACTION = 6, 240.0, 0.15
+_STUDIES: dict[tuple, list] = {}
+
+
+def _study(spark, sf):
+    """One search over both kinds a session, on the stratified sample (E3) of the training rows."""
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"))
+    if key not in _STUDIES:
+        mx = T.build_matrices(spark, sf)
+        sample = materialize(S.stratified_sample(mx.train, "label", M.IDS, SEARCH_FRACTION), "search-sample")
+        _STUDIES[key] = M.study(sample, mx.spec, mx.classes, SEARCH_SPACES, SEARCH_TRIALS, SEARCH_SECONDS)
+    return _STUDIES[key]
+
+
+@register("i5_parzen_search")
+def i5_parzen_search(spark, sf):
+    """The trials of both kinds with mean and std over the folds."""
+    return M.trial_table(spark, _study(spark, sf))
+
+
+@register("i1_ordered_target_stats")
+def i1_ordered_target_stats(spark, sf):
+    """The ordered statistics of the training rows, as the share of "no purchase" and the mean class position among earlier rows of the value."""
+    mx = T.build_matrices(spark, sf)
+    columns = ["segmento", "canal_entrada", "pais_residencia"]
+    k = len(mx.classes)
+    place = F.pmod(F.col("ncodpers") * 7919 + F.col("q") * 104729, F.lit(10007))
+    out = T.M.TS.encode_ordered(mx.train, T.M.TS.fit(mx.train, columns, k), M.IDS, order=(place, 10007.0))
+    mean = lambda c: sum((F.col(f"{c}__ts")[i] * i for i in range(k)), F.lit(0.0))
+    return out.select("ncodpers", "q", *[F.round(F.col(f"{c}__ts")[0], 9).alias(f"{c}_none") for c in columns],
+                      *[F.round(mean(c), 9).alias(f"{c}_mean") for c in columns])
 
 
 @register("j17_winner")
 def j17_winner(spark, sf):
-    mx = T.build_matrices(spark, sf)
-    _, means, _, _ = M.search(mx.train, mx.spec, mx.classes, "forest", folds=2)
-    rows = [("forest_small", float(means[0])), ("forest_large", float(means[1]))]
-    return M.winner(spark.createDataFrame(rows, "variant string, cv_score double"))
+    """The kind whose best trial has the highest CV value."""
+    tops = [t for t in (M.HS.best(_study(spark, sf), kind) for kind in SEARCH_SPACES) if t]
+    return M.winner(spark.createDataFrame([(t.kind, t.value) for t in tops], "variant string, cv_score double"))
 
 
 # --- A: sources, validation ---------------------------------------------------------
@@ -820,26 +919,31 @@ def a5_lookup_dedupe(spark, sf):
 
 @register("a9_profile_ingest")
 def a9_profile_ingest(spark, sf):
-    pnl = D.panel(spark, sf).filter(F.col("fecha_dato") == F.lit(_SLICE_DATE).cast("date"))
-    profiles = pnl.select(F.to_json(F.struct(
+    """Every panel row as a request, some with a NaN income, an age that is text or no client, and the raw event properties."""
+    client, value = F.col("ncodpers"), F.col("value")
+    profiles = D.panel(spark, sf).select("ncodpers", F.to_json(F.struct(
         "ncodpers", "age", F.col("fecha_alta").cast("string").alias("fecha_alta"), "antiguedad",
-        "renta", "segmento", "pais_residencia", "canal_entrada")).alias("value"))
-    requests = profiles.unionByName(_events(spark, sf).select(F.col("props").alias("value")))
+        "renta", "segmento", "pais_residencia", "canal_entrada", *PRODUCTS)).alias("value"))
+    profiles = profiles.withColumn("value", F.when(client % 5 == 1, F.regexp_replace(value, '"renta":[^,}]*', '"renta":NaN')).otherwise(value)) \
+        .withColumn("value", F.when(client % 7 == 1, F.regexp_replace(value, '"age":[^,}]*', '"age":"old"')).otherwise(value)) \
+        .withColumn("value", F.when(client % 11 == 1, F.regexp_replace(value, '"ncodpers":[0-9]+,', "")).otherwise(value))
+    requests = profiles.select("value").unionByName(_events(spark, sf).select(F.col("props").alias("value")))
     parsed = A.ingest_profiles(requests)
-    return parsed.groupBy("status", "reason").agg(F.count(F.lit(1)).alias("n"))
+    ok = F.col("status") == "ok"
+    owned = sum((F.coalesce(F.col(p), F.lit(0.0)) for p in PRODUCTS), F.lit(0.0))
+    return parsed.groupBy("status", "reason").agg(F.count(F.lit(1)).alias("n"), F.count_if(ok & F.col("renta").isNotNull()).alias("incomes"),
+                                                  F.sum(F.when(ok, owned).otherwise(0.0)).cast("long").alias("flags"))
 
 
 @register("f12_fit_params")
 def f12_fit_params(spark, sf):
-    """the whole fit; one row per fitted section with its size."""
-    train, _ = _fit_input(spark, sf)
-    p = G.fit_params(train)
-    rows = [("medians", len(p.medians)), ("modes", len(p.modes)),
-            ("clip_bounds", len(p.clip_bounds)), ("age_intervals", len(p.age_intervals)),
-            ("date_cohorts", len(p.date_cohorts.get("fecha_alta", {}).get("intervals", []))),
-            ("replacer", sum(len(v) for v in p.replacer.values())),
-            ("drift_reference", len(p.drift_reference))]
-    return spark.createDataFrame(rows, "section string, entries int")
+    """the whole fit, section by section, with its size and its content as JSON (of the rare values, their columns)."""
+    p = _params(spark, sf)
+    payload = json.loads(A.params_to_json(p))
+    sizes = {"date_cohorts": len(p.date_cohorts.get("fecha_alta", {}).get("intervals", [])), "rare_columns": p.rare.count()}
+    rows = [(k, int(sizes.get(k, len(payload[k]))), json.dumps(payload[k], sort_keys=True, ensure_ascii=False))
+            for k in ("medians", "modes", "clip_bounds", "age_intervals", "date_cohorts", "rare_columns", "drift_reference")]
+    return spark.createDataFrame(rows, "section string, entries int, content string")
 
 
 @register("a7_params_roundtrip")
@@ -962,7 +1066,7 @@ def g7_feature_rows(spark, sf):
     preprocessing -> recommendation lookup ('0' on a miss) -> derived features."""
     train, _ = _fit_input(spark, sf)
     p = _params(spark, sf)
-    aggs = H.fit_group_stats(G.apply_params(train, p))
+    aggs = _group_stats(spark, sf)
     pnl = D.panel(spark, sf).filter(F.col("fecha_dato") == F.lit(_SLICE_DATE).cast("date"))
     requests = A.ingest_profiles(pnl.select(F.to_json(F.struct(
         "ncodpers", "age", F.col("fecha_alta").cast("string").alias("fecha_alta"), "antiguedad",
@@ -982,18 +1086,16 @@ def g7_feature_rows(spark, sf):
 def h7_feature_types(spark, sf):
     out, _, train = _applied(spark, sf)
     fitted = G.apply_params(train, _params(spark, sf))
-    feats = H.add_features(fitted, H.fit_group_stats(fitted))
+    feats = H.add_features(fitted, _group_stats(spark, sf))
     return H.feature_types(feats, H.NUMERIC_FEATURES + ["total_products", "age"])
 
 
 @register("i2_feature_selection")
 def i2_feature_selection(spark, sf):
-    from pyspark.ml import Pipeline
+    """What the selection stage of a fitted forest pipeline keeps."""
     mx = T.build_matrices(spark, sf)
-    enc = Pipeline(stages=M.encoder_stages(mx.spec)).fit(mx.train)
-    encoded = M.with_weights(enc.transform(mx.train))
-    slicer = M.select_features(encoded)
-    return spark.createDataFrame([(len(slicer.getIndices()),)], "kept_features int")
+    model = M.fit_final(mx.train, mx.spec, "forest", FOREST_PARAMS)
+    return spark.createDataFrame(model.stages[-2].selected(), "slot int, feature string, importance double")
 
 
 @register("a8_report_sink")
@@ -1009,11 +1111,15 @@ def a8_report_sink(spark, sf):
 
 @register("a10_run_passport")
 def a10_run_passport(spark, sf):
+    """A10: the run's summary: metrics, and as JSON its settings, shapes, per-class table and top-K table."""
     mx = T.build_matrices(spark, sf)
-    _, _, summary, _ = _variant_row(mx, "forest", FOREST_PARAMS, "random_forest")
-    return A.passport(spark, summary.drop("variant"),
-                      {"model": "random_forest", "protocol": "calendar",
-                       "cutoff": P.TEST_CUTOFF.isoformat(), "classes": len(mx.classes)})
+    _, scored, summary, topk = _variant_row(mx, "forest", FOREST_PARAMS, "random_forest")
+    per_class = R.per_class_curves(scored, "purchase", "scores", mx.classes)
+    facts = {"model": "random_forest", "protocol": "calendar", "cutoff": P.TEST_CUTOFF.isoformat(), "classes": len(mx.classes),
+             "params": json.dumps(FOREST_PARAMS, sort_keys=True), "features": json.dumps({"numeric": mx.spec.numeric, "categorical": mx.spec.categorical}),
+             "shapes": json.dumps({"train": mx.train.count(), "test": mx.test.count(), "columns": len(mx.spec.numeric) + len(mx.spec.categorical)}),
+             "per_class": A.table_json(per_class.orderBy("class")), "top_k": A.table_json(topk.orderBy("scope", "k"))}
+    return A.passport(spark, summary.drop("variant"), facts)
 
 
 @register("b12_near_duplicates")
@@ -1021,16 +1127,52 @@ def b12_near_duplicates(spark, sf):
     return B.near_duplicates(table(spark, sf, "part", "p_brand"), "p_brand", 0.8)
 
 
+@register("b12_close_matches")
+def b12_close_matches(spark, sf):
+    """The two closest part names of each part name that has another one as close (the brands' and types' texts are all alike)."""
+    names = table(spark, sf, "part", "p_name", "p_type")
+    return B.close_matches(names.select(F.explode(F.array("p_name", "p_type")).alias("text")), "text", 0.8, 2)
+
+
 # --- inventory items with a report of their own ----------------------------------
 
 MODEL_DROP = ["purchase", "fecha_dato", "ncodpers", "snapshot_date"]  # label, id, dates
 
 
+def _raw_csv(spark, sf):
+    """The panel as raw CSV in the shared folder, with damaged records among it: one client in 97 has its line cut off, one in 89 a date
+    that is none, one in 83 no client number.  Returns the folder."""
+    from ..session import scratch_path
+    import uuid
+    folder = scratch_path(spark, f"raw-{uuid.uuid4().hex}")
+    fields = [F.coalesce(F.col(f.name).cast("string"), F.lit("")) for f in A.PANEL_SCHEMA.fields]
+    client = F.col("ncodpers")
+    fields[0] = F.when(client % 83 == 0, F.lit("")).otherwise(fields[0])
+    fields[1] = F.when(client % 89 == 0, F.lit("not a date")).otherwise(fields[1])
+    line = F.concat_ws(",", *fields)
+    line = F.when(client % 97 == 0, F.substring_index(line, ",", 7)).otherwise(line)
+    D.panel(spark, sf).select(line.alias("value")).write.text(folder)
+    return folder
+
+
+@register("a1_csv_ingest")
+def a1_csv_ingest(spark, sf):
+    """A1: raw CSV with damaged records through the reader; per snapshot what came out, per reason what was set aside."""
+    folder = _raw_csv(spark, sf)
+    A.ingest_panel_csv(spark, folder, f"{folder}-parquet", f"{folder}-bad", header=False)
+    good = spark.read.parquet(f"{folder}-parquet").groupBy(F.col("fecha_dato").cast("string").alias("part")).agg(
+        F.count(F.lit(1)).alias("records"), F.sum("ncodpers").alias("clients"), F.round(F.sum(F.col("renta").cast("double")), 2).alias("income"))
+    bad = spark.read.parquet(f"{folder}-bad").groupBy(F.col("reason").alias("part")).agg(F.count(F.lit(1)).alias("records"))
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
 @register("a3_column_pruning")
 def a3_column_pruning(spark, sf):
-    """A3: training-side pruning, then the feature part (label, id, dates dropped)."""
+    """A3: a raw part with the columns that training does not use, pruned, then the feature part (label, id, dates dropped)."""
     _, test = D.prep_frames(spark, sf)
-    pruned = A.prune_columns(test, training=True)
+    raw = test.select(F.col("ncodpers").alias("Unnamed: 0"), F.lit(1.0).alias("indrel"), F.lit("N").alias("indext"),
+                      F.upper("pais_residencia").alias("nomprov"), F.lit(1).alias("tipodom"), "*")
+    pruned = A.prune_columns(raw, training=True)
     return D.present(pruned.drop(*MODEL_DROP, "q", "target_date", "split", "owned"))
 
 
@@ -1039,7 +1181,7 @@ def a4_lookup_write(spark, sf):
     """A4: the latest walk-forward picks written as the serving lookup and read back."""
     from ..session import scratch_path
     import uuid
-    lookup, _ = _walk(spark, sf)
+    lookup = D.als_lookup(spark, sf)
     path = scratch_path(spark, f"lookup-{uuid.uuid4().hex}")
     A.write_lookup(cf.latest_lookup(lookup), path)
     return spark.read.parquet(path)
@@ -1047,14 +1189,14 @@ def a4_lookup_write(spark, sf):
 
 @register("a6_params_write")
 def a6_params_write(spark, sf):
-    """Fitted parameters written as one JSON record; its top-level sections."""
+    """The training run's parameters written as one JSON record; its sections and their sizes."""
     from ..session import scratch_path
     import uuid
-    train, _ = _fit_input(spark, sf)
     path = scratch_path(spark, f"params-{uuid.uuid4().hex}")
-    A.write_params(spark, _params(spark, sf), path)
-    doc = spark.read.json(path)
-    return spark.createDataFrame([(c,) for c in sorted(doc.columns)], "section string")
+    A.write_params(spark, T.build_matrices(spark, sf).params, path)
+    doc = json.loads("\n".join(r[0] for r in spark.read.text(path).collect()))
+    return spark.createDataFrame([(c, len(v) if isinstance(v, (dict, list)) else int(v is not None)) for c, v in sorted(doc.items())],
+                                 "section string, entries int")
 
 
 @register("g3_fixed_intervals")
@@ -1072,9 +1214,10 @@ _FOLDED = ["pais_residencia", "canal_entrada", "segmento"]
 def g4_rare_folding(spark, sf):
     """Train-fitted rare dictionary applied to the test rows; value counts after folding."""
     train, test = _fit_input(spark, sf)
-    p = _params(spark, sf)
-    long = test.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), G.fold_rare_expr(c, p.replacer.get(c, {})).alias("value"))
+    work, _ = _filled_train(spark, sf)
+    folded = G.fold_rare_join(test, G.rare_values(work, _FOLDED, RARE_SHARE), _FOLDED)
+    long = folded.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).alias("value"))
         for c in _FOLDED])).alias("kv")).select("kv.column", "kv.value")
     return long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
@@ -1082,7 +1225,7 @@ def g4_rare_folding(spark, sf):
 def _features(spark, sf):
     out, _, train = _applied(spark, sf)
     fitted = G.apply_params(train, _params(spark, sf))
-    return H.add_features(out, H.fit_group_stats(fitted))
+    return H.add_features(out, _group_stats(spark, sf))
 
 
 def _rounded(df, cols):
@@ -1115,7 +1258,7 @@ def h6_dedupe_columns(spark, sf):
     cust = table(spark, sf, "customer", "c_custkey", "c_name").select(
         F.col("c_custkey").alias("_ck"), F.col("c_name").alias("segmento"))
     joined = rows.join(cust, rows.ncodpers == cust._ck).drop("_ck")
-    feats = H.add_features(joined, H.fit_group_stats(fitted))
+    feats = H.add_features(joined, _group_stats(spark, sf))
     keep = [c for c in feats.columns if c not in H.NUMERIC_FEATURES
             and not c.startswith(("mean_", "median_"))]
     return feats.select(*keep)
@@ -1144,12 +1287,10 @@ def i6_out_of_fold(spark, sf):
 
 @register("i7_refit_winner")
 def i7_refit_winner(spark, sf):
-    """The best CV grid point refitted on all train rows, scored on test."""
+    """The best trial of both kinds refitted on all train rows, scored on test."""
     mx = T.build_matrices(spark, sf)
-    best, means, _, _ = M.search(mx.train, mx.spec, mx.classes, "forest", folds=2)
-    model = M.fit_final(mx.train, mx.spec, "forest", best)
-    scored = M.probability_array(model.transform(mx.test), "forest").select(
-        "purchase", "scores")
-    auc = R.macro_roc_auc(scored, "purchase", "scores", mx.classes).collect()[0][0]
-    return spark.createDataFrame([(str(best), float(max(means)), float(auc))],
-                                 "params string, cv_score double, test_macro_roc_auc double")
+    top = M.HS.best(_study(spark, sf))
+    _, scored = T.run_variant(mx, top.kind, top.params)
+    auc = R.macro_roc_auc(scored.select("purchase", "scores"), "purchase", "scores", mx.classes).collect()[0][0]
+    return M.trial_table(spark, [top]).select("kind", "params", F.col("cv_mean").alias("cv_score"),
+                                              F.lit(float(auc)).alias("test_macro_roc_auc"))

@@ -12,6 +12,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import cf
 from ..operators import panel as P
 from ..session import ensure_checkpoint_dir, materialize
 from ..sources.adapter import build_panel
@@ -133,3 +134,17 @@ def prep_frames(spark: SparkSession, sf_dir: str):
     train = frame.filter(F.col("split") == "train")
     test = frame.filter(F.col("split") == "test")
     return train, test
+
+
+# --- the walk-forward ALS feature ------------------------------------------------
+
+_LOOKUPS: dict[tuple, DataFrame] = {}
+
+
+def als_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D5's lookup with the library's settings (rank 50, 50 iterations, a model per snapshot), written once per session and source dir."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), ensure_checkpoint_dir(spark))
+    if key not in _LOOKUPS:
+        pnl = panel(spark, sf_dir)
+        _LOOKUPS[key] = cf.walk_forward(pnl, P.purchase_events(pnl))
+    return _LOOKUPS[key]

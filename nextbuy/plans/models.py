@@ -2,18 +2,20 @@
 
 Spark ML replaces the reference's single-machine learners:
 
-* I1 encoding: ``StringIndexer(handleInvalid='keep')`` + ``OneHotEncoder`` for
-  categoricals, ``VectorAssembler`` + ``StandardScaler(withMean)`` for
+* I1 encoding, forest: ``StringIndexer(handleInvalid='keep')`` + ``OneHotEncoder``
+  for categoricals, ``VectorAssembler`` + ``StandardScaler(withMean)`` for
   numerics; unknown categories map to the extra "keep" slot.
-* I2 selection: a small forest's ``featureImportances``, then ``VectorSlicer``
-  keeping features at or above the mean importance.
+* I1 encoding, boosting: raw categories by ordered target statistics
+  (``nextbuy.functions.target_stats``), two-valued ones as a 0/1 flag.
+* I2 selection: ``ImportanceSelector``, a stage of the forest's pipeline.
 * I3 balanced class weights n / (k * n_c) as a weight column (one grouped
   count, broadcast back: one row per class).
-* I4 boosting: ``OneVsRest(GBTClassifier)``; arm margins -> sigmoid(2m),
-  normalized per row.
-* I5/I6 search: a parameter grid evaluated with ``CrossValidator`` on fold
-  ids from the skew-safe stratified fold assignment (E4), scored by the
-  exact macro ROC-AUC of ``nextbuy.functions.ranking``.
+* I4 boosting: ``OneVsRest(GBTClassifier)``, arms side by side; arm margins ->
+  sigmoid(2m), normalized per row.
+* I5/I6 search: Parzen-sampled trials of both kinds (``plans.search``) on the
+  folds of the skew-safe stratified assignment (E4), the whole pipeline fitted
+  per fold, scored by the exact macro ROC-AUC of ``nextbuy.functions.ranking``;
+  a plain grid with ``CrossValidator`` is kept beside it.
 * I10 scoring: probabilities -> top classes in-row (``array_sort``), no shuffle.
 """
 
@@ -27,14 +29,21 @@ from pyspark.ml.classification import (GBTClassifier, OneVsRest,
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import (OneHotEncoder, StandardScaler, StringIndexer,
                                 VectorAssembler, VectorSlicer)
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ranking as R
+from ..functions import target_stats as TS
 from ..operators import splits as S
 from ..plans.datasets import small_list
+from ..session import materialize
+from . import search as HS
+from .selection import ImportanceSelector, slot_names
+
+IDS = ["ncodpers", "q"]
+SELECTION_SEED = 0
 
 
 @dataclass
@@ -87,26 +96,68 @@ def encoder_stages(spec: FeatureSpec, scale: bool = True) -> list:
 
 
 def forest(num_trees: int = 50, max_depth: int = 10, min_instances: int = 2,
-           seed: int = 0) -> RandomForestClassifier:
-    return RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight",
+           seed: int = 0, features: str = "features") -> RandomForestClassifier:
+    return RandomForestClassifier(featuresCol=features, labelCol="label", weightCol="weight",
                                   numTrees=num_trees, maxDepth=max_depth,
                                   minInstancesPerNode=min_instances, seed=seed)
 
 
-def select_features(encoded: DataFrame, seed: int = 0) -> VectorSlicer:
-    """Keep features whose importance in a 50-tree balanced forest >= mean."""
-    rf = forest(50, 5, 1, seed).fit(encoded)
-    imp = rf.featureImportances.toArray()
-    keep = [i for i, v in enumerate(imp) if v >= imp.mean()] or list(range(len(imp)))
-    return VectorSlicer(inputCol="features", outputCol="features_sel", indices=keep)
-
-
-def boosted(max_iter: int = 20, max_depth: int = 5, step: float = 0.1, seed: int = 0) -> OneVsRest:
-    """I4: one-vs-rest gradient-boosted trees."""
+def boosted(max_iter: int = 20, max_depth: int = 5, step: float = 0.1, seed: int = 0,
+            min_instances: int = 1, parallelism: int = 4) -> OneVsRest:
+    """I4: one-vs-rest gradient-boosted trees, ``parallelism`` classes at a time."""
     gbt = GBTClassifier(featuresCol="features", labelCol="label", maxIter=max_iter,
-                        maxDepth=max_depth, stepSize=step, seed=seed)
+                        maxDepth=max_depth, stepSize=step, minInstancesPerNode=min_instances, seed=seed)
     return OneVsRest(classifier=gbt, featuresCol="features", labelCol="label",
-                     predictionCol="prediction", rawPredictionCol="rawPrediction")
+                     predictionCol="prediction", rawPredictionCol="rawPrediction", parallelism=parallelism)
+
+
+@dataclass
+class BoostedModel:
+    """I4's fitted pipeline: raw categories to target statistics and flags, then the classes' trees."""
+
+    stats: TS.TargetStats
+    flags: dict[str, str]
+    numeric: list[str]
+    classifier: object = None
+
+    @property
+    def stages(self) -> list:
+        return [self.stats, self.classifier]
+
+    def names(self) -> list[str]:
+        """The inputs' names: numbers, flags, then a statistic per class of each other category."""
+        return [*self.numeric, *self.flags, *(f"{c}__{i}" for c in self.stats.columns for i in range(len(self.stats.prior)))]
+
+    def assemble(self, df: DataFrame) -> DataFrame:
+        """``features`` of rows that have their ``__ts`` columns."""
+        single = F.array(*[F.col(c).cast("double") for c in self.numeric],
+                         *[F.when(F.coalesce(F.col(c).cast("string"), F.lit(TS.MISSING)) == v, 1.0).otherwise(0.0)
+                           for c, v in self.flags.items()]).cast("array<double>")
+        every = F.concat(single, *[F.col(f"{c}__ts") for c in self.stats.columns])
+        return df.withColumn("features", array_to_vector(every)).drop(*(f"{c}__ts" for c in self.stats.columns))
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.classifier.transform(self.assemble(self.stats.encode(df)))
+
+
+def boosted_inputs(train: DataFrame, spec: FeatureSpec, seed: int = 0) -> tuple[BoostedModel, DataFrame]:
+    """The statistics of a boosting arm and its training rows, encoded in permutation order; no one-hot slot."""
+    classes = int(train.agg(F.max("label")).first()[0]) + 1
+    every = TS.fit(train, spec.categorical, classes)
+    sizes = every.table.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("v")).collect()
+    flags = {r["feature"]: r["v"] for r in sizes if r["n"] <= 2}
+    wide = [c for c in spec.categorical if c not in flags]
+    stats = TS.TargetStats(wide, every.prior, every.table.filter(F.col("feature").isin(wide)), every.smoothing)
+    model = BoostedModel(stats, {c: flags[c] for c in spec.categorical if c in flags}, list(spec.numeric))
+    return model, model.assemble(TS.encode_ordered(train, stats, IDS, seed=seed))
+
+
+def fit_boosted(train: DataFrame, spec: FeatureSpec, params: dict, seed: int = 0) -> BoostedModel:
+    model, rows = boosted_inputs(train, spec, seed)
+    clf = boosted(params.get("maxIter", 20), params.get("maxDepth", 5), params.get("stepSize", 0.1), seed,
+                  params.get("minInstancesPerNode", 1))
+    model.classifier = clf.fit(materialize(rows.select("label", "features"), "boosting-rows"))
+    return model
 
 
 def probability_array(df: DataFrame, kind: str) -> DataFrame:
@@ -172,15 +223,20 @@ def search(train: DataFrame, spec: FeatureSpec, classes: list[int], kind: str =
 
 
 def fit_final(train: DataFrame, spec: FeatureSpec, kind: str, params: dict,
-              seed: int = 0) -> PipelineModel:
-    """Refit the winner on all train rows (encoder + classifier)."""
-    stages = encoder_stages(spec, scale=(kind == "forest"))
-    if kind == "forest":
-        clf = forest(params.get("numTrees", 50), params.get("maxDepth", 10), 2, seed)
-        train = train.join(F.broadcast(class_weights(train).select("label", "weight")), "label")
-    else:
-        clf = boosted(params.get("maxIter", 20), params.get("maxDepth", 5), 0.1, seed)
-    return Pipeline(stages=stages + [clf]).fit(train)
+              seed: int = 0, select: bool = True):
+    """Refit on all given rows: encoder, selection (forest) and classifier.
+
+    A forest is a ``PipelineModel``; boosting a ``BoostedModel``, whose training
+    rows are encoded otherwise than the rows it scores.
+    """
+    if kind != "forest":
+        return fit_boosted(train, spec, params, seed)
+    stages = encoder_stages(spec)
+    if select:
+        stages.append(ImportanceSelector(seed=SELECTION_SEED))
+    clf = forest(params.get("numTrees", 50), params.get("maxDepth", 10), params.get("minInstancesPerNode", 2), seed,
+                 "features_sel" if select else "features")
+    return Pipeline(stages=[*stages, clf]).fit(with_weights(train))
 
 
 def out_of_fold(train: DataFrame, spec: FeatureSpec, classes: list[int], kind: str,
@@ -201,16 +257,28 @@ def out_of_fold(train: DataFrame, spec: FeatureSpec, classes: list[int], kind: s
     return out
 
 
+def study(train: DataFrame, spec: FeatureSpec, classes: list[int], spaces: dict, trials: int = 20, timeout: float = 900.0,
+          folds: int = 2, seed: int = 42, workers: int = 2) -> list[HS.Trial]:
+    """A search over kinds on the same folds as ``out_of_fold``, whose values a trial's fold values are."""
+    def evaluate(kind: str, params: dict) -> list[float]:
+        return [v for _, v in out_of_fold(train, spec, classes, kind, params, folds, seed)]
+
+    return HS.run_study(evaluate, spaces, trials, timeout, seed, workers)
+
+
+def trial_table(spark, trials: list[HS.Trial]) -> DataFrame:
+    """A row per trial: number, kind, params, cv_mean, cv_std."""
+    rows = [(t.number, t.kind, ", ".join(f"{k}={v:.6g}" if isinstance(v, float) else f"{k}={v}" for k, v in sorted(t.params.items())), t.value, t.std)
+            for t in trials]
+    return spark.createDataFrame(rows, "trial int, kind string, params string, cv_mean double, cv_std double")
+
+
 def importances(model: PipelineModel, scored: DataFrame) -> DataFrame:
-    """(feature, importance) from the forest and the assembled vector metadata."""
+    """(feature, importance) of the forest's inputs, most important first, named by the vector's metadata."""
     clf = model.stages[-1]
+    column = clf.getFeaturesCol()
     imp = clf.featureImportances.toArray()
-    meta = scored.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
-    names = {}
-    for group in meta.values():
-        for a in group:
-            names[a["idx"]] = a["name"]
-    rows = [(names.get(i, f"f{i}"), float(v)) for i, v in enumerate(imp)]
+    rows = sorted(zip(slot_names(scored, column, len(imp)), map(float, imp), strict=True), key=lambda r: (-r[1], r[0]))
     return scored.sparkSession.createDataFrame(rows, "feature string, importance double")
 
 
@@ -244,8 +312,9 @@ def evaluate(scored: DataFrame, classes: list[int], candidates: list[int], train
     pop = R.popularity_stats(stats.drop("rank", "relevant", "purchased"), "purchase",
                              R.popularity_order(train, "purchase", used))
     topk = R.top_k_report(stats, len(used), pop)
-    at5 = topk.filter(F.col("k") == 5).groupBy().pivot(
-        "scope", list(R.SCOPES)).agg(F.first("ndcg_at_k"))
+    at5 = topk.filter(F.col("k") == 5).agg(*[
+        F.max(F.when(F.col("scope") == s, F.col(m))).alias(f"{s}_{m}")
+        for s in R.SCOPES for m in ("precision_at_k", "recall_at_k", "ndcg_at_k", "hit_rate_at_k")])
     row = (summary.unionByName(auc, allowMissingColumns=True)
            .unionByName(pr, allowMissingColumns=True)
            .unionByName(at5, allowMissingColumns=True))

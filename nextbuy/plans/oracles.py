@@ -472,7 +472,7 @@ SELECT "column", value, share FROM (
         WHERE CAST(w.fecha_alta - (SELECT base FROM dbase) AS BIGINT) > s.left_days
           AND CAST(w.fecha_alta - (SELECT base FROM dbase) AS BIGINT) <= s.right_days), 'unknown')
       FROM work w)
-  GROUP BY 1, 2) WHERE share < 0.01"""),
+  GROUP BY 1, 2) WHERE share < 0.04"""),
     "f10_clip_bounds": _p(
         "SELECT 'renta' AS \"column\", round(rlo, 6) AS lo, round(rhi, 6) AS hi FROM clip "
         "UNION ALL SELECT 'antiguedad', round(tlo, 6), round(thi, 6) FROM clip"),
@@ -794,10 +794,13 @@ SELECT ncodpers, q, recommended_product_id FROM (
                                  ELSE 'prod_' || lpad(CAST(list_min(owned) AS VARCHAR), 2, '0') END
                             AS recommended_product_id FROM panel))
 WHERE rn = 1"""),
-    "a9_profile_ingest": "WITH " + PANEL_CTES + f"""
-SELECT 'ok' AS status, CAST(NULL AS VARCHAR) AS reason, count(*) AS n FROM panel WHERE fecha_dato = {_SLICE}
-UNION ALL
-SELECT 'rejected', 'missing ncodpers', count(*) FROM events  -- the raw request table
+    "a9_profile_ingest": "WITH " + PANEL_CTES + """
+, r AS (SELECT CASE WHEN ncodpers % 7 = 1 AND age IS NOT NULL THEN 'malformed or wrong type' WHEN ncodpers % 11 = 1 THEN 'missing ncodpers' END AS reason,
+               renta IS NOT NULL AND ncodpers % 5 <> 1 AS income, len(owned) AS flags FROM panel
+        UNION ALL SELECT 'missing ncodpers', false, 0 FROM events)
+SELECT CASE WHEN reason IS NULL THEN 'ok' ELSE 'rejected' END AS status, reason, count(*) AS n,
+       count(*) FILTER (reason IS NULL AND income) AS incomes, CAST(sum(CASE WHEN reason IS NULL THEN flags ELSE 0 END) AS BIGINT) AS flags
+FROM r GROUP BY ALL
 """,
 })
 
@@ -881,7 +884,7 @@ rare3 AS (
       UNION ALL SELECT 'pais_residencia', coalesce(pais_residencia, 'nan') FROM work
       UNION ALL SELECT 'canal_entrada', coalesce(canal_entrada, 'nan') FROM work)
     GROUP BY 1, 2)
-  WHERE share < 0.01
+  WHERE share < 0.04
 ),
 tv AS (
   SELECT 'pais_residencia' AS "column", CAST(pais_residencia AS VARCHAR) AS v FROM ftest
@@ -925,3 +928,95 @@ SELECT g.feature, CAST(g.bin AS INTEGER) AS bin, CASE WHEN g.bin > 0 THEN e[g.bi
        round(coalesce(c.n, 0) / sum(coalesce(c.n, 0)) OVER (PARTITION BY g.feature), 9) AS share
 FROM dgrid g LEFT JOIN dcount c ON c.feature = g.feature AND c.bin = g.bin""",
 })
+
+# --- I1: prefix sums over the permutation, by window frames ------------------------
+
+_TS_COLUMNS = ("segmento", "canal_entrada", "pais_residencia")
+ORACLES["i1_ordered_target_stats"] = _q("""
+, t AS (SELECT *, (ncodpers * 7919 + q * 104729) % 10007 AS place FROM frame WHERE split = 'train'),
+cl AS (SELECT purchase, row_number() OVER (ORDER BY purchase) - 1 AS pos FROM (SELECT DISTINCT purchase FROM t)),
+y AS (SELECT t.*, pos, CASE WHEN pos = 0 THEN 1 ELSE 0 END AS none FROM t JOIN cl USING (purchase)),
+prior AS (SELECT avg(none) AS p0, avg(pos) AS pm FROM y)
+SELECT ncodpers, q, """ + ", ".join(
+    f"round((coalesce(sum({v}) OVER w_{c}, 0) + {p}) / (count(*) OVER w_{c} + 1), 9) AS {c}_{n}"
+    for c in _TS_COLUMNS for v, p, n in (("none", "p0", "none"), ("pos", "pm", "mean"))) + " FROM y, prior WINDOW " + ", ".join(
+    f"w_{c} AS (PARTITION BY {c} ORDER BY place, ncodpers, q ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)" for c in _TS_COLUMNS))
+
+# --- A1, B5, K5, K7, K8: raw files, box and Q-Q tables, held alerts -----------------
+
+ORACLES["a1_csv_ingest"] = _q("""
+SELECT CAST(fecha_dato AS VARCHAR) AS part, count(*) AS records, CAST(sum(ncodpers) AS BIGINT) AS clients, round(sum(CAST(renta AS DOUBLE)), 2) AS income
+FROM panel WHERE ncodpers % 97 <> 0 AND ncodpers % 89 <> 0 AND ncodpers % 83 <> 0 GROUP BY fecha_dato
+UNION ALL
+SELECT CASE WHEN ncodpers % 97 = 0 OR ncodpers % 89 = 0 THEN 'malformed' ELSE 'no client' END, count(*), NULL, NULL
+FROM panel WHERE ncodpers % 97 = 0 OR ncodpers % 89 = 0 OR ncodpers % 83 = 0 GROUP BY 1""")
+
+ORACLES["b5_box"] = _q("\nUNION ALL\n".join(f"""
+SELECT '{c}' AS "column", round(any_value(q1), 6) AS q1, round(any_value(q2), 6) AS median, round(any_value(q3), 6) AS q3,
+       round(min(x) FILTER (x >= q1 - 1.5 * (q3 - q1) AND x <= q3 + 1.5 * (q3 - q1)), 6) AS whisker_lo,
+       round(max(x) FILTER (x >= q1 - 1.5 * (q3 - q1) AND x <= q3 + 1.5 * (q3 - q1)), 6) AS whisker_hi,
+       count(*) FILTER (x < q1 - 1.5 * (q3 - q1)) AS outliers_lo, count(*) FILTER (x > q3 + 1.5 * (q3 - q1)) AS outliers_hi
+FROM (SELECT TRY_CAST({c} AS DOUBLE) AS x FROM panel) v,
+     (SELECT quantile_cont(TRY_CAST({c} AS DOUBLE), 0.25) AS q1, quantile_cont(TRY_CAST({c} AS DOUBLE), 0.5) AS q2,
+             quantile_cont(TRY_CAST({c} AS DOUBLE), 0.75) AS q3 FROM panel) q""" for c in ("age", "antiguedad", "renta")))
+
+
+def _horner(x: str, coefficients) -> str:
+    out = "0.0"
+    for c in coefficients:
+        out = f"({out} * {x} + ({c!r}))"
+    return out
+
+
+from ..operators import profile as _B  # noqa: E402
+
+_TAIL_SQL = lambda t: f"{_horner(t, _B._NORMAL_C)} / {_horner(t, _B._NORMAL_D)}"
+_QQ = f""",
+grid AS (SELECT i / 100.0 AS p FROM range(1, 100) AS r(i)),
+inv AS (SELECT p, CASE WHEN p < {_B._NORMAL_TAIL} THEN {_TAIL_SQL('sqrt(-2 * ln(p))')}
+                       WHEN p > 1 - {_B._NORMAL_TAIL} THEN -({_TAIL_SQL('sqrt(-2 * ln(1 - p))')})
+                       ELSE (p - 0.5) * {_horner('((p - 0.5) * (p - 0.5))', _B._NORMAL_A)} / {_horner('((p - 0.5) * (p - 0.5))', _B._NORMAL_B)} END AS z FROM grid),
+vals AS (SELECT list_sort(list(CAST(renta AS DOUBLE))) AS v, count(renta) AS nn FROM panel WHERE renta IS NOT NULL),
+qq AS (SELECT 'renta' AS "column", round(p, 6) AS p, round(z, 6) AS theoretical,
+              round(v[CAST(floor((nn - 1) * p) AS BIGINT) + 1] + ((nn - 1) * p - floor((nn - 1) * p))
+                    * (v[CAST(ceil((nn - 1) * p) AS BIGINT) + 1] - v[CAST(floor((nn - 1) * p) AS BIGINT) + 1]), 6) AS sample
+       FROM inv, vals)
+"""
+ORACLES["b5_qq_points"] = _q(_QQ.replace(",\ngrid", "\n, grid", 1) + "SELECT * FROM qq")
+ORACLES["b5_qq_fit"] = _q(_QQ.replace(",\ngrid", "\n, grid", 1) + """SELECT "column", round(regr_slope(sample, theoretical), 6) AS slope,
+  round(regr_intercept(sample, theoretical), 6) AS intercept, round(corr(theoretical, sample), 6) AS r FROM qq GROUP BY "column" """)
+
+from ..functions import alerts as _L  # noqa: E402
+
+
+def _held(points: str, hold: int, step: int, digits: int) -> str:
+    """States of evaluations ``points`` (at in seconds, value, breached): an unbroken row of breaches by differences of numbers."""
+    return f"""
+, hits AS (SELECT moment, value, moment // {step} - row_number() OVER (ORDER BY moment) AS island FROM {points} WHERE breached),
+since AS (SELECT moment, value, min(moment) OVER (PARTITION BY island) AS since FROM hits)
+SELECT CAST(make_timestamp(p.moment * 1000000) AS VARCHAR) AS evaluated_at, round(p.value, {digits}) AS value,
+       CASE WHEN s.since IS NULL THEN 'inactive' WHEN p.moment - s.since >= {hold} THEN 'firing' ELSE 'pending' END AS state,
+       CAST(make_timestamp(s.since * 1000000) AS VARCHAR) AS since
+FROM {points} p LEFT JOIN since s ON s.moment = p.moment"""
+
+
+_BUCKET_SQL = "(SELECT count(*) FROM (VALUES " + ", ".join(f"({b})" for b in _L.LATENCY_BOUNDS) + ") AS t(b) WHERE b < latency_ms)"
+ORACLES["k7_latency_hold"] = "WITH " + _LOG + f"""
+, bounds AS (SELECT unnest(range({len(_L.LATENCY_BOUNDS)})) AS i, unnest([{", ".join(map(str, _L.LATENCY_BOUNDS))}]) AS upper),
+wide AS (SELECT (epoch_us(ts) // 60000000 + k) * 60 AS moment, {_BUCKET_SQL} AS i FROM log, range(1, 6) AS r(k) WHERE latency_ms IS NOT NULL),
+counted AS (SELECT moment, i, count(*) AS n FROM wide GROUP BY ALL),
+run AS (SELECT moment, i, n, sum(n) OVER (PARTITION BY moment ORDER BY i) AS upto, sum(n) OVER (PARTITION BY moment) AS total FROM counted),
+hit AS (SELECT moment, min(i) AS i FROM run WHERE upto >= 0.95 * total GROUP BY moment),
+pts AS (SELECT moment, value, value > 100.0 AS breached FROM (
+  SELECT run.moment, CASE WHEN run.i = {len(_L.LATENCY_BOUNDS)} THEN {_L.LATENCY_BOUNDS[-1]}
+                      ELSE coalesce(b0.upper, 0.0) + (b1.upper - coalesce(b0.upper, 0.0)) * (0.95 * total - (upto - n)) / n END AS value
+  FROM run JOIN hit ON hit.moment = run.moment AND hit.i = run.i LEFT JOIN bounds b1 ON b1.i = run.i LEFT JOIN bounds b0 ON b0.i = run.i - 1))""" + _held("pts", 600, 60, 6)
+ORACLES["k8_error_hold"] = "WITH " + _LOG + """
+, wide AS (SELECT (epoch_us(ts) // 60000000 + k) * 60 AS moment, status FROM log, range(1, 6) AS r(k)),
+pts AS (SELECT moment, count(*) FILTER (status >= 500) / count(*) AS value, count(*) FILTER (status >= 500) / count(*) > 0.01 AS breached FROM wide GROUP BY moment)""" + _held("pts", 600, 60, 9)
+ORACLES["k5_drift_hold"] = _k(""",
+binned AS (SELECT epoch_us(ts) // 600000000 AS step, feature, bin FROM later),
+ends AS (SELECT min(step) AS a, max(step) AS b FROM binned),
+tw AS (SELECT (step + k + 1) * 600 AS moment, feature, bin FROM binned, ends, range(0, 144) AS r(k) WHERE step + k <= b),
+pw AS (""" + _psi_sql("tw", "moment") + """),
+pts AS (SELECT moment, max(psi) AS value, max(psi) > 0.25 AS breached FROM pw WHERE samples >= 200 GROUP BY moment)""" + _held("pts", 1800, 600, 9))

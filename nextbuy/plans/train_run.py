@@ -8,7 +8,7 @@ query calls ``build_matrices`` and the piece it reports on.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from ..functions import features as H
 from ..functions import prep as G
 from ..operators import cf
+from ..operators import splits as S
 from ..products import PRODUCTS
+from ..session import ensure_checkpoint_dir, materialize
 from . import datasets as D
 from . import models as M
 
@@ -26,6 +28,10 @@ GROUP_FEATURES = ["mean_renta_by_pais_residencia", "median_antiguedad_by_pais_re
                   "mean_renta_by_segmento", "median_antiguedad_by_segmento"]
 
 
+def class_label(code: int) -> str:
+    return {0: "no_purchase", 99: "other"}.get(code, f"prod_{code:02d}")
+
+
 @dataclass
 class Matrices:
     train: DataFrame
@@ -36,9 +42,29 @@ class Matrices:
     params: G.PrepParams
 
 
-def build_matrices(spark: SparkSession, sf_dir: str, with_als: bool = False,
-                   als_settings: tuple[int, int, int] = (10, 10, 4)) -> Matrices:
+_MATRICES: dict[tuple, Matrices] = {}
+
+
+def build_matrices(spark: SparkSession, sf_dir: str, with_als: bool = False, cohort: bool = False) -> Matrices:
+    """The encoded parts, written once per session like the panel: every fit and fold scans them."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), ensure_checkpoint_dir(spark), with_als, cohort)
+    if key not in _MATRICES:
+        mx = _matrices(spark, sf_dir, with_als, cohort)
+        _MATRICES[key] = replace(mx, train=materialize(mx.train, "matrix-train"), test=materialize(mx.test, "matrix-test"))
+    return _MATRICES[key]
+
+
+def cohort_frame(frame: DataFrame, test_size: float = 0.3) -> tuple[DataFrame, str]:
+    """The second protocol: the labelled rows split by the clients' joining date; returns the cutoff too."""
+    flagged, cutoff = S.temporal_split(frame, "fecha_alta", test_size)
+    return flagged.withColumn("split", F.col("part")).drop("part"), cutoff.isoformat()
+
+
+def _matrices(spark: SparkSession, sf_dir: str, with_als: bool, cohort: bool) -> Matrices:
+    """Parameters and statistics are fitted on the train part of the protocol: by calendar, or by cohort."""
     frame, sl = D.modelling_frame(spark, sf_dir)
+    if cohort:
+        frame, _ = cohort_frame(frame)
     keep = ["ncodpers", "q", "snapshot_date", "purchase", "split"]
     train_raw = frame.filter(F.col("split") == "train")
     test_raw = frame.filter(F.col("split") == "test")
@@ -50,11 +76,7 @@ def build_matrices(spark: SparkSession, sf_dir: str, with_als: bool = False,
     test_f = H.add_features(test_p, aggs)
     categorical = list(BASE_CATEGORICAL)
     if with_als:
-        rank, iters, refit = als_settings
-        pnl = D.panel(spark, sf_dir)
-        lookup = cf.walk_forward(pnl, D.P.purchase_events(pnl),
-                                 cf.dense_codes(pnl.select("ncodpers")),
-                                 refit_every=refit, rank=rank, max_iter=iters)
+        lookup = D.als_lookup(spark, sf_dir)
         train_f = cf.attach_feature(train_f, lookup)
         test_f = cf.attach_feature(test_f, lookup)
         categorical.append(cf.FEATURE)
@@ -70,6 +92,7 @@ def build_matrices(spark: SparkSession, sf_dir: str, with_als: bool = False,
     classes = D.small_list(train_raw, "purchase")
     candidates = [c for c in D.small_list(sl, "code") if c in set(classes)]
     train_m, test_m = M.prepare(train_m, test_m, classes)
+    params = replace(params, label_map={c: class_label(c) for c in classes}, feature_columns={"numeric": numeric, "categorical": categorical})
     return Matrices(train_m, test_m, M.FeatureSpec(numeric, categorical), classes, candidates,
                     params)
 

@@ -91,7 +91,7 @@ def materialize(df, name: str, partition_by: list[str] | None = None):
     before = spark.conf.get(SHUFFLE_CLEANUP, None)
     spark.conf.set(SHUFFLE_CLEANUP, "true")
     try:
-        writer = df.write.mode("overwrite")
+        writer = df.write.mode("overwrite").option("compression", "zstd")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)

@@ -82,12 +82,14 @@ def test_group_stats_fit_and_unseen(spark):
     df = spark.createDataFrame([("ES", "A", 100.0, 10.0), ("ES", "A", 200.0, 30.0),
                                 ("FR", "B", 300.0, 20.0)],
                                "pais_residencia string, segmento string, renta double, antiguedad double")
-    aggs = H.fit_group_stats(df)
+    stats = H.fit_group_stats(df)
+    aggs = stats.as_dict()
     m = aggs["mean_renta_by_pais_residencia"]
     assert m["ES"] == 150.0 and m["FR"] == 300.0 and m["__default__"] == 200.0
     new = spark.createDataFrame([("XX", "ZZ", 50.0, 5.0)],
                                 "pais_residencia string, segmento string, renta double, antiguedad double")
-    r = H.add_features(new, aggs).collect()[0]
+    assert H.add_features(new, aggs).collect() == H.add_features(new, stats).collect()
+    r = H.add_features(new, stats).collect()[0]
     assert r.mean_renta_by_pais_residencia == 200.0
     assert r.median_antiguedad_by_segmento == 20.0
     # legacy parameters without a default fall back to the mean of the stored values
@@ -164,3 +166,45 @@ def test_rare_fold_join_equals_literal_map(spark):
     by_map = df.select("id", *[G.fold_rare_expr(c, mapping[c]).alias(c) for c in ("cat", "num")])
     by_join = G.fold_rare_join(df, rare, ["cat", "num"]).select("id", "cat", "num")
     assert sorted(by_map.collect()) == sorted(by_join.collect())
+
+
+def test_many_categories_and_rare_values(spark, tmp_path):
+    """20,001 categories through fit, save, load and apply; the median of a category that holds most rows is exact."""
+    from nextbuy.sources import io as A
+    n = 20_001
+    rows = spark.range(n * 2).select(
+        F.concat(F.lit("c"), F.col("id") % n).alias("pais_residencia"), F.lit("A").alias("segmento"), F.col("id").cast("double").alias("renta"),
+        (F.col("id") * 7 % 1000).cast("double").alias("antiguedad"), (F.col("id") % 60 + 20).cast("double").alias("age"), F.lit("K").alias("canal_entrada"),
+        F.lit(dt.date(2015, 1, 1)).alias("fecha_alta"), *[F.lit(0).cast("byte").alias(p) for p in PRODUCTS], F.lit(0).alias("purchase"))
+    p = G.fit_params(rows)
+    assert p.rare.count() == n and p.rare_columns == ["pais_residencia"]
+    A.write_params(spark, p, str(tmp_path / "params"))
+    back, _ = A.read_params(spark, str(tmp_path / "params"))
+    out = G.apply_params(rows, back)
+    assert [r[0] for r in out.select("pais_residencia").distinct().collect()] == ["other"]
+    stats = H.fit_group_stats(rows)
+    assert stats.tables["pais_residencia"].count() == n
+    got = H.add_features(rows, stats).filter("pais_residencia = 'c7'").first()
+    assert got.mean_renta_by_pais_residencia == (7 + 7 + n) / 2
+    assert got.median_antiguedad_by_pais_residencia == (49 + (7 + n) * 7 % 1000) / 2
+
+
+def test_grouped_quantile_is_exact(spark):
+    import random
+    from nextbuy.functions.quantiles import grouped_quantile
+    r = random.Random(4)
+    rows = [(r.choice(["big"] * 9 + ["b", "c", None]), r.choice([r.gauss(0, 1e6), r.gauss(0, 1e-6), 5.0, float("nan"), None])) for _ in range(3000)]
+    rows += [("one", 3.0), ("two", 1.0), ("two", 2.0), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    for q in (0.5, 0.1, 1.0):
+        got = {x["g"]: x["value"] for x in grouped_quantile(df, "g", "x", q).collect()}
+        want = {x["g"]: x["v"] for x in df.filter("g is not null and x is not null and not isnan(x)").groupBy("g").agg(F.percentile("x", q).alias("v")).collect()}
+        assert got == want
+
+
+def test_modes_as_spark_has_them(spark):
+    rows = [(1, "b", 2.5, None, dt.date(2020, 1, 2)), (1, "a", 1.5, None, dt.date(2020, 1, 1)), (2, "a", 2.5, None, dt.date(2020, 1, 1)), (10, "b", 1.5, None, None)] * 3
+    df = spark.createDataFrame(rows, "i int, s string, x double, e string, d date")
+    want = df.agg(*[F.mode(c, True).alias(c) for c in df.columns]).first().asDict()
+    want = {c: v.isoformat() if isinstance(v, dt.date) else v for c, v in want.items() if v is not None}
+    assert G.column_modes(df, df.columns) == want
