@@ -177,19 +177,50 @@ def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array((np.uint64(1) << (slot & 63).astype(np.uint64)).view(np.int64))], names=["length", "chunk", "bit"])
 
 
-def _mark(counts: DataFrame, step: int, reach: tuple[np.ndarray, np.ndarray], scratch: Scratch) -> None:
-    """Enter ``step`` for the slots of the words and pairs that have reached the threshold by now; at most SLOTS / 32 rows come back."""
-    enough = counts.groupBy("h1", "h2").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST)
-    slots = scratch.write(enough.select("h1", "h2").mapInArrow(_slots, "length int, chunk int, bit long").groupBy("length", "chunk").agg(
+def _slot_sets(phrases: DataFrame, scratch: Scratch) -> tuple[np.ndarray, np.ndarray]:
+    """Which slots the words and the pairs of (h1, h2) fall in; at most SLOTS / 32 rows come back."""
+    written = scratch.write(phrases.select("h1", "h2").mapInArrow(_slots, "length int, chunk int, bit long").groupBy("length", "chunk").agg(
         F.bit_or("bit").alias("bits")), "slots")
-    found = slots.toArrow()
-    scratch.drop(slots)
+    found = written.toArrow()
+    scratch.drop(written)
     length, chunk, bits = (found.column(k).to_numpy() for k in ("length", "chunk", "bits"))
-    for k, table in enumerate(reach):
+    out = np.zeros(SLOTS, bool), np.zeros(SLOTS, bool)
+    for k, table in enumerate(out):
         mine = length == k + 1
         on = (bits[mine].view(np.uint64)[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)
-        slot = (chunk[mine].astype(np.int64)[:, None] * 64 + np.arange(64))[on == 1]
-        table[slot[table[slot] == NEVER]] = step
+        table[(chunk[mine].astype(np.int64)[:, None] * 64 + np.arange(64))[on == 1]] = True
+    return out
+
+
+def _within(words: np.ndarray, pairs: np.ndarray):
+    """Rows whose word or pair falls in a marked slot; the languages' totals and longer phrases pass."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h1, h2, h3 = (batch.column(k).to_numpy().view(np.uint64) for k in range(3))
+            keep = (h1 == 0) | (h3 != 0)
+            single, double = np.flatnonzero(~keep & (h2 == 0)), np.flatnonzero(~keep & (h2 != 0))
+            keep[single] = words[_slot(h1[single])]
+            keep[double] = pairs[_slot(_pair(h1[double], h2[double]))]
+            yield batch.filter(pa.array(keep))
+
+    return run
+
+
+def _mark(scans: list[DataFrame], step: int, reach: tuple[np.ndarray, np.ndarray], scratch: Scratch) -> None:
+    """Enter ``step`` for the slots of the words and pairs that have reached the threshold by now.
+
+    Words are whole after SHARDS scans.  From the scan after on, only what was
+    activated late is still counted, and only that can reach the threshold now:
+    of the earlier scans, just the slots of the last one are added up again.
+    """
+    counts = _union(scans)
+    if step > SHARDS:
+        late = _slot_sets(scans[-1].filter("h1 <> 0 and h3 = 0"), scratch)
+        counts = _union(scans[:-1]).mapInArrow(_within(*late), _COUNTS).union(scans[-1])
+    counts = counts.filter("h1 <> 0 and h3 = 0" if step < SHARDS else "h2 <> 0 and h1 <> 0 and h3 = 0")
+    enough = counts.groupBy("h1", "h2").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST)
+    for table, found in zip(reach, _slot_sets(enough, scratch), strict=True):
+        table[found & (table == NEVER)] = step
 
 
 def phrase_counts(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, np.ndarray]:
@@ -208,11 +239,12 @@ def phrase_counts(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, np.ndar
         # in order of the words, which files keep in half the space
         scans.append(scratch.write(texts.mapInArrow(scanner(step, reach), _COUNTS).groupBy("h1", "h2", "h3").agg(F.sum("n").alias("n"))
                                    .sortWithinPartitions("h1", "h2", "h3"), f"scan{step}"))
-        # words are whole after SHARDS scans; a pair's count can grow until twice that
+        # a pair's count can grow until twice the scans of a cycle
         if step < 2 * SHARDS:
-            _mark(_union(scans).filter("h1 <> 0 and h3 = 0" if step < SHARDS else "h2 <> 0 and h1 <> 0 and h3 = 0"), step, reach, scratch)
+            _mark(scans, step, reach, scratch)
         step += 1
-    counts = scratch.write(_union(scans).groupBy("h1", "h2", "h3").agg(F.sum("n").alias("n")).filter((F.col("n") >= LEAST) | (F.col("h1") == 0)), "counts")
+    frequent = _union(scans).mapInArrow(_within(reach[0] != NEVER, reach[1] != NEVER), _COUNTS)
+    counts = scratch.write(frequent.groupBy("h1", "h2", "h3").agg(F.sum("n").alias("n")).filter((F.col("n") >= LEAST) | (F.col("h1") == 0)), "counts")
     scratch.drop(shards, *scans)
     return counts, reach[0]
 
