@@ -44,18 +44,25 @@ def bucket_of(value: Column, bounds: tuple[float, ...]) -> Column:
     return F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < value))
 
 
-def histogram_quantile(q: float, bounds: tuple[float, ...], counts: Column) -> Column:
-    """Quantile of a histogram (an array of counts, one bucket a bound and one beyond): linear inside a bucket that begins at 0 or the
-    bound before; the last bound if the rank lies beyond it; NULL without observations."""
-    cumulative = F.aggregate(counts, F.array().cast("array<double>"), lambda acc, x: F.concat(
-        acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0.0)) + x)))
-    rank = F.element_at(cumulative, -1) * q
-    at = F.size(F.filter(cumulative, lambda c: c < rank))
-    low = F.when(at > 0, F.try_element_at(F.array(*[F.lit(b) for b in bounds]), at)).otherwise(0.0)
-    high = F.try_element_at(F.array(*[F.lit(b) for b in bounds]), at + 1)
-    before = F.when(at > 0, F.try_element_at(cumulative, at)).otherwise(0.0)
-    inside = F.try_element_at(cumulative, at + 1) - before
-    return F.when(F.element_at(cumulative, -1) > 0, F.when(at >= len(bounds), F.lit(bounds[-1])).otherwise(low + (high - low) * (rank - before) / inside))
+def cumulative(bounds: tuple[float, ...], count) -> list[Column]:
+    """A histogram's cumulative counts: of the values up to each bound, and of all; ``count`` aggregates those a condition holds for."""
+    return [count(F.col("bucket") <= i).cast("double").alias(f"le_{i}") for i in range(len(bounds) + 1)]
+
+
+def histogram_quantile(q: float, bounds: tuple[float, ...], upto: list[Column]) -> Column:
+    """Quantile of a histogram by its cumulative counts (``cumulative``): linear inside a bucket that begins at 0 or the bound before;
+    the last bound if the rank lies beyond it; NULL without observations."""
+    rank = upto[-1] * q
+    out = F.lit(float(bounds[-1]))
+    for i in reversed(range(len(bounds))):
+        low, before = (bounds[i - 1], upto[i - 1]) if i else (0.0, F.lit(0.0))
+        out = F.when(upto[i] >= rank, low + (bounds[i] - low) * F.try_divide(rank - before, upto[i] - before)).otherwise(out)
+    return F.when(upto[-1] > 0, out)
+
+
+def latency_quantile(histogram: DataFrame, q: float) -> Column:
+    """The quantile of rows that carry the latency histogram's cumulative counts."""
+    return histogram_quantile(q, LATENCY_BOUNDS, [histogram[f"le_{i}"] for i in range(len(LATENCY_BOUNDS) + 1)])
 
 
 def _looked_back(per_step: DataFrame, step: int, window: int) -> DataFrame:
@@ -68,10 +75,9 @@ def latency_points(log: DataFrame, q: float = LATENCY_Q, limit: float = LATENCY_
     """K7: (at, value, breached): the bucketed latency quantile of the trailing window."""
     per_step = log.filter(F.col("latency_ms").isNotNull()).groupBy(
         step_of(F.col("ts"), step).alias("step"), bucket_of(F.col("latency_ms"), LATENCY_BOUNDS).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
-    counts = F.array(*[F.sum(F.when(F.col("bucket") == i, F.col("n")).otherwise(0)).cast("double") for i in range(len(LATENCY_BOUNDS) + 1)])
-    points = _looked_back(per_step, step, window).groupBy("at").agg(counts.alias("counts"))
-    value = histogram_quantile(q, LATENCY_BOUNDS, F.col("counts"))
-    return points.select("at", value.alias("value")).withColumn("breached", F.coalesce(F.col("value") > limit, F.lit(False)))
+    points = _looked_back(per_step, step, window).groupBy("at").agg(
+        *cumulative(LATENCY_BOUNDS, lambda held: F.sum(F.when(held, F.col("n")).otherwise(0))))
+    return points.select("at", latency_quantile(points, q).alias("value")).withColumn("breached", F.coalesce(F.col("value") > limit, F.lit(False)))
 
 
 def error_points(log: DataFrame, limit: float = ERROR_LIMIT, step: int = REQUEST_STEP, window: int = REQUEST_WINDOW) -> DataFrame:

@@ -109,9 +109,13 @@ def build_target_panel(panel: DataFrame, first_snapshot: _dt.date | None = None,
 
     Label = minimum code among the client's events in the next dataset
     snapshot, 0 if none.  Rows are the snapshots in [first, last] that have
-    a next snapshot (which may lie outside the window).
+    a next snapshot (which may lie outside the window); a window without any
+    such snapshot is an error.
     """
     pairs = F.broadcast(snapshot_pairs(panel))
+    inside = _in_window(F.col(SNAPSHOT_DATE), first_snapshot, last_snapshot) & F.col("pair_next_q").isNotNull()
+    if snapshot_pairs(panel).filter(inside).isEmpty():
+        raise ValueError("no pair of consecutive snapshots to build a target from")
     nb = with_neighbours(panel).join(pairs, [SNAPSHOT, SNAPSHOT_DATE])
     is_buyer = F.size(new_codes(F.col("owned"), F.col("prev_owned"))) > 0
     missing_prev = F.col("prev_q").isNull() | (F.col("prev_q") != F.col("pair_prev_q"))

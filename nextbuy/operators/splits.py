@@ -87,3 +87,12 @@ def temporal_split(df: DataFrame, date_col: str, test_size: float = 0.3
     cutoff = _dt.date(1970, 1, 1) + _dt.timedelta(days=cutoff_day)
     part = F.when(day > cutoff_day, F.lit("test")).otherwise(F.lit("train"))
     return df.withColumn("part", part), cutoff
+
+
+def check_calendar(frame: DataFrame, date_col: str = "snapshot_date", split: str = "split") -> None:
+    """An error unless both parts have rows and every train date lies before every test date."""
+    ends = {r[split]: (r["a"], r["b"]) for r in frame.groupBy(split).agg(F.min(date_col).alias("a"), F.max(date_col).alias("b")).collect()}
+    if set(ends) != {"train", "test"}:
+        raise ValueError(f"calendar split: one part only ({', '.join(sorted(ends)) or 'no rows'})")
+    if ends["train"][1] >= ends["test"][0]:
+        raise ValueError(f"calendar split: train dates up to {ends['train'][1]} meet test dates from {ends['test'][0]}")

@@ -551,13 +551,15 @@ from ..functions import alerts as L  # noqa: E402
 
 # The stand-in log's latencies are around 35 ms, a few hundred at most; the service's limit of 2 s would never be met.
 STAND_IN_LATENCY_LIMIT = 100.0
+# Its inputs hardly drift either: the largest index of a day stays below 0.1.
+STAND_IN_DRIFT_LIMIT = 0.05
 
 
 @register("k5_drift_hold")
 def k5_drift_hold(spark, sf):
     """K5: the largest PSI over the features, held for 30 minutes, from 200 samples on."""
     obs, ref = _drift_inputs(spark, sf)
-    told = L.states(L.drift_points(obs, ref), L.DRIFT_HOLD, L.DRIFT_STEP)
+    told = L.states(L.drift_points(obs, ref, STAND_IN_DRIFT_LIMIT), L.DRIFT_HOLD, L.DRIFT_STEP)
     return D.present(told.withColumn("value", F.round("value", 9)).withColumnRenamed("at", "evaluated_at"))
 
 
@@ -1062,22 +1064,18 @@ def g5_clipping(spark, sf):
 
 @register("g7_feature_rows")
 def g7_feature_rows(spark, sf):
-    """Serving-time feature rows for a request batch: profile JSON -> checks ->
-    preprocessing -> recommendation lookup ('0' on a miss) -> derived features."""
-    train, _ = _fit_input(spark, sf)
-    p = _params(spark, sf)
-    aggs = _group_stats(spark, sf)
-    pnl = D.panel(spark, sf).filter(F.col("fecha_dato") == F.lit(_SLICE_DATE).cast("date"))
+    """Serving-time feature rows for every panel row as a request: profile JSON -> checks ->
+    preprocessing -> lookup of the client's latest snapshot ('0' on a miss) -> derived features."""
+    pnl = D.panel(spark, sf)
     requests = A.ingest_profiles(pnl.select(F.to_json(F.struct(
-        "ncodpers", "age", F.col("fecha_alta").cast("string").alias("fecha_alta"), "antiguedad",
-        "renta", "segmento", "pais_residencia", "canal_entrada")).alias("value")))
+        "ncodpers", F.col("fecha_dato").cast("string").alias("fecha_dato"), "age", F.col("fecha_alta").cast("string").alias("fecha_alta"), "antiguedad",
+        "renta", "segmento", "pais_residencia", "canal_entrada", *PRODUCTS)).alias("value")))
     ok = requests.filter("status = 'ok'").drop("status", "reason")
     A.check_profile_columns(ok)
-    flags = pnl.select("ncodpers", *PRODUCTS)
-    lookup = pnl.select("ncodpers", product_name_expr(F.array_max("owned")).alias(cf.FEATURE))
-    rows = cf.serving_join(ok.join(flags, "ncodpers", "left"), lookup)
-    feats = H.add_features(G.apply_params(rows, p), aggs)
-    return feats.select("ncodpers", "age_interval", "fecha_alta", cf.FEATURE,
+    lookup = cf.latest_lookup(pnl.select("ncodpers", F.col("fecha_dato").alias("snapshot_date"), product_name_expr(F.array_max("owned")).alias(cf.FEATURE)))
+    rows = cf.serving_join(ok, lookup)
+    feats = H.add_features(G.apply_params(rows, _params(spark, sf)), _group_stats(spark, sf))
+    return feats.select("ncodpers", "fecha_dato", "age_interval", "fecha_alta", cf.FEATURE,
                         F.col("antiguedad").cast("int").alias("antiguedad"),
                         F.round("renta_vs_country_mean", 6).alias("renta_vs_country_mean"))
 

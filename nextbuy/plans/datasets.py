@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cf
 from ..operators import panel as P
+from ..operators import splits
 from ..session import ensure_checkpoint_dir, materialize
 from ..sources.adapter import build_panel
 
@@ -65,7 +66,9 @@ def modelling_frame(spark: SparkSession, sf_dir: str, cutoff: _dt.date = P.TEST_
            cutoff, min_support)
     if key not in _FRAMES:
         frame, sl = _labelled(spark, sf_dir, cutoff, min_support)
-        _FRAMES[key] = materialize(frame, "labelled", ["split"]), materialize(sl, "shortlist")
+        written = materialize(frame, "labelled", ["split"])
+        splits.check_calendar(written)
+        _FRAMES[key] = written, materialize(sl, "shortlist")
     return _FRAMES[key]
 
 

@@ -1015,8 +1015,8 @@ ORACLES["k8_error_hold"] = "WITH " + _LOG + """
 , wide AS (SELECT (epoch_us(ts) // 60000000 + k) * 60 AS moment, status FROM log, range(1, 6) AS r(k)),
 pts AS (SELECT moment, count(*) FILTER (status >= 500) / count(*) AS value, count(*) FILTER (status >= 500) / count(*) > 0.01 AS breached FROM wide GROUP BY moment)""" + _held("pts", 600, 60, 9)
 ORACLES["k5_drift_hold"] = _k(""",
-binned AS (SELECT epoch_us(ts) // 600000000 AS step, feature, bin FROM later),
-ends AS (SELECT min(step) AS a, max(step) AS b FROM binned),
-tw AS (SELECT (step + k + 1) * 600 AS moment, feature, bin FROM binned, ends, range(0, 144) AS r(k) WHERE step + k <= b),
+stepped AS (SELECT epoch_us(ts) // 600000000 AS step, feature, bin FROM later),
+ends AS (SELECT min(step) AS a, max(step) AS b FROM stepped),
+tw AS (SELECT (step + k + 1) * 600 AS moment, feature, bin FROM stepped, ends, range(0, 144) AS r(k) WHERE step + k <= b),
 pw AS (""" + _psi_sql("tw", "moment") + """),
-pts AS (SELECT moment, max(psi) AS value, max(psi) > 0.25 AS breached FROM pw WHERE samples >= 200 GROUP BY moment)""" + _held("pts", 1800, 600, 9))
+pts AS (SELECT moment, max(psi) AS value, max(psi) > 0.05 AS breached FROM pw WHERE samples >= 200 GROUP BY moment)""" + _held("pts", 1800, 600, 9))

@@ -31,10 +31,9 @@ def latency_points(events: DataFrame, q: float = L.LATENCY_Q, limit: float = L.L
                    window: int = L.REQUEST_WINDOW) -> DataFrame:
     """K7 on a stream: (rule, at, value, breached) of finished windows; a window's state is one count a bucket."""
     log = K.request_log(events).filter(F.col("latency_ms").isNotNull()).withWatermark("ts", WATERMARK)
-    bucket = L.bucket_of(F.col("latency_ms"), L.LATENCY_BOUNDS)
-    counts = F.array(*[F.count_if(bucket == i).cast("double") for i in range(len(L.LATENCY_BOUNDS) + 1)])
-    found = log.groupBy(_windows(step, window)).agg(counts.alias("counts")).select(
-        F.lit("latency").alias("rule"), F.unix_seconds("w.end").alias("at"), L.histogram_quantile(q, L.LATENCY_BOUNDS, F.col("counts")).alias("value"))
+    histogram = log.withColumn("bucket", L.bucket_of(F.col("latency_ms"), L.LATENCY_BOUNDS)).groupBy(_windows(step, window)).agg(
+        *L.cumulative(L.LATENCY_BOUNDS, F.count_if))
+    found = histogram.select(F.lit("latency").alias("rule"), F.unix_seconds("w.end").alias("at"), L.latency_quantile(histogram, q).alias("value"))
     return found.withColumn("breached", F.col("value") > limit)
 
 

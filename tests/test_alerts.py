@@ -76,13 +76,13 @@ def test_latency_quantile(spark, log):
 @pytest.mark.parametrize("values", [[3.0], [10000.0, 20000.0], [5.0] * 19 + [9.0], [0.0, 100.0, 100.0]])
 def test_quantile_of_one_histogram(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    counts = F.array(*[F.count_if(L.bucket_of(F.col("v"), L.LATENCY_BOUNDS) == i).cast("double") for i in range(12)])
-    got = df.agg(counts.alias("c")).select(L.histogram_quantile(0.95, L.LATENCY_BOUNDS, F.col("c"))).first()[0]
+    histogram = df.withColumn("bucket", L.bucket_of(F.col("v"), L.LATENCY_BOUNDS)).agg(*L.cumulative(L.LATENCY_BOUNDS, F.count_if))
+    got = histogram.select(L.latency_quantile(histogram, 0.95)).first()[0]
     assert got == pytest.approx(quantile(0.95, values))
 
 
 def test_no_observation_is_null(spark):
-    assert spark.range(1).select(L.histogram_quantile(0.95, (1.0, 2.0), F.array(*[F.lit(0.0)] * 3))).first()[0] is None
+    assert spark.range(1).select(L.histogram_quantile(0.95, (1.0, 2.0), [F.lit(0.0)] * 3)).first()[0] is None
 
 
 def test_holds(spark, log):

@@ -1,6 +1,7 @@
 """Hand-made 3-client panel: events, labels, diagnostics."""
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from nextbuy.operators import panel as P
@@ -74,3 +75,21 @@ def test_class_names(spark):
     df = spark.createDataFrame([(3,), (0,), (99,), (26,)], "code int")
     names = [r[0] for r in df.select(P.class_name(F.col("code"))).collect()]
     assert names == ["prod_03", "no_purchase", "other", None]
+
+
+def test_no_pair_and_bad_splits_are_errors(spark):
+    import datetime as dt
+
+    from nextbuy.operators import splits as S
+    one = spark.createDataFrame([(1, 4, dt.date(2020, 1, 1), [1])], "ncodpers long, q int, fecha_dato date, owned array<int>")
+    with pytest.raises(ValueError, match="no pair"):
+        P.build_target_panel(one)
+    two = one.union(spark.createDataFrame([(1, 5, dt.date(2020, 4, 1), [1, 2])], one.schema))
+    assert P.build_target_panel(two).panel.count() == 1
+    with pytest.raises(ValueError, match="no pair"):
+        P.build_target_panel(two, first_snapshot=dt.date(2020, 4, 1))
+    rows = lambda *x: spark.createDataFrame(x, "split string, snapshot_date date")
+    S.check_calendar(rows(("train", dt.date(2020, 1, 1)), ("test", dt.date(2020, 2, 1))))
+    for bad, message in ((rows(("train", dt.date(2020, 1, 1))), "one part"), (rows(("train", dt.date(2020, 2, 1)), ("test", dt.date(2020, 2, 1))), "meet")):
+        with pytest.raises(ValueError, match=message):
+            S.check_calendar(bad)
