@@ -17,6 +17,11 @@ slot in a table of ``SLOTS`` hashed slots, whatever the size of the corpus.  Two
 phrases in one slot can only activate something early, never late or twice.
 Counts themselves are kept by the words' 64-bit hashes (the language is part of
 a word's hash); a word hash that stood for two words would raise an error.
+
+A scan's task adds up its own occurrences and hands them on in packed arrays, a
+row per bucket of phrases, so Spark moves few rows; a bucket's arrays are added
+up in one task.  Every task counts a phrase once, so a frequent phrase makes no
+bucket large, and the buckets' number follows the corpus' size.
 """
 
 from __future__ import annotations
@@ -25,10 +30,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
 from nextbuy.llm.ship import ship
-from nextbuy.llm.words import _BYTE, _FOLD, _base_powers, mix64, text_bytes
+from nextbuy.llm.words import _FOLD, mix64, text_bytes
 from nextbuy.session import Scratch
 
 LEAST = 10
@@ -38,13 +44,31 @@ NEVER = 255
 TOP = 2000
 #: A candidate goes if a longer one has at least this percentage of its occurrences.
 COVERED = 50
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
+#: Text bytes for which there is one bucket of phrases.
+BUCKET_BYTES = 16 << 20
 
 #: Fixed characters that end a piece, and those between words.
 _BREAK = np.isin(np.arange(256), np.frombuffer(b".,;:!?\n\x0b\x0c\r", np.uint8))
 _GAP = _BREAK | np.isin(np.arange(256), np.frombuffer(b" \t", np.uint8))
 _rng = np.random.default_rng(12)
 _LANG, _LEFT, _RIGHT = (_rng.integers(1, 2**62, 3, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+_CODE = (_rng.integers(1, 2**62, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1))[_FOLD]
+_BASE = 0x9E3779B97F4A7C15
+_powers = np.ones((2, 1), np.uint64)
+
+
+def _power_table(n: int) -> np.ndarray:
+    """Powers of the base, and of its inverse, modulo 2^64."""
+    global _powers
+    if _powers.shape[1] < n:
+        grown = np.empty((2, n), np.uint64)
+        for row, base in zip(grown, (_BASE, pow(_BASE, -1, 1 << 64)), strict=True):
+            row[:] = base
+            row[0] = 1
+            np.cumprod(row, out=row)
+        _powers = grown
+    return _powers
 
 
 def _block_end(data: np.ndarray, at: int, end: int) -> int:
@@ -67,18 +91,24 @@ def words_of(column: pa.Array, lang: np.ndarray) -> Iterator[tuple[np.ndarray, .
         breaks = np.flatnonzero(_BREAK[part])
         texts = offsets[np.searchsorted(offsets, lo):np.searchsorted(offsets, hi)] - lo
         word = ~_GAP[part]
-        start = word.copy()
+        start, stop = word.copy(), word.copy()
         start[1:] &= ~word[:-1]
+        stop[:-1] &= ~word[1:]
         start[texts] = word[texts]
+        inner = texts[texts > 0]
+        stop[inner - 1] = word[inner - 1]
         first = np.flatnonzero(start)
-        inside = np.flatnonzero(word)
         if len(first):
-            at = np.searchsorted(inside, first)
-            length = np.diff(np.append(at, len(inside)))
-            terms = _BYTE[_FOLD[part[inside]]]
-            terms *= _base_powers(int(length.max()))[np.arange(len(inside)) - np.repeat(at, length)]
+            end_at = np.flatnonzero(stop) + 1
+            length = end_at - first
+            # a word's hash is a difference of prefix sums, moved to the power 0
+            power, inverse = _power_table(len(part) + 1)
+            sums = np.empty(len(part) + 1, np.uint64)
+            sums[0] = 0
+            np.cumsum(_CODE[part] * power[:len(part)], out=sums[1:])
+            value = (sums[end_at] - sums[first]) * inverse[first]
             text = np.searchsorted(offsets, first + lo, "right") - 1
-            h = mix64(mix64(np.add.reduceat(terms, at) + length.astype(np.uint64)) + lang[text] * _LANG)
+            h = mix64(mix64(value + length.astype(np.uint64)) + lang[text] * _LANG)
             # one more piece begins after each break and at each text
             piece = pieces + np.searchsorted(breaks, first) + np.searchsorted(texts, first, "right")
             yield np.maximum(h, np.uint64(1)), piece, first + lo, first + lo + length, text
@@ -94,35 +124,68 @@ def _slot(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(20)).astype(np.int64) & (SLOTS - 1)
 
 
-def _counted(*words: np.ndarray) -> pa.RecordBatch:
-    """Occurrences of each phrase of the parallel word arrays; a phrase may appear in two rows."""
-    key = words[0] if len(words) == 1 else _pair(words[0], words[1]) if len(words) == 2 else _pair(_pair(words[0], words[1]), words[2])
-    order = np.argsort(key)
-    words = tuple(w[order] for w in words)
+def _key(words: list[np.ndarray]) -> np.ndarray:
+    out = words[0]
+    for w in words[1:]:
+        out = _pair(out, w)
+    return out
+
+
+def _added(words: list[np.ndarray], n: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """The distinct phrases of parallel word arrays, their counts (sums of ``n``, or occurrences) and keys; phrases of one key stay apart."""
+    key = _key(words)
+    order = np.lexsort(words[::-1]) if len(words) == 1 else np.argsort(key, kind="stable")
+    words, key = [w[order] for w in words], key[order]
     new = np.zeros(len(key), bool)
     new[:1] = True
     for w in words:
         new[1:] |= w[1:] != w[:-1]
     at = np.flatnonzero(new)
-    columns = [w[at].view(np.int64) for w in words] + [np.zeros(len(at), np.int64)] * (3 - len(words))
-    return _rows(*columns, np.diff(np.append(at, len(key))))
+    counts = np.diff(np.append(at, len(key))) if n is None else np.add.reduceat(n[order], at) if len(at) else n
+    return [w[at] for w in words], counts.astype(np.int64), key[at]
+
 
+_PACKED, _COUNTS = "bucket int, length int, packed binary", "h1 long, h2 long, h3 long, n long"
 
-def _rows(h1: np.ndarray, h2: np.ndarray, h3: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64, copy=False)) for x in (h1, h2, h3, n)], names=["h1", "h2", "h3", "n"])
 
+def _pack(words: list[np.ndarray], n: np.ndarray) -> bytes:
+    order = np.lexsort(words[::-1])  # equal first words side by side pack well
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(x[order].tobytes() for x in (*words, n)))
 
-_COUNTS = "h1 long, h2 long, h3 long, n long"
+
+def _unpack(packed: bytes, length: int) -> tuple[list[np.ndarray], np.ndarray]:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint64).reshape(length + 1, -1)
+    return list(raw[:length]), raw[length].view(np.int64)
+
+
+def _bucketed(words: list[np.ndarray], n: np.ndarray, key: np.ndarray, length: int, buckets: int) -> pa.RecordBatch:
+    """A row per bucket: the phrases whose key falls in it, packed."""
+    bucket = ((key >> np.uint64(8)) % np.uint64(buckets)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    rows = [(k, order[ends[k]:ends[k + 1]]) for k in range(buckets) if ends[k] < ends[k + 1]]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([k for k, _ in rows], pa.int32()), pa.array([length] * len(rows), pa.int32()),
+         pa.array([_pack([w[i] for w in words], n[i]) for _, i in rows], pa.binary())], names=["bucket", "length", "packed"])
+
+
+def _bucket_sums(key: tuple, table: pa.Table) -> tuple[int, list[np.ndarray], np.ndarray]:
+    """Length, words and counts of a bucket's phrases; length 0 are the languages' totals."""
+    length = key[1].as_py()
+    parts = [_unpack(x.as_py(), max(length, 1)) for x in table.column("packed")]
+    words = [np.concatenate(x) for x in zip(*(w for w, _ in parts), strict=True)]
+    words, n, _ = _added(words, np.concatenate([n for _, n in parts]))
+    return length, words, n
 
 
 def _langs(column: pa.Array) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
 
 
-def scanner(step: int, reach: tuple[np.ndarray, np.ndarray]):
+def scanner(step: int, reach: tuple[np.ndarray, np.ndarray], buckets: int):
     """Counts what is active in scan ``step``; ``reach`` tells in which scan the slots of words and of pairs reached the threshold.
 
-    In: lang hash, text.  A row with h1 = 0 has the words of language h2.
+    In: lang hash, text.  Phrases of length 0 are languages, counted by their words.
     """
     def active(since: np.ndarray) -> np.ndarray:
         return (since <= step) & (step < since + SHARDS)
@@ -154,79 +217,58 @@ def scanner(step: int, reach: tuple[np.ndarray, np.ndarray]):
                 mine = joined[i[active(three)]]
                 mine = mine[mine + 2 >= old]
                 found[3].append((h[mine], h[mine + 1], h[mine + 2]))
-            for parts in found.values():
+            for length, parts in found.items():
                 words = [np.concatenate(x) for x in zip(*parts, strict=True)]
                 if words and len(words[0]):
-                    yield _counted(*words)
-            if step < SHARDS:
-                names = np.unique(lang)
-                zero = np.zeros(len(names), np.int64)
-                yield _rows(zero, names.view(np.int64), zero, np.array([total[lang == x].sum() for x in names], np.int64))
+                    yield _bucketed(*_added(words), length, buckets)
+            if step < SHARDS and len(lang):
+                yield _bucketed(*_added([lang], total), 0, buckets)
 
     return run
 
 
-def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """length, chunk, bits: the slots of the words and pairs (h1, h2)."""
-    for batch in batches:
-        h1, h2 = (batch.column(k).to_numpy().view(np.uint64) for k in (0, 1))
-        for length, slot in ((1, _slot(h1[h2 == 0])), (2, _slot(_pair(h1[h2 != 0], h2[h2 != 0])))):
-            slot = np.unique(slot)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(slot), length, np.int32)), pa.array((slot >> 6).astype(np.int32)),
-                 pa.array((np.uint64(1) << (slot & 63).astype(np.uint64)).view(np.int64))], names=["length", "chunk", "bit"])
+def _slots_reached(key: tuple, table: pa.Table) -> pa.Table:
+    """length, chunk, bits: the slots of a bucket's words or pairs with at least LEAST occurrences."""
+    length, words, n = _bucket_sums(key, table)
+    slot = np.unique(_slot(_key([w[n >= LEAST] for w in words])))
+    return pa.table({"length": np.full(len(slot), length, np.int32), "chunk": (slot >> 6).astype(np.int32),
+                     "bit": (np.uint64(1) << (slot & 63).astype(np.uint64)).view(np.int64)})
 
 
-def _slot_sets(phrases: DataFrame, scratch: Scratch) -> tuple[np.ndarray, np.ndarray]:
-    """Which slots the words and the pairs of (h1, h2) fall in; at most SLOTS / 32 rows come back."""
-    written = scratch.write(phrases.select("h1", "h2").mapInArrow(_slots, "length int, chunk int, bit long").groupBy("length", "chunk").agg(
-        F.bit_or("bit").alias("bits")), "slots")
-    found = written.toArrow()
-    scratch.drop(written)
-    length, chunk, bits = (found.column(k).to_numpy() for k in ("length", "chunk", "bits"))
-    out = np.zeros(SLOTS, bool), np.zeros(SLOTS, bool)
-    for k, table in enumerate(out):
-        mine = length == k + 1
-        on = (bits[mine].view(np.uint64)[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)
-        table[(chunk[mine].astype(np.int64)[:, None] * 64 + np.arange(64))[on == 1]] = True
-    return out
-
-
-def _within(words: np.ndarray, pairs: np.ndarray):
-    """Rows whose word or pair falls in a marked slot; the languages' totals and longer phrases pass."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            h1, h2, h3 = (batch.column(k).to_numpy().view(np.uint64) for k in range(3))
-            keep = (h1 == 0) | (h3 != 0)
-            single, double = np.flatnonzero(~keep & (h2 == 0)), np.flatnonzero(~keep & (h2 != 0))
-            keep[single] = words[_slot(h1[single])]
-            keep[double] = pairs[_slot(_pair(h1[double], h2[double]))]
-            yield batch.filter(pa.array(keep))
-
-    return run
+def _frequent(key: tuple, table: pa.Table) -> pa.Table:
+    """h1, h2, h3, n of a bucket's phrases with at least LEAST occurrences (zero for words that are none); languages as h1 = 0, h2."""
+    length, words, n = _bucket_sums(key, table)
+    keep = n >= (LEAST if length else 0)
+    zero = np.zeros(int(keep.sum()), np.int64)
+    columns = [w[keep].view(np.int64) for w in words] if length else [zero, words[0][keep].view(np.int64)]
+    columns += [zero] * (3 - len(columns))
+    return pa.table(dict(zip(("h1", "h2", "h3", "n"), (*columns, n[keep]), strict=True)))
 
 
 def _mark(scans: list[DataFrame], step: int, reach: tuple[np.ndarray, np.ndarray], scratch: Scratch) -> None:
-    """Enter ``step`` for the slots of the words and pairs that have reached the threshold by now.
+    """Enter ``step`` for the slots of the words and pairs that have reached the threshold by now; at most SLOTS / 32 rows come back.
 
-    Words are whole after SHARDS scans.  From the scan after on, only what was
-    activated late is still counted, and only that can reach the threshold now:
-    of the earlier scans, just the slots of the last one are added up again.
+    Words are whole after SHARDS scans, pairs after twice as many.
     """
-    counts = _union(scans)
-    if step > SHARDS:
-        late = _slot_sets(scans[-1].filter("h1 <> 0 and h3 = 0"), scratch)
-        counts = _union(scans[:-1]).mapInArrow(_within(*late), _COUNTS).union(scans[-1])
-    counts = counts.filter("h1 <> 0 and h3 = 0" if step < SHARDS else "h2 <> 0 and h1 <> 0 and h3 = 0")
-    enough = counts.groupBy("h1", "h2").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST)
-    for table, found in zip(reach, _slot_sets(enough, scratch), strict=True):
-        table[found & (table == NEVER)] = step
+    counts = _union(scans).filter("length in (1, 2)" if step < SHARDS else "length = 2")
+    slots = scratch.write(counts.groupBy("bucket", "length").applyInArrow(_slots_reached, "length int, chunk int, bit long").groupBy("length", "chunk").agg(
+        F.bit_or("bit").alias("bits")), "slots")
+    found = slots.toArrow()
+    scratch.drop(slots)
+    length, chunk, bits = (found.column(k).to_numpy() for k in ("length", "chunk", "bits"))
+    for k, table in enumerate(reach):
+        mine = length == k + 1
+        on = (bits[mine].view(np.uint64)[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)
+        slot = (chunk[mine].astype(np.int64)[:, None] * 64 + np.arange(64))[on == 1]
+        table[slot[table[slot] == NEVER]] = step
 
 
 def phrase_counts(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, np.ndarray]:
     """h1, h2, h3, n of every phrase with at least LEAST occurrences (h2, h3 zero where shorter), the languages' totals (h1 = 0); the words' reach."""
     shards = scratch.write(docs.select("lang", "text", F.pmod(F.xxhash64("lang", "text", "doc"), F.lit(SHARDS)).cast("int").alias("shard")),
                            "shards", ["shard"])
+    size = shards.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = -(-size // BUCKET_BYTES) or 1
     reach = (np.full(SLOTS, NEVER, np.uint8), np.full(SLOTS, NEVER, np.uint8))
     scans: list[DataFrame] = []
     step = 0
@@ -236,15 +278,12 @@ def phrase_counts(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, np.ndar
 
     while step < SHARDS or step < last(reach[0]) or step < last(reach[1]):
         texts = shards.filter(F.col("shard") == step % SHARDS).select("lang", "text")
-        # in order of the words, which files keep in half the space
-        scans.append(scratch.write(texts.mapInArrow(scanner(step, reach), _COUNTS).groupBy("h1", "h2", "h3").agg(F.sum("n").alias("n"))
-                                   .sortWithinPartitions("h1", "h2", "h3"), f"scan{step}"))
+        scans.append(scratch.write(texts.mapInArrow(scanner(step, reach, buckets), _PACKED), f"scan{step}"))
         # a pair's count can grow until twice the scans of a cycle
         if step < 2 * SHARDS:
             _mark(scans, step, reach, scratch)
         step += 1
-    frequent = _union(scans).mapInArrow(_within(reach[0] != NEVER, reach[1] != NEVER), _COUNTS)
-    counts = scratch.write(frequent.groupBy("h1", "h2", "h3").agg(F.sum("n").alias("n")).filter((F.col("n") >= LEAST) | (F.col("h1") == 0)), "counts")
+    counts = scratch.write(_union(scans).groupBy("bucket", "length").applyInArrow(_frequent, _COUNTS), "counts")
     scratch.drop(shards, *scans)
     return counts, reach[0]
 
@@ -265,10 +304,12 @@ def speller(reach: np.ndarray):
                 mine = np.flatnonzero(reach[_slot(h)] != NEVER)
                 _, one = np.unique(h[mine], return_index=True)
                 mine = mine[one]
-                spelt = [_FOLD[data[a:b]].tobytes() for a, b in zip(start[mine], end[mine], strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[mine].view(np.int64)), batch.column(2).take(pa.array(text[mine])), pa.array(spelt, pa.binary()).cast(pa.string())],
-                    names=["h", "lang_name", "word"])
+                length = end[mine] - start[mine]
+                ends = np.cumsum(length)
+                at = np.repeat(start[mine] - (ends - length), length) + np.arange(int(ends[-1]) if len(ends) else 0)
+                spelt = pa.Array.from_buffers(pa.string(), len(mine), [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32)), pa.py_buffer(_FOLD[data[at]])])
+                yield pa.RecordBatch.from_arrays([pa.array(h[mine].view(np.int64)), batch.column(2).take(pa.array(text[mine])), spelt],
+                                                 names=["h", "lang_name", "word"])
 
     return run
 
