@@ -42,6 +42,7 @@ SHARDS = 2
 SLOTS = 1 << 22
 NEVER = 255
 TOP = 2000
+RANK_PARTS = 32
 #: A candidate goes if a longer one has at least this percentage of its occurrences.
 COVERED = 50
 BLOCK_BYTES = 2 << 20
@@ -300,16 +301,20 @@ def speller(reach: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, _ = text_bytes(batch.column(1))
+            parts = []
             for h, _, start, end, text in words_of(batch.column(1), _langs(batch.column(0))):
                 mine = np.flatnonzero(reach[_slot(h)] != NEVER)
                 _, one = np.unique(h[mine], return_index=True)
-                mine = mine[one]
-                length = end[mine] - start[mine]
-                ends = np.cumsum(length)
-                at = np.repeat(start[mine] - (ends - length), length) + np.arange(int(ends[-1]) if len(ends) else 0)
-                spelt = pa.Array.from_buffers(pa.string(), len(mine), [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32)), pa.py_buffer(_FOLD[data[at]])])
-                yield pa.RecordBatch.from_arrays([pa.array(h[mine].view(np.int64)), batch.column(2).take(pa.array(text[mine])), spelt],
-                                                 names=["h", "lang_name", "word"])
+                parts.append(tuple(x[mine[one]] for x in (h, start, end, text)))
+            if not parts:
+                continue
+            h, start, end, text = (np.concatenate(x) for x in zip(*parts, strict=True))
+            h, one = np.unique(h, return_index=True)
+            start, length = start[one], (end - start)[one]
+            ends = np.cumsum(length)
+            at = np.repeat(start - (ends - length), length) + np.arange(int(ends[-1]) if len(ends) else 0)
+            spelt = pa.Array.from_buffers(pa.string(), len(h), [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32)), pa.py_buffer(_FOLD[data[at]])])
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column(2).take(pa.array(text[one])), spelt], names=["h", "lang_name", "word"])
 
     return run
 
@@ -368,7 +373,9 @@ def collocations(docs: DataFrame, top: int = TOP) -> DataFrame:
         scored = scored.join(spelling, k, "left" if k == "h3" else "inner")
     totals = counts.filter("h1 = 0").select(F.col("h2").alias("lang_hash"), F.col("n").alias("total"))
     phrases = scored.withColumn("phrase", F.concat_ws(" ", "word_h1", "word_h2", "word_h3"))
-    order = Window.partitionBy("lang_name").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = phrases.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    # a language's first ``top`` are among the first of its parts, so the last window sees RANK_PARTS * top rows of it at most
+    best = lambda *by: F.row_number().over(Window.partitionBy("lang_name", *by).orderBy(F.desc("score"), F.desc("a"), "phrase"))
+    parts = phrases.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS))).withColumn("rank", best("part")).filter(F.col("rank") <= top)
+    ranked = parts.withColumn("rank", best()).filter(F.col("rank") <= top)
     return ranked.withColumn("lang_hash", F.xxhash64("lang_name")).join(totals, "lang_hash").select(
         F.col("lang_name").alias("lang"), F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", F.col("total").alias("n"), "score")
