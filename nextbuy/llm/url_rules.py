@@ -111,7 +111,10 @@ def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONF
         F.min("token").alias("token")).select("token"), "op7-tokens")
     baskets = keep.select("row", "bad", F.explode("tokens").alias("token")).join(frequent, "token").groupBy("row", "bad").agg(F.collect_set("token").alias("tokens"))
     items = materialize(baskets.select(F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BAD)))).otherwise(F.col("tokens")).alias("items")), "op7-baskets")
-    sets = FPGrowth(itemsCol="items", minSupport=max(fewest / max(items.count(), 1) * (1 - 1e-9), 1e-12), minConfidence=confidence).fit(items).freqItemsets
+    many = items.count()
+    if many < fewest:
+        return labelled.sparkSession.createDataFrame([], schema)
+    sets = FPGrowth(itemsCol="items", minSupport=max(fewest / many * (1 - 1e-9), 1e-12), minConfidence=confidence).fit(items).freqItemsets
     sets = materialize(sets.select(F.sort_array("items").alias("items"), "freq"), "op7-sets")
     bad = sets.filter(F.array_contains("items", BAD) & (F.size("items") > 1)).select(F.array_remove("items", BAD).alias("tokens"), F.col("freq").alias("bad"))
     every = materialize(bad.join(sets.select(F.col("items").alias("tokens"), "freq"), "tokens").select(

@@ -114,8 +114,9 @@ def digest_fits(value: str, data: bytes) -> bool | None:
     real = hashlib.new(kind, data).digest()
     if re.fullmatch("[0-9a-fA-F]+", told) and len(told) == 2 * len(real):
         return told.lower() == real.hex()
-    if re.fullmatch("[A-Za-z2-7]+=*", told):
-        return told.upper().rstrip("=") == base64.b32encode(real).decode().rstrip("=")
+    packed = base64.b32encode(real).decode().rstrip("=")
+    if re.fullmatch("[A-Za-z2-7]+=*", told) and len(told.rstrip("=")) == len(packed):
+        return told.upper().rstrip("=") == packed
     return None
 
 
