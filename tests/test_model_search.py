@@ -1,4 +1,5 @@
 """Selection stage, Parzen search and the boosting arm's inputs."""
+import functools
 import random
 
 import numpy as np
@@ -64,8 +65,9 @@ def test_boosting_takes_raw_categories(spark):
     assert M.MacroAucEvaluator([0, 7, 99], "boosting").evaluate(fitted.transform(df)) > 0.8
 
 
-def test_trial_value_is_out_of_fold(spark):
-    df = frame(spark, 300)
+def test_trial_value_is_out_of_fold(spark, monkeypatch):
+    monkeypatch.setattr(M, "ImportanceSelector", functools.partial(ImportanceSelector, numTrees=4, maxDepth=3))
+    df = frame(spark, 200).persist()
     spaces = {"forest": {"numTrees": S.IntRange(3, 5), "maxDepth": S.Choice((2, 3)), "minInstancesPerNode": S.IntRange(2, 4)},
               "boosting": {"maxIter": S.IntRange(1, 2), "maxDepth": S.IntRange(2, 2), "stepSize": S.FloatRange(0.1, 0.3, log=True)}}
     trials = M.study(df, SPEC, [0, 7, 99], spaces, trials=2, timeout=600, workers=2)
