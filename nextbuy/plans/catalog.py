@@ -858,7 +858,7 @@ def j16_protocol_comparison(spark, sf):
 #: trees take a Spark job per class, iteration and level (README has the times).
 SEARCH_SPACES = {"forest": M.HS.FOREST_SPACE | {"maxDepth": M.HS.Choice((1, 5, 10))},
                  "boosting": M.HS.BOOST_SPACE | {"maxIter": M.HS.IntRange(2, 6), "maxDepth": M.HS.IntRange(3, 4)}}
-SEARCH_TRIALS, SEARCH_SECONDS, SEARCH_FRACTION = 6, 240.0, 0.15
+SEARCH_TRIALS, SEARCH_SECONDS, SEARCH_FRACTION = 4, 240.0, 0.15
 _STUDIES: dict[tuple, list] = {}
 
 
