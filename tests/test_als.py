@@ -130,3 +130,25 @@ def test_no_events_give_no_rows(spark):
 def test_large_catalogue_is_refused(spark):
     with pytest.raises(ValueError, match="catalogues up to"):
         als.histories(frame(spark, purchases()), [DAY[3]], list(range(1000)))
+
+
+def test_weights_by_common_inverse():
+    rng = np.random.default_rng(4)
+    y = rng.random((9, 12))
+    gram, counts = y @ y.T, rng.poisson(1.2, (als.SLICE + 37, 9)).astype(float)
+    counts[0], counts[1], counts[2] = 0, 1, 500
+    plain = np.array([np.linalg.solve(gram + np.diag(0.05 / np.where(c > 0, c, 1)), c > 0) for c in counts])
+    assert np.allclose(als.user_weights(gram, counts, 0.05), plain, rtol=1e-9, atol=1e-12)
+    assert np.allclose(als._cross(counts, plain), counts.T @ plain)
+
+
+def test_histories_shuffle_a_purchase_once(spark):
+    """Purchases are not repeated for the later segments before the exchange."""
+    plan = als.histories(frame(spark, purchases()), DAY[2:6], [1, 2, 3, 5, 9])._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan
+
+
+def test_rows_of_a_task_do_not_grow(spark):
+    from nextbuy.session import spread
+    assert spread(spark.range(1000), "id", per_task=100).rdd.getNumPartitions() == 10
+    assert spread(spark.range(0), "id").rdd.getNumPartitions() == 1
