@@ -208,3 +208,31 @@ def test_modes_as_spark_has_them(spark):
     want = df.agg(*[F.mode(c, True).alias(c) for c in df.columns]).first().asDict()
     want = {c: v.isoformat() if isinstance(v, dt.date) else v for c, v in want.items() if v is not None}
     assert G.column_modes(df, df.columns) == want
+
+
+def test_cohort_of_a_date_is_found_once(spark):
+    """The date is parsed once a row, not once for every interval of the spec."""
+    rows = [(dt.date(2001, 1, 1) + dt.timedelta(days=i),) for i in range(40)] + [(None,)]
+    df = spark.createDataFrame(rows, "d date")
+    spec = G.date_cohort_spec(df, "d", 12)
+    for made in (G.date_cohort_expr(F.col("d"), spec), G.fit_cohort_expr(F.col("d"), spec)):
+        plan = df.select(made.alias("c"))._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.lower().count("datediff(") == 1
+    assert G.cohort_mismatches(df, "d", spec).first()["mismatches"] == 0
+
+
+def test_quantiles_keep_no_sketches(spark, monkeypatch):
+    from nextbuy.functions import quantiles as Q
+    monkeypatch.delattr(Q.F, "approx_count_distinct")
+    df = spark.range(101).select(F.col("id").cast("double").alias("x"))
+    assert Q.exact_quantiles(df, "x", [0.0, 0.5, 1.0]) == [0.0, 50.0, 100.0]
+
+
+def test_kinds_equal_the_exact_numbers(spark):
+    from nextbuy.functions import features as H
+    df = spark.range(60).select(
+        "id", (F.col("id") % 24).cast("double").alias("few"), (F.col("id") % 25).cast("int").alias("enough"),
+        F.when(F.col("id") % 25 > 0, F.col("id") % 25).alias("holes"), F.lit(None).cast("double").alias("none"), F.col("id").cast("string").alias("text")).repartition(7)
+    exact = {r["feature"]: r["kind"] for r in H.feature_types(df, df.columns).collect()}
+    assert H.feature_kinds(df, df.columns) == exact
+    assert exact["few"] == exact["holes"] == "categorical" and exact["enough"] == "numeric"
