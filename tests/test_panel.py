@@ -93,3 +93,35 @@ def test_no_pair_and_bad_splits_are_errors(spark):
     for bad, message in ((rows(("train", dt.date(2020, 1, 1))), "one part"), (rows(("train", dt.date(2020, 2, 1)), ("test", dt.date(2020, 2, 1))), "meet")):
         with pytest.raises(ValueError, match=message):
             S.check_calendar(bad)
+
+
+def test_client_windows_run_in_tasks_of_bounded_rows(spark, monkeypatch):
+    from nextbuy import session
+    rows = [(c, q, [1 + (c + q) % 3, 5]) for c in range(60) for q in range(4)]
+    df = spark.createDataFrame(rows, "ncodpers long, q int, owned array<int>").withColumn("fecha_dato", F.make_date(F.lit(1995), F.col("q") * 3 + 1, F.lit(1)))
+    want = sorted(map(tuple, P.purchase_events(df).collect()), key=str)
+    monkeypatch.setattr(P, "spread", lambda d, *keys: session.spread(d, *keys, per_task=20))
+    few = P.purchase_events(df)
+    assert few.rdd.getNumPartitions() == 12 and P.with_neighbours(df).rdd.getNumPartitions() == 12
+    assert sorted(map(tuple, few.collect()), key=str) == want and len(want) > 60
+
+
+def test_write_by_partition_keeps_every_row_and_the_settings(spark, tmp_path):
+    from nextbuy.session import OPEN_FILES, materialize
+    df = spark.range(2000).selectExpr("id", "cast(id % 150 as int) as part").repartition(3)  # more partitions than open files
+    seen = []
+    real = type(df.write).parquet
+    from pyspark.sql import DataFrameWriter
+
+    def spy(self, path, *a, **k):
+        seen.append(spark.conf.get(OPEN_FILES))
+        return real(self, path, *a, **k)
+
+    before = spark.conf.get(OPEN_FILES, None)
+    try:
+        DataFrameWriter.parquet = spy
+        back = materialize(df, "parts", ["part"])
+    finally:
+        DataFrameWriter.parquet = real
+    assert seen == ["64"] and spark.conf.get(OPEN_FILES, None) == before
+    assert sorted(map(tuple, back.select("id", "part").collect())) == [(i, i % 150) for i in range(2000)]
