@@ -119,3 +119,45 @@ def test_shared_budget_and_failures():
         S.run_study(lambda k, p: [float("nan")], {"k": SPACE}, 3, 1e9)
     # no round after the timeout, but at least one
     assert len(S.run_study(peak, {"k": SPACE}, 50, -1.0, workers=2)) == 2
+
+
+def test_ordered_slots_give_the_same_tree(spark):
+    df = M.with_weights(frame(spark))
+    enc = Pipeline(stages=M.encoder_stages(M.FeatureSpec(["noise"], SPEC.categorical))).fit(df)  # "good" has equally good splits
+    rows = enc.transform(df)
+    ordered = M.ordered_slots(rows)
+    plain, groups = (x.schema["features"].metadata["ml_attr"]["attrs"] for x in (rows, ordered))
+    assert "binary" not in groups and {(a["idx"], a["name"]) for a in groups["nominal"]} == {(a["idx"], a["name"]) for a in plain["binary"]}
+    assert groups["numeric"] == plain["numeric"]
+    tree = M.forest(1, 4, 1).setFeatureSubsetStrategy("all").setBootstrap(False)
+    one, two = (tree.fit(x) for x in (rows, ordered))
+    got = [np.array([r["probability"].toArray() for r in m.transform(rows).orderBy("ncodpers").collect()]) for m in (one, two)]
+    assert np.allclose(*got) and len(np.unique(got[0], axis=0)) > 3
+
+
+def test_forest_rows_are_encoded_once_and_placed_by_id(spark, monkeypatch):
+    written = []
+    real = M.materialize
+    monkeypatch.setattr(M, "materialize", lambda df, name, *a: written.append(name) or real(df, name, *a))
+    params = {"numTrees": 5, "maxDepth": 4}
+    one = M.fit_final(frame(spark), SPEC, "forest", params)
+    two = M.fit_final(frame(spark).repartition(7, "noise"), SPEC, "forest", params)
+    assert written == ["forest-rows"] * 2
+    assert one.stages[-2].selected() == two.stages[-2].selected()
+
+
+def test_boosting_arms_share_memory_by_rows(spark):
+    assert [M.arms_at_once(n) for n in (0, 1000, 1 << 20, 1 << 21, 1 << 22, 13_000_000)] == [4, 4, 4, 2, 1, 1]
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size()
+    levels = []
+
+    class Clf:
+        def fit(self, rows):
+            levels.append(rows.storageLevel)
+            return "fitted"
+
+    import unittest.mock as um
+    with um.patch.object(M, "boosted", lambda *a: Clf()):
+        assert M.fit_boosted(frame(spark), SPEC, {}).classifier == "fitted"
+    assert levels[0].useDisk and not levels[0].useMemory
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept
