@@ -40,8 +40,10 @@ from nextbuy.session import Scratch
 WINDOW = 50
 SEED = 20
 SPAN = WINDOW - SEED + 1
-#: Window starts that are looked at together.
-BLOCK_STARTS = 1 << 19
+#: Window starts that are looked at together: the block's arrays stay in a core's cache.
+BLOCK_STARTS = 1 << 16
+#: Pieces that are handed to Spark together, at least.
+BATCH_PIECES = 1 << 16
 #: Bytes of piece text of a bucket, suffixes of a block.
 BUCKET_BYTES = 4 << 20
 BLOCK_SUFFIXES = 1 << 18
@@ -67,15 +69,18 @@ def _power(n: int) -> np.uint64:
     return np.uint64(pow(_BASE, n, 1 << 64))
 
 
-def _rolling(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the substrings of 2, 16 and ``SEED`` bytes, by first byte."""
-    h, done = {1: _CODE[data]}, 1
-    while done < 16:
-        a = h[done]
-        h[2 * done] = a[:-done] * _power(done) + a[done:]
-        done *= 2
+def _rolling(data: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the substrings of 2, 16 and ``SEED`` bytes, by first byte, and a free array, all in the four rows of ``room``."""
+    n = len(data)
+    h = {1: _CODE.take(data, out=room[0, :n], mode="clip")}
+    for done, row in ((1, 1), (2, 2), (4, 3), (8, 0)):
+        n -= done
+        h[2 * done] = np.multiply(h[done][:n], _power(done), out=room[row, :n])
+        h[2 * done] += h[done][done:]
     n = len(data) - SEED + 1
-    return h[2], h[16], h[16][:n] * _power(4) + h[4][16:16 + n]
+    seeds = np.multiply(h[16][:n], _power(4), out=room[3, :n])
+    seeds += h[4][16:16 + n]
+    return h[2], h[16], seeds, room[2, :n]
 
 
 def _window_hash(h2: np.ndarray, h16: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -85,36 +90,47 @@ def _window_hash(h2: np.ndarray, h16: np.ndarray, at: np.ndarray) -> np.ndarray:
     return h * _power(2) + h2[at + 48]
 
 
-def _smallest(values: np.ndarray, width: int) -> np.ndarray:
-    """Minimum of every ``width`` consecutive values."""
-    out, done = values, 1
-    while 2 * done <= width:
-        out = np.minimum(out[:-done], out[done:])
-        done *= 2
-    rest = width - done
-    return np.minimum(out[:len(out) - rest], out[rest:]) if rest else out
+def _smallest(values: np.ndarray, free: np.ndarray, width: int) -> np.ndarray:
+    """Minimum of every ``width`` consecutive values; both arrays are written over."""
+    done, n = 1, len(values)
+    while done < width:
+        step = min(done, width - done)
+        n -= step
+        values, free = np.minimum(values[:n], values[step:n + step], out=free[:n]), values
+        done += step
+    return values
 
 
-def pieces_of(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-    """(text index, first window, windows, seed, content hash) of the pieces of a column, block by block."""
+def _whole_windows(offsets: np.ndarray, lo: int, hi: int) -> np.ndarray:
+    """For the starts from ``lo`` below ``hi``: is there a window, which the last 49 bytes of a text have not?"""
+    a, b = np.searchsorted(offsets, lo, "right"), np.searchsorted(offsets, hi + WINDOW, "right")
+    first = np.clip(np.maximum(offsets[a:b] - WINDOW + 1, offsets[a - 1:b - 1]) - lo, 0, hi - lo)
+    length = np.clip(offsets[a:b] - lo, 0, hi - lo) - first
+    good = np.ones(hi - lo, bool)
+    good[np.arange(int(length.sum())) + np.repeat(first - np.cumsum(length) + length, length)] = False
+    return good
+
+
+def pieces_of(data: np.ndarray, offsets: np.ndarray, share: int | None = None) -> Iterator[tuple[np.ndarray, ...]]:
+    """(text index, first window, windows, seed, content hash) of the pieces of a column, or of a share of the seeds, block by block."""
     end = int(offsets[-1])
+    # arrays of this size that come and go are given back to the system and cleared anew each time
+    room = np.empty((4, min(BLOCK_STARTS + WINDOW, max(end - int(offsets[0]), 1))), np.uint64)
     for lo in range(int(offsets[0]), end - WINDOW + 1, BLOCK_STARTS):
         hi = min(lo + BLOCK_STARTS, end - WINDOW + 1)
-        part = data[lo:hi + WINDOW - 1]
-        h2, h16, seeds = _rolling(part)
-        low = _smallest(mix64(seeds), SPAN)
+        h2, h16, seeds, free = _rolling(data[lo:hi + WINDOW - 1], room)
+        low = _smallest(mix64(seeds), free, SPAN)
         n = hi - lo
-        # starts within 49 bytes of a text's end have no window
-        ends = offsets[np.searchsorted(offsets, lo, "right"):np.searchsorted(offsets, hi + WINDOW, "right")]
-        bad = np.zeros(n + 1, np.int32)
-        np.add.at(bad, np.clip(ends - WINDOW + 1 - lo, 0, n), 1)
-        np.add.at(bad, np.clip(ends - lo, 0, n), -1)
-        good = np.cumsum(bad[:n]) == 0
+        good = _whole_windows(offsets, lo, hi)
         change = np.ones(n + 1, bool)
         change[1:n] = low[1:] != low[:-1]
         edge = np.concatenate([[False], good, [False]])
         first = np.flatnonzero(good & (change[:n] | ~edge[:n]))
         last = np.flatnonzero(good & (change[1:] | ~edge[2:]))
+        if share is not None:
+            # the seed's last bits: its first ones are small, being a minimum's
+            mine = low[first] % np.uint64(PASSES) == share
+            first, last = first[mine], last[mine]
         runs = last - first + 1
         cuts = (runs + SPAN - 1) // SPAN
         step = np.arange(int(cuts.sum())) - np.repeat(np.cumsum(cuts) - cuts, cuts)
@@ -122,27 +138,38 @@ def pieces_of(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarra
         run = np.minimum(np.repeat(last, cuts) - start + 1, SPAN)
         content = mix64(mix64(_window_hash(h2, h16, start) + np.uint64(_K1)) + _window_hash(h2, h16, start + run - 1) * np.uint64(_K2)
                         + run.astype(np.uint64))
-        text = np.searchsorted(offsets, start + lo, "right") - 1
+        a, b = np.searchsorted(offsets, [lo, hi], "right")
+        text = np.repeat(np.arange(a - 1, b), np.diff(np.searchsorted(start, offsets[a:b] - lo), prepend=0, append=len(start)))
         yield text, start + lo - offsets[text], run, low[start].view(np.int64), content.view(np.int64)
 
 
-_PIECES = "doc long, row long, pos long, run int, seed long, content long"
+_PIECES = {"doc": "long", "row": "long", "pos": "long", "run": "int", "seed": "long", "content": "long"}
+
+
+def _gathered(found: Iterator[tuple[np.ndarray, ...]]) -> Iterator[tuple[np.ndarray, ...]]:
+    """The pieces of several blocks together."""
+    held, n = [], 0
+    for block in found:
+        held.append(block)
+        n += len(block[0])
+        if n >= BATCH_PIECES:
+            yield tuple(map(np.concatenate, zip(*held, strict=True)))
+            held, n = [], 0
+    if n:
+        yield tuple(map(np.concatenate, zip(*held, strict=True)))
 
 
-def _pieces(share: int):
-    """The pieces whose seeds fall to one of ``PASSES`` shares."""
+def _pieces(docs: DataFrame, share: int, *names: str) -> DataFrame:
+    """These columns of the pieces whose seeds fall to one of ``PASSES`` shares."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, row = batch.column(0), batch.column(1)
-            for found in pieces_of(*text_bytes(batch.column(2))):
-                # the seed's last bits: its first ones are small, being a minimum's
-                text, pos, runs, seed, content = (x[(found[3].view(np.uint64) % np.uint64(PASSES)) == share] for x in found)
+            for text, pos, runs, seed, content in _gathered(pieces_of(*text_bytes(batch.column(2)), share)):
                 at = pa.array(text)
-                yield pa.RecordBatch.from_arrays(
-                    [doc.take(at), row.take(at), pa.array(pos), pa.array(runs.astype(np.int32)), pa.array(seed), pa.array(content)],
-                    names=["doc", "row", "pos", "run", "seed", "content"])
+                made = {"doc": lambda: batch.column(0).take(at), "row": lambda: batch.column(1).take(at), "pos": lambda: pa.array(pos),
+                        "run": lambda: pa.array(runs.astype(np.int32)), "seed": lambda: pa.array(seed), "content": lambda: pa.array(content)}
+                yield pa.RecordBatch.from_arrays([made[k]() for k in names], names=list(names))
 
-    return run
+    return docs.filter("doc is not null").select("doc", "row", "text").mapInArrow(run, ", ".join(f"{k} {_PIECES[k]}" for k in names))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,30 +198,39 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["doc", "row", "pos", "seed", "hot", "piece"])
 
 
+def _by_prefix(words: np.ndarray, at: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The suffixes ``at`` in the order of their first ``depth`` words, and which differ from the one before; each word sorts ties only."""
+    order = at[np.argsort(words[at])]
+    new = np.ones(len(at), bool)
+    w = words[order]
+    new[1:] = w[1:] != w[:-1]
+    for k in range(1, depth):
+        tied = ~new
+        tied[:-1] |= ~new[1:]
+        active = np.flatnonzero(tied)
+        if not len(active):
+            break
+        mine, group = order[active], np.cumsum(new[active])
+        w = words[mine + 8 * k]
+        rank = np.empty(len(active), np.int64)
+        rank[np.argsort(w)] = np.arange(len(active))
+        turn = np.argsort(group * len(active) + rank)
+        order[active], w = mine[turn], w[turn]
+        new[active[1:]] |= w[1:] != w[:-1]
+    return order, new
+
+
 def cover_ranks(words: np.ndarray, n: int) -> np.ndarray:
     """Ranks of the suffixes at the cover's positions below ``n``, to a depth of 56 bytes; 0 elsewhere."""
-    at = np.flatnonzero(_IN_COVER[np.arange(n) % PERIOD])
-    order = np.lexsort([words[at + 8 * k] for k in reversed(range(7))])
-    ranked = at[order]
-    new = np.zeros(len(at), bool)
-    for k in range(7):
-        w = words[ranked + 8 * k]
-        new[1:] |= w[1:] != w[:-1]
+    ranked, new = _by_prefix(words, np.flatnonzero(_IN_COVER[np.arange(n) % PERIOD]), 7)
     ranks = np.zeros(n, np.int32)
-    ranks[ranked] = np.cumsum(new)
+    ranks[ranked] = np.cumsum(new) - 1
     return ranks
 
 
 def sort_block(words: np.ndarray, ranks: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """The suffixes at ``starts`` in order: by 32-byte prefixes, ties by the cover's ranks (three-way partitions)."""
-    keys = [words[starts + 8 * k] for k in range(4)]
-    order = np.lexsort(keys[::-1])
-    new = np.ones(len(starts), bool)
-    new[1:] = False
-    for k in keys:
-        w = k[order]
-        new[1:] |= w[1:] != w[:-1]
-    order = starts[order]
+    order, new = _by_prefix(words, starts, 4)
     group = np.cumsum(new)
     active = np.flatnonzero(np.bincount(group)[group] > 1)
     group = group[active]
@@ -279,11 +315,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
 
 def _share_of_spans(docs: DataFrame, share: int, scratch: Scratch) -> DataFrame:
-    pieces = docs.filter("doc is not null").select("doc", "row", "text").mapInArrow(_pieces(share), _PIECES)
     shared = scratch.write(
-        pieces.groupBy("seed").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.min("content").alias("c1"), F.max("content").alias("c2"))
+        _pieces(docs, share, "doc", "seed", "content").groupBy("seed").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.min("content").alias("c1"), F.max("content").alias("c2"))
         .filter("low < high").select("seed", "low", (F.col("c1") < F.col("c2")).alias("mixed")), "seeds")
-    held = scratch.write(pieces.join(shared.hint("shuffle_hash"), "seed").filter("mixed or doc > low").drop("low"), "held")
+    held = scratch.write(_pieces(docs, share, *_PIECES).join(shared.hint("shuffle_hash"), "seed").filter("mixed or doc > low").drop("low"), "held")
     scratch.drop(shared)
     mixed = held.filter("mixed").drop("mixed")
     firsts = scratch.write(mixed.groupBy("seed", "content").agg(F.min("doc").alias("low")), "firsts")
@@ -311,34 +346,31 @@ def _share_of_spans(docs: DataFrame, share: int, scratch: Scratch) -> DataFrame:
     return spans
 
 
-def _merge(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Maximal runs of overlapping or touching ranges."""
-    order = np.argsort(starts, kind="stable")
-    starts, stops = starts[order], np.maximum.accumulate(stops[order])
-    new = np.append(True, starts[1:] > stops[:-1])
-    return starts[new], stops[np.append(np.flatnonzero(new)[1:] - 1, len(stops) - 1)]
-
-
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """In: doc_id, text, spans.  Out: doc_id, n_bytes, spans (merged), kept."""
+    """In: doc_id, text, spans.  Out: doc_id, n_bytes, spans (merged: maximal runs of overlapping or touching ranges), kept."""
     for batch in batches:
         data, offsets = text_bytes(batch.column(1))
-        spans, kept = [], []
-        for d, found in enumerate(batch.column(2)):
-            text = data[offsets[d]:offsets[d + 1]]
-            if found.is_valid and len(found.values):
-                a, b = _merge(*(found.values.field(k).to_numpy() for k in ("start", "stop")))
-                keep = np.zeros(len(text) + 1, np.int32)
-                np.add.at(keep, a, 1)
-                np.add.at(keep, b, -1)
-                kept.append(text[np.cumsum(keep[:-1]) == 0].tobytes())
-                spans.append([{"start": int(x), "stop": int(y)} for x, y in zip(a, b, strict=True)])
-            else:
-                kept.append(text.tobytes())
-                spans.append([])
+        data, offsets = data[offsets[0]:offsets[-1]], offsets - offsets[0]
+        found = batch.column(2).flatten()
+        owner = np.repeat(np.arange(len(batch)), batch.column(2).value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        start, stop = (found.field(k).to_numpy() + offsets[owner] for k in ("start", "stop"))
+        order = np.argsort(start, kind="stable")
+        owner, start, stop = owner[order], start[order], np.maximum.accumulate(stop[order])
+        new = np.ones(len(order) + 1, bool)
+        new[1:-1] = (start[1:] > stop[:-1]) | (owner[1:] != owner[:-1])
+        owner, start, stop = owner[new[:-1]], start[new[:-1]], stop[new[1:]]
+        depth = np.zeros(len(data) + 1, np.int8)
+        depth[start] += 1
+        depth[stop] -= 1
+        gone = np.bincount(owner, stop - start, len(batch)).astype(np.int64)
+        bounds = np.append(0, np.cumsum(np.bincount(owner, minlength=len(batch)))).astype(np.int32)
+        spans = pa.StructArray.from_arrays([pa.array(start - offsets[owner]), pa.array(stop - offsets[owner])], ["start", "stop"])
+        kept = data[np.cumsum(depth[:-1], dtype=np.int8) == 0]
+        ends = np.append(0, np.cumsum(np.diff(offsets) - gone))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(np.diff(offsets)), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
-             pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "spans", "kept"])
+            [batch.column(0), pa.array(np.diff(offsets)), pa.ListArray.from_arrays(bounds, spans),
+             pa.Array.from_buffers(pa.large_binary(), len(batch), [None, pa.py_buffer(ends), pa.py_buffer(kept)]).cast(pa.binary())],
+            names=["doc_id", "n_bytes", "spans", "kept"])
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -100,6 +101,42 @@ def test_equal_windows_have_equal_seeds():
                 assert seeds.setdefault(data[at:at + 50].tobytes(), s) == s
 
 
+def test_shares_split_the_pieces(monkeypatch):
+    """The shares together are all pieces, also of texts without a byte or shorter than a window."""
+    monkeypatch.setattr(suffix_dedup, "BLOCK_STARTS", 301)
+    data, offsets = text_bytes(pa.array([None, "", "x", *(t for _, t in repeat_rows()), "", "y" * 49, "z" * 50, ""]))
+    rows = lambda share: sorted(x for block in suffix_dedup.pieces_of(data, offsets, share) for x in zip(*(c.tolist() for c in block), strict=True))
+    parts = [rows(k) for k in range(suffix_dedup.PASSES)]
+    assert all(parts) and sorted(x for p in parts for x in p) == rows(None)
+    assert all(x[3] % suffix_dedup.PASSES == k for k, p in enumerate(parts) for x in p)
+
+
+def test_pieces_take_little_room():
+    """Arrays that outgrow a core's cache made the search for pieces twice as slow."""
+    r = np.random.default_rng(2)
+    data, offsets = text_bytes(pa.array(["".join(map(chr, r.integers(97, 123, 1 << 16))) for _ in range(32)]))
+    tracemalloc.start()
+    n = sum(len(block[0]) for block in suffix_dedup.pieces_of(data, offsets))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n > 50_000 and peak < 8 << 20
+
+
+def test_spans_merge_within_their_text():
+    """Overlapping and touching spans are one; spans of neighbouring texts are not, nor do null lists, empty texts or slices matter."""
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+    spans = [[(0, 3)], [(5, 10), (0, 2), (2, 4), (6, 7)], None, [], [], [(0, 10), (0, 10)], [(0, 1)]]
+    texts_ = ["xyz", "0123456789", "kept", "", "kéé", "aaaaaaaaaa", "bcd"]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(7)), pa.array(texts_),
+         pa.array([x if x is None else [{"start": a, "stop": b} for a, b in x] for x in spans], kind)], names=["doc", "text", "spans"])
+    want = [(3, [(0, 3)], b""), (10, [(0, 4), (5, 10)], b"4"), (4, [], b"kept"), (0, [], b""), (5, [], "kéé".encode()), (10, [(0, 10)], b""), (3, [(0, 1)], b"cd")]
+    for lo, n in ((0, 7), (1, 4), (2, 3), (5, 2), (3, 0)):
+        out = next(suffix_dedup._kept(iter([batch.slice(lo, n)]))).to_pylist()
+        assert [(r["n_bytes"], [(x["start"], x["stop"]) for x in r["spans"]], r["kept"]) for r in out] == want[lo:lo + n]
+        assert [r["doc_id"] for r in out] == list(range(lo, lo + n))
+
+
 def test_cover_reaches_every_distance():
     for a in range(31):
         for b in range(31):
