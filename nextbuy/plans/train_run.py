@@ -91,7 +91,8 @@ def _matrices(spark: SparkSession, sf_dir: str, with_als: bool, cohort: bool) ->
     classes = D.small_list(train_raw, "purchase")
     candidates = [c for c in D.small_list(sl, "code") if c in set(classes)]
     train_m, test_m = M.prepare(train_m, test_m, classes)
-    params = replace(params, label_map={c: class_label(c) for c in classes}, feature_columns={"numeric": numeric, "categorical": categorical})
+    params = replace(params, aggregates=aggs.as_dict(), label_map={c: class_label(c) for c in classes},
+                     feature_columns={"numeric": numeric, "categorical": categorical})
     return Matrices(train_m, test_m, M.FeatureSpec(numeric, categorical), classes, candidates,
                     params)
 
