@@ -161,3 +161,16 @@ def test_boosting_arms_share_memory_by_rows(spark):
         assert M.fit_boosted(frame(spark), SPEC, {}).classifier == "fitted"
     assert levels[0].useDisk and not levels[0].useMemory
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept
+
+
+def test_trials_share_what_does_not_depend_on_them(spark, monkeypatch):
+    monkeypatch.setattr(M, "ImportanceSelector", functools.partial(ImportanceSelector, numTrees=3, maxDepth=2))
+    written = []
+    real = M.materialize
+    monkeypatch.setattr(M, "materialize", lambda df, name, *a: written.append(name) or real(df, name, *a))
+    spaces = {"forest": {"numTrees": S.IntRange(2, 4), "maxDepth": S.Choice((2,))},
+              "boosting": {"maxIter": S.IntRange(1, 1), "maxDepth": S.IntRange(2, 2)}}
+    trials = M.study(frame(spark, 150), SPEC, [0, 7, 99], spaces, trials=6, timeout=600, workers=2)
+    assert len(trials) == 6 and all(len(t.folds) == 2 for t in trials)
+    # two folds: their rows, the rows of each kind's fits and the held rows are written once, the scores by every fit
+    assert [written.count(x) for x in ("fold-rows", "forest-rows", "boosting-rows", "fold-held", "fold-scores")] == [1, 2, 2, 4, 12]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from nextbuy.functions import features as H
 from nextbuy.plans import catalog as C
 from nextbuy.plans import datasets as D
+from nextbuy.plans import search as HS
 from nextbuy.plans import train_run as T
 from nextbuy.products import PRODUCTS
 
@@ -42,3 +43,25 @@ def test_written_parameters_have_the_group_statistics(spark, frame):
         saved = H.add_features(part, mx.params.aggregates).select("ncodpers", "q", *names)
         fitted = H.add_features(part, H.fit_group_stats(train)).select("ncodpers", "q", *names)
         assert sorted(saved.collect()) == sorted(fitted.collect())
+
+
+def test_the_search_is_the_whole_one(spark, frame, monkeypatch):
+    """The report queries search the library's whole spaces, 20 trials of each kind, without an end by the clock."""
+    asked = []
+
+    def study(rows, spec, classes, spaces, trials, timeout, *more):
+        asked.append((rows.count(), spaces, trials, timeout))
+
+        def evaluate(kind, params):
+            return [params["maxDepth"] / 100]
+
+        return HS.run_study(evaluate, spaces, trials, timeout)
+
+    monkeypatch.setattr(C.M, "study", study)
+    monkeypatch.setattr(C, "_STUDIES", {})
+    trials = C.i5_parzen_search(spark, "nowhere").collect()
+    (rows, spaces, n, timeout), = asked
+    assert n == len(trials) == 40 and {k: sum(t.kind == k for t in trials) for k in spaces} == {"forest": 20, "boosting": 20}
+    assert spaces == {"forest": HS.FOREST_SPACE, "boosting": HS.BOOST_SPACE} and timeout == float("inf")
+    assert rows == 150  # of each class the larger of 15 % and 50 rows
+    assert C.j17_winner(spark, "nowhere").count() == 1 and len(asked) == 1
