@@ -152,3 +152,26 @@ def test_rows_of_a_task_do_not_grow(spark):
     from nextbuy.session import spread
     assert spread(spark.range(1000), "id", per_task=100).rdd.getNumPartitions() == 10
     assert spread(spark.range(0), "id").rdd.getNumPartitions() == 1
+
+
+def test_packed_blocks_are_small_and_whole():
+    """Blocks keep their size whatever the number of users, and give back every count, large ones too."""
+    import pyarrow as pa
+    r = np.random.default_rng(3)
+    m, n = 25, 20_000
+    counts, segs = r.integers(0, 3, (n, m)).astype(np.float32), r.integers(0, 3, n).astype(np.int32)
+    counts[7, 3], counts[11, 0] = 300.0, 2.5
+
+    def batches():
+        for a in range(0, n, 3000):
+            c = counts[a:a + 3000]
+            yield pa.RecordBatch.from_arrays([pa.array(segs[a:a + 3000]), pa.ListArray.from_arrays(
+                pa.array(np.arange(len(c) + 1, dtype=np.int32) * m), pa.array(c.ravel()))], names=["seg", "counts"])
+
+    packed = list(als._packing(m)(batches()))
+    blocks = [b for x in packed for b in x.column(2).to_pylist()]
+    assert max(map(len, blocks)) <= als.BLOCK_BYTES and sum(map(len, blocks)) < 1.1 * n * m
+    back = list(als._unpacked(iter(packed), m))
+    assert max(len(c) for _, c in back) <= als.CHUNK
+    for s in range(3):
+        assert np.array_equal(np.concatenate([c for k, c in back if k == s]), counts[segs == s])
